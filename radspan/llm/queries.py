@@ -5,18 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from radspan.llm import exact_dedup, mixing, shard
+from radspan.llm import exact_dedup, mixing, packing, shard, token_counts, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """The place of a public vocabulary file; any other place can be given to the operators themselves."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.fresh_path(spark)
+    token_files.write(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), path)
+    return token_files.read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir), max_repeat=mixing.MAX_REPEAT)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_documents(spark, sf_dir))
 
@@ -26,7 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op6_exact_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op6_exact_dedup, op10_sharding)}
 
 
 OP6_SQL = """
