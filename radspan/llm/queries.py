@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radspan.llm import exact_dedup, mixing, packing, shard, token_counts, token_files
+from radspan.llm import exact_dedup, mixing, near_dedup, packing, shard, token_counts, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,12 +43,16 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_documents(spark, sf_dir))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(_documents(spark, sf_dir), words=3, percent=85)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard(_documents(spark, sf_dir), 8)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op6_exact_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op6_exact_dedup, op9_near_dedup, op10_sharding)}
 
 
 OP6_SQL = """
