@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radspan.llm import exact_dedup, mixing, near_dedup, packing, shard, token_counts, token_files
+from radspan.llm import exact_dedup, mixing, near_dedup, packing, shard, token_counts, token_files, topk
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.search(vectors, vectors.where(F.col("vec_id") % topk.EVERY == 0), topk.K)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_documents(spark, sf_dir))
 
@@ -52,7 +57,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op6_exact_dedup, op9_near_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op5_topk, op6_exact_dedup, op9_near_dedup, op10_sharding)}
 
 
 OP6_SQL = """
@@ -65,5 +70,17 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha AS text_sha256
 """
 
 
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0
+), q AS (SELECT vec_id AS query_id, unnest(e) AS x, unnest(range(len(e))) AS i FROM v WHERE vec_id % 100 = 0),
+c AS (SELECT vec_id, unnest(e) AS y, unnest(range(len(e))) AS i FROM v),
+s AS (SELECT query_id, vec_id, CAST(sum(x * y) AS BIGINT) AS score FROM q JOIN c ON q.i = c.i AND query_id <> vec_id GROUP BY ALL),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE_SQL, "op6_exact_dedup": OP6_SQL}
+    return {"op5_topk": OP5_SQL, "op3_mixing": mixing.ORACLE_SQL, "op6_exact_dedup": OP6_SQL}
