@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radspan.llm import exact_dedup, mixing, near_dedup, packing, shard, token_counts, token_files, topk
+from radspan.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality, shard, token_counts, token_files, topk
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_documents(spark, sf_dir))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_documents(spark, sf_dir))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(_documents(spark, sf_dir), words=3, percent=85)
 
@@ -57,7 +65,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op5_topk, op6_exact_dedup, op9_near_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op5_topk, op6_exact_dedup, op7_language_id, op8_quality, op9_near_dedup, op10_sharding)}
 
 
 OP6_SQL = """
