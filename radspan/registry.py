@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list = []
+from radspan.plans import cohort_queries, text_queries
+
+MODULES = [cohort_queries, text_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
