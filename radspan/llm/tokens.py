@@ -14,7 +14,9 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+
+import numpy as np
 
 KEEP_LENGTH = 48
 _PUNCTUATION = ".,;:!?"
@@ -27,31 +29,28 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class TwoGenerations(dict):
-    """A dict of at most about two times `cap` entries: when full, the older half is forgotten."""
+class TwoGenerations:
+    """Values by unit, of about two times `cap` units at most: when `now` is full, it becomes `old`, and that is forgotten."""
 
     def __init__(self, cap: int):
-        super().__init__()
-        self.cap, self.old = cap, {}
+        self.cap, self.now, self.old = cap, {}, {}
 
-    def missing(self, keys: Iterable) -> list:
+    def missing(self, keys: set) -> set:
         """The keys that must be computed; those of the older generation move to the younger one."""
-        out, old = [], self.old
-        for k in keys:
-            if k not in self:
-                v = old.get(k)
-                if v is None:
-                    out.append(k)
-                else:
-                    self[k] = v
+        out = keys.difference(self.now)
+        if self.old and (back := self.old.keys() & out):
+            self.now.update(zip(back, map(self.old.__getitem__, back), strict=True))
+            out -= back
         return out
 
+    def get(self, key):
+        return self.now.get(key) or self.old.get(key)
+
     def tidy(self, long_keys: list) -> None:
         for k in long_keys:
-            self.pop(k, None)
-        if len(self) > self.cap:
-            self.old = dict(self)
-            self.clear()
+            self.now.pop(k, None)
+        if len(self.now) > self.cap:
+            self.old, self.now = self.now, {}
 
 
 class IdEncoder:
@@ -59,15 +58,20 @@ class IdEncoder:
 
     def __init__(self, path: str, cap: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         self.cut = self._cut_of(made)
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.letters = _byte_letters()
         self.cache, self.marks = TwoGenerations(cap), {}
+        # the same model for words that are cut already, many in one call
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.vocabulary)]
+        self.edge = np.array([t.startswith(self.letters[32]) if self.cut == "space" else t.endswith("</w>") for t in tokens])
 
     @staticmethod
     def _cut_of(made: dict) -> str:
@@ -86,38 +90,59 @@ class IdEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters_only(self, word: str) -> bytes:
-        """A stretch of letters (with the space before it, if that belongs to it) is one word of the model."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        elif word[0] == " ":
-            word = self.letters[32] + word[1:]
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-
     def _plain(self, word: str) -> bool:
         return word.isalpha() and (self.cut == "space" or max(word) <= "ÿ")
 
+    def _mapped(self, word: str) -> str:
+        """A stretch of letters as the one word of the model that it is, with the space before it if that belongs to it."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return self.letters[32] + word if self.cut == "space" else word
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of mapped words. With the space before it each word starts with a token that has it, else it ends with one that tells."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 5000):
+            part = words[i : i + 5000]
+            ids = np.array(self.words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.edge[ids])
+            bounds = [*at.tolist(), len(ids)] if self.cut == "space" else [0, *(at + 1).tolist()]
+            if len(bounds) != len(part) + 1:
+                raise ValueError("the tokenizer's words cannot be told apart")
+            raw = ids.tobytes()
+            out += [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return out
+
     def _learn(self, keys: list) -> None:
         """Puts the ids of new units into the cache; a unit in a tuple has no space before it."""
-        cache, slow = self.cache, []
+        now, slow, plain, marked = self.cache.now, [], [], []
         lead, fold = (" ", False) if self.cut == "space" else ("", True)
         for k in keys:
             word, before = (k[0], "") if type(k) is tuple else (k, lead)
             if not word and not before:
-                cache[k] = b""
-            elif word and self._plain(word):
-                cache[k] = self._letters_only(before + (word.lower() if fold else word))
-            elif len(word) > 1 and word[-1] in _PUNCTUATION and self._plain(word[:-1]):
-                if word[-1] not in self.marks:
-                    self.marks[word[-1]] = self._ids([word[-1]])[0]
-                cache[k] = self._letters_only(before + (word[:-1].lower() if fold else word[:-1])) + self.marks[word[-1]]
+                now[k] = b""
+            elif before == lead and word and self._plain(word):
+                plain.append((k, word.lower() if fold else word))
+            elif before == lead and len(word) > 1 and word[-1] in _PUNCTUATION and self._plain(word[:-1]):
+                marked.append((k, word[:-1], word[-1]))
             else:
                 slow.append((k, before + word))
+        fresh = {w for _, w, _ in marked if self.cache.get(w) is None}
+        fresh.difference_update(k for k, _ in plain)
+        plain += [(w, w.lower() if fold else w) for w in fresh]
+        if plain:
+            now.update(zip([k for k, _ in plain], self._of_words([self._mapped(w) for _, w in plain]), strict=True))
+        for k, word, mark in marked:
+            if mark not in self.marks:
+                self.marks[mark] = self._ids([mark])[0]
+            now[k] = self.cache.get(word) + self.marks[mark]
         if slow:
-            cache.update(zip([k for k, _ in slow], self._ids([t for _, t in slow]), strict=True))
+            now.update(zip([k for k, _ in slow], self._ids([t for _, t in slow]), strict=True))
 
     def _units(self, text: str) -> list:
         if self.cut == "word":
+            if "<|" not in text and (text.isascii() or max(text) <= "ÿ"):  # lower() is then that of the tokenizer
+                text = text.lower()
             return text.replace("\n", " ").replace("\t", " ").split(" ")
         units = text.split(" ")
         units[0] = (units[0],)
@@ -137,8 +162,8 @@ class IdEncoder:
         if self.cut == "space" and (odd := {k for k in need if type(k) is str and (not k or k[0].isspace())}):
             cut = [u if odd.isdisjoint(u) else self._careful(t) for u, t in zip(cut, texts, strict=True)]
             need = self.cache.missing(set().union(*cut))
-        self._learn(need)
-        get = self.cache.__getitem__
+        self._learn(list(need))
+        get = self.cache.now.__getitem__
         out = [b"".join(map(get, u)) for u in cut]
         self.cache.tidy([k for k in need if len(k[0] if type(k) is tuple else k) > KEEP_LENGTH])
         return out
@@ -152,7 +177,8 @@ class LengthCounter:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.cache = TwoGenerations(cap)
-        self.tiers = _Tiers(frequent or {}, self.cache)
+        self.known = frequent or {}
+        self.tiers = _Tiers(self.known, self.cache)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         mark = "▁"
         joins = any(mark in p.lstrip(mark) for p in pieces)
@@ -172,28 +198,28 @@ class LengthCounter:
         if self.whole:
             return self.lengths(texts)
         cut = [self.units(t) if t else [] for t in texts]
-        cache, tiers = self.cache, self.tiers
-        need = cache.missing(set().union(*cut) - tiers.keys())
-        cache.update(zip(need, self.lengths(need), strict=True))
-        if "" in cache:
-            cache[""] = 1  # a space that ends the text is a token of its own
+        tiers, now = self.tiers, self.cache.now
+        need = list(self.cache.missing(set().union(*cut).difference(self.known)))
+        now.update(zip(need, self.lengths(need), strict=True))
+        if "" in now:
+            now[""] = 1  # a space that ends the text is a token of its own
         out = [sum(map(tiers.__getitem__, u)) for u in cut]
-        cache.tidy([k for k in need if len(k) > KEEP_LENGTH])
+        self.cache.tidy([k for k in need if len(k) > KEEP_LENGTH])
         return out
 
 
 class _Tiers(dict):
     """The frequent table; what it lacks is looked up in the worker's cache."""
 
-    def __init__(self, frequent: dict[str, int], cache: dict):
+    def __init__(self, frequent: dict[str, int], cache: TwoGenerations):
         super().__init__(frequent)
         self.cache = cache
 
     def __missing__(self, unit):
-        return self.cache[unit]
+        return self.cache.now[unit]
 
 
-def portions(texts: list, most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+def portions(texts: list, most: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts (null: empty) with their first place, of about `most` characters; a longer text stands alone."""
     start, size = 0, 0
     for i, t in enumerate(texts):
