@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,6 +44,17 @@ def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -
     return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df
 
 
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -> None:
+    """Lets Arrow batches hold at most so many rows and about so many bytes, so that a task's memory does not hang on
+    the length of texts. A smaller setting of the session's own stays."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        found = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)b?", spark.conf.get(key).lower())
+        now = int(found[1]) << 10 * "bkmgt".index(found[2] or "b") if found else 0
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 def clean_text(text: Column) -> Column:
     """null counts as the empty text."""
     return F.coalesce(text, F.lit(""))

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from radspan.llm.common import small_batches
+
 FOLDS = 5
 SIZES, BITS = (2, 3, 4), 15
 FEATURES = len(SIZES) << BITS
@@ -128,6 +130,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per row of docs: id, held_out, lang_pred, score, ambiguous."""
+    small_batches(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(model or train(docs, id_col, text_col, lang_col))
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from radspan.llm.common import sized, work_table
+from radspan.llm.common import sized, small_batches, work_table
 from radspan.llm.components import components
 from radspan.llm.shingles import MinHash, U, mix, shingle_sets
 
@@ -194,6 +194,7 @@ def _sets_of(words: int) -> Callable:
 
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id (smallest id reachable), kept."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     marks = work_table(rows.mapInArrow(_marked(words, percent), MARKS), "marks")
     classes = marks.where("n_shingles > 0 and id is not null").groupBy("n_shingles", "s1", "s2").agg(F.min("id").alias("rep"))

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from radspan.llm.common import small_batches
 from radspan.llm.tokens import IdEncoder, portions
 
 CAPACITY, END_ID = 2048, 0
@@ -49,6 +50,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                         a, b = b, b + capacity
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())], names=["id", "piece", "start", "length", "ids"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids binary").withColumnRenamed("id", id_col)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from radspan.llm.common import hash_order
+from radspan.llm.common import hash_order, small_batches
 from radspan.llm.language_id import held_out
 
 SAMPLE, PARTNERS, THRESHOLD, RIDGE = 20_000, 24, 0.3, 1e-3
@@ -102,6 +102,7 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("label").alias("label"))
     some = known.orderBy(hash_order("quality", F.col("id").cast("string")), "id").limit(sample)  # the documented bound of what is fitted
@@ -113,6 +114,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
 def scored(docs: DataFrame, labels: DataFrame | None, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, held_out, score, predicted."""
+    small_batches(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels, id_col=id_col, text_col=text_col))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from radspan.llm.common import small_batches
 from radspan.llm.tokens import KEEP_LENGTH, LengthCounter, portions
 
 LIMIT = 4096
@@ -83,6 +84,7 @@ def frequent_units(docs: DataFrame, text_col: str = "text") -> list[str]:
 def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, n_bytes, n_tokens, over_limit."""
     spark = docs.sparkSession
+    small_batches(spark)
     units = frequent_units(docs, text_col)
     lengths = LengthCounter(model_path).lengths(units)
     table = spark.sparkContext.broadcast((" ".join(units), array("I", lengths).tobytes()))

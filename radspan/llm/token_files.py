@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from radspan.llm.common import sized, work_dir, work_table
+from radspan.llm.common import sized, small_batches, work_dir, work_table
 from radspan.llm.tokens import IdEncoder, portions
 
 END_ID = 1
@@ -156,6 +156,7 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of docs, each document closed by end_id, to the folder `path`."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     ids = rows.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(_segments(tokenizer_path, end_id), f"part int, seq int, doc_ids array<{kind}>, doc_lengths array<long>, n long, width int, ids binary")
@@ -190,6 +191,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID,
 
 def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """One row per document of the files: id, start (ids of all documents before it), n_tokens, ids (little-endian unsigned 32-bit)."""
+    small_batches(spark)
     head = spark.read.parquet(f"{path}/header").first()
     lengths, block, longest = bytes(head.code_lengths), head.block, head.longest
     rows = spark.read.parquet(f"{path}/segments").select("start", "doc_ids", "doc_lengths", "n", "payload", "checkpoints")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from radspan.llm.common import sized, work_table
+from radspan.llm.common import sized, small_batches, work_table
 
 SCALE = 1024
 K, EVERY = 10, 100
@@ -216,6 +216,7 @@ def _floored(queries: DataFrame, first: DataFrame, k: int) -> DataFrame:
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", bucket: int = BUCKET) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each vector of `queries` its k best among `vectors`, its own id left out."""
+    small_batches(vectors.sparkSession)
     schema = "id long, d int, norm double, v binary"
     whole = lambda df: df.select(F.col(id_col).cast("long"), F.col(vector_col)).mapInArrow(_integers, schema)
     rows = work_table(whole(vectors), "vectors")
