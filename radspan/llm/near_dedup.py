@@ -198,7 +198,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: st
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     marks = work_table(rows.mapInArrow(_marked(words, percent), MARKS), "marks")
     classes = marks.where("n_shingles > 0 and id is not null").groupBy("n_shingles", "s1", "s2").agg(F.min("id").alias("rep"))
-    of = work_table(marks.select("id", "n_shingles", "s1", "s2").join(classes, ["n_shingles", "s1", "s2"], "left").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")), "classes")
+    of = work_table(marks.select("id", "n_shingles", "s1", "s2").join(classes, ["n_shingles", "s1", "s2"], "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")), "classes")
     reps = of.where("id = rep and n_shingles > 0").select("id").distinct()
     nodes = work_table(marks.where("n_shingles > 0").select("id", "signature", "bands").join(reps, "id", "left_semi").dropDuplicates(["id", "signature"]), "nodes")
     families = work_table(components(_candidates(nodes, percent)), "families")
