@@ -78,6 +78,8 @@ def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def codewords(n: int) -> np.ndarray:
     """n codewords: all splits of up to eight languages, or pseudo-random bits with a distance that grows with n."""
+    if n < 2:
+        return np.zeros((n, 0), np.int8)
     if n <= 8:
         return np.array([[(c >> i) & 1 for c in range(1, 1 << (n - 1))] for i in range(n)], np.int8).reshape(n, -1)
     bits = 15 + 8 * int(np.ceil(np.log2(n)))
