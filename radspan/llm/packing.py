@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from radspan.llm.common import small_batches
-from radspan.llm.tokens import IdEncoder, portions
+from radspan.llm.tokens import id_encoder, portions
 
 CAPACITY, END_ID = 2048, 0
 GROUP_ROWS = 200_000
@@ -33,7 +33,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     """One row per piece: id, piece, start (ids of the document before it), length, ids (little-endian unsigned 32-bit)."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = IdEncoder(tokenizer_path), array("I", [end_id]).tobytes()
+        encoder, end = id_encoder(tokenizer_path), array("I", [end_id]).tobytes()
         for batch in batches:
             for first, texts in portions(batch.column(1).to_pylist()):
                 of, number, start, length, ids = [], [], [], [], []

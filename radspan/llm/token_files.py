@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from radspan.llm.common import sized, small_batches, work_dir, work_table
-from radspan.llm.tokens import IdEncoder, portions
+from radspan.llm.tokens import id_encoder, portions
 
 END_ID = 1
 #: A segment is closed at so many ids; ids per block; bits of the longest code, and so of the decoder's table.
@@ -118,7 +118,7 @@ def _segments(tokenizer_path: str, end_id: int):
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, end, part, seq = IdEncoder(tokenizer_path), array("I", [end_id]).tobytes(), TaskContext.get().partitionId(), 0
+        encoder, end, part, seq = id_encoder(tokenizer_path), array("I", [end_id]).tobytes(), TaskContext.get().partitionId(), 0
         narrow = "<u2" if max(encoder.vocabulary - 1, end_id) < 1 << 16 else "<u4"
         doc_ids, ids, size = [], [], 0
 

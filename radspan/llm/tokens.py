@@ -19,7 +19,8 @@ from collections.abc import Iterator
 import numpy as np
 
 KEEP_LENGTH = 48
-_PUNCTUATION = ".,;:!?"
+#: Marks that may end a word: with the letters before them they are two words of the model. Not so the apostrophe.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -56,7 +57,7 @@ class TwoGenerations:
 class IdEncoder:
     """Ids of texts by a tokenizers file, as little-endian unsigned 32-bit integers; special tokens are not added."""
 
-    def __init__(self, path: str, cap: int = 150_000):
+    def __init__(self, path: str, cap: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -90,62 +91,73 @@ class IdEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, word: str) -> bool:
-        return word.isalpha() and (self.cut == "space" or max(word) <= "ÿ")
-
     def _mapped(self, word: str) -> str:
-        """A stretch of letters as the one word of the model that it is, with the space before it if that belongs to it."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        return self.letters[32] + word if self.cut == "space" else word
+        """A stretch of letters in the letters of the model, without the space before it."""
+        return word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
 
     def _of_words(self, words: list[str]) -> list[bytes]:
         """Ids of mapped words. With the space before it each word starts with a token that has it, else it ends with one that tells."""
         out: list[bytes] = []
+        space = self.letters[32] if self.cut == "space" else ""
         for i in range(0, len(words), 5000):
             part = words[i : i + 5000]
-            ids = np.array(self.words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.words.encode_batch_fast([space + f" {space}".join(part)], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(self.edge[ids])
-            bounds = [*at.tolist(), len(ids)] if self.cut == "space" else [0, *(at + 1).tolist()]
+            bounds = [*at.tolist(), len(ids)] if space else [0, *(at + 1).tolist()]
             if len(bounds) != len(part) + 1:
                 raise ValueError("the tokenizer's words cannot be told apart")
             raw = ids.tobytes()
             out += [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         return out
 
-    def _learn(self, keys: list) -> None:
+    def _learn(self, keys: set) -> None:
         """Puts the ids of new units into the cache; a unit in a tuple has no space before it."""
-        now, slow, plain, marked = self.cache.now, [], [], []
-        lead, fold = (" ", False) if self.cut == "space" else ("", True)
+        now, get, mapped, folds = self.cache.now, self.cache.get, self._mapped, self.cut == "word"
+        plain, marked, heads, slow = [], [], [], []
         for k in keys:
-            word, before = (k[0], "") if type(k) is tuple else (k, lead)
-            if not word and not before:
-                now[k] = b""
-            elif before == lead and word and self._plain(word):
-                plain.append((k, word.lower() if fold else word))
-            elif before == lead and len(word) > 1 and word[-1] in _PUNCTUATION and self._plain(word[:-1]):
-                marked.append((k, word[:-1], word[-1]))
+            if type(k) is tuple:
+                heads.append(k)
+                continue
+            stem = k if k.isalpha() else k.rstrip(_MARKS)
+            if not stem.isalpha() or folds and not (stem.isascii() or max(stem) <= "ÿ"):
+                slow.append(k)
+            elif stem is k or len(stem) == len(k):
+                plain.append(k)
             else:
-                slow.append((k, before + word))
-        fresh = {w for _, w, _ in marked if self.cache.get(w) is None}
-        fresh.difference_update(k for k, _ in plain)
-        plain += [(w, w.lower() if fold else w) for w in fresh]
-        if plain:
-            now.update(zip([k for k, _ in plain], self._of_words([self._mapped(w) for _, w in plain]), strict=True))
-        for k, word, mark in marked:
-            if mark not in self.marks:
-                self.marks[mark] = self._ids([mark])[0]
-            now[k] = self.cache.get(word) + self.marks[mark]
-        if slow:
-            now.update(zip([k for k, _ in slow], self._ids([t for _, t in slow]), strict=True))
+                marked.append((k, stem, k[len(stem) :]))
+        fresh = {stem for _, stem, _ in marked if get(stem) is None}
+        plain += fresh.difference(plain)
+        now.update(zip(plain, self._of_words([mapped(w.lower()) for w in plain] if folds else list(map(mapped, plain))), strict=True))
+        marks = list({m for _, _, m in marked if m not in self.marks})
+        self.marks.update(zip(marks, self._ids(marks), strict=True))
+        for k, stem, mark in marked:
+            now[k] = get(stem) + self.marks[mark]
+        if len(self.marks) > self.cache.cap:
+            self.marks = {}
+        lead = "" if folds else " "
+        now.update(zip(slow, self._ids([lead + k for k in slow]), strict=True))
+        if "" in now and folds:
+            now[""] = b""
+        model = self.tokenizer.model
+        for k in heads:
+            word = k[0]
+            now[k] = array("I", [t.id for t in model.tokenize(mapped(word))]).tobytes() if word.isalpha() else self._ids([word])[0] if word else b""
 
     def _units(self, text: str) -> list:
         if self.cut == "word":
             if "<|" not in text and (text.isascii() or max(text) <= "ÿ"):  # lower() is then that of the tokenizer
                 text = text.lower()
             return text.replace("\n", " ").replace("\t", " ").split(" ")
-        units = text.split(" ")
-        units[0] = (units[0],)
+        lines = text.split("\n")
+        if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+            return self._careful(text)
+        units: list = []
+        for line in lines:  # a line break between two words is a word of its own
+            at = len(units)
+            units += line.split(" ")
+            units[at] = (units[at],)
+            units.append(("\n",))
+        units.pop()
         return units
 
     @staticmethod
@@ -162,13 +174,24 @@ class IdEncoder:
         if self.cut == "space" and (odd := {k for k in need if type(k) is str and (not k or k[0].isspace())}):
             cut = [u if odd.isdisjoint(u) else self._careful(t) for u, t in zip(cut, texts, strict=True)]
             need = self.cache.missing(set().union(*cut))
-        self._learn(list(need))
+        self._learn(need)
         get = self.cache.now.__getitem__
         out = [b"".join(map(get, u)) for u in cut]
         self.cache.tidy([k for k in need if len(k[0] if type(k) is tuple else k) > KEEP_LENGTH])
         return out
 
 
+_kept: dict[str, IdEncoder] = {}
+
+
+def id_encoder(path: str) -> IdEncoder:
+    """The worker's encoder for this file: later tasks of the worker find the vocabulary loaded and the cache filled."""
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = IdEncoder(path)
+    return _kept[path]
+
+
 class LengthCounter:
     """Token counts of texts by a sentencepiece model: frequent units from a given table, others through the cache."""
 
