@@ -18,24 +18,44 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     return row.select(F.inline(pairs))
 
 
-def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """min, max, mean, median, sample deviation, nearest-rank quartiles (the row at round(q * (n - 1))) of each column.
+def at_ranks(df: DataFrame, column: str, ranks: list[int], bins: int = 4096) -> list[float]:
+    """The values at these ranks (from 0) of the column in order, exactly, without a sort of all rows.
 
-    Each figure is an aggregate over the column; no sort of all rows.
+    Each round counts the values of the intervals that may hold a rank in equal bins, at most `bins` for each rank, and
+    goes on with the bin that does, until it holds one value.
     """
+    v = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
+    low, high = v.agg(F.min("v"), F.max("v")).first()
+    spans = {r: (low, high, r) for r in set(ranks)}  # the interval, and the rank inside it
+    while open_spans := {r: s for r, s in spans.items() if s[0] < s[1]}:
+        cells = []
+        for r, (a, b, _) in open_spans.items():
+            place = F.floor((F.col("v") - a) / F.lit((b - a) / bins))
+            cells.append(F.when(F.col("v").between(a, b), F.struct(F.lit(r).alias("rank"), F.least(place, F.lit(bins - 1)).alias("bin"))))
+        rows = v.select("v", F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.rank", "c.bin").agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+        found: dict[int, list] = {}
+        for x in rows.collect():  # at most `bins` rows for each rank
+            found.setdefault(x["rank"], []).append((x["a"], x["b"], x["n"]))
+        for r, (_, _, inside) in open_spans.items():
+            for a, b, n in sorted(found[r]):
+                if inside < n:
+                    spans[r] = (a, b, inside)
+                    break
+                inside -= n
+    return [spans[r][0] for r in ranks]
+
+
+def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """min, max, mean, median, sample deviation, nearest-rank quartiles (the row at round(q * (n - 1))) of each column."""
     out = []
     for c in columns:
-        v = df.select(F.col(c).cast("double").alias("v")).where(F.col(c).isNotNull())
-        stats = v.agg(F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.percentile("v", F.lit(0.5)).alias("median"), F.stddev_samp("v").alias("std"), F.count("*").alias("n"))
-        spot = v.agg(*[F.percentile("v", F.lit(q)).alias(f"_e{i}") for i, q in enumerate((0.25, 0.75))])
-        one = stats.join(F.broadcast(spot))  # a row each
-        # an interpolated quartile lies between two neighbours in order; the nearest rank is one of them
-        low = [F.max(F.when(F.col("v") <= F.col(f"_e{i}"), F.col("v"))).alias(f"_lo{i}") for i in range(2)]
-        high = [F.min(F.when(F.col("v") >= F.col(f"_e{i}"), F.col("v"))).alias(f"_hi{i}") for i in range(2)]
-        one = one.join(F.broadcast(v.join(F.broadcast(spot)).agg(*low, *high)))
-        at = [F.lit(q) * (F.col("n") - 1) for q in (0.25, 0.75)]
-        near_rank = [F.when(a - F.floor(a) < 0.5, F.col(f"_lo{i}")).otherwise(F.col(f"_hi{i}")) for i, a in enumerate(at)]
-        out.append(one.select(F.lit(c).alias("column"), "min", "max", "mean", "median", "std", near_rank[0].alias("p25"), near_rank[1].alias("p75")))
+        v = F.col(c).cast("double")
+        stats = df.agg(F.lit(c).alias("column"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
+        n = df.where(F.col(c).isNotNull()).count()
+        near = [int(q * (n - 1) + 0.5) for q in (0.25, 0.75)]
+        a, b, p25, p75 = at_ranks(df, c, [(n - 1) // 2, n // 2, *near]) if n else (None,) * 4
+        value = lambda x: F.lit(x).cast("double")
+        out.append(stats.select("column", "min", "max", "mean", value(None if a is None else (a + b) / 2).alias("median"), "std", value(p25).alias("p25"), value(p75).alias("p75")))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -25,6 +25,21 @@ def stratum(df: DataFrame, columns: list[str], least: int = 2) -> DataFrame:
     return df.join(few, df["_stratum"] == few["_few"], "left").withColumn("_stratum", F.when(F.col("_few").isNotNull(), "__other__").otherwise(F.col("_stratum"))).drop("_few")
 
 
+def ranked(df: DataFrame, by: str, seed: int | str, key: str) -> DataFrame:
+    """df with `_rank` (from 1, in seeded order) among the rows of its value of `by`, and `_n`, their number.
+
+    The hash's first digits cut each value's rows into 65,536 runs in order. Runs are counted, added up over the runs
+    before them and numbered on their own, so no task sorts all rows of a frequent value.
+    """
+    rows = df.withColumn("_hash", seeded(seed, key)).withColumn("_run", F.substring("_hash", 1, 4))
+    runs = rows.groupBy(by, "_run").agg(F.count("*").alias("_c"))
+    before = Window.partitionBy(by).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col(by).alias("_of"), F.col("_run").alias("_r"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), F.sum("_c").over(Window.partitionBy(by)).alias("_n"))
+    out = rows.join(runs, rows[by].eqNullSafe(runs["_of"]) & (rows["_run"] == runs["_r"]))
+    own = F.row_number().over(Window.partitionBy(by, "_run").orderBy("_hash", key))
+    return out.withColumn("_rank", own + F.col("_before")).drop("_hash", "_run", "_of", "_r", "_before")
+
+
 def assign(studies: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), seed: int = 42, stratify: list[str] | None = None, key: str = "study_id") -> DataFrame:
     """studies with `split`. In each stratum, in seeded order, the first round(n * test) are test, the next val, the rest train."""
     if len(ratios) != 3 or min(ratios) <= 0 or abs(sum(ratios) - 1) > 1e-6:
@@ -32,9 +47,7 @@ def assign(studies: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0
     if "split" in studies.columns:
         warnings.warn("there is a split column: unchanged", stacklevel=2)
         return studies
-    rows = stratum(studies, stratify or [])
-    order = Window.partitionBy("_stratum").orderBy(seeded(seed, key), key)
-    rows = rows.withColumn("_rank", F.row_number().over(order)).withColumn("_n", F.count("*").over(Window.partitionBy("_stratum")))
+    rows = ranked(stratum(studies, stratify or []), "_stratum", seed, key)
     test, val = (F.floor(F.col("_n") * r + 0.5) for r in (ratios[2], ratios[1]))
     split = F.when(F.col("_rank") <= test, "test").when(F.col("_rank") <= test + val, "val").otherwise("train")
     return rows.withColumn("split", split).drop("_stratum", "_rank", "_n")
@@ -55,13 +68,9 @@ def summary(splits: DataFrame, by: list[str]) -> DataFrame:
 
 def stratified_sample(df: DataFrame, column: str, total: int, seed: int, key: str) -> DataFrame:
     """About `total` rows, each value of the column with its share (rounded, at least one row)."""
-    sizes = df.groupBy(column).agg(F.count("*").alias("_size"))
-    all_rows = df.agg(F.count("*").alias("_all"))
-    quota = F.greatest(F.lit(1), F.least(F.col("_size"), F.floor(F.col("_size") * total / F.col("_all") + 0.5)))
-    sizes = sizes.join(F.broadcast(all_rows)).select(F.col(column).alias("_of"), quota.alias("_quota"))
-    order = Window.partitionBy(column).orderBy(seeded(seed, key), key)
-    rows = df.join(sizes, df[column].eqNullSafe(sizes["_of"])).withColumn("_rank", F.row_number().over(order))
-    return rows.where("_rank <= _quota").drop("_rank", "_quota", "_of")
+    rows = ranked(df, column, seed, key).join(F.broadcast(df.agg(F.count("*").alias("_all"))))  # one row
+    quota = F.greatest(F.lit(1), F.least(F.col("_n"), F.floor(F.col("_n") * total / F.col("_all") + 0.5)))
+    return rows.where(F.col("_rank") <= quota).drop("_rank", "_n", "_all")
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
