@@ -85,7 +85,7 @@ def mix(
     totals = totals.select(F.col("source").alias("of"), repeat.alias("repeat"), F.ceil(F.col("n") / block_tokens).cast("long").alias("blocks"))
     rows = rows.join(sized(totals, sources), F.col("source").eqNullSafe(F.col("of")))
     rows = rows.select("id", "source", "tokens", "repeat", F.pmod(hash_order(seed, "block", F.col("id").cast("string")), F.col("blocks")).cast("int").alias("block"))
-    passes = rows.withColumn("pass", F.explode(F.sequence(F.lit(0), F.ceil("repeat").cast("int") - 1)))
+    passes = rows.where("repeat > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.ceil("repeat").cast("int") - 1)))
     passes = passes.withColumn("order", hash_order(seed, F.col("pass").cast("string"), F.col("id").cast("string")))
     block = Window.partitionBy("source", "block", "pass")
     along = block.orderBy("order", "id", "tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
