@@ -31,7 +31,7 @@ from radspan.llm.tokens import id_encoder, portions
 
 END_ID = 1
 #: A segment is closed at so many ids; ids per block; bits of the longest code, and so of the decoder's table.
-SEGMENT, BLOCK, LONGEST = 1 << 19, 512, 20
+SEGMENT, BLOCK, LONGEST = 1 << 19, 128, 20
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
