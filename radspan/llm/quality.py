@@ -109,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), "id").select("id", "label", "text")
     kind = rows.schema["id"].dataType.simpleString()
     got = rows.mapInArrow(_featured, f"id {kind}, label int, x array<double>").dropDuplicates(["id"]).orderBy("id").collect()
-    return Model(np.array([r.x for r in got]).reshape(len(got), -1), np.array([r.label == 1 for r in got], bool))
+    return Model(np.array([r.x for r in got]).reshape(len(got), len(features(""))), np.array([r.label == 1 for r in got], bool))
 
 
 def scored(docs: DataFrame, labels: DataFrame | None, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
