@@ -24,6 +24,12 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
 
 
+def arriving(spark: SparkSession, root: str) -> DataFrame:
+    """The same rows as a stream of the files that arrive; manifest() and problems() take it as it is."""
+    rows = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
+    return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
+
+
 def parse(raw: DataFrame) -> DataFrame:
     """path, raw, d: the document; anything but a JSON object gives null. Flat documents get a series struct."""
     d = F.when(F.ltrim("raw").startswith("{"), F.from_json("raw", SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))

@@ -62,6 +62,9 @@ def test_detail_json(spark, tmp_path):
     assert (r.study_id, r.plane, r.tr_ms, r.quality_grade, r.sequence_type) == ("study", "sagittal", 500.0, "B", "T1-weighted")
     assert (got["1.3"].ml_grade, got["1.3"].commercial_tier, got["1.3"].sequence_confidence) == ("A", "premium", "unknown")
     assert detail_json.problems(raw).count() == 3
+    run = detail_json.manifest(detail_json.arriving(spark, str(tmp_path))).writeStream.format("memory").queryName("arrived").trigger(availableNow=True).start()
+    run.awaitTermination(120)
+    assert sorted(r.series_uid for r in spark.table("arrived").collect()) == ["1.2", "1.3"]
 
 
 def test_inventory(spark, tmp_path):
