@@ -42,19 +42,28 @@ def percentile(values: Column, q: float) -> Column:
     return a + (b - a) * (at - low)
 
 
+def bound(value: Column, then) -> Column:
+    """then(value), with the value computed once however often `then` uses it, inside lambdas too."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def with_histogram(df: DataFrame, values: str, bins: int, name: str = "counts") -> DataFrame:
     """df with counts in equal-width bins from the least to the greatest value, the last one closed, and _low and _width.
 
-    A constant array is one unit wide around its value. Each step is a column of its own, so that a step inside a
-    lambda is a reference and not computed again for each element.
+    A constant array is one unit wide around its value.
     """
-    out = df.withColumn("_values", _doubles(F.col(values)))
-    out = out.withColumn("_low", F.array_min("_values")).withColumn("_high", F.array_max("_values"))
-    flat = F.col("_low") == F.col("_high")
-    out = out.withColumn("_width", F.when(flat, 1.0).otherwise(F.col("_high") - F.col("_low"))).withColumn("_low", F.when(flat, F.col("_low") - 0.5).otherwise(F.col("_low")))
-    out = out.withColumn("_places", F.transform("_values", lambda x: F.least(F.floor((x - F.col("_low")) / F.col("_width") * bins), F.lit(bins - 1))))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.size(F.filter("_places", lambda x: x == b)))
-    return out.withColumn(name, counts).drop("_values", "_high", "_places")
+
+    def edges(v: Column) -> Column:
+        lo, hi = F.array_min(v), F.array_max(v)
+        return F.struct(v.alias("v"), F.when(lo == hi, lo - 0.5).otherwise(lo).alias("low"), F.when(lo == hi, 1.0).otherwise(hi - lo).alias("width"))
+
+    def counted(e: Column) -> Column:
+        places = F.transform(e["v"], lambda x: F.least(F.floor((x - e["low"]) / e["width"] * bins), F.lit(bins - 1)))
+        counts = bound(places, lambda p: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.size(F.filter(p, lambda x: x == b))))
+        return F.struct(counts.alias("counts"), e["low"].alias("low"), e["width"].alias("width"))
+
+    made = df.withColumn("_h", bound(bound(_doubles(F.col(values)), edges), counted))
+    return made.select(*df.columns, F.col("_h.counts").alias(name), F.col("_h.low").alias("_low"), F.col("_h.width").alias("_width"))
 
 
 def entropy(df: DataFrame, values: str, bins: int = 256, name: str = "entropy") -> DataFrame:
