@@ -34,9 +34,13 @@ def _winner(rows: DataFrame) -> DataFrame:
     return rows.groupBy("sha").agg(best.alias("best"), F.count("*").alias("size")).select("sha", F.col("best.id").alias("keep"), (-F.col("best.n")).alias("most"), "size")
 
 
-def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
-    """One row per row of docs: id, keep_id, group_size, kept, text_sha256."""
-    rows = docs.select(F.col(id_col).alias("id"), F.char_length(clean_text(F.col(text_col))).alias("n"), _digest(F.col(text_col)).alias("sha"))
+def _length(text):
+    return F.char_length(clean_text(text))
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, support: float) -> DataFrame:
+    """One row per row of docs: id, n (code points), keep, size, kept, sha."""
+    rows = docs.select(F.col(id_col).alias("id"), _length(F.col(text_col)).alias("n"), _digest(F.col(text_col)).alias("sha"))
     rows = work_table(rows, "digests")
     named = rows.stat.freqItems(["sha"], support).select(F.explode("sha_freqItems").alias("sha"))  # Misra-Gries, at most 1/support
     least = F.lit(max(2, int(support * rows.count())))
@@ -45,13 +49,19 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", supp
     light = rows.join(F.broadcast(heavy.select("sha")), "sha", "left_anti")
     rest = light.join(_winner(light), "sha")
     kept = F.col("id").eqNullSafe(F.col("keep")) & (F.col("n") == F.col("most"))
-    return near.unionByName(rest).select(F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("size").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))
+    return near.unionByName(rest).select("id", "n", "keep", "size", kept.alias("kept"), "sha")
+
+
+def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
+    """One row per row of docs: id, keep_id, group_size, kept, text_sha256."""
+    made = _decided(docs, id_col, text_col, support)
+    return made.select(F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("size").alias("group_size"), "kept", F.col("sha").alias("text_sha256"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
     """docs, all columns, without the rows that decide() drops."""
-    made = work_table(decide(docs, id_col, text_col, support), "decided")
-    gone = made.where(~F.col("kept")).select(F.col(id_col).alias("_gone_id"), F.col("text_sha256").alias("_gone_sha")).distinct()
+    made = work_table(_decided(docs, id_col, text_col, support), "decided")
+    gone = made.where(~F.col("kept")).select(F.col("id").alias("_gone_id"), F.col("n").alias("_gone_n"), F.col("sha").alias("_gone_sha")).distinct()
     gone = work_table(gone, "gone")
-    same = docs[id_col].eqNullSafe(gone["_gone_id"]) & (_digest(docs[text_col]) == gone["_gone_sha"])
+    same = docs[id_col].eqNullSafe(gone["_gone_id"]) & (_length(docs[text_col]) == gone["_gone_n"]) & (_digest(docs[text_col]) == gone["_gone_sha"])
     return docs.join(sized(gone), same, "left_anti")

@@ -41,6 +41,22 @@ def test_keep_first_keeps_columns_and_one_of_each(docs):
     assert set(texts) == {re.sub(r"\s", "", t or "") for _, t in rows_of(docs)}
 
 
+@pytest.mark.parametrize("support", [0.001, 0.3])
+def test_keep_first_of_copies_that_share_an_id(spark, docs, support):
+    """A winner and a loser of one id, or without ids, differ in white space only: the winner stays."""
+    more = [(70, "p q r"), (70, "pqr"), (71, "pq r"), (None, "v w"), (None, "vw"), (None, " v w "), (72, "vw"), (73, "y"), (73, "y "), (73, "y ")]
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    groups = defaultdict(list)
+    for i, t in rows_of(df):
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((i, t))
+    want = []
+    for rows in groups.values():
+        most = max(len(t or "") for _, t in rows)
+        keep = least([i for i, t in rows if len(t or "") == most])
+        want += [(i, t) for i, t in rows if i == keep and len(t or "") == most]
+    assert Counter(rows_of(exact_dedup.keep_first(df, support=support))) == Counter(want)
+
+
 def brute_links(rows, k, percent):
     sets = defaultdict(list)
     for i, t in rows:
