@@ -85,6 +85,8 @@ CATEGORIES = {
 SENSITIVE = ["1. Names", "2. Geographic data", "4. Phone numbers", "6. Email addresses", "7. Social Security numbers"]
 # fixed values: tags that a series should have
 REQUIRED = ["PatientID", "PatientName", "PatientSex", "PatientBirthDate", "StudyDate", "StudyTime", "StudyDescription", "StudyInstanceUID", "SeriesNumber", "SeriesDescription", "SeriesInstanceUID", "Modality", "Manufacturer", "MagneticFieldStrength", "RepetitionTime", "EchoTime", "FlipAngle", "SliceThickness", "SpacingBetweenSlices", "PixelSpacing", "Rows", "Columns", "BitsAllocated", "ImageOrientationPatient", "ImagePositionPatient", "PhotometricInterpretation"]
+# fixed values: tags that the sweep leaves alone
+SAFE = ["Rows", "Columns", "BitsAllocated", "BitsStored", "HighBit", "PixelRepresentation", "SamplesPerPixel", "PhotometricInterpretation", "SmallestImagePixelValue", "LargestImagePixelValue", "NumberOfFrames", "ImageOrientationPatient", "ImagePositionPatient", "PixelSpacing", "SliceThickness", "SpacingBetweenSlices", "SliceLocation", "WindowCenter", "WindowWidth", "RescaleIntercept", "RescaleSlope", "Modality", "BodyPartExamined", "ScanningSequence", "SequenceVariant", "ScanOptions", "MRAcquisitionType", "ImageType", "RepetitionTime", "EchoTime", "InversionTime", "FlipAngle", "MagneticFieldStrength", "NumberOfAverages", "EchoTrainLength", "PixelBandwidth", "DeviceSerialNumber", "TransferSyntaxUID", "SOPClassUID", "MediaStorageSOPClassUID", "ImplementationClassUID", "ImplementationVersionName", "Manufacturer", "ManufacturerModelName", "SoftwareVersions", "SequenceName", "PixelData"]
 UID_ROOT = "1.2.826.0.1.3680043.10."
 
 
@@ -106,10 +108,18 @@ def scan_report(df: DataFrame, key: str, text: str, patterns: dict[str, str] = S
 
 def scrub(text: Column, patterns: dict[str, str] = SCRUB) -> Column:
     """Matches of the patterns deleted one pattern after another, spaces collapsed, ends trimmed."""
+    return _collapsed(_deleted(text, patterns))
+
+
+def _deleted(text: Column, patterns: dict[str, str]) -> Column:
     out = text
     for p in patterns.values():
         out = F.regexp_replace(out, p, "")
-    return F.trim(F.regexp_replace(out, r"\s{2,}", " "))
+    return out
+
+
+def _collapsed(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"\s{2,}", " "))
 
 
 def scrub_with_names(df: DataFrame, text: str, patterns: dict[str, str] = SCRUB) -> DataFrame:
@@ -194,12 +204,28 @@ def private_tags(df: DataFrame, key: str, tags: str, most: int = 10) -> DataFram
 
 
 def deidentified(df: DataFrame, tags: str, patient: Column, salt: str, remove: list[str], blank: list[str], uids: list[str], dates: list[str], free: list[str]) -> DataFrame:
-    """df with the tag map cleaned: private and listed tags removed, others blanked, pseudonymised, shifted or scrubbed."""
+    """df with the tag map cleaned: private and listed tags removed, others blanked, pseudonymised, shifted or scrubbed; then all are swept."""
     days = shift_days(patient)
-    odd = lambda k: k.startswith("(") & (F.conv(F.substring(k, 2, 4), 16, 10).cast("long") % 2 == 1)
-    kept = F.map_filter(F.col(tags), lambda k, v: ~k.isin(remove or [""]) & ~odd(k))
+    kept = F.map_filter(F.col(tags), lambda k, v: ~k.isin(remove or [""]) & ~_private(k))
     cleaned = F.transform_values(kept, lambda k, v: F.when(k.isin(blank or [""]), "").when(k.isin(uids or [""]), pseudonym(v, salt)).when(k.isin(dates or [""]), shift_date(v, days)).when(k.isin(free or [""]), scrub(v)).otherwise(v))
-    return df.withColumn(tags, cleaned)
+    return df.withColumn(tags, swept(cleaned))
+
+
+def _private(tag: Column) -> Column:
+    return tag.startswith("(") & (F.conv(F.substring(tag, 2, 4), 16, 10).cast("long") % 2 == 1)
+
+
+def swept(tags: Column, patterns: dict[str, str] = SCRUB, least: int = 4) -> Column:
+    """The tag map with every value of at least `least` characters scrubbed, but for safe tags and pixels; values without a match stay as they are."""
+    change = lambda v: F.element_at(F.transform(F.array(_deleted(v, patterns)), lambda left: F.when(left != v, _collapsed(left)).otherwise(v)), 1)
+    looked_at = lambda k, v: (F.length(v) >= least) & ~k.isin(SAFE) & ~F.lower(k).startswith("(7fe0")
+    return F.transform_values(tags, lambda k, v: F.when(looked_at(k, v), change(v)).otherwise(v))
+
+
+def verified_clean(tags: Column, remove: list[str], blank: list[str]) -> Column:
+    """True if no tag to be removed or blanked has a value and no private tag is left."""
+    left = F.map_filter(tags, lambda k, v: _private(k) | (k.isin([*remove, *blank] or [""]) & (F.trim(F.coalesce(v, F.lit(""))) != "")))
+    return F.size(left) == 0
 
 
 def constraint_failures(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
