@@ -11,6 +11,9 @@ from radspan.plans.proxies import SERIES, series, table
 # patterns that mean the same in Java and RE2
 _BOTH = {k: privacy.SCAN[k] for k in ("ssn", "phone_us", "pan", "voter_id", "driving_license", "passport", "uhid", "email", "url", "timestamp_ist", "mrn_like")} | {k: privacy.EXTENDED[k] for k in ("ipv4", "phone_paren", "hex_token")}
 _SCRUB = {"email": privacy.SCAN["email"], "url": privacy.SCAN["url"], "ipv4": privacy.EXTENDED["ipv4"], "phone_paren": privacy.EXTENDED["phone_paren"], "hex_token": privacy.EXTENDED["hex_token"]}
+# all patterns; extensions come before the scrubber's own, whose 12 digits would leave the rest of a longer number
+_ALL_SCAN = privacy.SCAN | privacy.EXTENDED
+_ALL_SCRUB = privacy.EXTENDED | privacy.SCRUB
 _TAGS = ["PatientID", "PatientName", "Country", "StudyID", "PatientComments", "PatientTelephoneNumbers"]
 
 
@@ -60,6 +63,17 @@ def text_scrub(spark, sf):
     return rows.select("doc_id", F.md5("scrubbed").alias("digest"), F.array_join("scrubbed_by", "|").alias("by"))
 
 
+def phi_scan_documents(spark, sf):
+    """All patterns by document."""
+    return privacy.scan(table(spark, sf, "documents"), "doc_id", "text", _ALL_SCAN).groupBy("doc_id", "pattern").agg(F.count("*").alias("n"), F.min("match").alias("first"))
+
+
+def text_scrub_all(spark, sf):
+    """The whole scrubber and the extensions."""
+    rows = privacy.scrub_with_names(table(spark, sf, "documents").select("doc_id", "text"), "text", _ALL_SCRUB)
+    return rows.select("doc_id", F.md5("scrubbed").alias("digest"), F.array_join("scrubbed_by", "|").alias("by"))
+
+
 def uid_pseudonym(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", privacy.pseudonym(F.col("o_orderkey"), "salt").alias("uid"))
 
@@ -242,6 +256,33 @@ _SCANS = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS pattern, unnest(regexp_ext
 _LEFT = ["text"]
 for _p in _SCRUB.values():
     _LEFT.append(f"regexp_replace({_LEFT[-1]}, '{_p}', '', 'g')")
+# RE2 has no look-around: runs of digits stand between chr(1) and chr(2), a plus after a digit becomes chr(3)
+_INDIA = r"\x010\d{10}\x02|\+\x0191(?:\x02[\s-]\x01)?\d{10}\x02"
+
+
+def _runs(x):
+    return f"regexp_replace(regexp_replace({x}, '(\\d)\\+', '\\1' || chr(3), 'g'), '(\\d+)', chr(1) || '\\1' || chr(2), 'g')"
+
+
+def _no_runs(x):
+    return f"replace(regexp_replace({x}, '[\\x01\\x02]', '', 'g'), chr(3), '+')"
+
+
+def _found_sql(name, p):
+    if name == "phone_india":
+        return f"list_transform(regexp_extract_all({_runs('text')}, '{_INDIA}'), lambda m: {_no_runs('m')})"
+    return f"regexp_extract_all(text, '{p.replace(chr(39), chr(39) * 2)}')"
+
+
+def _deleted_sql(name, p, x):
+    if name == "phone_india":
+        return _no_runs(f"regexp_replace({_runs(x)}, '{_INDIA}', '', 'g')")
+    return f"regexp_replace({x}, '{p.replace(chr(39), chr(39) * 2)}', '', 'g')"
+
+
+_SCANS_ALL = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS pattern, unnest({_found_sql(k, p)}) AS match FROM documents WHERE length(text) >= 3" for k, p in _ALL_SCAN.items())
+_STEPS = ", ".join(["s0 AS (SELECT doc_id, text AS t0 FROM documents)", *[f"s{i} AS (SELECT *, {_deleted_sql(k, p, f't{i - 1}')} AS t{i} FROM s{i - 1})" for i, (k, p) in enumerate(_ALL_SCRUB.items(), 1)]])
+_BY = ", ".join(f"CASE WHEN t{i - 1} <> t{i} THEN '{k}' END" for i, k in enumerate(_ALL_SCRUB, 1))
 _NUM = " UNION ALL ".join(f"SELECT '{c}' AS column, round(min({c}), 6) AS min, round(max({c}), 6) AS max, round(avg({c}), 6) AS mean, round(median({c}), 6) AS median, round(stddev_samp({c}), 6) AS std, round(list_sort(list({c}))[1 + CAST(floor(0.25::DOUBLE * (count(*) - 1) + 0.5) AS BIGINT)], 6) AS p25, round(list_sort(list({c}))[1 + CAST(floor(0.75::DOUBLE * (count(*) - 1) + 0.5) AS BIGINT)], 6) AS p75 FROM lineitem" for c in ("l_quantity", "l_extendedprice", "l_discount"))
 _STR = " UNION ALL ".join(f"SELECT '{c}' AS column, (SELECT count(DISTINCT {c}) FROM part) AS n_unique, (SELECT {c} FROM part GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS most_frequent, (SELECT max(n) FROM (SELECT count(*) AS n FROM part GROUP BY {c})) AS frequency, (SELECT round(avg(length({c})), 6) FROM part) AS mean_length" for c in ("p_name", "p_brand", "p_type"))
 _COLS = " UNION ALL ".join(f"SELECT '{c}' AS column, count(*) - count({c}) AS nulls, (count(*) - count({c})) * 100.0::DOUBLE / count(*) AS null_pct, count(DISTINCT {c}) + max(({c} IS NULL)::INT) AS n_unique FROM part" for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
@@ -250,7 +291,7 @@ _UID = "CAST(CAST('0x' || substr(sha256('salt' || o_orderkey), 1, 12) AS BIGINT)
 _MISSING = ", ".join(f"CASE WHEN coalesce((SELECT 1), 0) = 1 AND {c} THEN '{t}' END" for t, c in (("PatientName", "c_custkey % 3 = 0"), ("Country", "c_custkey % 4 = 0"), ("StudyID", "c_custkey % 5 = 0"), ("PatientComments", "true"), ("PatientTelephoneNumbers", "c_custkey % 6 > 0"))).replace("coalesce((SELECT 1), 0) = 1 AND ", "")
 _CONF = f"x AS (SELECT c_custkey, list_filter(list_value({_MISSING}), lambda t: t IS NOT NULL) AS m FROM customer), conf AS (SELECT c_custkey, array_to_string(m, '|') AS missing, len(m)::BIGINT AS missing_count, round((6 - len(m)) * 100.0::DOUBLE / 6, 6) AS completeness_pct FROM x WHERE len(m) > 0)"
 
-QUERIES = {f.__name__: f for f in (hipaa_inventory, hipaa_score, hipaa_files, phi_regex_scan, phi_scan_report, phi_scan_all, text_scrub, uid_pseudonym, date_shift_patient, date_shift_global, deid_profile, conformance, conformance_summary, constraint_failures, consensus_vote, consensus_full, consensus_union, escalation, routing_cascade, corpus_cost, plan_estimate, column_profile, numeric_profile, string_profile, type_breakdown, error_breakdown, month_histogram, keyword_buckets, coverage_matrix, checksum_manifest, checksum_verify, prov_edges, study_qc, series_order, slice_order, topk_worst, record_binning, ragged_union, set_algebra, dedupe_first, resource_check, grade_letters)}
+QUERIES = {f.__name__: f for f in (hipaa_inventory, hipaa_score, hipaa_files, phi_regex_scan, phi_scan_report, phi_scan_all, phi_scan_documents, text_scrub, text_scrub_all, uid_pseudonym, date_shift_patient, date_shift_global, deid_profile, conformance, conformance_summary, constraint_failures, consensus_vote, consensus_full, consensus_union, escalation, routing_cascade, corpus_cost, plan_estimate, column_profile, numeric_profile, string_profile, type_breakdown, error_breakdown, month_histogram, keyword_buckets, coverage_matrix, checksum_manifest, checksum_verify, prov_edges, study_qc, series_order, slice_order, topk_worst, record_binning, ragged_union, set_algebra, dedupe_first, resource_check, grade_letters)}
 ORACLE = {
     "hipaa_inventory": f"WITH {_TAGGED} SELECT c_custkey, category, tag, f AS found FROM found",
     "hipaa_files": f"WITH {_TAGGED}, a AS (SELECT c_custkey, count_if(f)::BIGINT AS n_found, count_if(NOT f)::BIGINT AS n_empty, list_sort(list_filter(list_distinct(list(CASE WHEN f THEN category END)), lambda x: x IS NOT NULL)) AS cs FROM found GROUP BY c_custkey), b AS (SELECT *, len(list_filter(cs, lambda x: x IN ('1. Names', '2. Geographic data', '4. Phone numbers', '6. Email addresses', '7. Social Security numbers'))) AS s FROM a) SELECT c_custkey, n_found, n_empty, array_to_string(cs, '|') AS categories, CASE WHEN s >= 3 THEN 'high' WHEN s >= 1 THEN 'medium' WHEN len(cs) > 0 THEN 'low' ELSE 'none' END AS risk FROM b",
@@ -258,6 +299,8 @@ ORACLE = {
     "phi_regex_scan": f"WITH m AS ({_SCANS}) SELECT doc_id, pattern, count(*) AS n, min(match) AS first FROM m GROUP BY ALL",
     "phi_scan_report": f"WITH m AS ({_SCANS}) SELECT pattern, count(*) AS matches, count(DISTINCT doc_id) AS files FROM m GROUP BY pattern",
     "text_scrub": f"SELECT doc_id, md5(trim(regexp_replace({_LEFT[-1]}, '\\s{{2,}}', ' ', 'g'))) AS digest, concat_ws('|', {', '.join(f'CASE WHEN {a} <> {b} THEN {chr(39)}{n}{chr(39)} END' for n, a, b in zip(_SCRUB, _LEFT, _LEFT[1:]))}) AS by FROM documents",
+    "phi_scan_documents": f"WITH m AS ({_SCANS_ALL}) SELECT doc_id, pattern, count(*) AS n, min(match) AS first FROM m GROUP BY ALL",
+    "text_scrub_all": f"WITH {_STEPS} SELECT doc_id, md5(trim(regexp_replace(t{len(_ALL_SCRUB)}, '\\s{{2,}}', ' ', 'g'))) AS digest, concat_ws('|', {_BY}) AS by FROM s{len(_ALL_SCRUB)}",
     "uid_pseudonym": f"SELECT o_orderkey, substr('{privacy.UID_ROOT}' || CAST({_UID} AS VARCHAR), 1, 64) AS uid FROM orders",
     "date_shift_patient": f"SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN '2024' ELSE strftime(CAST(o_orderdate AS DATE) + CAST(-365 + {_SHIFT} % 336 AS INT), '%Y%m%d') || '1015.5' END AS day FROM orders",
     "date_shift_global": "SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) - 100, '%Y%m%d') AS day FROM orders",
