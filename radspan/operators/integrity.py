@@ -22,7 +22,12 @@ def verify(recorded: DataFrame, actual: DataFrame, path: str) -> DataFrame:
 
 def provenance(outputs: DataFrame, output: str, sources: str, activity: str) -> DataFrame:
     """edge, source, target: output wasGeneratedBy activity, activity used source, output wasDerivedFrom source."""
-    rows = outputs.select(F.col(output).cast("string").alias("o"), F.explode(sources).alias("s")).withColumn("s", F.col("s").cast("string"))
+    return provenance_pairs(outputs.select(output, F.explode(sources).alias("_source")), output, "_source", activity)
+
+
+def provenance_pairs(pairs: DataFrame, output: str, source: str, activity: str) -> DataFrame:
+    """The edges of provenance() from one row per output and source."""
+    rows = pairs.select(F.col(output).cast("string").alias("o"), F.col(source).cast("string").alias("s"))
     made = rows.select(F.lit("wasGeneratedBy").alias("edge"), F.col("o").alias("source"), F.lit(activity).alias("target")).distinct()
     used = rows.select(F.lit("used").alias("edge"), F.lit(activity).alias("source"), F.col("s").alias("target")).distinct()
     return made.unionByName(used).unionByName(rows.select(F.lit("wasDerivedFrom").alias("edge"), F.col("o").alias("source"), F.col("s").alias("target")))

@@ -192,8 +192,7 @@ def checksum_verify(spark, sf):
 
 
 def prov_edges(spark, sf):
-    rows = table(spark, sf, "documents").groupBy("source").agg(F.collect_set("doc_id").alias("ids"))
-    return integrity.provenance(rows, "source", "ids", "extract")
+    return integrity.provenance_pairs(table(spark, sf, "documents").select("source", "doc_id").distinct(), "source", "doc_id", "extract")
 
 
 def study_qc(spark, sf):
