@@ -7,7 +7,8 @@ and encodes what is missing there through a cache of its own. The table only sav
 library whatever it holds.
 
 Defined cases: a null text counts as empty and has 0 bytes and 0 tokens; texts of any length are counted whole; rows
-that repeat stay; an empty table gives an empty result; other columns are never read.
+that repeat stay; tasks without any unit (no rows, empty texts) hand on nothing; an empty table gives an empty result;
+other columns are never read.
 """
 
 from __future__ import annotations
@@ -54,7 +55,8 @@ def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(counts) > 8 * SUMMARY:
                 counts = _trim(counts, 4 * SUMMARY)
     counts = Counter({k: v for k, v in counts.items() if 0 < len(k) <= KEEP_LENGTH})
-    yield _emit(_trim(counts, SUMMARY), TaskContext.get().partitionId())
+    if counts:
+        yield _emit(_trim(counts, SUMMARY), TaskContext.get().partitionId())
 
 
 def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,21 +66,19 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             for unit, n in zip(row["units"].split(" "), array("q", row["counts"]), strict=True):
-                if unit:
-                    counts[unit] += n
+                counts[unit] += n
             counts = _trim(counts, FREQUENT)
     if counts:
         yield _emit(counts, TaskContext.get().partitionId())
 
 
-
 def frequent_units(docs: DataFrame, text_col: str = "text") -> list[str]:
     """At most FREQUENT units, frequent ones among them for certain."""
     schema = "task int, units string, counts binary"
     found = docs.select(F.col(text_col)).mapInArrow(_summaries, schema)
     found = found.repartition(GROUPS, F.pmod("task", F.lit(GROUPS))).mapInArrow(_merged, schema)
     rows = found.repartition(1).mapInArrow(_merged, schema).collect()  # one row of at most FREQUENT units
-    return [u for r in rows for u in r["units"].split(" ") if u]
+    return [u for r in rows for u in r["units"].split(" ")]
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -91,7 +91,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, id_col: s
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, sizes = table.value
-        counter = LengthCounter(model_path, dict(zip(words.split(" "), array("I", sizes), strict=False)))
+        counter = LengthCounter(model_path, dict(zip(words.split(" ") if sizes else [], array("I", sizes), strict=True)))
         for batch in batches:
             text = batch.column(1)
             numbers: list[int] = []

@@ -213,9 +213,12 @@ class LengthCounter:
 
     @staticmethod
     def units(text: str) -> list[str]:
-        """The words between single spaces; a longer run of spaces goes, without its first, with the word after it."""
-        units = text.split(" ")
-        return [u[1:] for u in re.findall(r" +[^ ]*", " " + text)] if "" in units else units
+        """The words between single spaces; a longer run of spaces goes, without its first, with the word after it.
+
+        The model writes a space as U+2581, so that letter is a space to it.
+        """
+        units = text.replace("\u2581", " ").split(" ")
+        return [u[1:] for u in re.findall(r" +[^ ]*", " " + " ".join(units))] if "" in units else units
 
     def count(self, texts: list[str]) -> list[int]:
         if self.whole:

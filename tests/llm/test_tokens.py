@@ -14,8 +14,8 @@ from radspan.llm import packing, token_counts, token_files
 from radspan.llm.tokens import IdEncoder, LengthCounter, portions
 
 BYTE, WORD, PIECE = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
-TEXTS = st.text(st.sampled_from("ab .,'\n\t é́Σ1日!sİ　\x1c "), max_size=30)
-ODD = ["", " ", "a ", " a", "a  b", "\n", "a \n b", "a\n  b", "it's we'LL", "<|endoftext|>x", "<|STARTOFTEXT|> Word", "Word, word. WORD!", "x" * 5000, "a\r\ncd", "<s> </s>", "ÉTÉ été, Été."]
+TEXTS = st.text(st.sampled_from("ab .,'\n\t é́Σ1日!sİ　\x1c \u2581"), max_size=30)
+ODD = ["", " ", "a ", " a", "a  b", "\n", "a \n b", "a\n  b", "it's we'LL", "<|endoftext|>x", "<|STARTOFTEXT|> Word", "Word, word. WORD!", "x" * 5000, "a\r\ncd", "<s> </s>", "ÉTÉ été, Été.", "▁  a", "a▁ ▁b▁"]
 
 
 @pytest.fixture(scope="module")
@@ -167,3 +167,11 @@ def test_token_counts_of_odd_rows(docs):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
     want = sorted(str((i, len(t.encode()), n := len(library.encode(t)), n > 100)) for i, t in _pieces(docs))
     assert sorted(str(tuple(r)) for r in token_counts.count_tokens(docs, PIECE, limit=100).collect()) == want
+
+
+def test_token_counts_where_tasks_have_no_unit(spark):
+    schema = "doc_id long, text string"
+    few = spark.createDataFrame([(1, "a b"), (2, "▁  c")], schema).repartition(8, "doc_id")
+    assert sorted(tuple(r)[:3] for r in token_counts.count_tokens(few, PIECE).collect()) == [(1, 3, 2), (2, 6, len(LengthCounter(PIECE).model.encode("▁  c")))]
+    blank = spark.createDataFrame([(i, ("", None)[i % 2]) for i in range(5)], schema).repartition(3)
+    assert sorted(tuple(r) for r in token_counts.count_tokens(blank, PIECE).collect()) == [(i, 0, 0, False) for i in range(5)]
