@@ -1,11 +1,11 @@
 """Exact token ids and counts of whole texts, through a cache of the units that a tokenizer never joins.
 
-A unit is a stretch of text whose tokens do not depend on its neighbours: for the byte-level vocabulary a space with
-the word after it, for the lower-casing one what stands between white space, for the sentencepiece one a run of
-spaces with the word after it. encode(text) is then the concatenation of the units' ids. A tokenizer of any other
-make is applied to the whole text.
+A unit is a stretch of text whose tokens do not depend on its neighbours: for the byte-level and the lower-casing
+vocabulary a run of letters, digits or marks with the space before it, for the sentencepiece one a run of spaces with
+the word after it. encode(text) is then the concatenation of the units' ids. A tokenizer of any other make is applied
+to the whole text.
 
-Caches hold two generations of at most `cap` units; long units are not kept.
+Caches hold at most a given number of units, about; long units are not kept.
 """
 
 from __future__ import annotations
@@ -13,14 +13,15 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 KEEP_LENGTH = 48
-#: Marks that may end a word: with the letters before them they are two words of the model. Not so the apostrophe.
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Bytes of text that are cut into units together.
+PORTION = 4 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,10 +55,139 @@ class TwoGenerations:
             self.old, self.now = self.now, {}
 
 
+#: Classes of bytes: what a unit may be made of and where it may be cut. Other bytes (0) are never cut from their neighbours.
+_LETTER, _DIGIT, _PUNCT, _APOSTROPHE, _SPACE, _BREAK, _HIGH = range(1, 8)
+
+
+def _byte_classes() -> np.ndarray:
+    out = np.zeros(256, np.uint8)
+    for kind, members in (
+        (_LETTER, b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        (_DIGIT, b"0123456789"),
+        (_PUNCT, b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"),
+        (_APOSTROPHE, b"'"),
+        (_SPACE, b" "),
+        (_BREAK, b"\t\n\r\x0b\x0c"),
+        (_HIGH, bytes(range(0xC3, 0xE0))),  # first bytes of characters that are never white space
+    ):
+        out[list(members)] = kind
+    return out
+
+
+_CLASSES = _byte_classes()
+_SURE = np.isin(np.arange(8), (_LETTER, _DIGIT, _PUNCT, _APOSTROPHE, _HIGH))  # surely not white space
+
+
+def _cut_between() -> np.ndarray:
+    """[a, b]: a token always ends between a byte of class a and one of class b."""
+    out = np.zeros((8, 8), bool)
+    plain = (_LETTER, _DIGIT, _PUNCT)
+    for a in (*plain, _APOSTROPHE):
+        out[a, [_SPACE, _BREAK]] = out[_BREAK, a] = True
+    out[_BREAK, _HIGH] = out[_LETTER, _APOSTROPHE] = out[_DIGIT, _APOSTROPHE] = True
+    for a in plain:
+        for b in plain:
+            out[a, b] = a != b
+    return out.reshape(-1)
+
+
+_BETWEEN = _cut_between()
+
+
+def unit_starts(raw: np.ndarray, bounds: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of texts that lie one after another (bounds: their starts and the end) cut into units: the bytes, with
+    letters up to U+00FF in lower case if `fold`, the units' starts, and the classes of the bytes.
+
+    A space goes with the word after it. Of a run of white space the last one is cut off if a word follows, since the
+    tokenizers take it apart from the others.
+    """
+    kind = _CLASSES[raw]
+    if raw.max(initial=0) >= 0x80:
+        lead = np.flatnonzero(raw == 0xC3)  # U+00C0 to U+00FF are letters but for the signs of multiplication and division
+        lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+        kind[lead] = kind[lead + 1] = _LETTER
+        if fold:
+            raw = raw.copy()
+            raw[lead[raw[lead + 1] < 0x9F] + 1] += 0x20
+    if fold:
+        raw = np.where((raw >= 0x41) & (raw <= 0x5A), raw | 0x20, raw).astype(np.uint8)
+    cut = np.zeros(len(raw), bool)
+    cut[1:] = ((kind[:-1] == _SPACE) | (kind[:-1] == _BREAK)) & _SURE[kind[1:]]
+    cut[bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(raw))]] = False  # what follows is another text's
+    cut[:-1] = cut[1:]
+    cut[-1:] = False
+    cut[1:] |= _BETWEEN[kind[:-1] * np.uint8(8) + kind[1:]]
+    cut[bounds[:-1][bounds[:-1] < len(raw)]] = True
+    return raw, np.flatnonzero(cut), kind
+
+
+def _binary(raw: np.ndarray, starts: np.ndarray, end: int) -> pa.Array:
+    """The stretches of raw from each start to the next, without a copy."""
+    offsets = np.append(starts, end).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw))])
+
+
+def flattened(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a column of strings (null: empty), and the bounds of its rows in them."""
+    column = pc.fill_null(pc.cast(column, pa.string()), "")
+    bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, bounds - bounds[0]
+
+
+class _Units:
+    """Ids of known units in one array. Beyond `cap` units, those that most portions have used stay, half of cap."""
+
+    def __init__(self, cap: int):
+        self.cap = cap
+        self._set(pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int32))
+
+    def _set(self, keys: pa.Array, sizes: np.ndarray, ids: np.ndarray, uses: np.ndarray) -> None:
+        self.keys, self.sizes, self.ids, self.uses = keys, sizes, ids, uses
+        self.starts = np.cumsum(sizes) - sizes
+
+    def numbers(self, units: pa.Array) -> np.ndarray:
+        """The place of each unit, -1 where it is not known."""
+        return pc.fill_null(pc.index_in(units, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, units: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Puts new units behind the known ones and gives their places."""
+        places = np.arange(len(units)) + len(self.keys)
+        self._set(pa.concat_arrays([self.keys, units]), np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids]), np.concatenate([self.uses, np.zeros(len(sizes), np.int32)]))
+        return places
+
+    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units with these numbers, one after another, and how many each has."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[numbers] - ends + sizes, sizes)
+        return self.ids[at], sizes
+
+    def tidy(self) -> None:
+        """Forgets long units, and rare ones when there are too many."""
+        lengths = pc.binary_length(self.keys).to_numpy(zero_copy_only=False)
+        keep = lengths <= KEEP_LENGTH
+        if keep.sum() > self.cap:
+            order = np.argsort(np.where(keep, -self.uses, 1), kind="stable")[: self.cap // 2]
+            keep = np.zeros(len(keep), bool)
+            keep[order] = True
+            self.uses //= 2
+        if not keep.all():
+            some = np.flatnonzero(keep)
+            ids, sizes = self.gathered(some)
+            self._set(self.keys.take(pa.array(some)), sizes, ids, self.uses[some])
+
+
 class IdEncoder:
-    """Ids of texts by a tokenizers file, as little-endian unsigned 32-bit integers; special tokens are not added."""
+    """Ids of texts by a tokenizers file; special tokens are not added.
+
+    A portion of texts is cut into units as bytes; each distinct unit is looked up in the cache, or encoded by the
+    library, once; the ids of the texts are then gathered from the cache. Texts with the string of a special token, and
+    tokenizers of any other make, go to the library as they are.
+    """
 
-    def __init__(self, path: str, cap: int = 200_000):
+    def __init__(self, path: str, cap: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -66,13 +196,17 @@ class IdEncoder:
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         self.cut = self._cut_of(made)
-        self.letters = _byte_letters()
-        self.cache, self.marks = TwoGenerations(cap), {}
+        self.special = [t["content"].encode() for t in made.get("added_tokens") or []]
+        self.units = _Units(cap)
+        letters = _byte_letters()
         # the same model for words that are cut already, many in one call
         self.words = Tokenizer(self.tokenizer.model)
-        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.words.pre_tokenizer = pre_tokenizers.Split(letters[32], "merged_with_next") if self.cut == "space" else pre_tokenizers.CharDelimiterSplit(" ")
+        self.letters = np.array([ord(letters[b]) for b in range(256)], "<u4")
+        if self.cut == "word":
+            self.letters[32] = 32
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.vocabulary)]
-        self.edge = np.array([t.startswith(self.letters[32]) if self.cut == "space" else t.endswith("</w>") for t in tokens])
+        self.edge = np.array([t.startswith(letters[32]) if self.cut == "space" else t.endswith("</w>") for t in tokens])
 
     @staticmethod
     def _cut_of(made: dict) -> str:
@@ -88,96 +222,99 @@ class IdEncoder:
             return "word"
         return "none"
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _mapped(self, word: str) -> str:
-        """A stretch of letters in the letters of the model, without the space before it."""
-        return word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-
-    def _of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of mapped words. With the space before it each word starts with a token that has it, else it ends with one that tells."""
-        out: list[bytes] = []
-        space = self.letters[32] if self.cut == "space" else ""
-        for i in range(0, len(words), 5000):
-            part = words[i : i + 5000]
-            ids = np.array(self.words.encode_batch_fast([space + f" {space}".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(self.edge[ids])
-            bounds = [*at.tolist(), len(ids)] if space else [0, *(at + 1).tolist()]
-            if len(bounds) != len(part) + 1:
-                raise ValueError("the tokenizer's words cannot be told apart")
-            raw = ids.tobytes()
-            out += [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        return out
-
-    def _learn(self, keys: set) -> None:
-        """Puts the ids of new units into the cache; a unit in a tuple has no space before it."""
-        now, get, mapped, folds = self.cache.now, self.cache.get, self._mapped, self.cut == "word"
-        plain, marked, heads, slow = [], [], [], []
-        for k in keys:
-            if type(k) is tuple:
-                heads.append(k)
-                continue
-            stem = k if k.isalpha() else k.rstrip(_MARKS)
-            if not stem.isalpha() or folds and not (stem.isascii() or max(stem) <= "ÿ"):
-                slow.append(k)
-            elif stem is k or len(stem) == len(k):
-                plain.append(k)
-            else:
-                marked.append((k, stem, k[len(stem) :]))
-        fresh = {stem for _, stem, _ in marked if get(stem) is None}
-        plain += fresh.difference(plain)
-        now.update(zip(plain, self._of_words([mapped(w.lower()) for w in plain] if folds else list(map(mapped, plain))), strict=True))
-        marks = list({m for _, _, m in marked if m not in self.marks})
-        self.marks.update(zip(marks, self._ids(marks), strict=True))
-        for k, stem, mark in marked:
-            now[k] = get(stem) + self.marks[mark]
-        if len(self.marks) > self.cache.cap:
-            self.marks = {}
-        lead = "" if folds else " "
-        now.update(zip(slow, self._ids([lead + k for k in slow]), strict=True))
-        if "" in now and folds:
-            now[""] = b""
-        model = self.tokenizer.model
-        for k in heads:
-            word = k[0]
-            now[k] = array("I", [t.id for t in model.tokenize(mapped(word))]).tobytes() if word.isalpha() else self._ids([word])[0] if word else b""
-
-    def _units(self, text: str) -> list:
-        if self.cut == "word":
-            if "<|" not in text and (text.isascii() or max(text) <= "ÿ"):  # lower() is then that of the tokenizer
-                text = text.lower()
-            return text.replace("\n", " ").replace("\t", " ").split(" ")
-        lines = text.split("\n")
-        if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
-            return self._careful(text)
-        units: list = []
-        for line in lines:  # a line break between two words is a word of its own
-            at = len(units)
-            units += line.split(" ")
-            units[at] = (units[at],)
-            units.append(("\n",))
-        units.pop()
-        return units
-
-    @staticmethod
-    def _careful(text: str) -> list:
-        """Cuts only before a space that something other than white space follows."""
-        units = re.split(r" (?=\S)", text)
-        return [(units[0],), *units[1:]]
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
+    def _of_words(self, raw: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of n units that are a space and one word each. Every word has one token that tells where it starts, or ends."""
+        ids = np.array(self.words.encode_batch_fast([self.letters[raw].tobytes().decode("utf-32-le")], add_special_tokens=False)[0].ids, np.uint32)
+        at = np.flatnonzero(self.edge[ids])
+        if len(at) != n:
+            raise ValueError("the tokenizer's words cannot be told apart")
+        return ids, np.diff(at, append=len(ids)) if self.cut == "space" else np.diff(at, prepend=-1)
+
+    def _learn(self, units: pa.Array) -> np.ndarray:
+        """Puts the ids of new units into the cache and gives their places."""
+        raw, bounds = np.frombuffer(units.buffers()[2], np.uint8), np.frombuffer(units.buffers()[1], np.int32)
+        kind = unit_starts(raw, bounds, False)[2]
+        odd = ~np.isin(kind, (_LETTER, _PUNCT) if self.cut == "word" else (_LETTER, _DIGIT, _PUNCT))
+        first = bounds[:-1]
+        odd[first[raw[first] == 32]] = False
+        numbers = np.empty(len(units), np.int64)
+        plain = (raw[first] == 32) & (np.diff(bounds) > 1) & ~np.logical_or.reduceat(odd, first)
+        for some in np.array_split(np.flatnonzero(plain), plain.sum() // 20_000 + 1):
+            if len(some):
+                part = units.take(pa.array(some))
+                own, sizes = self._of_words(np.frombuffer(part.buffers()[2], np.uint8), len(some))
+                numbers[some] = self.units.add(part, sizes, own)
+        rest = units.filter(pa.array(~plain))
+        if len(rest):
+            own, sizes = self._library([u.decode() for u in rest.to_pylist()])
+            numbers[~plain] = self.units.add(rest, sizes, own)
+        return numbers
+
+    def _of_bytes(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts that lie in raw, and how many each has."""
+        if not len(raw):
+            return np.zeros(0, np.uint32), np.zeros(len(bounds) - 1, np.int64)
+        raw, starts, _ = unit_starts(raw, bounds, self.cut == "word")
+        cut = _binary(raw, starts, len(raw)).dictionary_encode()
+        numbers = self.units.numbers(cut.dictionary)
+        if (new := numbers < 0).any():
+            numbers[new] = self._learn(cut.dictionary.filter(pa.array(new)))
+        self.units.uses[numbers] += 1
+        ids, sizes = self.units.gathered(numbers[cut.indices.to_numpy()])
+        self.units.tidy()
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(ends[np.searchsorted(starts, bounds)])
+
+    def _of_long(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of one long text, in stretches that end where a space stands between two letters."""
+        a, out = 0, []
+        while len(raw) - a > PORTION:
+            size = PORTION
+            while True:
+                kind = _CLASSES[raw[a : a + size]]
+                at = np.flatnonzero((kind[1:-1] == _SPACE) & (kind[:-2] == _LETTER) & (kind[2:] == _LETTER))
+                if len(at) or a + size >= len(raw):
+                    break
+                size *= 2
+            if not len(at):
+                break
+            b = a + int(at[-1]) + 1
+            out.append(self._of_bytes(raw[a:b], np.array([0, b - a]))[0])
+            a = b
+        out.append(self._of_bytes(raw[a:], np.array([0, len(raw) - a]))[0])
+        ids = np.concatenate(out)
+        return ids, np.array([len(ids)], np.int64)
+
+    def _has_special(self, raw: np.ndarray) -> bool:
+        return any(x in raw.tobytes() for x in self.special)
+
+    def encode_column(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """A column of texts (null: empty) in portions: the first row, the ids of its texts one after another, how many each has."""
+        raw, bounds = flattened(column)
+        first = 0
+        while first < len(bounds) - 1:
+            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + PORTION, side="right")) - 1)
+            own, at = raw[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
+            if self.cut == "none" or self._has_special(own):
+                if last - first > 1:  # text by text
+                    last, own, at = first + 1, raw[bounds[first] : bounds[first + 1]], bounds[first : first + 2] - bounds[first]
+                if self.cut == "none" or self._has_special(own):
+                    yield first, *self._library([own.tobytes().decode()])
+                    first = last
+                    continue
+            yield first, *(self._of_long(own) if last - first == 1 else self._of_bytes(own, at))
+            first = last
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.cut == "none":
-            return self._ids(texts)
-        cut = [self._units(t) for t in texts]
-        need = self.cache.missing(set().union(*cut))
-        if self.cut == "space" and (odd := {k for k in need if type(k) is str and (not k or k[0].isspace())}):
-            cut = [u if odd.isdisjoint(u) else self._careful(t) for u, t in zip(cut, texts, strict=True)]
-            need = self.cache.missing(set().union(*cut))
-        self._learn(need)
-        get = self.cache.now.__getitem__
-        out = [b"".join(map(get, u)) for u in cut]
-        self.cache.tidy([k for k in need if len(k[0] if type(k) is tuple else k) > KEEP_LENGTH])
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        for _, ids, sizes in self.encode_column(pa.array([t.encode("utf-8", "replace") for t in texts], pa.binary()).cast(pa.string())):
+            ends = np.cumsum(sizes)
+            out += [ids[a:b].astype("<u4").tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
         return out
 
 
@@ -192,6 +329,19 @@ def id_encoder(path: str) -> IdEncoder:
     return _kept[path]
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until a column of strings has about PORTION bytes: distinct units are looked up once a batch."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= PORTION:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 class LengthCounter:
     """Token counts of texts by a sentencepiece model: frequent units from a given table, others through the cache."""
 
