@@ -1,23 +1,25 @@
 """Token ids in files: canonical length-limited Huffman codes, decoded by table in independent blocks.
 
-Format: a folder with two Parquet tables, which any file system that Spark writes to can hold.
+Format: a folder with three Parquet tables, which any file system that Spark writes to can hold.
 
 - `header`: one row: code_lengths (a byte per id, 0: the id does not occur), block (ids per block), longest.
-- `segments`: one row per run of consecutive documents, in ascending order of the id column: start (ids before the
-  segment), doc_ids, doc_lengths, n (ids), payload (the codes, first bit highest) and checkpoints (the bit offset of
-  each block, little-endian unsigned 64-bit). Any block can be decoded alone from its checkpoint.
+- `segments`: one row per run of consecutive documents, in ascending order of the id column: part, inside (ids of the
+  part before the segment), doc_ids, doc_lengths, n (ids), payload (the codes, first bit highest) and checkpoints (the
+  bit offset of each block, little-endian unsigned 64-bit). Any block can be decoded alone from its checkpoint.
+- `parts`: one row per range of documents: part, before (ids of all parts before it).
 
-Documents are sorted by range once and tokenised there; ids wait in a work table while they are counted (a vector of
-the vocabulary's size per task, summed) and the code is made; writing and reading are then maps over segments.
+Documents are tokenised where they lie. Their ids, two bytes each for a vocabulary below 65,536, wait in a work table
+while they are counted (a vector of the vocabulary's size per task, summed) and the code is made; then the ids, not the
+texts, are sorted by range and written. Reading is a map over segments.
 
 Defined cases: a null text is empty and has its end id alone; a null id sorts first; rows that repeat an id follow one
-another; an empty table gives files without segments and an empty result; other columns are never read.
+another, and are dealt to several ranges if there are many; an empty table gives files without segments and an empty
+result; other columns are never read.
 """
 
 from __future__ import annotations
 
 import uuid
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from radspan.llm.common import sized, small_batches, work_dir, work_table
-from radspan.llm.tokens import id_encoder, portions
+from radspan.llm.tokens import gathered, id_encoder
 
 END_ID = 1
 #: A segment is closed at so many ids; ids per block; bits of the longest code, and so of the decoder's table.
@@ -72,20 +74,25 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, block: int = BLOCK) -> tuple[bytes, bytes]:
-    """Payload and checkpoints."""
-    if not len(ids):
-        return b"", b""
-    size = lengths[ids].astype(np.int64)
-    end = np.cumsum(size)
-    at = end - size
-    wide = codes[ids].astype(np.uint64) << (64 - (at & 31) - size).astype(np.uint64)  # in the two words from at // 32
-    word, n = at >> 5, int(end[-1] + 31) // 32 + 1
-    # no two codes share a bit, so sums are unions; sums below 2 ** 32 are exact as doubles
-    high = np.bincount(word, (wide >> np.uint64(32)).astype(np.float64), n)
-    low = np.bincount(word + 1, (wide & np.uint64(0xFFFFFFFF)).astype(np.float64), n + 1)[:n]
-    payload = (high + low).astype(np.uint64).astype(">u4").tobytes()[: int(end[-1] + 7) // 8]
-    return payload, at[::block].astype("<u8").tobytes()
+def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, block: int = BLOCK, at_once: int = SEGMENT) -> tuple[bytes, bytes]:
+    """Payload and checkpoints. Works on `at_once` ids at a time, so that a long document takes little more than its codes."""
+    bits = sum(int(lengths[ids[a : a + at_once]].sum(dtype=np.int64)) for a in range(0, len(ids), at_once))
+    words, checkpoints, done = np.zeros((bits + 31) // 32 + 2, np.uint32), [], 0
+    for a in range(0, len(ids), at_once):
+        some = ids[a : a + at_once]
+        size = lengths[some].astype(np.int64)
+        end = np.cumsum(size) + done
+        at = end - size
+        wide = codes[some].astype(np.uint64) << (64 - (at & 31) - size).astype(np.uint64)  # in the two words from at // 32
+        first = done >> 5
+        word, n = (at >> 5) - first, int(end[-1] >> 5) - first + 1
+        # no two codes share a bit, so sums are unions; sums below 2 ** 32 are exact as doubles
+        high = np.bincount(word, (wide >> np.uint64(32)).astype(np.float64), n + 1)
+        low = np.bincount(word + 1, (wide & np.uint64(0xFFFFFFFF)).astype(np.float64), n + 1)
+        words[first : first + n + 1] |= (high + low).astype(np.uint64).astype(np.uint32)
+        checkpoints.append(at[-a % block :: block])
+        done = int(end[-1])
+    return words.astype(">u4").tobytes()[: (bits + 7) // 8], np.concatenate([*checkpoints, np.zeros(0, np.int64)]).astype("<u8").tobytes()
 
 
 class Decoder:
@@ -114,40 +121,33 @@ class Decoder:
         return out.reshape(-1)[:n]
 
 
-def _segments(tokenizer_path: str, end_id: int):
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        encoder, end, part, seq = id_encoder(tokenizer_path), array("I", [end_id]).tobytes(), TaskContext.get().partitionId(), 0
-        narrow = "<u2" if max(encoder.vocabulary - 1, end_id) < 1 << 16 else "<u4"
-        doc_ids, ids, size = [], [], 0
+def _tokenised(tokenizer_path: str, end_id: int):
+    """id, row (a number of the row), n, ids (with the end id, little-endian, of `width` bytes each)."""
 
-        def row() -> pa.RecordBatch:
-            got = np.frombuffer(b"".join(ids), "<u4").astype(narrow)
-            columns = {"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "doc_ids": pa.array([doc_ids], pa.list_(kind)), "doc_lengths": pa.array([[len(x) // 4 for x in ids]], pa.list_(pa.int64())), "n": pa.array([len(got)], pa.int64()), "width": pa.array([got.itemsize], pa.int32()), "ids": pa.array([got.tobytes()], pa.binary())}
-            return pa.RecordBatch.from_pydict(columns)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-        for batch in batches:
-            kind, of = batch.schema.field(0).type, batch.column(0).to_pylist()
-            for first, texts in portions(batch.column(1).to_pylist()):
-                for i, found in enumerate(encoder.encode(texts), first):
-                    doc_ids.append(of[i])
-                    ids.append(found + end)
-                    size += len(found) // 4 + 1
-                    if size >= SEGMENT:
-                        yield row()
-                        doc_ids, ids, size, seq = [], [], 0, seq + 1
-        if ids:
-            yield row()
+        encoder, row = id_encoder(tokenizer_path), TaskContext.get().partitionId() << 40
+        kind = np.dtype("<u2" if max(encoder.vocabulary - 1, end_id) < 1 << 16 else "<u4")
+        for batch in gathered(batches, 1):
+            for first, found, sizes in encoder.encode_column(batch.column(1)):
+                ids, sizes = np.insert(found, np.cumsum(sizes), end_id).astype(kind), sizes + 1
+                offsets = np.concatenate([[0], np.cumsum(sizes * kind.itemsize)]).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sizes)), pa.array(np.arange(row, row + len(sizes))), pa.array(sizes), pa.array(np.full(len(sizes), kind.itemsize, np.int32)), packed], names=["id", "row", "n", "width", "ids"])
+                row += len(sizes)
 
-    return cut
+    return run
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each id occurs in the task's rows (width, ids)."""
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for width, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            n = np.bincount(np.frombuffer(ids, f"<u{width}"), minlength=len(total))
+        widths = batch.column(0).to_numpy()
+        for width in np.unique(widths):
+            some = batch.column(1).filter(pa.array(widths == width))
+            n = np.bincount(np.frombuffer(b"".join(some.to_pylist()), f"<u{width}"), minlength=len(total))
             n[: len(total)] += total
             total = n
     used = np.flatnonzero(total)
@@ -156,36 +156,51 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of docs, each document closed by end_id, to the folder `path`."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    ids = rows.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(_segments(tokenizer_path, end_id), f"part int, seq int, doc_ids array<{kind}>, doc_lengths array<long>, n long, width int, ids binary")
-    ids = work_table(ids, "ids")
+    ids = work_table(rows.mapInArrow(_tokenised(tokenizer_path, end_id), f"id {kind}, row long, n long, width int, ids binary"), "ids")
     # at most one number for each id of the vocabulary comes to the driver
     counts = {r.id: r.n for r in ids.select("width", "ids").mapInArrow(_counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
     vector = np.zeros(max(counts, default=-1) + 1, np.int64)
     vector[list(counts)] = list(counts.values())
     lengths = code_lengths(vector)
-    packed = docs.sparkSession.sparkContext.broadcast(lengths.tobytes())
-
-    per_part = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    parts = ids.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    starts = ids.select("part", "seq", F.coalesce(F.sum("n").over(per_part), F.lit(0)).alias("inside"))
-    starts = work_table(starts.join(parts, "part").select("part", "seq", (F.col("before") + F.col("inside")).alias("start")), "starts")
+    packed = spark.sparkContext.broadcast(lengths.tobytes())
 
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         own = np.frombuffer(packed.value, np.uint8)
-        codes = canonical_codes(own)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                get = lambda name, one=one: one.column(name)
-                payload, checkpoints = encode(np.frombuffer(get("ids")[0].as_py(), f"<u{get('width')[0].as_py()}"), own, codes)
-                yield pa.RecordBatch.from_arrays([get("start"), get("doc_ids"), get("doc_lengths"), get("n"), pa.array([payload], pa.binary()), pa.array([checkpoints], pa.binary())], names=["start", "doc_ids", "doc_lengths", "n", "payload", "checkpoints"])
+        codes, part, inside = canonical_codes(own), TaskContext.get().partitionId(), 0
+        of, sizes, held = [], [], []
+
+        def segment() -> pa.RecordBatch:
+            every = np.concatenate(held)
+            payload, checkpoints = encode(every, own, codes)
+            values = {"part": pa.array([part], pa.int32()), "inside": pa.array([inside - len(every)], pa.int64()), "doc_ids": pa.array([of], pa.list_(type_of)), "doc_lengths": pa.array([sizes], pa.list_(pa.int64())), "n": pa.array([len(every)], pa.int64()), "payload": pa.array([payload], pa.binary()), "checkpoints": pa.array([checkpoints], pa.binary())}
+            return pa.RecordBatch.from_pydict(values)
 
-    out = ids.join(sized(starts), ["part", "seq"])
-    out.mapInArrow(code, f"start long, doc_ids array<{kind}>, doc_lengths array<long>, n long, payload binary, checkpoints binary").write.parquet(f"{path}/segments")
-    header = docs.sparkSession.createDataFrame([(bytearray(lengths.tobytes()), BLOCK, LONGEST)], "code_lengths binary, block int, longest int")
+        before = 0
+        for batch in batches:
+            type_of = batch.schema.field(0).type
+            for i, n, width, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                of.append(i)
+                sizes.append(n)
+                held.append(np.frombuffer(raw, f"<u{width}"))
+                inside += n
+                if inside - before >= SEGMENT:
+                    yield segment()
+                    of, sizes, held, before = [], [], [], inside
+        if held:
+            yield segment()
+
+    ranges = ids.repartitionByRange("id", "row").sortWithinPartitions("id", "row").select("id", "n", "width", "ids")
+    ranges.mapInArrow(code, f"part int, inside long, doc_ids array<{kind}>, doc_lengths array<long>, n long, payload binary, checkpoints binary").write.parquet(f"{path}/segments")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    sums = spark.read.parquet(f"{path}/segments").groupBy("part").agg(F.sum("n").alias("n"))
+    sums.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")).write.parquet(f"{path}/parts")
+    header = spark.createDataFrame([(bytearray(lengths.tobytes()), BLOCK, LONGEST)], "code_lengths binary, block int, longest int")
     header.write.parquet(f"{path}/header")
 
 
@@ -194,7 +209,8 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     small_batches(spark)
     head = spark.read.parquet(f"{path}/header").first()
     lengths, block, longest = bytes(head.code_lengths), head.block, head.longest
-    rows = spark.read.parquet(f"{path}/segments").select("start", "doc_ids", "doc_lengths", "n", "payload", "checkpoints")
+    segments, parts = (spark.read.parquet(f"{path}/{x}") for x in ("segments", "parts"))
+    rows = segments.join(sized(parts), "part").select((F.col("before") + F.col("inside")).alias("start"), "doc_ids", "doc_lengths", "n", "payload", "checkpoints")
     kind = rows.schema["doc_ids"].dataType.elementType.simpleString()
 
     def back(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +219,7 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
                 ids = decoder.decode(one.column("payload")[0].as_py(), one.column("checkpoints")[0].as_py(), one.column("n")[0].as_py())
-                sizes = np.asarray(one.column("doc_lengths")[0].as_py(), np.int64)
+                sizes = one.column("doc_lengths").flatten().to_numpy()
                 ends = np.cumsum(sizes)
                 raw = ids.astype("<u4").tobytes()
                 parts = [raw[4 * a : 4 * b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]

@@ -2,7 +2,7 @@
 
 import zlib
 from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from radspan.llm import packing, token_counts, token_files
+from radspan.llm import packing, token_counts, token_files, tokens
 from radspan.llm.tokens import IdEncoder, LengthCounter, portions
 
 BYTE, WORD, PIECE = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -32,6 +32,14 @@ def test_ids_are_those_of_the_library(encoders, texts):
         assert ours.encode(texts) == [array("I", library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
 
 
+def test_ids_in_small_portions(encoders, monkeypatch):
+    """Texts longer than a portion are cut between words; special strings go to the library."""
+    monkeypatch.setattr(tokens, "PORTION", 40)
+    texts = [*ODD, "some words and, more! " * 9, "b\n\nc  d <|endoftext|> e f " * 4]
+    for ours, library in encoders:
+        assert ours.encode(texts) == [array("I", library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+
+
 def test_ids_of_odd_texts(encoders):
     for ours, library in encoders:
         assert ours.cut != "none"
@@ -83,6 +91,12 @@ def test_sum_of_squares_picks_the_smallest_sum():
         gaps[s] = gaps.get(s, 20) - n
 
 
+def _library(path):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def _pieces(docs):
     return [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
 
@@ -111,13 +125,24 @@ def test_packing_of_odd_rows(docs):
     assert len(by) <= 1.05 * -(-sum(r.length for r in got) // 128) + 1
 
 
-def test_sequences_hold_their_pieces(docs):
-    rows = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    found = packing.pieces(rows, BYTE, 256)
-    placed = packing.place(found.drop("ids"), 1, 256)
-    ids = {(r.doc_id, r.start): bytes(r.ids) for r in found.collect()}
-    for s in packing.sequences(found, placed).collect():
-        assert bytes(s.ids) == b"".join(ids[(p.doc_id, p.start)] for p in s.pieces)
+def test_sequences_hold_their_pieces(docs, spark):
+    """Rows that repeat an id, or a whole row, or have no id, have pieces of their own."""
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(3, "b c " * 400)] * 2 + [(None, "x"), (None, "y y")], "doc_id long, text string"))
+    want = [array("I", e).tobytes() for e in ([*x.ids, 0] for x in _library(BYTE).encode_batch([t for _, t in _pieces(rows)], add_special_tokens=False))]
+    got = packing.sequences(rows, BYTE, 256).collect()
+    assert sum(len(s.ids) for s in got) == sum(map(len, want))
+    parts = Counter()
+    for s in got:
+        assert len(s.ids) == 4 * sum(p.length for p in s.pieces) <= 1024
+        for p in s.pieces:
+            parts[p.doc_id, p.start, bytes(s.ids[4 * p.offset : 4 * (p.offset + p.length)])] += 1
+    expected = Counter()
+    for (i, _), ids in zip(_pieces(rows), want, strict=True):
+        n = len(ids) // 4
+        cuts = [0, *range((n - 1) % 256 + 1, n + 1, 256)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            expected[i, a, ids[4 * a : 4 * b]] += 1
+    assert parts == expected
 
 
 def test_empty_tables(spark, empty_docs, tmp_path):
@@ -143,12 +168,12 @@ def test_token_files_round_trip(spark, docs, tmp_path):
     assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
 
 
-@given(st.lists(st.integers(0, 300), max_size=2000), st.sampled_from([1, 7, 512]))
+@given(st.lists(st.integers(0, 300), max_size=2000), st.sampled_from([1, 7, 512]), st.sampled_from([64, 1 << 19]))
 @settings(max_examples=60, deadline=None)
-def test_huffman_round_trip(ids, block):
+def test_huffman_round_trip(ids, block, at_once):
     ids = np.array(ids, np.int64)
     lengths = token_files.code_lengths(np.bincount(ids, minlength=301) if len(ids) else np.zeros(301, np.int64))
-    payload, checkpoints = token_files.encode(ids, lengths, token_files.canonical_codes(lengths), block)
+    payload, checkpoints = token_files.encode(ids, lengths, token_files.canonical_codes(lengths), block, at_once)
     assert token_files.Decoder(lengths, block).decode(payload, checkpoints, len(ids)).tolist() == ids.tolist()
 
 
