@@ -18,17 +18,19 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; one of our own only where none is set."""
+    """The shared folder of the cluster; one of our own, the same for the whole application, only where none is set."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if spark.sparkContext.master.split("[")[0] == "local":
-        own = "file://" + tempfile.mkdtemp(prefix="spark-radspan-")
-    else:
-        own = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_radspan_work"
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="spark-radspan-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_radspan_work"
+    return _own_dirs[app]
 
 
 def work_table(df: DataFrame, name: str) -> DataFrame:
@@ -39,6 +41,30 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """df as a work table with one more column, a number for each row that stays the same from then on; and its name."""
+    row, taken = "_row", {c.lower() for c in df.columns}
+    while row in taken:
+        row += "_"
+    return work_table(df.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
+def with_group(rows: DataFrame, key: str, aggregates: list[Column], support: float = 0.001) -> DataFrame:
+    """rows (a work table) with aggregates of all rows that share the key, which is not null.
+
+    A Misra-Gries pass names every key that may hold a share `support` of the rows. The true heavy ones are aggregated
+    by partial sums and broadcast, at most 1/support rows, so their rows are served where they lie. All other keys go
+    through an ordinary shuffle, where none is heavy.
+    """
+    named = rows.stat.freqItems([key], support).select(F.explode(f"{key}_freqItems").alias(key))
+    least = F.lit(max(2, int(support * rows.count())))
+    heavy = rows.join(F.broadcast(named), key, "left_semi").groupBy(key).agg(*aggregates, F.count("*").alias("_n"))
+    heavy = work_table(heavy.where(F.col("_n") >= least).drop("_n"), "heavy")
+    near = rows.join(F.broadcast(heavy), key)
+    light = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return near.unionByName(light.join(light.groupBy(key).agg(*aggregates), key))
+
+
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df marked for broadcast if it has at most `limit` rows (counted unless given), else df as it is, for a shuffled join."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df
@@ -46,7 +72,8 @@ def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -
 
 def small_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -> None:
     """Lets Arrow batches hold at most so many rows and about so many bytes, so that a task's memory does not hang on
-    the length of texts. A smaller setting of the session's own stays."""
+    the length of texts. A smaller setting of the session's own stays. Plans are made when a result is asked for, so the
+    setting must outlast the call."""
     for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
         key = f"spark.sql.execution.arrow.{name}"
         found = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)b?", spark.conf.get(key).lower())

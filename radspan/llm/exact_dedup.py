@@ -7,16 +7,16 @@ DataFrame functions only.
 
 Defined cases: a null text counts as empty; texts are equal when they are identical without white space
 [\\x20\\x09-\\x0D]; of equal texts the row with the most code points, then the smallest id stays (a null id is the
-smallest); rows that repeat an id and a text are one document and share its decision; an empty table gives an
-empty result; other columns are never read.
+smallest); of rows that repeat an id and a text one stays, whichever comes first; an empty table gives an empty
+result; other columns are never read by decide(), and kept as they are by keep_first().
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from radspan.llm.common import SPACES, clean_text, sized, work_table
+from radspan.llm.common import SPACES, clean_text, numbered, sized, with_group, work_table
 
 #: Share of the rows from which a digest is decided on the map side; 1/SUPPORT bounds what is broadcast.
 SUPPORT = 0.001
@@ -29,39 +29,22 @@ def _digest(text):
     return F.sha2(out, 256)
 
 
-def _winner(rows: DataFrame) -> DataFrame:
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("id").alias("id")))
-    return rows.groupBy("sha").agg(best.alias("best"), F.count("*").alias("size")).select("sha", F.col("best.id").alias("keep"), (-F.col("best.n")).alias("most"), "size")
-
-
-def _length(text):
-    return F.char_length(clean_text(text))
-
-
-def _decided(docs: DataFrame, id_col: str, text_col: str, support: float) -> DataFrame:
-    """One row per row of docs: id, n (code points), keep, size, kept, sha."""
-    rows = docs.select(F.col(id_col).alias("id"), _length(F.col(text_col)).alias("n"), _digest(F.col(text_col)).alias("sha"))
-    rows = work_table(rows, "digests")
-    named = rows.stat.freqItems(["sha"], support).select(F.explode("sha_freqItems").alias("sha"))  # Misra-Gries, at most 1/support
-    least = F.lit(max(2, int(support * rows.count())))
-    heavy = work_table(_winner(rows.join(F.broadcast(named), "sha", "left_semi")).where(F.col("size") >= least), "heavy")  # at most 1/support rows
-    near = rows.join(F.broadcast(heavy), "sha")
-    light = rows.join(F.broadcast(heavy.select("sha")), "sha", "left_anti")
-    rest = light.join(_winner(light), "sha")
-    kept = F.col("id").eqNullSafe(F.col("keep")) & (F.col("n") == F.col("most"))
-    return near.unionByName(rest).select("id", "n", "keep", "size", kept.alias("kept"), "sha")
+def _decided(docs: DataFrame, row: Column, id_col: str, text_col: str, support: float) -> DataFrame:
+    """One row per row of docs: row, id, keep, size, kept, sha."""
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.char_length(clean_text(F.col(text_col))).alias("n"), _digest(F.col(text_col)).alias("sha"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("id").alias("id"), F.col("row").alias("row")))
+    made = with_group(work_table(rows, "digests"), "sha", [best.alias("best"), F.count("*").alias("size")], support)
+    return made.select("row", "id", F.col("best.id").alias("keep"), "size", (F.col("row") == F.col("best.row")).alias("kept"), "sha")
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
     """One row per row of docs: id, keep_id, group_size, kept, text_sha256."""
-    made = _decided(docs, id_col, text_col, support)
+    made = _decided(docs, F.monotonically_increasing_id(), id_col, text_col, support)
     return made.select(F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("size").alias("group_size"), "kept", F.col("sha").alias("text_sha256"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
-    """docs, all columns, without the rows that decide() drops."""
-    made = work_table(_decided(docs, id_col, text_col, support), "decided")
-    gone = made.where(~F.col("kept")).select(F.col("id").alias("_gone_id"), F.col("n").alias("_gone_n"), F.col("sha").alias("_gone_sha")).distinct()
-    gone = work_table(gone, "gone")
-    same = docs[id_col].eqNullSafe(gone["_gone_id"]) & (_length(docs[text_col]) == gone["_gone_n"]) & (_digest(docs[text_col]) == gone["_gone_sha"])
-    return docs.join(sized(gone), same, "left_anti")
+    """docs, all columns, with one row of each group of equal texts."""
+    copy, row = numbered(docs)
+    gone = work_table(_decided(copy, F.col(row), id_col, text_col, support).where(~F.col("kept")).select(F.col("row").alias(row)), "gone")
+    return copy.join(sized(gone), row, "left_anti").drop(row)

@@ -72,9 +72,10 @@ OP6_SQL = """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS sha FROM documents
 ), w AS (
-  SELECT *, first_value(doc_id) OVER (PARTITION BY sha ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY sha) AS group_size FROM d
+  SELECT *, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY sha) AS group_size, row_number() OVER g = 1 AS kept FROM d
+  WINDOW g AS (PARTITION BY sha ORDER BY n DESC, doc_id NULLS FIRST)
 )
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha AS text_sha256 FROM w
+SELECT doc_id, keep_id, group_size, kept, sha AS text_sha256 FROM w
 """
 
 
