@@ -18,7 +18,7 @@ import bisect
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from radspan.llm.common import clean_text, ordered_prefix, work_table
+from radspan.llm.common import clean_text, ordered_prefix, with_group, work_table
 
 #: So many slices describe the group ends in each round.
 SLICES = 4096
@@ -97,8 +97,8 @@ def shard(docs: DataFrame, k: int = 8, id_col: str = "doc_id", text_col: str = "
     text = clean_text(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("crc"), F.sha2(text, 256).alias("sha"))
     rows = work_table(rows, "sizes")
-    first = rows.groupBy("sha").agg(F.min(F.struct(F.col("id").isNotNull().alias("some"), F.col("id"))).alias("first"))
-    rows = rows.join(first, "sha").select("id", "size", "crc", "sha", F.col("first.id").alias("group"))
+    first = F.min(F.struct(F.col("id").isNotNull().alias("some"), F.col("id"))).alias("first")
+    rows = with_group(rows, "sha", [first]).select("id", "size", "crc", "sha", F.col("first.id").alias("group"))
     rows = work_table(ordered_prefix(rows, ["group", "sha", "id"], ["size"]), "placed")
     groups = rows.groupBy("group", "sha").agg(F.min("before_size").alias("start"), F.sum("size").alias("size"))
     ends = work_table(groups.select((F.col("start") + F.col("size")).alias("end"), "size"), "ends")
