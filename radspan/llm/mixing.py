@@ -11,19 +11,21 @@ the last pass, the documents that end within the budget are taken. Windows see o
 DataFrame functions only.
 
 Defined cases: a document costs its words plus one (its end), so an empty or null text costs 1; a null source is a
-source of its own; ties in a permutation go by id; rows that repeat an id are rows of their own; an empty table gives
-an empty result; other columns are never read.
+source of its own; ties in a permutation go by id, then by row; rows that repeat an id are rows of their own; rows
+without an id are dealt by their number; a target entropy below that of the natural shares gives these (exponent 1), one
+above the logarithm of the number of sources gives equal weights (exponent 0); an empty table gives an empty result;
+other columns are never read by mix(), and kept as they are by repeat_rows().
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from radspan.llm.common import WORD, clean_text, hash_order, sized, work_table
+from radspan.llm.common import WORD, clean_text, hash_order, numbered, sized, work_table
 
 GRID = 1024
 BLOCK_TOKENS = 1 << 16
@@ -60,19 +62,9 @@ def bisect_exponent(totals: DataFrame, target_entropy: float | None = None, max_
     return low / GRID
 
 
-def mix(
-    docs: DataFrame,
-    target_entropy: float | None = None,
-    max_repeat: float | None = None,
-    budget_tokens: int | None = None,
-    seed: str = SEED,
-    block_tokens: int = BLOCK_TOKENS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """One row per placed document: id, source, block, pass (from 0), position (in its block's pass, from 0), tokens."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), (F.regexp_count(clean_text(F.col(text_col)), F.lit(WORD)) + 1).cast("long").alias("tokens"))
+def _placed(docs: DataFrame, row: Column, target_entropy: float | None, max_repeat: float | None, budget_tokens: int | None, seed: str, block_tokens: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """One row per placed row of docs: row, id, source, block, pass, position, tokens."""
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), (F.regexp_count(clean_text(F.col(text_col)), F.lit(WORD)) + 1).cast("long").alias("tokens"))
     rows = work_table(rows, "tokens")
     totals = work_table(source_totals(rows), "totals")
     sources, top, corpus = totals.agg(F.count("*"), F.max("n"), F.sum("n")).first()
@@ -84,26 +76,56 @@ def mix(
         repeat = repeat * F.lit(budget_tokens / spent)
     totals = totals.select(F.col("source").alias("of"), repeat.alias("repeat"), F.ceil(F.col("n") / block_tokens).cast("long").alias("blocks"))
     rows = rows.join(sized(totals, sources), F.col("source").eqNullSafe(F.col("of")))
-    rows = rows.select("id", "source", "tokens", "repeat", F.pmod(hash_order(seed, "block", F.col("id").cast("string")), F.col("blocks")).cast("int").alias("block"))
+    own = F.coalesce(F.col("id").cast("string"), F.concat(F.lit("row "), F.col("row").cast("string")))
+    rows = rows.select("row", "id", own.alias("own"), "source", "tokens", "repeat", F.pmod(hash_order(seed, "block", own), F.col("blocks")).cast("int").alias("block"))
     passes = rows.where("repeat > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.ceil("repeat").cast("int") - 1)))
-    passes = passes.withColumn("order", hash_order(seed, F.col("pass").cast("string"), F.col("id").cast("string")))
+    passes = passes.withColumn("order", hash_order(seed, F.col("pass").cast("string"), F.col("own")))
     block = Window.partitionBy("source", "block", "pass")
-    along = block.orderBy("order", "id", "tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    passes = passes.withColumn("whole", F.sum("tokens").over(block)).withColumn("end", F.sum("tokens").over(along)).withColumn("position", F.row_number().over(block.orderBy("order", "id", "tokens")) - 1)
+    order = block.orderBy("order", "id", "tokens", "row")
+    along = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    passes = passes.withColumn("whole", F.sum("tokens").over(block)).withColumn("end", F.sum("tokens").over(along)).withColumn("position", F.row_number().over(order) - 1)
     fits = F.col("pass") * F.col("whole") + F.col("end") <= F.floor(F.col("whole") * F.col("repeat"))
-    return passes.where(fits).select(F.col("id").alias(id_col), F.col("source").alias(source_col), "block", "pass", F.col("position").cast("int").alias("position"), "tokens")
+    return passes.where(fits).select("row", "id", "source", "block", "pass", F.col("position").cast("int").alias("position"), "tokens")
+
+
+def mix(
+    docs: DataFrame,
+    target_entropy: float | None = None,
+    max_repeat: float | None = None,
+    budget_tokens: int | None = None,
+    seed: str = SEED,
+    block_tokens: int = BLOCK_TOKENS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """One row per placed document: id, source, block, pass (from 0), position (in its block's pass, from 0), tokens."""
+    placed = _placed(docs, F.monotonically_increasing_id(), target_entropy, max_repeat, budget_tokens, seed, block_tokens, id_col, text_col, source_col)
+    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "block", "pass", "position", "tokens")
 
 
-def repeat_rows(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """docs, all columns, each row as often as mix() places it (rows that repeat an id: as often as the most placed of them)."""
-    placed = mix(docs, id_col=id_col, **how).groupBy(id_col).agg(F.max("pass").alias("_times")).withColumnRenamed(id_col, "_placed")
-    if how.get("budget_tokens") is None:  # every row is placed at least once: only the others have to be found
-        more = work_table(placed.where(F.col("_times") > 0), "more")
-        out = docs.join(sized(more), docs[id_col].eqNullSafe(more["_placed"]), "left")
+def repeat_rows(
+    docs: DataFrame,
+    target_entropy: float | None = None,
+    max_repeat: float | None = None,
+    budget_tokens: int | None = None,
+    seed: str = SEED,
+    block_tokens: int = BLOCK_TOKENS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """docs, all columns, each row as often as mix() places it."""
+    copy, row = numbered(docs)
+    placed = _placed(copy, F.col(row), target_entropy, max_repeat, budget_tokens, seed, block_tokens, id_col, text_col, source_col)
+    times = placed.groupBy("row").agg(F.count("*").alias("times"))
+    if budget_tokens is None:  # every row is placed once at least: only the others have to be found
+        more = work_table(times.where("times > 1").select(F.col("row").alias("_of"), "times"), "more")
+        out, often = copy.join(sized(more), copy[row] == more["_of"], "left"), F.coalesce(more["times"], F.lit(1))
     else:
-        more = work_table(placed, "more")
-        out = docs.join(sized(more), docs[id_col].eqNullSafe(more["_placed"]))
-    return out.withColumn("_times", F.explode(F.sequence(F.lit(0), F.coalesce("_times", F.lit(0))))).select(*[docs[c] for c in docs.columns])
+        more = work_table(times.select(F.col("row").alias("_of"), "times"), "more")
+        out, often = copy.join(sized(more), copy[row] == more["_of"]), more["times"]
+    return out.select(*[copy[f"`{c}`"] for c in docs.columns], F.explode(F.sequence(F.lit(1), often.cast("int"))).alias(row)).drop(row)
 
 
 #: DuckDB SQL for mix(documents, max_repeat=MAX_REPEAT).
@@ -122,7 +144,7 @@ found AS (
   FROM rows r JOIN mixed m ON r.source IS NOT DISTINCT FROM m.source
 ), passes AS (
   SELECT d.*, p.pass, CAST('0x' || substr(md5('{SEED}:' || CAST(p.pass AS VARCHAR) || ':' || CAST(d.doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS ord
-  FROM dealt d JOIN (SELECT CAST(unnest(range(0, 64)) AS INTEGER) AS pass) p ON p.pass < ceil(d.repeat)
+  FROM dealt d JOIN (SELECT CAST(unnest(range(0, (SELECT CAST(max(ceil(repeat)) AS BIGINT) FROM mixed))) AS INTEGER) AS pass) p ON p.pass < ceil(d.repeat)
 ), run AS (
   SELECT *, sum(tokens) OVER (PARTITION BY source, block, pass) AS whole,
     sum(tokens) OVER (PARTITION BY source, block, pass ORDER BY ord, doc_id, tokens ROWS UNBOUNDED PRECEDING) AS done,
