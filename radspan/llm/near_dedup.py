@@ -1,16 +1,23 @@
 """Near duplicates: MinHash bands, signature verification, exact confirmation, components.
 
-1. Each text becomes its set of word shingles; texts of one set are a class, represented by its smallest id.
+1. Each row's text becomes its set of word shingles; rows of one set are a class, represented by its first row.
 2. Minima of universal hash functions are banded so that a pair at the threshold is missed with a chance below MISS.
-   Small buckets give their pairs, large ones are cut into chunks by a hash, and each pair of chunks gives the links of
-   a spanning forest only. Pairs whose signatures agree too little (FIVE standard deviations below the threshold) go.
-3. What is left is connected into families. Within a family, in pairs of chunks, full sets are compared: every node
-   that is not yet reached is compared with the one at hand, and again a spanning forest is given.
+   Small buckets give their pairs; large ones are linked chunk by chunk (below). Pairs whose signatures agree too little
+   (FIVE standard deviations below the threshold) go.
+3. What is left is connected into families. Within a family full sets are compared, again chunk by chunk.
 4. Components of the confirmed links are those of all links. No partner, bucket or family is capped.
 
+A group (bucket or family) beyond a chunk is linked in two rounds. First its members are dealt to chunks by a hash, with
+a few leaders of the group in every chunk, and each chunk gives a spanning forest of its links; this moves every member
+once. Large-star and small-star then contract the forests. In groups that are still in several components, only the
+members outside the largest component meet all others, in pairs of chunks; members of one component are not compared
+again. So copies that link cost their number, and only texts that agree by signature without being linked are compared
+one by one.
+
 Defined cases: a null text, or one without words, has the empty set and is linked with nothing; fewer words than a
-shingle count as one shingle; rows that repeat an id are one node; a null id is linked with nothing and stays; an empty
-table gives an empty result; other columns are never read.
+shingle count as one shingle; rows that repeat an id, or have none, are rows of their own, and a component is named by
+its smallest id that is not null; an empty table gives an empty result; other columns are never read by link(), and
+kept as they are by keep_first().
 """
 
 from __future__ import annotations
@@ -20,18 +27,22 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from radspan.llm.common import sized, small_batches, work_table
+from radspan.llm.common import numbered, sized, small_batches, with_group, work_table
 from radspan.llm.components import components
 from radspan.llm.shingles import MinHash, U, mix, shingle_sets
 
 WORDS, PERCENT = 5, 80
 MISS, FIVE = 1e-6, 5
-#: Members of a bucket that gives its pairs outright; members of a chunk of signatures, and of full sets.
-SMALL, CHUNK, SETS = 16, 1024, 256
-MARKS = "id long, n_shingles long, s1 long, s2 long, signature binary, bands array<long>"
+#: Members of a bucket that gives its pairs outright; members of a chunk; bytes of the full sets of a chunk; leaders.
+SMALL, CHUNK, SET_BYTES, LEADERS = 16, 256, 8 << 20, 4
+MARKS = "row long, id long, n_shingles long, s1 long, s2 long, signature binary, bands array<long>"
+LINKS = "a long, b long"
+
+#: near(i, others): which of the others are linked with i, for the values that it was made from.
+Near = Callable[[int, np.ndarray], np.ndarray]
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -49,7 +60,7 @@ def _marked(words: int, percent: int) -> Callable:
     def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = MinHash(*banding(percent))
 
-        def rows(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        def rows(row: list, ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
             full = [s for s in sets if len(s)]
             signature, bands = hashing.marks(full) if full else (None, None)
             n = np.array([len(s) for s in sets], np.int64)
@@ -62,19 +73,20 @@ def _marked(words: int, percent: int) -> Callable:
                 marks.append(signature[at].tobytes() if len(s) else None)
                 numbers.append(bands[at] if len(s) else None)
                 at += len(s) > 0
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n), pa.array(s1), pa.array(s2), pa.array(marks, pa.binary()), pa.array(numbers, pa.list_(pa.int64()))], names=["id", "n_shingles", "s1", "s2", "signature", "bands"])
+            return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(ids, pa.int64()), pa.array(n), pa.array(s1), pa.array(s2), pa.array(marks, pa.binary()), pa.array(numbers, pa.list_(pa.int64()))], names=["row", "id", "n_shingles", "s1", "s2", "signature", "bands"])
 
         for batch in batches:
-            ids, kept, sets, size = batch.column(0).to_pylist(), [], [], 0
-            for i, s in zip(ids, shingle_sets(batch.column(1).cast(pa.binary()).to_pylist(), words), strict=True):
+            row, kept, sets, size = [], [], [], 0
+            for r, i, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2).cast(pa.binary()).to_pylist(), words), strict=True):
+                row.append(r)
                 kept.append(i)
                 sets.append(s)
                 size += len(s)
                 if size >= 1 << 16:
-                    yield rows(kept, sets)
-                    kept, sets, size = [], [], 0
+                    yield rows(row, kept, sets)
+                    row, kept, sets, size = [], [], [], 0
             if kept:
-                yield rows(kept, sets)
+                yield rows(row, kept, sets)
 
     return mark
 
@@ -92,9 +104,37 @@ def _agreeing(least: float) -> Callable:
     return agree
 
 
-def _forest(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
-    """A spanning forest of n nodes; near(i, others) tells which of the others are linked with i."""
-    left = np.arange(n)
+def _by_signature(least: float) -> Callable[[list[bytes]], Near]:
+    def made(values: list[bytes]) -> Near:
+        marks = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+        return lambda i, others: (marks[others] == marks[i]).mean(1) >= least
+
+    return made
+
+
+def _by_sets(percent: int) -> Callable[[list[bytes]], Near]:
+    def made(values: list[bytes]) -> Near:
+        sets = [np.frombuffer(v, U) for v in values]
+        size = np.array([len(s) for s in sets])
+
+        def near(i: int, others: np.ndarray) -> np.ndarray:
+            out = (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i])) & (size[others] > 0)
+            some = np.flatnonzero(out)
+            if len(some) and size[i]:
+                own, x = sets[i], np.concatenate([sets[j] for j in others[some]])
+                hit = own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x
+                common = np.add.reduceat(hit, np.cumsum([0, *size[others[some]][:-1]]), dtype=np.int64)
+                out[some] = 100 * common >= percent * (size[others[some]] + size[i] - common)
+            return out & bool(size[i])
+
+        return near
+
+    return made
+
+
+def _forest(ids: list, comps: list, sides: list, near: Near) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the links among all members."""
+    left = np.arange(len(ids))
     while len(left):
         wait, left = [left[0]], left[1:]
         while wait and len(left):
@@ -106,69 +146,84 @@ def _forest(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[t
             left = left[~found]
 
 
-def _grouped(keys: int, solve: Callable) -> Callable:
-    """Runs solve(ids, values) on each group of rows (sorted by the first `keys` columns, then id, value)."""
+def _across(ids: list, comps: list, sides: list, near: Near) -> Iterator[tuple[int, int]]:
+    """Links between members of side 1 and of side 0 that join components, one for each two that meet."""
+    part, side = np.unique(np.array(comps), return_inverse=True)[1], np.array(sides)
+    for i in np.flatnonzero(side == 1):
+        others = np.flatnonzero((part != part[i]) & (side == 0))
+        found = others[near(i, others)] if len(others) else others
+        for other in np.unique(part[found]):
+            yield int(i), int(found[part[found] == other][0])
+            part[part == other] = part[i]
+
+
+def _grouped(solve: Callable, made: Callable[[list[bytes]], Near]) -> Callable:
+    """Runs solve on each group of rows (key, low, high, id, comp, side, value), sorted by the first three columns."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, values = None, [], []
+        at, rows = None, []
 
         def solved() -> pa.RecordBatch:
-            links = [(ids[i], ids[j]) for i, j in solve(ids, values) if ids[i] != ids[j]] if len(ids) > 1 else []
+            ids, comps, sides, values = zip(*rows, strict=True)
+            links = [(ids[i], ids[j]) for i, j in solve(ids, comps, sides, made(values)) if ids[i] != ids[j]]
             return pa.RecordBatch.from_pydict({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
 
         for batch in batches:
-            for *key, i, value in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for *key, i, comp, side, value in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if key != at:
-                    if len(ids) > 1:
+                    if len(rows) > 1:
                         yield solved()
-                    at, ids, values = key, [], []
-                ids.append(i)
-                values.append(value)
-        if len(ids) > 1:
+                    at, rows = key, []
+                rows.append((i, comp, side, value))
+        if len(rows) > 1:
             yield solved()
 
     return run
 
 
-def _by_signature(least: float) -> Callable:
-    def solve(ids: list, values: list[bytes]) -> Iterator[tuple[int, int]]:
-        marks = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
-        return _forest(len(ids), lambda i, others: (marks[others] == marks[i]).mean(1) >= least)
+def _solved(rows: DataFrame, attach: Callable[[DataFrame], DataFrame], solve: Callable, made: Callable) -> DataFrame:
+    """Links from rows (key, low, high, id, comp, side): attach() gives each id its value once, then the row goes to all its
+    groups (lows and highs are arrays)."""
+    every = attach(rows).withColumn("low", F.explode("lows")).withColumn("high", F.explode("highs")).select("key", "low", "high", "id", "comp", "side", "value")
+    return every.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id", "side").mapInArrow(_grouped(solve, made), LINKS)
 
-    return solve
 
+def _place(chunks: Column) -> Column:
+    return F.pmod(F.xxhash64("id"), chunks).cast("int")
 
-def _by_sets(percent: int) -> Callable:
-    def solve(ids: list, values: list[bytes]) -> Iterator[tuple[int, int]]:
-        sets = [np.frombuffer(v, U) for v in values]
-        size = np.array([len(s) for s in sets])
 
-        def near(i: int, others: np.ndarray) -> np.ndarray:
-            out = (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i])) & (size[others] > 0)
-            some = np.flatnonzero(out)
-            if len(some) and size[i]:
-                own, x = sets[i], np.concatenate([sets[j] for j in others[some]])
-                hit = own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x
-                common = np.add.reduceat(hit, np.cumsum([0, *size[others[some]][:-1]]), dtype=np.int64)
-                out[some] = 100 * common >= percent * (size[others[some]] + size[i] - common)
-            return out & bool(size[i])
-
-        return _forest(len(ids), near)
+def chunk_links(members: DataFrame, attach: Callable[[DataFrame], DataFrame], made: Callable[[list[bytes]], Near]) -> DataFrame:
+    """Links that connect what is linked within each group; members: a work table of key, id, chunks (of the group).
 
-    return solve
+    attach(rows) adds the column `value` by id; made(values) tells which values are linked.
+    """
+    none, zero = F.lit(None).cast("long"), F.lit(0)
+    dealt = members.select("key", "id", none.alias("comp"), zero.alias("side"), F.array(_place(F.col("chunks"))).alias("lows"), F.array(zero).alias("highs"))
+    big = members.where("chunks > 1")
+    if big.isEmpty():
+        return _solved(dealt, attach, _forest, made)
+    first = [F.min("id"), *[F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(1, LEADERS)]]
+    leaders = big.groupBy("key", "chunks").agg(F.array_distinct(F.array(*first)).alias("ids")).select("key", "chunks", F.explode("ids").alias("id"))
+    others = F.array_remove(F.sequence(zero, F.col("chunks") - 1), _place(F.col("chunks")))
+    dealt = dealt.unionByName(leaders.select("key", "id", none.alias("comp"), zero.alias("side"), others.alias("lows"), F.array(zero).alias("highs")))
+    links = work_table(_solved(dealt, attach, _forest, made), "links")
 
-
-def _chunk_pairs(rows: DataFrame, key: list[str], size: str, most: int, value: str) -> DataFrame:
-    """Rows dealt to all pairs of chunks of their group: key, low, high, id, value."""
-    chunks = F.ceil(F.col(size) / most).cast("int")
-    rows = rows.withColumn("_own", F.pmod(F.xxhash64("id"), chunks).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    rows = rows.select(*key, F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), "id", value)
-    by = [*key, "_low", "_high"]
-    return rows.repartition(*by).sortWithinPartitions(*by, "id")
+    found = components(links)
+    parts = work_table(big.join(sized(found), "id", "left").select("key", "id", "chunks", F.coalesce("component", "id").alias("comp")), "parts")
+    sizes = parts.groupBy("key", "chunks", "comp").agg(F.count("*").alias("n"))
+    apart = sizes.groupBy("key", "chunks").agg(F.max_by("comp", "n").alias("top"), F.max("n").alias("most"), F.sum("n").alias("n")).where("n > most")
+    apart = work_table(apart.select("key", "top", F.ceil(F.col("chunks") * (F.col("n") - F.col("most")) / F.col("n")).cast("int").alias("few")), "apart")
+    if apart.isEmpty():
+        return links
+    parts = parts.join(sized(apart), "key").withColumn("out", F.col("comp") != F.col("top"))
+    few, many = F.sequence(zero, F.col("few") - 1), F.sequence(zero, F.col("chunks") - 1)
+    met = parts.select("key", "id", "comp", zero.alias("side"), few.alias("lows"), F.array(_place(F.col("chunks"))).alias("highs"))
+    out = parts.where("out").select("key", "id", "comp", F.lit(1).alias("side"), F.array(_place(F.col("few"))).alias("lows"), many.alias("highs"))
+    return links.unionByName(_solved(met.unionByName(out), attach, _across, made))
 
 
 def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """Links a < b between nodes that share a bucket and whose signatures agree: all of small buckets, a forest of large ones."""
+    """Links a < b between nodes that share a bucket and whose signatures agree: all of small buckets, connecting ones of large ones."""
     bands, rows = banding(percent)
     least = _least_agreement(percent, bands * rows)
     dealt = nodes.select("id", F.explode("bands").alias("h"))
@@ -177,42 +232,67 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     small = members.where(F.col("n") <= SMALL).groupBy("h").agg(F.array_sort(F.collect_set("id")).alias("ids"))
     pairs = small.select(F.expr(f"explode(flatten(transform(ids, (a, i) -> transform(slice(ids, i + 2, {SMALL}), b -> struct(a, b)))))").alias("p")).select("p.a", "p.b").distinct()
     left, right = (nodes.select(F.col("id").alias(c), F.col("signature").alias(f"s{c}")) for c in "ab")
-    pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing(least), "a long, b long")
-    large = members.where(F.col("n") > SMALL).join(nodes.select("id", "signature"), "id")
-    large = _chunk_pairs(large, ["h"], "n", CHUNK, "signature").mapInArrow(_grouped(3, _by_signature(least)), "a long, b long")
-    return pairs.unionByName(large)
+    pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing(least), LINKS)
+    large = members.where(F.col("n") > SMALL).select(F.col("h").alias("key"), "id", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    signatures = nodes.select("id", F.col("signature").alias("value"))
+    return pairs.unionByName(chunk_links(large, lambda rows: rows.join(signatures, "id"), _by_signature(least)))
 
 
 def _sets_of(words: int) -> Callable:
+    """The first column, a text, becomes its set as the last one."""
+
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = shingle_sets(batch.column(0).cast(pa.binary()).to_pylist(), words)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "family", "members", "shingles"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([s.tobytes() for s in found], pa.binary())], names=[*batch.schema.names[1:], "value"])
 
     return sets
 
 
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """docs: a work table of row, id, text. One row per row: row, id, n_shingles, component_id, first (the row of the component that stays)."""
+    marks = work_table(docs.select("row", F.col("id").cast("long").alias("id"), "text").mapInArrow(_marked(words, percent), MARKS), "marks")
+    some = marks.where("n_shingles > 0").select("row", "id", "n_shingles", F.concat_ws(":", "n_shingles", "s1", "s2").alias("set"))
+    smallest = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row")))
+    of = with_group(work_table(some, "sets"), "set", [smallest.alias("least")]).select("row", "id", "n_shingles", "least")
+    of = work_table(of, "classes")
+    reps = work_table(of.where("row = least.row").select(F.col("row").alias("id"), "least"), "reps")
+    nodes = marks.select(F.col("row").alias("id"), "n_shingles", "signature", "bands")
+    nodes = work_table(nodes.join(sized(reps.select("id")), "id", "left_semi"), "nodes")
+
+    families = work_table(components(_candidates(nodes, percent)), "families").withColumnRenamed("component", "key")
+    weights = families.join(nodes.select("id", "n_shingles"), "id").groupBy("key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    chunks = F.ceil(F.greatest(F.col("n") / CHUNK, F.col("s") * 8 / SET_BYTES)).cast("int").alias("chunks")
+    members = work_table(families.join(sized(weights.select("key", chunks)), "key").select("key", "id", "chunks"), "members")
+    texts = docs.select(F.col("row").alias("id"), "text")
+
+    def attach(rows: DataFrame) -> DataFrame:
+        both = texts.join(sized(rows), "id").select("text", *rows.columns)
+        return both.mapInArrow(_sets_of(words), f"{', '.join(f'{n} {t}' for n, t in rows.dtypes)}, value binary")
+
+    found = components(chunk_links(members, attach, _by_sets(percent)))
+    # the least of each component, over the representatives of its classes
+    named = work_table(found.join(reps, "id"), "named")
+    least = named.groupBy("component").agg(F.min("least").alias("all"))
+    named = work_table(named.join(sized(least), "component").select(F.col("id").alias("node"), "all"), "components")
+    of = of.join(sized(named), F.col("least.row") == F.col("node"), "left").withColumn("all", F.coalesce("all", "least"))
+    alone = marks.where("n_shingles = 0").select("row", "id", "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("first"))
+    return of.select("row", "id", "n_shingles", F.col("all.id").alias("component_id"), (F.col("row") == F.col("all.row")).alias("first")).unionByName(alone)
+
+
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id, n_shingles, component_id (smallest id reachable), kept."""
+    """One row per row of docs: id, n_shingles, component_id (smallest id reachable), kept (id = component_id), first (the
+    one row of the component that stays)."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marks = work_table(rows.mapInArrow(_marked(words, percent), MARKS), "marks")
-    classes = marks.where("n_shingles > 0 and id is not null").groupBy("n_shingles", "s1", "s2").agg(F.min("id").alias("rep"))
-    of = work_table(marks.select("id", "n_shingles", "s1", "s2").join(classes, ["n_shingles", "s1", "s2"], "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")), "classes")
-    reps = of.where("id = rep and n_shingles > 0").select("id").distinct()
-    nodes = work_table(marks.where("n_shingles > 0").select("id", "signature", "bands").join(reps, "id", "left_semi").dropDuplicates(["id", "signature"]), "nodes")
-    families = work_table(components(_candidates(nodes, percent)), "families")
-    sizes = families.groupBy("component").agg(F.count("*").alias("members"))
-    families = work_table(families.join(sizes, "component").select("id", F.col("component").alias("family"), "members"), "members")
-    full = rows.join(sized(families), "id").select("text", "id", "family", "members").mapInArrow(_sets_of(words), "id long, family long, members long, shingles binary")
-    links = _chunk_pairs(full, ["family"], "members", SETS, "shingles").mapInArrow(_grouped(3, _by_sets(percent)), "a long, b long")
-    found = components(links).withColumnRenamed("id", "rep")
-    out = of.join(found, "rep", "left").select("id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    copy = work_table(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), "texts")
+    made = _linked(copy, words, percent)
+    return made.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "first")
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, all columns, without the rows that are not the first of their component."""
-    made = link(docs, words, percent, id_col, text_col)
-    gone = work_table(made.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct(), "gone")
-    return docs.join(sized(gone), docs[id_col] == gone["_gone"], "left_anti")
+    """docs, all columns, with one row of each component."""
+    small_batches(docs.sparkSession)
+    copy, row = numbered(docs)
+    made = _linked(copy.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), words, percent)
+    gone = work_table(made.where(~F.col("first")).select(F.col("row").alias(row)), "gone")
+    return copy.join(sized(gone), row, "left_anti").drop(row)

@@ -10,6 +10,7 @@ import pytest
 
 from radspan.llm import components, exact_dedup, mixing, near_dedup, shard
 from radspan.llm.shingles import shingle_sets
+from tests.llm.conftest import words
 
 
 def rows_of(docs):
@@ -22,6 +23,7 @@ def least(ids):
 
 @pytest.mark.parametrize("support", [0.001, 0.05, 0.3])
 def test_exact_dedup(docs, support):
+    """One row of each group stays, also of rows that repeat an id and a text."""
     groups = defaultdict(list)
     for i, t in rows_of(docs):
         groups[hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).hexdigest()].append((i, len(t or "")))
@@ -29,79 +31,130 @@ def test_exact_dedup(docs, support):
     for sha, rows in groups.items():
         most = max(n for _, n in rows)
         keep = least([i for i, n in rows if n == most])
-        want += [(i, keep, len(rows), i == keep and n == most, sha) for i, n in rows]
-    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in exact_dedup.decide(docs, support=support).collect())
+        want += [(i, keep, len(rows), sha) for i, _ in rows]
+    got = exact_dedup.decide(docs, support=support).collect()
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.keep_id, r.group_size, r.text_sha256)) for r in got)
+    assert sorted((r.text_sha256, str(r.doc_id)) for r in got if r.kept) == sorted({(sha, str(keep)) for _, keep, _, sha in want})
 
 
-def test_keep_first_keeps_columns_and_one_of_each(docs):
-    kept = exact_dedup.keep_first(docs)
-    assert kept.columns == docs.columns
-    texts = Counter(re.sub(r"\s", "", r.text or "") for r in kept.dropDuplicates(["doc_id", "text"]).collect())
-    assert set(texts.values()) == {1}
-    assert set(texts) == {re.sub(r"\s", "", t or "") for _, t in rows_of(docs)}
+def winners(rows):
+    """Of each group of equal texts an id and the length of the row that stays."""
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((i, t or ""))
+    out = {}
+    for key, found in groups.items():
+        most = max(len(t) for _, t in found)
+        out[key] = (least([i for i, t in found if len(t) == most]), most)
+    return out
 
 
 @pytest.mark.parametrize("support", [0.001, 0.3])
-def test_keep_first_of_copies_that_share_an_id(spark, docs, support):
-    """A winner and a loser of one id, or without ids, differ in white space only: the winner stays."""
-    more = [(70, "p q r"), (70, "pqr"), (71, "pq r"), (None, "v w"), (None, "vw"), (None, " v w "), (72, "vw"), (73, "y"), (73, "y "), (73, "y ")]
+def test_keep_first_keeps_one_row_of_each_text(spark, docs, support):
+    """Winners and losers that share an id or have none, and rows that are wholly equal."""
+    more = [(70, "p q r"), (70, "pqr"), (71, "pq r"), (None, "v w"), (None, "vw"), (None, " v w "), (72, "vw"), (73, "y"), (73, "y "), (73, "y ")] + [(80, "five equal rows")] * 5
     df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
-    groups = defaultdict(list)
-    for i, t in rows_of(df):
-        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((i, t))
-    want = []
-    for rows in groups.values():
-        most = max(len(t or "") for _, t in rows)
-        keep = least([i for i, t in rows if len(t or "") == most])
-        want += [(i, t) for i, t in rows if i == keep and len(t or "") == most]
-    assert Counter(rows_of(exact_dedup.keep_first(df, support=support))) == Counter(want)
+    got = rows_of(exact_dedup.keep_first(df, support=support))
+    assert Counter(got) <= Counter(rows_of(df))
+    assert sorted((re.sub(r"[\x20\x09-\x0D]", "", t or ""), str((i, len(t or "")))) for i, t in got) == sorted((k, str(v)) for k, v in winners(rows_of(df)).items())
+    kept = exact_dedup.keep_first(docs, support=support)
+    assert kept.columns == docs.columns
+    assert Counter(map(tuple, kept.collect())) <= Counter(map(tuple, docs.collect()))
 
 
 def brute_links(rows, k, percent):
-    sets = defaultdict(list)
-    for i, t in rows:
+    """The set of each row, and a row's component as the rows' places in it."""
+    sets = []
+    for _, t in rows:
         w = re.findall(rb"[^\x20\x09-\x0d]+", (t or "").encode().lower())
-        sets[i].append({tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
-    up = {i: i for i in sets}
+        sets.append({tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    up = list(range(len(rows)))
 
     def root(i):
         while up[i] != i:
             i = up[i]
         return i
 
-    every = [(i, s) for i, found in sets.items() if i is not None for s in found]
-    for i, a in every:
-        for j, b in every:
-            if i < j and a and b and 100 * len(a & b) >= percent * len(a | b):
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
                 x, y = root(i), root(j)
                 up[max(x, y)] = min(x, y)
-    return sets, root
+    of = defaultdict(list)
+    for i in range(len(rows)):
+        of[root(i)].append(i)
+    return sets, {i: of[root(i)] for i in range(len(rows))}
+
+
+def smallest(rows, places):
+    return min((rows[i][0] for i in places if rows[i][0] is not None), default=None)
 
 
 @pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80), (1, 50)])
 def test_near_dedup(docs, k, percent):
     rows = rows_of(docs)
-    sets, root = brute_links(rows, k, percent)
-    for r in near_dedup.link(docs, k, percent).collect():
-        assert r.n_shingles in [len(s) for s in sets[r.doc_id]]
-        assert r.component_id == (None if r.doc_id is None else root(r.doc_id))
-        assert r.kept == (r.doc_id == r.component_id)
+    sets, parts = brute_links(rows, k, percent)
+    want = [(i, len(s), c := smallest(rows, parts[at]), i == c) for at, ((i, _), s) in enumerate(zip(rows, sets, strict=True))]
+    got = near_dedup.link(docs, k, percent).collect()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)[:4]) for r in got)
+    assert sum(r.first for r in got) == len({min(p) for p in parts.values()})
+
+
+def test_near_keep_first_decides_by_row(spark, docs):
+    """Ids that repeat with other texts: no text goes without a kept copy."""
+    base = words(random.Random(3), 60)
+    a, b = base, words(random.Random(4), 60)
+    rows = [(5, a), (5, b), (8, b + " more"), (3, a), (None, a + " x"), (None, words(random.Random(5), 40))]
+    df = spark.createDataFrame([(*r, 7, None) for r in rows], "doc_id long, text string, _row int, extra string")
+    kept = near_dedup.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(rows_of(kept), key=str) == sorted([(3, a), (5, b), rows[5]], key=str)
+    kept = near_dedup.keep_first(docs)
+    _, parts = brute_links(rows_of(docs), 5, 80)
+    assert kept.columns == docs.columns and kept.count() == len({min(p) for p in parts.values()})
+
+
+def chain(rng, n, words, at=0):
+    """Near copies, each with one word changed in the one before: the ends are not similar."""
+    text, rows = [f"w{rng.randint(0, 9999)}" for _ in range(words)], []
+    for i in range(n):
+        text = text[:]
+        text[rng.randint(0, words - 1)] = f"v{at + i}"
+        rows.append((at + i, " ".join(text)))
+    return rows
 
 
 def test_near_dedup_of_large_groups(spark, monkeypatch):
-    """Buckets and families far beyond a chunk: chains of near copies, whose ends are not similar."""
-    for name, value in (("SMALL", 3), ("CHUNK", 8), ("SETS", 4)):
-        monkeypatch.setattr(near_dedup, name, value)
+    """Buckets and families far beyond a chunk: chains of near copies, whose ends are not similar, and apart ones among them."""
     rng = random.Random(5)
-    text, rows = [f"w{rng.randint(0, 9999)}" for _ in range(60)], []
-    for i in range(60):
-        text = text[:]
-        text[rng.randint(0, 59)] = f"v{i}"
-        rows.append((i, " ".join(text)))
-    rows += [(100 + i, " ".join(f"z{rng.randint(0, 99999)}" for _ in range(30))) for i in range(20)]
-    _, root = brute_links(rows, 3, 85)
-    got = {r.doc_id: r.component_id for r in near_dedup.link(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
-    assert got == {i: root(i) for i, _ in rows}
+    rows = chain(rng, 60, 60) + [(100 + i, " ".join(f"z{rng.randint(0, 99999)}" for _ in range(30))) for i in range(20)]
+    base = [f"q{rng.randint(0, 99999)}" for _ in range(60)]
+    for i in range(60):  # copies of one text, near and less near to it
+        some = base[:]
+        for at in rng.sample(range(60), i % 6):
+            some[at] = f"u{i}x{at}"
+        rows.append((200 + i, " ".join(some)))
+    _, parts = brute_links(rows, 3, 85)
+    want = {i: smallest(rows, parts[at]) for at, (i, _) in enumerate(rows)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for small, chunk, size in ((3, 8, 1 << 20), (16, 256, 2000)):
+        for name, value in (("SMALL", small), ("CHUNK", chunk), ("SET_BYTES", size)):
+            monkeypatch.setattr(near_dedup, name, value)
+        assert {r.doc_id: r.component_id for r in near_dedup.link(df, 3, 85).collect()} == want
+
+
+def test_near_dedup_of_a_family_of_20000(spark, monkeypatch):
+    """Every member is moved a bounded number of times."""
+    rng = random.Random(9)
+    base = [f"q{rng.randint(0, 99999)}" for _ in range(50)]
+    rows = [(i, " ".join([*base[:-1], f"u{i}"])) for i in range(20_000)]
+    moved = []
+    whole = near_dedup._solved
+    monkeypatch.setattr(near_dedup, "_solved", lambda rows, *how: moved.append(rows.agg({"id": "count"}).first()[0]) or whole(rows, *how))
+    got = near_dedup.link(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85)
+    assert got.where("component_id <> 0").isEmpty() and got.count() == 20_000
+    families = moved[-1]
+    assert families < 1.1 * 20_000
 
 
 def test_shingles_do_not_depend_on_company():
@@ -233,8 +286,23 @@ def test_mixing_entropy_and_budget(docs, spark):
         mixing.bisect_exponent(totals)
 
 
-def test_repeat_rows_keeps_every_row(docs):
-    out = mixing.repeat_rows(docs, max_repeat=2.0)
-    assert out.columns == docs.columns
-    have, want = Counter(map(tuple, out.collect())), Counter(map(tuple, docs.collect()))
-    assert all(have[r] >= n for r, n in want.items()) and set(have) == set(want)
+def test_repeat_rows_places_each_row(docs):
+    """As often as mix() does, row by row; columns whose names clash with those of the operator stay."""
+    df = docs.where("doc_id is not null").withColumnsRenamed({"n": "_of", "block": "times", "start": "_row"})
+    out = mixing.repeat_rows(df, max_repeat=2.0)
+    assert out.columns == df.columns
+    have, want = Counter(map(tuple, out.collect())), Counter(map(tuple, df.collect()))
+    assert set(have) == set(want) and all(have[r] >= n for r, n in want.items())
+    placed = Counter((r.doc_id, r.source) for r in mixing.mix(df, max_repeat=2.0).collect())
+    by = Counter()
+    for r, n in have.items():
+        by[r[0], r[3]] += n
+    assert by == placed
+    few = mixing.repeat_rows(df, max_repeat=1.0, budget_tokens=3000, block_tokens=10**9)
+    assert 0 < few.count() < df.count() and Counter(map(tuple, few.collect())) <= want
+
+
+def test_entropy_out_of_reach(spark):
+    totals = spark.createDataFrame([("a", 900), ("b", 90), ("c", 10)], "source string, n long")
+    assert mixing.bisect_exponent(totals, target_entropy=0.01) == 1.0
+    assert mixing.bisect_exponent(totals, target_entropy=5.0) == 0.0

@@ -30,9 +30,7 @@ def exact_rows(rows):
     out = []
     for found in groups.values():
         most = max(len(t or "") for _, t, _ in found)
-        ids = [i for i, t, _ in found if len(t or "") == most]
-        keep = None if None in ids else min(ids)
-        out += [r for r in found if r[0] == keep and len(r[1] or "") == most]
+        out.append(min((r for r in found if len(r[1] or "") == most), key=lambda r: (r[0] is not None, r[0] or 0)))
     return out
 
 
@@ -41,20 +39,22 @@ def near_rows(rows, k=5, percent=80):
     for i, t, _ in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
         sets.append((i, {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()))
-    up = {i: i for i, _ in sets}
+    up = list(range(len(rows)))
 
     def root(i):
         while up[i] != i:
             i = up[i]
         return i
 
-    held = [(i, s) for i, s in sets if i is not None and s]
-    for at, (i, a) in enumerate(held):
-        for j, b in held[:at]:
-            if i != j and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
+    for i, (_, a) in enumerate(sets):
+        for j, (_, b) in enumerate(sets[:i]):
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
                 x, y = root(i), root(j)
                 up[max(x, y)] = min(x, y)
-    return [r for r in rows if r[0] is None or root(r[0]) == r[0]]
+    first = {}
+    for i, (d, *_) in enumerate(rows):
+        first[root(i)] = min(first.get(root(i), (2, 0, 0)), (d is None, d or 0, i))
+    return [rows[i] for _, _, i in sorted(first.values())]
 
 
 def hashed(*parts):
@@ -80,10 +80,7 @@ def placements(rows, max_repeat=2.0, seed="mix-1", block_tokens=1 << 16):
             for at in sorted(found, key=lambda x: (hashed(seed, str(p), None if rows[x][0] is None else str(rows[x][0])), rows[x][0] is not None, rows[x][0] or 0, cost[x])):
                 end += cost[at]
                 times[at] += end <= math.floor(whole * repeat)
-    most = Counter()  # rows that repeat an id: as often as the most placed of them
-    for at, n in times.items():
-        most[rows[at][0]] = max(most[rows[at][0]], n)
-    return [most[r[0]] for r in rows]
+    return [times[at] for at in range(len(rows))]
 
 
 def test_whole_pipeline(spark, tmp_path):
@@ -97,7 +94,7 @@ def test_whole_pipeline(spark, tmp_path):
     base = rows[1][1]
     rows += [(200, long, "book"), (201, long + " more", "web"), (202, base.replace(" ", "\n", 2), "web"), (203, base.replace(" ", "  ", 3), "code"), (204, base + " tail", "web")]
     rows += [(210, rows[2][1] + " ", "code"), (210, rows[2][1], "code"), (2, rows[2][1].replace(" ", ""), "web")]
-    rows += [(None, rows[3][1].replace(" ", "  ", 1), None), (None, rows[3][1], None), (None, "", "web"), (None, None, "code")]
+    rows += [(None, rows[3][1] + " tail", None), (5, rows[3][1] + " tail", None), (None, "", "web"), (0, None, "code")]  # copies without an id
     spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     left = near_rows(exact_rows(good_rows(spark, rows, labels)))
