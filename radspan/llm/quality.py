@@ -10,7 +10,7 @@ Labels come from at most SAMPLE labelled rows outside the held-out fold (by a ha
 driver fits; PARTNERS good documents are paired with each bad one. Texts are always read whole.
 
 Defined cases: a null text counts as empty and gets a score like any other; a null label teaches nothing, of several
-labels of an id the smallest counts; without both kinds of labels every score is 0.5; rows that repeat stay; an empty
+labels of an id the smallest counts, of several texts of an id the one with the smallest digest; without both kinds of labels every score is 0.5; rows that repeat stay; an empty
 table gives an empty result; other columns are never read.
 """
 
@@ -65,7 +65,7 @@ def features(text: str) -> np.ndarray:
 def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [features(t or "").tolist() for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["id", "label", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64())), batch.column(3)], names=["id", "label", "x", "digest"])
 
 
 class Model:
@@ -106,9 +106,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("label").alias("label"))
     some = known.orderBy(hash_order("quality", F.col("id").cast("string")), "id").limit(sample)  # the documented bound of what is fitted
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), "id").select("id", "label", "text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), "id")
+    rows = rows.select("id", "label", "text", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
     kind = rows.schema["id"].dataType.simpleString()
-    got = rows.mapInArrow(_featured, f"id {kind}, label int, x array<double>").dropDuplicates(["id"]).orderBy("id").collect()
+    found = rows.mapInArrow(_featured, f"id {kind}, label int, x array<double>, digest string")
+    found = found.groupBy("id").agg(F.min("label").alias("label"), F.min_by("x", "digest").alias("x"))
+    got = found.orderBy("id").collect()  # at most `sample` rows
     return Model(np.array([r.x for r in got]).reshape(len(got), len(features(""))), np.array([r.label == 1 for r in got], bool))
 
 
