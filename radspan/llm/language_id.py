@@ -31,6 +31,8 @@ EVIDENCE = 60
 #: A second language within so much loss makes a text ambiguous.
 AMBIGUOUS = 0.25
 GROUPS = 32
+#: Bytes of a text whose n-grams are looked up together; the result does not depend on it.
+PORTION = 1 << 15
 _LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
@@ -38,19 +40,22 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(id_col.cast("string"), "utf-8")) % FOLDS == 0, F.lit(False))
 
 
-def ngrams(text: str) -> np.ndarray:
-    """Places of the text's hashed n-grams, one for each occurrence."""
+def ngrams(text: str, at_once: int = PORTION) -> Iterator[np.ndarray]:
+    """Places of the text's hashed n-grams, one for each occurrence, in runs of about len(SIZES) * at_once."""
     raw = np.frombuffer((" " + text.lower() + " ").encode("utf-8", "replace").translate(_LETTERS), np.uint8)
     space = raw == 0x20
-    raw = raw[~(space & np.concatenate([[False], space[:-1]]))].astype(np.uint32)
-    out = []
-    for k, n in enumerate(SIZES):
-        if len(raw) >= n:
-            code = raw[: len(raw) - n + 1]
-            for j in range(1, n):
-                code = code << np.uint32(8) | raw[j : len(raw) - n + 1 + j]
-            out.append(((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.int32) + (k << BITS))
-    return np.concatenate(out) if out else np.zeros(0, np.int32)
+    raw = raw[~(space & np.concatenate([[False], space[:-1]]))]
+    for a in range(0, len(raw), at_once):
+        part, out = raw[a : a + at_once + max(SIZES) - 1].astype(np.uint32), []
+        for k, n in enumerate(SIZES):
+            m = min(at_once, len(part) - n + 1)  # n-grams that start in this run
+            if m > 0:
+                code = part[:m]
+                for j in range(1, n):
+                    code = code << np.uint32(8) | part[j : m + j]
+                out.append(((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.int32) + (k << BITS))
+        if out:
+            yield np.concatenate(out)
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,8 +65,8 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             n = totals.setdefault(lang, np.zeros(FEATURES, np.int64))
-            for a in range(0, len(text), 1 << 20):  # n-grams across two pieces are read with the first
-                n += np.bincount(ngrams(text[a : a + (1 << 20) + max(SIZES)]), minlength=FEATURES)
+            for places in ngrams(text):
+                n += np.bincount(places, minlength=FEATURES)
     task = TaskContext.get().partitionId()
     for lang, n in totals.items():
         yield pa.RecordBatch.from_pydict({"task": pa.array([task], pa.int32()), "lang": pa.array([lang]), "counts": pa.array([n.tobytes()], pa.binary())})
@@ -109,8 +114,7 @@ class Model:
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
         odds, n = np.zeros(self.weights.shape[1]), 0
-        for a in range(0, len(text), 1 << 15):
-            places = ngrams(text[a : a + (1 << 15) + max(SIZES)])
+        for places in ngrams(text):
             odds += self.weights.take(places, 0).sum(0, dtype=np.float64)
             n += len(places)
         odds *= min(n, EVIDENCE) / n
