@@ -32,6 +32,8 @@ SCALE = 1024
 K, EVERY = 10, 100
 #: Vectors of a bucket, queries of a block, vectors of a slice.
 BUCKET, QUERIES, SLICE = 32_768, 1024, 2048
+#: Bytes of a block's matrix at most, whatever its dimension.
+BLOCK_BYTES = 64 << 20
 #: Cosine from which coordinates prune, and how many of them.
 COORDINATE, COORDINATES = 0.6, 4
 #: Beyond this size of a component, products are summed as Python integers instead of doubles.
@@ -61,7 +63,7 @@ def _blocked(most: int):
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, number, d, rows = TaskContext.get().partitionId(), 0, None, []
+        part, number, d, rows, held = TaskContext.get().partitionId(), 0, None, [], 0
 
         def packed() -> pa.RecordBatch:
             ids, norms = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows])
@@ -69,10 +71,11 @@ def _blocked(most: int):
 
         for batch in batches:
             for i, size, norm, v in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if rows and (size != d or len(rows) == most):
+                if rows and (size != d or len(rows) == most or held + len(v) > BLOCK_BYTES):
                     yield packed()
-                    number, rows = number + 1, []
+                    number, rows, held = number + 1, [], 0
                 d = size
+                held += len(v)
                 rows.append((i, norm, v))
         if rows:
             yield packed()

@@ -110,3 +110,74 @@ def test_quality_without_labels(spark):
     lab = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.scored(df, lab).collect()} == {0.5}
     assert quality.scored(df.limit(0), lab).count() == 0
+
+
+def test_ngrams_do_not_depend_on_portions():
+    text = "Ein schönes  Haus, 12 Bäume ÉTÉ日本 " * 50
+    whole = sorted(np.concatenate(list(language_id.ngrams(text, 1 << 30))).tolist())
+    for at_once in (1, 3, 64, 1000):
+        assert sorted(np.concatenate(list(language_id.ngrams(text, at_once))).tolist()) == whole
+    raw = b" ein sch\xc3\xb6nes haus b\xc3\xa4ume \xc3\xa9t\xc3\xa9\xe6\x97\xa5\xe6\x9c\xac "
+    assert len(list(language_id.ngrams("Ein schönes  Haus, 12 Bäume ÉTÉ日本"))[0]) == sum(len(raw) - n + 1 for n in language_id.SIZES)
+
+
+def test_language_decoder_against_plain_python():
+    """Loss-weighted decoding, bit by bit."""
+    model = language_id.Model({x: sum((np.bincount(p, minlength=language_id.FEATURES) for _, t, lang in _languages() if lang == x for p in language_id.ngrams(t)), np.zeros(language_id.FEATURES, np.int64)) for x in ("aa", "bb", "cc")})
+    for text in ("the and ing", "le eau oui ç", "der ung", "la", "x" * 200):
+        places = [p for run in language_id.ngrams(text) for p in run]
+        losses = []
+        for word in model.code:
+            loss = 0.0
+            for b, bit in enumerate(word):
+                odds = sum(float(model.weights[p, b]) for p in places) * min(len(places), language_id.EVIDENCE) / len(places)
+                loss += model.trust[b] * np.log1p(np.exp(-odds if bit else odds))
+            losses.append(loss)
+        lang, score, unsure = model.predict(text)
+        assert lang == model.languages[int(np.argmin(losses))]
+        share = np.exp(-4 * (np.array(losses) - min(losses)))
+        assert score == pytest.approx(share.max() / share.sum(), abs=1e-6)
+        assert unsure == (sorted(losses)[1] - min(losses) < language_id.AMBIGUOUS)
+
+
+def test_quality_fit_is_the_minimum():
+    """The weights are where the mean logistic loss over all feature differences of the pairs, with the ridge, is smallest."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 5))
+    good = x[:, 0] + 0.5 * rng.normal(size=60) > -0.4
+    monkey = quality.features
+    quality.features = lambda text: np.zeros(5)
+    try:
+        model = quality.Model(x, good)
+    finally:
+        quality.features = monkey
+    z = (x - x.mean(0)) / x.std(0)
+    high, low = np.flatnonzero(good), np.flatnonzero(~good)
+    pick = np.random.default_rng(1).integers(0, len(high), (len(low), quality.PARTNERS))
+
+    def loss(w):
+        total = 0.0
+        for k, j in enumerate(low):
+            for i in high[pick[k]]:
+                total += np.log1p(np.exp(-float((z[i] - z[j]) @ w)))
+        return total / pick.size + quality.RIDGE / 2 * float(w @ w)
+
+    best = loss(model.weights)
+    for step in np.vstack([np.eye(5), -np.eye(5)]) * 0.01:
+        assert loss(model.weights + step) > best
+    assert np.quantile(z @ model.weights, len(low) / 60) == pytest.approx(model.cut)
+
+
+def test_quality_with_several_texts_of_an_id(spark):
+    rows = [(i, f"good words number {i} here") for i in range(40)] + [(i, "BAD!! BAD!!") for i in range(40)]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    models = [quality.train(spark.createDataFrame(part, "doc_id long, text string").repartition(n), lab) for part, n in ((rows, 1), (rows[::-1], 5))]
+    assert np.array_equal(models[0].weights, models[1].weights) and models[0].cut == models[1].cut
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 64 * 10)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(100)]
+    got = topk.search(df := spark.createDataFrame(rows, "vec_id long, embedding array<double>"), df.where("vec_id % 5 = 0"), 10)
+    assert sorted(map(tuple, got.collect())) == brute_topk(rows, 10, lambda i: i % 5 == 0)

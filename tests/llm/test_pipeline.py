@@ -32,3 +32,19 @@ def test_registered():
     found = __spark_entry__.queries()
     assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in found} and "pipeline" in found
     assert set(__spark_entry__.oracle_sql()) <= set(found)
+
+
+def test_empty_table(spark, empty_docs, tmp_path):
+    empty_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.count() == 0 and {"doc_id", "piece", "sequence_id"} <= set(got.columns)
+
+
+def test_first_and_last_stage_on_odd_rows(spark, docs, tmp_path):
+    spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    good = corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path))
+    assert good.columns == docs.columns
+    assert Counter(map(tuple, good.collect())) <= Counter(map(tuple, docs.collect()))
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert packed.where("piece = 0").count() == docs.count()
