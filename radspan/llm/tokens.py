@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 
 KEEP_LENGTH = 48
 #: Bytes of text that are cut into units together.
-PORTION = 4 << 20
+PORTION = 1 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -187,7 +187,7 @@ class IdEncoder:
     tokenizers of any other make, go to the library as they are.
     """
 
-    def __init__(self, path: str, cap: int = 300_000):
+    def __init__(self, path: str, cap: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
