@@ -83,7 +83,7 @@ TR_TE_RULES = [
 
 
 def normalised(description: Column) -> Column:
-    out = F.regexp_replace(F.regexp_replace(F.upper(F.trim(description)), r"[_\-/\\]+", " "), r"\s+", " ")
+    out = F.regexp_replace(F.regexp_replace(F.upper(F.regexp_replace(description, r"^\s+|\s+$", "")), r"[_\-/\\]+", " "), r"\s+", " ")
     for p in PREFIXES:
         out = F.when(out.startswith(p), F.substring(out, len(p) + 1, 1_000_000)).otherwise(out)
     return out

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -50,20 +51,29 @@ def bound(value: Column, then) -> Column:
 def with_histogram(df: DataFrame, values: str, bins: int, name: str = "counts") -> DataFrame:
     """df with counts in equal-width bins from the least to the greatest value, the last one closed, and _low and _width.
 
-    A constant array is one unit wide around its value.
+    A constant array is one unit wide around its value. Nulls, NaN and infinities inside an array are not counted; an
+    array without any value has counts of 0 and no width; a null array gives nulls. Each array is passed over once.
     """
+    at = df.columns.index(values)
 
-    def edges(v: Column) -> Column:
-        lo, hi = F.array_min(v), F.array_max(v)
-        return F.struct(v.alias("v"), F.when(lo == hi, lo - 0.5).otherwise(lo).alias("low"), F.when(lo == hi, 1.0).otherwise(hi - lo).alias("width"))
-
-    def counted(e: Column) -> Column:
-        places = F.transform(e["v"], lambda x: F.least(F.floor((x - e["low"]) / e["width"] * bins), F.lit(bins - 1)))
-        counts = bound(places, lambda p: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.size(F.filter(p, lambda x: x == b))))
-        return F.struct(counts.alias("counts"), e["low"].alias("low"), e["width"].alias("width"))
-
-    made = df.withColumn("_h", bound(bound(_doubles(F.col(values)), edges), counted))
-    return made.select(*df.columns, F.col("_h.counts").alias(name), F.col("_h.low").alias("_low"), F.col("_h.width").alias("_width"))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for v in batch.column(at).to_pylist():
+                v = None if v is None else np.array([x for x in v if x is not None], np.float64)
+                v = None if v is None else v[np.isfinite(v)]
+                if v is None or not len(v):
+                    found.append((None if v is None else [0] * bins, None, None))
+                    continue
+                low, high = float(v.min()), float(v.max())
+                low, width = (low - 0.5, 1.0) if low == high else (low, high - low)
+                places = np.minimum(np.floor((v - low) / width * bins).astype(np.int64), bins - 1)
+                found.append((np.bincount(places, minlength=bins).tolist(), low, width))
+            counts, lows, widths = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.list_(pa.int32())), pa.array(lows, pa.float64()), pa.array(widths, pa.float64())], names=[*batch.schema.names, name, "_low", "_width"])
+
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType())), T.StructField("_low", T.DoubleType()), T.StructField("_width", T.DoubleType())])
+    return df.mapInArrow(run, schema)
 
 
 def entropy(df: DataFrame, values: str, bins: int = 256, name: str = "entropy") -> DataFrame:
@@ -182,10 +192,18 @@ def field_of_view(shape: Column, spacing: Column) -> Column:
 # ---- one volume at a time, in Arrow batches
 
 
-def symmetry(v: np.ndarray) -> tuple[float, str]:
-    """Correlation of the left half with the mirrored right half, at least 0."""
-    if v.ndim < 3 or v.shape[0] < 3:
-        return 1.0, "N/A"
+#: fixed values: words of a description that is not axial
+NOT_AXIAL = ("SAG", "COR")
+
+
+def symmetry(v: np.ndarray, description: str | None = None) -> tuple[float, str]:
+    """Correlation of the left half with the mirrored right half, at least 0; neutral for flat and for non-axial volumes."""
+    if v.ndim < 3:
+        return 1.0, "N/A (2D)"
+    if any(x in (description or "").upper() for x in NOT_AXIAL):
+        return 1.0, "N/A (non-axial)"
+    if v.shape[0] < 3:
+        return 1.0, "N/A (single slice)"
     half = v.shape[-1] // 2
     a, b = (x - x.mean() for x in (v[..., :half], v[..., ::-1][..., :half]))
     scale = np.sqrt(np.square(a).sum() * np.square(b).sum())
@@ -293,20 +311,23 @@ def slice_consistency(v: np.ndarray, most: int = 20) -> float:
 METRICS = "symmetry_index double, symmetry string, sharpness_mean double, sharpness_std double, sharpness_p95 double, ghosting_ratio double, slice_correlation double, motion boolean, motion_score double, cnr double, noise_floor double, bias_severity double, laplacian_variance double, n_peaks int, mean_correlation double"
 
 
-def measure(v: np.ndarray) -> tuple:
-    return *symmetry(v), *sharpness(v), *motion(v), contrast(v), noise_floor(v), bias_field(v), edge_variance(v), histogram_peaks(v), slice_consistency(v)
+def measure(v: np.ndarray, description: str | None = None) -> tuple:
+    return *symmetry(v, description), *sharpness(v), *motion(v), contrast(v), noise_floor(v), bias_field(v), edge_variance(v), histogram_peaks(v), slice_consistency(v)
 
 
-def with_metrics(df: DataFrame, key: str, values: str, shape: tuple[int, ...]) -> DataFrame:
-    """key and all metrics of each volume; volumes that do not have the shape give nulls."""
+def with_metrics(df: DataFrame, key: str, values: str, shape: tuple[int, ...], description: str | None = None) -> DataFrame:
+    """key and all metrics of each volume; volumes that do not have the shape give nulls. description: a column that tells
+    sagittal and coronal series, whose halves are not compared."""
     names = [x.split()[0] for x in METRICS.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [{"double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "int": pa.int32()}[x.split()[1]] for x in METRICS.split(", ")]
         for batch in batches:
-            rows = [measure(np.asarray(v, np.float64).reshape(shape)) if v is not None and len(v) == np.prod(shape) else (None,) * len(names) for v in batch.column(1).to_pylist()]
+            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            rows = [measure(np.asarray(v, np.float64).reshape(shape), text) if v is not None and len(v) == np.prod(shape) else (None,) * len(names) for v, text in pairs]
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], names=["key", *names])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, values).mapInArrow(run, f"key {kind}, {METRICS}").withColumnRenamed("key", key)
+    told = F.lit(None).cast("string") if description is None else F.col(description)
+    return df.select(key, values, told.alias("description")).mapInArrow(run, f"key {kind}, {METRICS}").withColumnRenamed("key", key)

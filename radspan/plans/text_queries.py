@@ -56,7 +56,7 @@ def sequence_classify(spark, sf):
 
 
 def _classify_sql() -> str:
-    norm = r"regexp_replace(regexp_replace(upper(trim(name)), '[_\-/\\]+', ' ', 'g'), '\s+', ' ', 'g')"
+    norm = r"regexp_replace(regexp_replace(upper(regexp_replace(name, '^\s+|\s+$', '', 'g')), '[_\-/\\]+', ' ', 'g'), '\s+', ' ', 'g')"
     steps = [f"n0 AS (SELECT *, {norm} AS d FROM timed)"]
     for i, p in enumerate(classify.PREFIXES):
         steps.append(f"n{i + 1} AS (SELECT * REPLACE (CASE WHEN starts_with(d, '{p}') THEN substr(d, {len(p) + 1}) ELSE d END AS d) FROM n{i})")

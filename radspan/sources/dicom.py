@@ -33,27 +33,50 @@ def _value(raw: bytes, vr: str) -> str:
     return raw.decode("utf-8", "replace").strip("\0 ")
 
 
+OPEN = 0xFFFFFFFF
+ITEM, ITEM_END, SEQUENCE_END = (0xFFFE, 0xE000), (0xFFFE, 0xE00D), (0xFFFE, 0xE0DD)
+
+
+def _element(content: bytes, at: int, implicit: bool) -> tuple[tuple[int, int], str, int, int]:
+    """Tag, representation, where the value starts, and its length."""
+    tag = struct.unpack_from("<2H", content, at)
+    if tag[0] == 0xFFFE or implicit and tag[0] != 2:
+        return tag, NUMERIC_WITHOUT_VR.get(KEYWORDS.get(tag, ""), ""), at + 8, struct.unpack_from("<I", content, at + 4)[0]
+    vr = content[at + 4 : at + 6].decode("latin-1")
+    if vr in LONG:
+        return tag, vr, at + 12, struct.unpack_from("<I", content, at + 8)[0]
+    return tag, vr, at + 8, struct.unpack_from("<H", content, at + 6)[0]
+
+
+def _behind(content: bytes, at: int, implicit: bool) -> int:
+    """Where a sequence of unknown length ends that starts at `at`: its items and all sequences in them are walked."""
+    depth = 1
+    while depth:
+        if at + 8 > len(content):
+            raise ValueError("a sequence without end")
+        tag, _, start, n = _element(content, at, implicit)
+        if tag == SEQUENCE_END:
+            depth -= 1
+        at = start if tag in (ITEM_END, SEQUENCE_END) or n == OPEN else start + n
+        if n == OPEN and tag[0] != 0xFFFE:
+            depth += 1
+    return at
+
+
 def tags(content: bytes) -> Iterator[tuple[str, str | None, str, str]]:
     """(tag, keyword, representation, value) up to the pixel data; sequences are passed over."""
     if content[128:132] != b"DICM":
         raise ValueError("no DICOM file")
     at, implicit = 132, False
     while at + 8 <= len(content):
-        group, element = struct.unpack_from("<2H", content, at)
+        (group, element), vr, at, n = _element(content, at, implicit)
         if (group, element) >= (0x7FE0, 0x0010):
             return
-        if group == 2 or not implicit:
-            vr = content[at + 4 : at + 6].decode("latin-1")
-            at, n = (at + 12, struct.unpack_from("<I", content, at + 8)[0]) if vr in LONG else (at + 8, struct.unpack_from("<H", content, at + 6)[0])
-        else:
-            vr = NUMERIC_WITHOUT_VR.get(KEYWORDS.get((group, element), ""), "")
-            at, n = at + 8, struct.unpack_from("<I", content, at + 4)[0]
-        if n == 0xFFFFFFFF:  # a sequence of unknown length: on to its end mark
-            end = content.find(b"\xfe\xff\xdd\xe0", at)
-            if end < 0:
-                raise ValueError("a sequence without end")
-            at = end + 8
+        if n == OPEN:
+            at = _behind(content, at, implicit)
             continue
+        if at + n > len(content):
+            raise ValueError("a value without end")
         raw, at = content[at : at + n], at + n
         if vr in LONG:
             continue

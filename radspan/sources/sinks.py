@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import sqlite3
 import tarfile
 from collections.abc import Iterable, Iterator
+from contextlib import closing
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,12 +50,18 @@ def series_json(df: DataFrame, path: str, by: str, context: str = "https://schem
 
 
 def sqlite(path: str, tables: dict[str, DataFrame], keys: dict[str, str], view: tuple[str, str, str] | None = None) -> None:
-    """A SQLite file with a table per DataFrame, streamed partition by partition; keys get indexes; view: (name, left, right)."""
+    """A SQLite file with a table per DataFrame, streamed partition by partition; keys get indexes; view: (name, left, right).
+
+    The file is written beside `path` and then takes its place, so an older one is replaced whole or not at all.
+    """
     kinds = {"bigint": "INTEGER", "int": "INTEGER", "boolean": "INTEGER", "double": "REAL", "float": "REAL"}
-    with sqlite3.connect(path) as db:
+    text, fresh = "TEXT", f"{path}.new"
+    if os.path.exists(fresh):
+        os.remove(fresh)
+    with closing(sqlite3.connect(fresh)) as db, db:
         for name, df in tables.items():
             flat = ordered_columns(df, df.columns, drop="\0")
-            db.execute(f"CREATE TABLE {name} ({', '.join(f'{c} {kinds.get(t, chr(84) + chr(69) + chr(88) + chr(84))}' for c, t in flat.dtypes)})")
+            db.execute(f"CREATE TABLE {name} ({', '.join(f'{c} {kinds.get(t, text)}' for c, t in flat.dtypes)})")
             marks = ", ".join("?" * len(flat.columns))
             db.executemany(f"INSERT INTO {name} VALUES ({marks})", (tuple(r) for r in flat.toLocalIterator()))
             if name in keys:
@@ -62,6 +70,7 @@ def sqlite(path: str, tables: dict[str, DataFrame], keys: dict[str, str], view:
             v, a, b = view
             cols = ", ".join(f"b.{c} AS {b}_{c}" for c in tables[b].columns if c != keys[b])
             db.execute(f"CREATE VIEW {v} AS SELECT a.*, {cols} FROM {a} a LEFT JOIN {b} b ON a.{keys[a]} = b.{keys[b]}")
+    os.replace(fresh, path)
 
 
 def datasette_metadata(title: str, facets: dict[str, list[str]], sort: dict[str, str]) -> str:
