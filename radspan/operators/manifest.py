@@ -43,6 +43,23 @@ def confidence_rollup(annotations: DataFrame, by: list[str], confidence: str = "
     )
 
 
+def study_manifest(series: DataFrame, annotations: DataFrame, listing: DataFrame, flags: dict[str, list[str]] = FLAGS, study: str = "study_id", path: str = "path", size: str = "bytes", **columns: str) -> DataFrame:
+    """study_rollup() with the study's archive and the confidence of its annotations, one row per study.
+
+    listing: paths below the root and sizes in bytes; a study's archive is `<study>/<study>.slices.tar`. Without one,
+    its path and size are null; without annotations, the confidence figures are 0. All three sides are grouped by the
+    study first, so the joins use the partitioning of the groups.
+    """
+    owner = F.regexp_extract(path, r"^([^/]+)/\1\.slices\.tar$", 1)
+    archives = listing.withColumn("_study", owner).where("_study <> ''").groupBy("_study").agg((F.max(size) / (1024 * 1024)).alias("total_size_mb"), F.min(path).alias("tar_shard_path"))
+    sure = confidence_rollup(annotations, [study])
+    renamed = {"n_series": "confidence_n_series", "mean_confidence": "confidence_mean", "min_confidence": "confidence_min", "pct_low_confidence": "confidence_pct_low", "n_needs_escalation": "confidence_n_needs_escalation", "pct_premium_used": "confidence_pct_premium_used"}
+    sure = sure.select(F.col(study).cast("string").alias("_sure"), *[F.col(a).alias(b) for a, b in renamed.items()])
+    out = study_rollup(series, flags, study, **columns).withColumn("_key", F.col(study).cast("string"))
+    out = out.join(archives, F.col("_key") == F.col("_study"), "left").join(sure, F.col("_key") == F.col("_sure"), "left")
+    return out.fillna(0, list(renamed.values())).drop("_key", "_study", "_sure")
+
+
 def dataset_rollup(series: DataFrame, sequence: str = "sequence_type", grade: str = "quality_grade", validated: Column | None = None, files: str = "file_count") -> DataFrame:
     """Sequence and known-grade counts, validated series and files, in long form: kind, name, n."""
     kind = F.when(F.grouping_id() == 1, "sequence").when(F.grouping_id() == 2, "grade").otherwise("all")

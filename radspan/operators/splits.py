@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: runs of a global order; each holds this part of the rows
+RUNS = 65536
+
+
 def seeded(seed: int | str, *ids: str) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids]), 256)
 
@@ -41,16 +45,36 @@ def ranked(df: DataFrame, by: str, seed: int | str, key: str) -> DataFrame:
 
 
 def assign(studies: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), seed: int = 42, stratify: list[str] | None = None, key: str = "study_id") -> DataFrame:
-    """studies with `split`. In each stratum, in seeded order, the first round(n * test) are test, the next val, the rest train."""
+    """studies with `split`: the first `held` rows are test, the next ones val, the rest train.
+
+    Rows are ordered by their place inside their stratum as a share of it, in seeded order, so every stratum gives in
+    proportion to its size while the totals are exact: round(n * test) of all, then round(rest * val / (val + train)) of
+    the rest, each at least one and at most all but one (of one row none is held out).
+    """
     if len(ratios) != 3 or min(ratios) <= 0 or abs(sum(ratios) - 1) > 1e-6:
         raise ValueError("ratios: three positive numbers with sum 1")
     if "split" in studies.columns:
         warnings.warn("there is a split column: unchanged", stacklevel=2)
         return studies
     rows = ranked(stratum(studies, stratify or []), "_stratum", seed, key)
-    test, val = (F.floor(F.col("_n") * r + 0.5) for r in (ratios[2], ratios[1]))
-    split = F.when(F.col("_rank") <= test, "test").when(F.col("_rank") <= test + val, "val").otherwise("train")
-    return rows.withColumn("split", split).drop("_stratum", "_rank", "_n")
+    rows = rows.withColumn("_at", (F.col("_rank") - 0.5) / F.col("_n")).withColumn("_run", F.floor(F.col("_at") * RUNS))
+    rows = rows.withColumn("_hash", seeded(seed, key)).drop("_n")
+    # at most RUNS counts, added up in order; then each run numbers its own rows
+    runs = rows.groupBy("_run").agg(F.count("*").alias("_c"))
+    every = Window.partitionBy(F.lit(1))
+    before = every.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col("_run").alias("_r"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), F.sum("_c").over(every).alias("_n"))
+    own = F.row_number().over(Window.partitionBy("_run").orderBy("_at", "_hash", key))
+    rows = rows.join(F.broadcast(runs), F.col("_run") == F.col("_r")).withColumn("_place", own + F.col("_before"))
+    test = held(F.col("_n"), ratios[2])
+    val = held(F.col("_n") - test, ratios[1] / (ratios[0] + ratios[1]))
+    split = F.when(F.col("_place") <= test, "test").when(F.col("_place") <= test + val, "val").otherwise("train")
+    return rows.withColumn("split", split).drop("_stratum", "_rank", "_at", "_run", "_hash", "_r", "_before", "_n", "_place")
+
+
+def held(n: Column, share: float) -> Column:
+    """round(n * share), at least one and at most n - 1."""
+    return F.greatest(F.lit(0), F.least(F.greatest(F.lit(1), F.bround(n * F.lit(share)).cast("long")), n - 1))
 
 
 def propagate(series: DataFrame, splits: DataFrame, key: str = "study_id") -> DataFrame:

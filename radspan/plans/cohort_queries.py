@@ -49,6 +49,16 @@ def study_rollup(spark, sf):
     return out.withColumn("sequences_present", F.array_join("sequences_present", "|")).withColumn("mean_ml_score", F.round("mean_ml_score", 6))
 
 
+def study_manifest(spark, sf):
+    notes = table(spark, sf, "lineitem").where("l_quantity > 10").select(F.col("l_orderkey").alias("study_id"), F.when(F.col("l_linenumber") < 5, F.col("l_quantity") / 64).alias("confidence"), (F.col("l_returnflag") == "R").alias("needs_escalation"), (F.col("l_linestatus") == "O").alias("premium_used"))
+    k, third = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 3
+    path = F.concat(k, F.lit("/"), F.when(third == 0, F.concat(k, F.lit(".slices.tar"))).when(third == 1, "other.slices.tar").otherwise(F.concat(k, F.lit(".slices.tar.part"))))
+    listing = table(spark, sf, "orders").select(path.alias("path"), (F.col("o_orderkey") * 1000).alias("bytes"))
+    out = manifest.study_manifest(series(spark, sf), notes, listing, WORDS, score="score")
+    figures = ("mean_ml_score", "total_size_mb", "confidence_mean", "confidence_min", "confidence_pct_low", "confidence_pct_premium_used")
+    return out.withColumns({c: F.round(c, 6) for c in figures} | {"sequences_present": F.array_join("sequences_present", "|")})
+
+
 def confidence_rollup(spark, sf):
     rows = table(spark, sf, "events").select("user_id", F.pmod("event_id", F.lit(1000)).cast("double").alias("m"), (F.col("event_type") == "error").alias("needs_escalation"), (F.col("event_type") == "purchase").alias("premium_used"))
     rows = rows.withColumn("confidence", F.when(F.col("m") > 50, F.col("m") / 1000))
@@ -102,11 +112,13 @@ def pending_work(spark, sf):
 
 _SPLIT = f"""{STUDIES}, labelled AS (SELECT *, coalesce(dominant_grade, '__null__') || '|' || coalesce(vendor, '__null__') AS s0 FROM studies),
 counted AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY s0) < 2 THEN '__other__' ELSE s0 END AS s FROM labelled),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY sha256('42:' || CAST(study_id AS VARCHAR)), study_id) AS r, count(*) OVER (PARTITION BY s) AS n FROM counted),
-splits AS (SELECT study_id, vendor, dominant_grade, CASE WHEN r <= floor(n * 0.1::DOUBLE + 0.5) THEN 'test' WHEN r <= floor(n * 0.1::DOUBLE + 0.5) + floor(n * 0.1::DOUBLE + 0.5) THEN 'val' ELSE 'train' END AS split FROM ranked)"""
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY s ORDER BY sha256('42:' || CAST(study_id AS VARCHAR)), study_id) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY s) AS spot FROM counted),
+placed AS (SELECT *, row_number() OVER (ORDER BY spot, sha256('42:' || CAST(study_id AS VARCHAR)), study_id) AS place, count(*) OVER () AS n FROM ranked),
+tested AS (SELECT *, least(greatest(1, round_even(n * 0.1::DOUBLE, 0)), n - 1) AS t FROM placed),
+splits AS (SELECT study_id, vendor, dominant_grade, CASE WHEN place <= t THEN 'test' WHEN place <= t + least(greatest(1, round_even((n - t) * (0.1::DOUBLE / (0.8::DOUBLE + 0.1::DOUBLE)), 0)), n - t - 1) THEN 'val' ELSE 'train' END AS split FROM tested)"""
 _FLAG = "coalesce(bool_or(regexp_matches(lower(sequence_type), '{}')), false)"
 
-QUERIES = {f.__name__: f for f in (cohort_grade_seq_vendor, cohort_swan_like, cohort_complete_protocol_study, cohort_complete_protocol_series, cohort_two_sequences, cohort_exact_filters, cohort_date_and_grade, study_rollup, confidence_rollup, dataset_rollup, study_grade, series_view, split_assign, split_summary, split_series_propagate, stratified_sample, seeded_sample, hash_bucket_split, pending_work)}
+QUERIES = {f.__name__: f for f in (cohort_grade_seq_vendor, cohort_swan_like, cohort_complete_protocol_study, cohort_complete_protocol_series, cohort_two_sequences, cohort_exact_filters, cohort_date_and_grade, study_rollup, study_manifest, confidence_rollup, dataset_rollup, study_grade, series_view, split_assign, split_summary, split_series_propagate, stratified_sample, seeded_sample, hash_bucket_split, pending_work)}
 ORACLE = {
     "cohort_grade_seq_vendor": f"WITH {SERIES}, {STUDIES} SELECT study_id, series_key, sequence_type, quality_grade, vendor, score FROM series JOIN studies USING (study_id) WHERE quality_grade IN ('A', 'B') AND lower(sequence_type) LIKE '%promo%' AND lower(vendor) = 'building' AND abs(field_strength_T - 0.04::DOUBLE) <= 0.0151::DOUBLE",
     "cohort_swan_like": "SELECT p_partkey, p_type AS sequence_type FROM part WHERE regexp_matches(lower(p_type), 'small|econ')",
@@ -135,3 +147,7 @@ SELECT study_id, round(av, 6) AS avg_score, lo AS worst_score, hi AS best_score,
     "hash_bucket_split": "SELECT l_partkey, count(*) AS n FROM lineitem WHERE CAST('0x' || substr(sha256(CAST(l_partkey AS VARCHAR)), 1, 8) AS BIGINT) % 10 >= 2 GROUP BY l_partkey",
     "pending_work": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) AND o_orderstatus <> 'P'",
 }
+ORACLE["study_manifest"] = f"""SELECT u.*, CASE WHEN u.study_id % 3 = 0 THEN round(u.study_id * 1000 / 1048576::DOUBLE, 6) END AS total_size_mb, CASE WHEN u.study_id % 3 = 0 THEN u.study_id || '/' || u.study_id || '.slices.tar' END AS tar_shard_path, coalesce(c.n, 0) AS confidence_n_series,
+coalesce(c.m, 0.0) AS confidence_mean, coalesce(c.lo, 0.0) AS confidence_min, coalesce(c.low, 0.0) AS confidence_pct_low, coalesce(c.esc, 0) AS confidence_n_needs_escalation, coalesce(c.prem, 0.0) AS confidence_pct_premium_used
+FROM ({ORACLE["study_rollup"]}) u LEFT JOIN (SELECT l_orderkey, count(*) AS n, round(avg(q), 6) AS m, round(min(q), 6) AS lo, round(avg((q < 0.6::DOUBLE)::INT), 6) AS low, count_if(l_returnflag = 'R')::BIGINT AS esc, round(avg((l_linestatus = 'O')::INT), 6) AS prem
+FROM (SELECT *, l_quantity::DOUBLE / 64 AS q FROM lineitem WHERE l_quantity > 10 AND l_linenumber < 5) GROUP BY 1) c ON c.l_orderkey = u.study_id"""

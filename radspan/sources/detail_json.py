@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from radspan.functions.scoring import letter, tier
 from radspan.functions.text import plane
 
-SCHEMA = """series struct<uid:string,number:long,description:string,modality:string,sop_class:string,file_count:long,source_subdir:string>,
+SCHEMA = """series struct<uid:string,number:long,description:string,modality:string,sop_class:string,sop_class_uid:string,file_count:long,has_pixels:boolean,source_subdir:string>,
 sequence_classification struct<sequence_type:string,confidence:string,reasoning:array<string>,parameters:struct<TR_ms:double,TE_ms:double,TI_ms:double,flip_angle_deg:double,b_value:double>>,
 sequence_params struct<tr:double,te:double,ti:double,fa:double,b:double,field_strength:double>,
 volume_stats struct<volume_shape:array<long>,spacing_mm:array<double>,fov_mm:array<double>,volume_snr_estimate:double,volume_cnr:double,volume_entropy:double,quality_grade:string,quality_score:double>,
 quality_analysis struct<quality_grade:string,quality_score:double>,
 advanced_quality struct<ml_training_score:struct<score:double,grade:string,commercial_tier:string>>,
-file_paths array<string>, series_uid string, series_number long, series_description string, modality string, file_count long, _bad string"""
-# fixed values: identity keys of a flat document and their place in the nested one
-HOISTED = {"uid": "series_uid", "number": "series_number", "description": "series_description", "modality": "modality", "file_count": "file_count"}
+file_paths array<string>, series_uid string, series_number long, series_description string, uid string, number long, description string, modality string, sop_class string, sop_class_uid string, file_count long, has_pixels boolean, source_subdir string, _bad string"""
+# fixed values: places of the identity in the nested document and the keys of a flat one that fill them
+HOISTED = {"uid": ["series_uid", "uid"], "number": ["series_number", "number"], "description": ["series_description", "description"], "modality": ["modality"], "sop_class": ["sop_class"], "sop_class_uid": ["sop_class_uid"], "file_count": ["file_count"], "has_pixels": ["has_pixels"], "source_subdir": ["source_subdir"]}
 
 
 def read(spark: SparkSession, root: str) -> DataFrame:
@@ -34,7 +34,7 @@ def parse(raw: DataFrame) -> DataFrame:
     """path, raw, d: the document; anything but a JSON object gives null. Flat documents get a series struct."""
     d = F.when(F.ltrim("raw").startswith("{"), F.from_json("raw", SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     rows = raw.withColumn("d", d)
-    nested = F.struct(*[F.coalesce(F.col(f"d.series.{k}"), F.col(f"d.{flat}")).alias(k) for k, flat in HOISTED.items()])
+    nested = F.struct(*[F.coalesce(F.col(f"d.series.{k}"), *[F.col(f"d.{x}") for x in flat]).alias(k) for k, flat in HOISTED.items()])
     return rows.withColumn("series", F.when(F.col("d").isNotNull(), nested))
 
 

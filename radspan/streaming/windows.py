@@ -57,5 +57,6 @@ def stage_state_stream(events: DataFrame, key: str, status: str, time: str) -> D
 
 def run_report(events: DataFrame, status: str, error: str, most: int = 20) -> DataFrame:
     """One row: events, failures, and at most `most` errors in order."""
-    errors = F.slice(F.array_sort(F.collect_set(F.when(F.col(status) == "failed", F.col(error)))), 1, most)
-    return events.agg(F.count("*").alias("n"), F.count_if(F.col(status) == "failed").alias("n_failed"), errors.alias("errors"))
+    first = events.where((F.col(status) == "failed") & F.col(error).isNotNull()).select(F.col(error).alias("e")).distinct().orderBy("e").limit(most)
+    errors = first.agg(F.array_sort(F.collect_list("e")).alias("errors"))  # one row of at most `most` texts
+    return events.agg(F.count("*").alias("n"), F.count_if(F.col(status) == "failed").alias("n_failed")).join(F.broadcast(errors))
