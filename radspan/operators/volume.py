@@ -48,6 +48,14 @@ def bound(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def binned(v: np.ndarray, bins: int) -> tuple[np.ndarray, float, float]:
+    """Counts in equal-width bins, the least value and the width of all; a constant array is one unit wide around its value."""
+    low, high = float(v.min()), float(v.max())
+    low, width = (low - 0.5, 1.0) if low == high else (low, high - low)
+    places = np.minimum(np.floor((v - low) / width * bins).astype(np.int64), bins - 1)
+    return np.bincount(places, minlength=bins), low, width
+
+
 def with_histogram(df: DataFrame, values: str, bins: int, name: str = "counts") -> DataFrame:
     """df with counts in equal-width bins from the least to the greatest value, the last one closed, and _low and _width.
 
@@ -65,10 +73,8 @@ def with_histogram(df: DataFrame, values: str, bins: int, name: str = "counts")
                 if v is None or not len(v):
                     found.append((None if v is None else [0] * bins, None, None))
                     continue
-                low, high = float(v.min()), float(v.max())
-                low, width = (low - 0.5, 1.0) if low == high else (low, high - low)
-                places = np.minimum(np.floor((v - low) / width * bins).astype(np.int64), bins - 1)
-                found.append((np.bincount(places, minlength=bins).tolist(), low, width))
+                n, low, width = binned(v, bins)
+                found.append((n.tolist(), low, width))
             counts, lows, widths = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.list_(pa.int32())), pa.array(lows, pa.float64()), pa.array(widths, pa.float64())], names=[*batch.schema.names, name, "_low", "_width"])
 
@@ -104,6 +110,12 @@ def min_max_mask(values: Column, threshold: float = 0.3) -> Column:
     return F.transform(v, lambda x: (x - lo) / F.greatest(hi - lo, F.lit(1e-8)) > threshold)
 
 
+def tissue_mask(values: Column, low: float = 0.15, high: float = 0.99) -> Column:
+    """Whether the value lies strictly between two percentiles of its array."""
+    cuts = F.struct(percentile(values, low).alias("a"), percentile(values, high).alias("b"))
+    return bound(cuts, lambda p: F.transform(_doubles(values), lambda x: (x > p["a"]) & (x < p["b"])))
+
+
 def projection(values: Column, outer: int, inner: int, largest: bool = True) -> Column:
     """Maximum (or minimum) over the first axis of an outer x inner array."""
     pick = F.array_max if largest else F.array_min
@@ -239,7 +251,7 @@ def motion(v: np.ndarray) -> tuple[float, float, bool, float]:
     return ratio, near, ratio > 2.5 and near < 0.8, min(severity, 100.0)
 
 
-def _split(x: np.ndarray, bins: int = 256) -> float:
+def split_threshold(x: np.ndarray, bins: int = 256) -> float:
     """The threshold of largest variance between two classes."""
     n, edges = np.histogram(x, bins)
     c = (edges[1:] + edges[:-1]) / 2
@@ -254,11 +266,22 @@ def contrast(v: np.ndarray) -> float:
     x = v[v > 0]
     if len(x) < 100:
         return 0.0
-    t = _split(x)
+    t = split_threshold(x)
     high, low = x[x > t], x[x <= t]
     return float(abs(high.mean() - low.mean()) / max(low.std(), 1e-6)) if min(len(high), len(low)) >= 10 else 0.0
 
 
+#: fixed value: the noise floor of magnitude images in units of its sigma
+RICIAN = 1.526
+
+
+def noise(v: np.ndarray) -> tuple[float, float, str]:
+    """noise_floor(), the sigma behind it, and a word for it."""
+    n = noise_floor(v)
+    words = ((5, "very low noise"), (15, "low noise"), (30, "moderate noise"))
+    return n, n / RICIAN, next((w for below, w in words if n < below), "high noise")
+
+
 def noise_floor(v: np.ndarray) -> float:
     """Deviation of positive voxels in the middle slice's corners, or of the lowest twentieth of all."""
     s = v[v.shape[0] // 2] if v.ndim > 2 else v
@@ -292,12 +315,18 @@ def edge_variance(v: np.ndarray) -> float:
     return float(lap.var(axis=(1, 2)).mean())
 
 
-def histogram_peaks(v: np.ndarray, bins: int = 128) -> int:
+def histogram_peaks(v: np.ndarray, bins: int = 128) -> tuple[int, float, str]:
+    """Peaks of the smoothed histogram of positive voxels, the least distance between neighbours as a share of its width,
+    and how hard the classes are to tell apart."""
     x = v[v > 0]
     if len(x) < 100:
-        return 0
-    m = np.convolve(np.histogram(x, bins)[0].astype(float), np.full(5, 0.2), "same")
-    return int(((m[1:-1] > m[:-2]) & (m[1:-1] > m[2:]) & (m[1:-1] > m.max() * 0.05)).sum())
+        return 0, 0.0, "hard"
+    n, edges = np.histogram(x, bins)
+    centres = (edges[1:] + edges[:-1]) / 2
+    m = np.convolve(n.astype(float), np.full(5, 0.2), "same")
+    at = 1 + np.flatnonzero((m[1:-1] > m[:-2]) & (m[1:-1] > m[2:]) & (m[1:-1] > m.max() * 0.05))
+    apart = float(np.diff(centres[at].round(1)).min() / max(centres[-1] - centres[0], 1e-6)) if len(at) > 1 else 0.0
+    return len(at), apart, "easy" if len(at) >= 3 and apart > 0.1 else "medium" if len(at) >= 2 else "hard"
 
 
 def slice_consistency(v: np.ndarray, most: int = 20) -> float:
@@ -308,23 +337,26 @@ def slice_consistency(v: np.ndarray, most: int = 20) -> float:
     return float(np.mean(found)) if found else 1.0
 
 
-METRICS = "symmetry_index double, symmetry string, sharpness_mean double, sharpness_std double, sharpness_p95 double, ghosting_ratio double, slice_correlation double, motion boolean, motion_score double, cnr double, noise_floor double, bias_severity double, laplacian_variance double, n_peaks int, mean_correlation double"
+METRICS = "symmetry_index double, symmetry string, sharpness_mean double, sharpness_std double, sharpness_p95 double, ghosting_ratio double, slice_correlation double, motion boolean, motion_score double, cnr double, noise_floor double, rician_sigma double, noise string, bias_severity double, laplacian_variance double, n_peaks int, min_peak_separation double, segmentation string, mean_correlation double"
+#: in place of symmetry, sharpness and motion of volumes that are too small to tell
+NEUTRAL = (1.0, "N/A (small)", 0.0, 0.0, 0.0, 1.0, 1.0, False, 0.0)
 
 
-def measure(v: np.ndarray, description: str | None = None) -> tuple:
-    return *symmetry(v, description), *sharpness(v), *motion(v), contrast(v), noise_floor(v), bias_field(v), edge_variance(v), histogram_peaks(v), slice_consistency(v)
+def measure(v: np.ndarray, description: str | None = None, small: int = 0) -> tuple:
+    basic = NEUTRAL if v.size <= small else (*symmetry(v, description), *sharpness(v), *motion(v))
+    return *basic, contrast(v), *noise(v), bias_field(v), edge_variance(v), *histogram_peaks(v), slice_consistency(v)
 
 
-def with_metrics(df: DataFrame, key: str, values: str, shape: tuple[int, ...], description: str | None = None) -> DataFrame:
+def with_metrics(df: DataFrame, key: str, values: str, shape: tuple[int, ...], description: str | None = None, small: int = 0) -> DataFrame:
     """key and all metrics of each volume; volumes that do not have the shape give nulls. description: a column that tells
-    sagittal and coronal series, whose halves are not compared."""
+    sagittal and coronal series, whose halves are not compared; small: volumes of at most so many voxels get NEUTRAL values."""
     names = [x.split()[0] for x in METRICS.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [{"double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "int": pa.int32()}[x.split()[1]] for x in METRICS.split(", ")]
         for batch in batches:
             pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            rows = [measure(np.asarray(v, np.float64).reshape(shape), text) if v is not None and len(v) == np.prod(shape) else (None,) * len(names) for v, text in pairs]
+            rows = [measure(np.asarray(v, np.float64).reshape(shape), text, small) if v is not None and len(v) == np.prod(shape) else (None,) * len(names) for v, text in pairs]
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], names=["key", *names])
 

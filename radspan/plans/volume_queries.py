@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from radspan.operators import volume
+from radspan.operators import volume, volume_stats as whole
 from radspan.plans.proxies import table
 
 
@@ -65,6 +65,28 @@ def label_volumes(spark, sf):
     return volume.label_volumes(rows, "vec_id", "mask", F.lit(1.5)).withColumn("cc", F.round("cc", 6))
 
 
+def _bright(spark, sf):
+    return _v(spark, sf).select("vec_id", F.transform("embedding", lambda x: F.abs(x.cast("double")) * 100).alias("v"))
+
+
+def volume_stats(spark, sf):
+    """The statistics that SQL can name; the threshold and what rests on it are tested on fixtures."""
+    out = whole.volume_stats(_bright(spark, sf), "vec_id", "v", (4, 4, 4), F.array(*map(F.lit, (0.5, 0.5, 2.0))))
+    named = [n for n in whole.FIGURES if n not in ("otsu_threshold", "volume_snr_estimate", "volume_cnr", "volume_tissue_pct", "volume_voxel_count")]
+    return out.select("vec_id", "volume_voxel_count", F.array_join("volume_shape", "x").alias("shape"), F.get("fov_mm", F.lit(0)).alias("fov_z"), *[F.round(n, 6).alias(n) for n in named])
+
+
+def image_stats(spark, sf):
+    out = whole.image_stats(_v(spark, sf), "vec_id", "embedding", 16)
+    names = [n for n in out.columns if n.startswith("pixel_") or n == "nonzero_ratio"]
+    return out.select("vec_id", *[F.round(n, 6).alias(n) for n in names], F.array_join("histogram_counts", "|").alias("counts"))
+
+
+def tissue_mask(spark, sf):
+    mask = volume.tissue_mask(F.col("embedding"))
+    return _v(spark, sf).select("vec_id", F.size(F.filter(mask, lambda x: x)).cast("long").alias("n"))
+
+
 def volume_metrics(spark, sf):
     return volume.with_metrics(_v(spark, sf), "vec_id", "embedding", (4, 4, 4))
 
@@ -73,7 +95,7 @@ _LONG = "l AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(e
 _BINS = f"{_LONG}, m AS (SELECT vec_id, min(v) AS lo, max(v) AS hi, count(*) AS n FROM l GROUP BY 1), h AS (SELECT l.vec_id, CAST(least(floor((v - lo) / (hi - lo) * 16), 15) AS INT) AS b, count(*) AS c FROM l JOIN m ON l.vec_id = m.vec_id GROUP BY ALL), f AS (SELECT m.vec_id, m.lo, m.hi, m.n, r.b, coalesce(h.c, 0) AS c, lo + (hi - lo) * (r.b + 0.5) / 16 AS ce FROM m CROSS JOIN (SELECT CAST(unnest(range(16)) AS INT) AS b) r LEFT JOIN h ON h.vec_id = m.vec_id AND h.b = r.b)"
 _Q = "embedding::DOUBLE[]"
 
-QUERIES = {f.__name__: f for f in (entropy_hist, pixel_stats, otsu_threshold, hist_peaks, slice_anomalies, adjacent_corr, window_normalise, minmax_mask, pyramid_2x, max_projection, label_volumes, volume_metrics)}
+QUERIES = {f.__name__: f for f in (entropy_hist, pixel_stats, otsu_threshold, hist_peaks, slice_anomalies, adjacent_corr, window_normalise, minmax_mask, pyramid_2x, max_projection, label_volumes, volume_stats, image_stats, tissue_mask, volume_metrics)}
 ORACLE = {
     "entropy_hist": f"WITH {_BINS} SELECT vec_id, round(-sum(c / n::DOUBLE * log2(c / n::DOUBLE)), 8) AS entropy FROM f WHERE c > 0 GROUP BY vec_id",
     "pixel_stats": f"WITH {_LONG}, a AS (SELECT vec_id, avg(v) AS mu, stddev_pop(v) AS sd FROM l GROUP BY 1) SELECT l.vec_id, round(any_value(mu), 7) AS mean, round(any_value(sd), 7) AS std, round(avg(pow((v - mu) / sd, 3)), 7) AS skew, round(avg(pow((v - mu) / sd, 4)) - 3, 7) AS kurt, round(quantile_cont(v, 0.05), 7) AS p5, round(quantile_cont(v, 0.5), 7) AS p50, round(quantile_cont(v, 0.95), 7) AS p95 FROM l JOIN a ON l.vec_id = a.vec_id GROUP BY l.vec_id",
@@ -87,3 +109,19 @@ ORACLE = {
     "max_projection": "WITH l AS (SELECT vec_id, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings) SELECT vec_id, CAST(i % 8 AS INT) AS place, max(v) AS v FROM l GROUP BY 1, 2",
     "label_volumes": f"WITH l AS (SELECT vec_id, unnest(embedding) AS v FROM embeddings) SELECT vec_id, CAST(floor(abs(v) * 10) AS BIGINT) AS label, round(count(*) * 1.5::DOUBLE / 1000, 6) AS cc FROM l WHERE floor(abs(v) * 10) <> 0 GROUP BY 1, 2",
 }
+_B = "l AS (SELECT vec_id, abs(unnest(embedding)::DOUBLE) * 100 AS v, unnest(range(len(embedding))) AS i FROM embeddings), m AS (SELECT vec_id, min(v) AS lo, max(v) AS hi, avg(v) AS mu, stddev_pop(v) AS sd, count(*) AS n FROM l GROUP BY 1)"
+_ENTROPY = "e AS (SELECT vec_id, -sum(p * log2(p)) AS bits FROM (SELECT l.vec_id, count(*) / any_value(n)::DOUBLE AS p FROM l JOIN m ON l.vec_id = m.vec_id GROUP BY l.vec_id, least(floor((v - lo) / (hi - lo) * 256), 255)) GROUP BY 1)"
+_MOMENTS = "round(avg(pow((v - mu) / sd, 3)), 6) AS {0}_skewness, round(avg(pow((v - mu) / sd, 4)) - 3, 6) AS {0}_kurtosis, round(any_value(bits), 6) AS {0}_entropy, round(min(v), 6) AS {0}_min, round(max(v), 6) AS {0}_max, round(any_value(mu), 6) AS {0}_mean, round(any_value(sd), 6) AS {0}_std, round(quantile_cont(v, 0.5), 6) AS {0}_median, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 6) AS {0}_iqr"
+
+
+def _percentiles(prefix: str, wanted: tuple[int, ...]) -> str:
+    return ", ".join(f"round(quantile_cont(v, {q / 100}), 6) AS {prefix}_p{q}" for q in wanted)
+
+
+ORACLE["volume_stats"] = f"""WITH {_B}, {_ENTROPY}, s AS (SELECT vec_id, i // 16 AS z, avg(v) AS a, stddev_pop(v) AS d, avg(v) / (stddev_pop(v) + 1e-6) AS r FROM l GROUP BY ALL),
+t AS (SELECT vec_id, round(avg(r), 6) AS slice_snr_mean, round(stddev_pop(r), 6) AS slice_snr_std, round(min(r), 6) AS slice_snr_min, round(max(r), 6) AS slice_snr_max, round(1 - stddev_pop(a) / (avg(a) + 1e-6), 6) AS slice_intensity_uniformity, max(CASE WHEN z = 2 THEN a END) AS ca, max(CASE WHEN z = 2 THEN d END) AS cd FROM s GROUP BY 1),
+u AS (SELECT l.vec_id, {_MOMENTS.format("volume")}, {_percentiles("volume", (1, 5, 25, 75, 95, 99))}, count(*) AS volume_voxel_count, round(max(v) - min(v), 6) AS volume_dynamic_range, round(any_value(mu / (sd + 1e-6)), 6) AS volume_snr_naive, round(avg((v <> 0)::INT) * 100, 6) AS volume_nonzero_pct, any_value(mu) AS mu, any_value(sd) AS sd FROM l JOIN m ON l.vec_id = m.vec_id JOIN e ON e.vec_id = l.vec_id GROUP BY l.vec_id)
+SELECT u.* EXCLUDE (mu, sd), t.* EXCLUDE (vec_id, ca, cd), round(CASE WHEN ca < 0.3::DOUBLE * mu AND cd > 1e-6 THEN cd ELSE greatest(sd, 1e-6) END, 6) AS background_noise_std, '4x4x4' AS shape, 8.0::DOUBLE AS fov_z, 0.5::DOUBLE AS voxel_volume_mm3, 32.0::DOUBLE AS total_volume_mm3, 0.032::DOUBLE AS total_volume_cc FROM u JOIN t ON u.vec_id = t.vec_id"""
+ORACLE["image_stats"] = f"""WITH {_BINS}, e AS (SELECT vec_id, -sum(p * log2(p)) AS bits FROM (SELECT l.vec_id, count(*) / any_value(n)::DOUBLE AS p FROM l JOIN m ON l.vec_id = m.vec_id GROUP BY l.vec_id, least(floor((v - lo) / (hi - lo) * 256), 255)) GROUP BY 1), d AS (SELECT vec_id, avg(v) AS mu, stddev_pop(v) AS sd FROM l GROUP BY 1), c AS (SELECT vec_id, string_agg(c::VARCHAR, '|' ORDER BY b) AS counts FROM f GROUP BY 1)
+SELECT l.vec_id, {_MOMENTS.format("pixel")}, {_percentiles("pixel", whole.PERCENTILES)}, round(avg((v <> 0)::INT), 6) AS nonzero_ratio, any_value(counts) AS counts FROM l JOIN d ON l.vec_id = d.vec_id JOIN e ON l.vec_id = e.vec_id JOIN c ON l.vec_id = c.vec_id GROUP BY l.vec_id"""
+ORACLE["tissue_mask"] = f"WITH {_LONG}, q AS (SELECT vec_id, quantile_cont(v, 0.15) AS a, quantile_cont(v, 0.99) AS b FROM l GROUP BY 1) SELECT l.vec_id, count_if(v > a AND v < b)::BIGINT AS n FROM l JOIN q ON l.vec_id = q.vec_id GROUP BY 1"
