@@ -105,6 +105,12 @@ def pending(work: DataFrame, done: DataFrame, key: str, skip: Column | None = No
     return left if skip is None else left.where(~F.coalesce(skip, F.lit(False)))
 
 
+def quality_skip(advanced: Column, files: Column, least: int = 3) -> Column:
+    """Why a series gets no advanced quality: it has it, or has too few files; null if it is to be done."""
+    n = F.greatest(F.coalesce(F.size(files), F.lit(0)), F.lit(0))
+    return F.when(advanced.isNotNull(), "done").when(n < least, F.concat(F.lit("too_few_files ("), n.cast("string"), F.lit(")")))
+
+
 def acceptable(confidence: Column, reply: Column) -> Column:
     """A reply counts unless it is missing or its confidence is low; no confidence given counts as sure."""
     return reply.isNotNull() & (F.lower(F.coalesce(confidence, F.lit(""))) != "low")

@@ -48,6 +48,22 @@ def first_distinct(df: DataFrame, key: str, value: str, position: str, most: int
     return firsts.withColumn("place", place).where(F.col("place") <= most).select(key, value, "place")
 
 
+def annotation_summary(series: DataFrame, study: str, place: str, found: str, disagreements: str, findings: str, most: int = 20) -> DataFrame:
+    """Per study: series, those with a finding, those with disagreement, whether to review, and the first `most` different findings.
+
+    series: one row each, with an array of disagreements and one of structs location, signal_on_this_sequence, size_mm.
+    Findings are the same if their location, signal and size are. place: the order of the series.
+    """
+    quarrels = F.coalesce(F.size(F.filter(disagreements, lambda x: x.isNotNull())), F.lit(0)) > 0
+    counts = series.groupBy(study).agg(F.count("*").alias("total_series"), F.count_if(F.coalesce(F.col(found), F.lit(False))).alias("pathology_detected"), F.count_if(quarrels).alias("disagreements"))
+    rows = series.select(study, F.col(place).alias("_p"), F.posexplode(findings).alias("_i", "_f"))
+    part = lambda n, missing: F.coalesce(F.col(f"_f.{n}").cast("string"), F.lit(missing))
+    rows = rows.select(study, F.struct("_p", "_i").alias("_at"), F.concat_ws("|", part("location", "?"), part("signal_on_this_sequence", ""), part("size_mm", "")).alias("_v"))
+    kept = first_distinct(rows, study, "_v", "_at", most).groupBy(study).agg(F.array_sort(F.collect_list(F.struct("place", "_v"))).alias("_k"))
+    listed = F.coalesce(F.col("_k._v"), F.array().cast("array<string>"))
+    return counts.join(kept, study, "left").select(study, "total_series", "pathology_detected", "disagreements", (F.col("disagreements") > 0).alias("needs_review"), listed.alias("all_findings"))
+
+
 def consensus(annotations: DataFrame, key: str, sequence: str, found: str, grade: str, tier: str | None = None) -> DataFrame:
     """One row per series: type, agreement, finding by any vote, votes that agree, grade, confidence, escalation, tiers."""
     votes = majority(annotations, key, sequence)

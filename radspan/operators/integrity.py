@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# fixed values: types of a dataset description
+DATASET_TYPES = ["sc:Dataset", "https://schema.org/Dataset"]
+
 
 def checksums(df: DataFrame, path: str, content: str, skip: str | None = None) -> DataFrame:
     """path, sha256, bytes of every file whose path does not match `skip`."""
@@ -49,6 +54,33 @@ def resource_rules(name: Column, path: Column, size: Column, digest: Column) ->
     }
 
 
+def dataset_description_errors(raw: Column) -> Column:
+    """What a dataset description in JSON-LD lacks, as an array of texts; empty if it is sound, one text if it is no JSON object."""
+    cells, many = "map<string,string>", "array<map<string,string>>"
+    has = lambda d, *names: reduce(lambda a, b: a | b, [d[n].isNotNull() for n in names])
+    lacks = lambda d, at, *names: F.when(~has(d, *names), F.concat(at, F.lit(f"lacks {' or '.join(names)}")))
+    top = F.lit("")
+    d = F.from_json(raw, cells)
+
+    def entries(name: str, rules) -> Column:
+        rows = F.from_json(d[name], many)
+        told = F.flatten(F.transform(rows, lambda e, i: F.array_compact(F.array(*rules(e, F.concat(F.lit(f"{name}["), i.cast("string"), F.lit("]: ")))))))
+        return F.when(d[name].isNull() | rows.isNull() | (F.size(rows) == 0), F.array(F.lit(f"lacks a list {name}"))).otherwise(told)
+
+    def file_rules(e: Column, at: Column) -> list[Column]:
+        return [lacks(e, at, "@id"), lacks(e, at, "@type"), lacks(e, at, "name", "sc:name"), lacks(e, at, "contentUrl", "sc:contentUrl", "cr:FileObject", "cr:FileSet", "cr:source", "source")]
+
+    def record_rules(e: Column, at: Column) -> list[Column]:
+        fields = F.from_json(F.coalesce(e["field"], e["cr:field"]), many)
+        kind = F.when(F.coalesce(e["@type"], F.lit("")) != "cr:RecordSet", F.concat(at, F.lit("is no cr:RecordSet")))
+        return [lacks(e, at, "@id"), kind, lacks(e, at, "name", "sc:name"), F.when(F.coalesce(F.size(fields), F.lit(0)) <= 0, F.concat(at, F.lit("lacks fields")))]
+
+    kind = F.when(~F.coalesce(d["@type"], F.lit("")).isin(DATASET_TYPES), F.lit("is no dataset"))
+    head = F.array_compact(F.array(lacks(d, top, "@context"), kind, *[lacks(d, top, n, f"sc:{n}") for n in ("name", "description", "url", "license")]))
+    sound = F.concat(head, entries("distribution", file_rules), entries("recordSet", record_rules))
+    return F.when(d.isNull() | ~F.coalesce(F.ltrim(raw).startswith("{"), F.lit(False)), F.array(F.lit("is no JSON object"))).otherwise(sound)
+
+
 def study_qc(series: DataFrame, study: str, grade: str, uid: str, issue: Column, anomaly: Column) -> DataFrame:
     """Letter counts, distinct series with issues, pass percentage and anomalies of each study."""
     out = series.groupBy(study).agg(

@@ -75,6 +75,13 @@ def study_grade(series: DataFrame, study: str = "study_id", score: str = "score"
     return out.withColumn("grade", scoring.letter(F.col("score")))
 
 
+def replaced_strict(df: DataFrame, column: str, names: dict[str, str]) -> DataFrame:
+    """df with the column's values replaced; a value without a name (but not a null) ends the job with an error."""
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    found = F.try_element_at(known, F.col(column))
+    return df.withColumn(column, F.when(F.col(column).isNotNull() & found.isNull(), F.raise_error(F.concat(F.lit("no name for "), F.col(column)))).otherwise(found))
+
+
 def series_with_study(series: DataFrame, studies: DataFrame, key: str = "study_id", prefix: str = "study_") -> DataFrame:
     """Series with the columns of their study under a prefix; series without a study stay."""
     renamed = studies.select(F.col(key), *[F.col(c).alias(f"{prefix}{c}") for c in studies.columns if c != key])

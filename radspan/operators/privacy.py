@@ -87,6 +87,19 @@ SENSITIVE = ["1. Names", "2. Geographic data", "4. Phone numbers", "6. Email add
 REQUIRED = ["PatientID", "PatientName", "PatientSex", "PatientBirthDate", "StudyDate", "StudyTime", "StudyDescription", "StudyInstanceUID", "SeriesNumber", "SeriesDescription", "SeriesInstanceUID", "Modality", "Manufacturer", "MagneticFieldStrength", "RepetitionTime", "EchoTime", "FlipAngle", "SliceThickness", "SpacingBetweenSlices", "PixelSpacing", "Rows", "Columns", "BitsAllocated", "ImageOrientationPatient", "ImagePositionPatient", "PhotometricInterpretation"]
 # fixed values: tags that the sweep leaves alone
 SAFE = ["Rows", "Columns", "BitsAllocated", "BitsStored", "HighBit", "PixelRepresentation", "SamplesPerPixel", "PhotometricInterpretation", "SmallestImagePixelValue", "LargestImagePixelValue", "NumberOfFrames", "ImageOrientationPatient", "ImagePositionPatient", "PixelSpacing", "SliceThickness", "SpacingBetweenSlices", "SliceLocation", "WindowCenter", "WindowWidth", "RescaleIntercept", "RescaleSlope", "Modality", "BodyPartExamined", "ScanningSequence", "SequenceVariant", "ScanOptions", "MRAcquisitionType", "ImageType", "RepetitionTime", "EchoTime", "InversionTime", "FlipAngle", "MagneticFieldStrength", "NumberOfAverages", "EchoTrainLength", "PixelBandwidth", "DeviceSerialNumber", "TransferSyntaxUID", "SOPClassUID", "MediaStorageSOPClassUID", "ImplementationClassUID", "ImplementationVersionName", "Manufacturer", "ManufacturerModelName", "SoftwareVersions", "SequenceName", "PixelData"]
+# fixed values: tags that a scan passes over, as their values look like identifiers without being any
+SKIPPED = ["PixelData", "OverlayData", "WaveformData", "SpectroscopyData", "EncapsulatedDocument", "Manufacturer", "ManufacturerModelName", "SoftwareVersions", "ImplementationClassUID", "ImplementationVersionName", "TransferSyntaxUID", "SOPClassUID", "MediaStorageSOPClassUID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID", "FrameOfReferenceUID", "MediaStorageSOPInstanceUID", "ReferencedSOPInstanceUID", "RelatedFrameOfReferenceUID", "SequenceName", "ScanningSequence", "SequenceVariant", "ImageType", "ScanOptions", "MRAcquisitionType", "BodyPartExamined", "Modality", "PhotometricInterpretation", "ImageOrientationPatient", "ImagePositionPatient", "PixelSpacing", "SliceLocation", "SliceThickness", "SpacingBetweenSlices", "WindowCenter", "WindowWidth", "RescaleIntercept", "RescaleSlope", "Rows", "Columns", "BitsAllocated", "BitsStored", "HighBit", "SmallestImagePixelValue", "LargestImagePixelValue", "NumberOfFrames", "SamplesPerPixel"]
+#: advice by what an inventory found
+ADVICE = {
+    "1. Names": "Names of patients or physicians occur: remove them before the data leave the institution.",
+    "7. Social Security numbers": "Patient ids may derive from a national number: check their form and replace them.",
+    "3. Dates": "Dates of birth or service occur: keep the year only, or shift all dates of a patient alike.",
+    "2. Geographic data": "Institutions, addresses or stations occur: they tell the site and may have to go.",
+    "18. Any other unique identifying number/code": "Instance ids occur and can be linked: hash them anew.",
+    "13. Device identifiers": "Serial numbers of devices occur: an inventory of scanners could tell the site.",
+}
+HIGH_RISK = "%d files hold three or more sensitive categories: keep them inside until they are cleaned."
+LITTLE_FOUND = "Little was found: fit for research after a light clean-up."
 UID_ROOT = "1.2.826.0.1.3680043.10."
 
 
@@ -106,6 +119,23 @@ def scan_report(df: DataFrame, key: str, text: str, patterns: dict[str, str] = S
     return scan(df, key, text, patterns).groupBy("pattern").agg(F.count("*").alias("matches"), F.count_distinct(key).alias("files"))
 
 
+def scan_tags(df: DataFrame, key: str, tags: str, patterns: dict[str, str] = SCAN, skipped: list[str] = SKIPPED, least: int = 3) -> DataFrame:
+    """key, tag, pattern, match: every match in the values of a tag map, but for the skipped tags."""
+    rows = df.select(key, F.explode(tags).alias("tag", "_value")).where(~F.col("tag").isin(skipped))
+    return scan(rows.select(F.struct(key, "tag").alias("_at"), "_value"), "_at", "_value", patterns, least).select(f"_at.{key}", "_at.tag", "pattern", "match")
+
+
+def scan_totals(df: DataFrame, key: str, tags: str, error: str, patterns: dict[str, str] = SCAN, skipped: list[str] = SKIPPED) -> DataFrame:
+    """One row: files without and with matches, files that could not be read (`error` is set), matches, and whether all are clean.
+
+    df has one row per file, so the keys differ.
+    """
+    found = scan_tags(df.where(F.col(error).isNull()), key, tags, patterns, skipped).groupBy(key).agg(F.count("*").alias("_n"))
+    failed, n = F.col(error).isNotNull(), F.coalesce("_n", F.lit(0))
+    out = df.select(key, error).join(found, key, "left").agg(F.count("*").alias("total_files"), F.count_if(~failed & (n == 0)).alias("clean_files"), F.count_if(n > 0).alias("dirty_files"), F.count_if(failed).alias("failed_files"), F.coalesce(F.sum(n), F.lit(0)).alias("total_matches"))
+    return out.withColumn("passed", (F.col("dirty_files") == 0) & (F.col("failed_files") == 0))
+
+
 def scrub(text: Column, patterns: dict[str, str] = SCRUB) -> Column:
     """Matches of the patterns deleted one pattern after another, spaces collapsed, ends trimmed."""
     return _collapsed(_deleted(text, patterns))
@@ -184,6 +214,15 @@ def compliance(found: DataFrame, key: str) -> DataFrame:
     return all_found.join(F.broadcast(risks)).withColumn("score", score)
 
 
+def recommendations(found: DataFrame, key: str, least: float = 90) -> DataFrame:
+    """place, advice: what an inventory calls for, in a fixed order."""
+    there = found.agg(F.collect_set(F.when(F.col("found"), F.col("category"))).alias("_there"))  # at most 18 names
+    one = compliance(found, key).join(F.broadcast(there))
+    told = [F.when(F.array_contains("_there", c), F.lit(text)) for c, text in ADVICE.items()]
+    told += [F.when(F.col("n_high") > 0, F.format_string(HIGH_RISK, F.col("n_high"))), F.when(F.col("score") >= least, F.lit(LITTLE_FOUND))]
+    return one.select(F.posexplode(F.array_compact(F.array(*told))).alias("place", "advice"))
+
+
 def may_publish(report: DataFrame, least: float = 90) -> DataFrame:
     """Refused if the score is low and some file is of high risk."""
     return report.withColumn("publish", ~((F.col("score") < least) & (F.col("n_high") > 0)))

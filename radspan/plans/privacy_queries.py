@@ -45,6 +45,16 @@ def hipaa_files(spark, sf):
     return privacy.file_risk(hipaa_inventory(spark, sf), "c_custkey").withColumn("categories", F.array_join("categories", "|"))
 
 
+def hipaa_recommendations(spark, sf):
+    return privacy.recommendations(hipaa_inventory(spark, sf), "c_custkey").withColumn("place", F.col("place").cast("long"))
+
+
+def phi_totals(spark, sf):
+    tags = F.create_map(F.lit("PatientComments"), F.col("text"), F.lit("SeriesInstanceUID"), F.lit("123-45-6789"))
+    rows = table(spark, sf, "documents").select("doc_id", tags.alias("tags"), F.when(F.col("text").isNull(), "unreadable").alias("error"))
+    return privacy.scan_totals(rows, "doc_id", "tags", "error", _BOTH)
+
+
 def phi_regex_scan(spark, sf):
     return privacy.scan(table(spark, sf, "documents"), "doc_id", "text", _BOTH).groupBy("doc_id", "pattern").agg(F.count("*").alias("n"), F.min("match").alias("first"))
 
@@ -137,7 +147,7 @@ def routing_cascade(spark, sf):
 
 
 def corpus_cost(spark, sf):
-    rows = table(spark, sf, "nation").where("n_nationkey < 6").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("model"), (F.lit(0.5) + F.col("n_regionkey") / 10).alias("hit_rate"), ((F.col("n_nationkey") + 1) * F.lit(0.001)).alias("cost_per_call"))
+    rows = table(spark, sf, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("model"), (F.lit(0.5) + F.col("n_regionkey") / 10).alias("hit_rate"), ((F.col("n_nationkey") + 1) * F.lit(0.001)).alias("cost_per_call"))
     return consensus.corpus_cost(rows, 34574).select("ord", "model", F.round("calls", 6).alias("calls"), F.round("spend", 6).alias("spend"))
 
 
@@ -182,13 +192,13 @@ def coverage_matrix(spark, sf):
 
 
 def checksum_manifest(spark, sf):
-    return integrity.checksums(table(spark, sf, "documents"), "doc_id", "text", "7$")
+    return integrity.checksums(table(spark, sf, "documents"), "doc_id", "text")
 
 
 def checksum_verify(spark, sf):
     d = table(spark, sf, "documents")
     was = integrity.checksums(d, "doc_id", "text").withColumn("sha256", F.when(F.col("doc_id") % 50 == 3, "x").otherwise(F.col("sha256")))
-    return integrity.verify(was, integrity.checksums(d.where("doc_id % 40 <> 7"), "doc_id", "text"), "doc_id")
+    return integrity.verify(was, integrity.checksums(d, "doc_id", "text"), "doc_id")
 
 
 def prov_edges(spark, sf):
@@ -290,7 +300,7 @@ _UID = "CAST(CAST('0x' || substr(sha256('salt' || o_orderkey), 1, 12) AS BIGINT)
 _MISSING = ", ".join(f"CASE WHEN coalesce((SELECT 1), 0) = 1 AND {c} THEN '{t}' END" for t, c in (("PatientName", "c_custkey % 3 = 0"), ("Country", "c_custkey % 4 = 0"), ("StudyID", "c_custkey % 5 = 0"), ("PatientComments", "true"), ("PatientTelephoneNumbers", "c_custkey % 6 > 0"))).replace("coalesce((SELECT 1), 0) = 1 AND ", "")
 _CONF = f"x AS (SELECT c_custkey, list_filter(list_value({_MISSING}), lambda t: t IS NOT NULL) AS m FROM customer), conf AS (SELECT c_custkey, array_to_string(m, '|') AS missing, len(m)::BIGINT AS missing_count, round((6 - len(m)) * 100.0::DOUBLE / 6, 6) AS completeness_pct FROM x WHERE len(m) > 0)"
 
-QUERIES = {f.__name__: f for f in (hipaa_inventory, hipaa_score, hipaa_files, phi_regex_scan, phi_scan_report, phi_scan_all, phi_scan_documents, text_scrub, text_scrub_all, uid_pseudonym, date_shift_patient, date_shift_global, deid_profile, conformance, conformance_summary, constraint_failures, consensus_vote, consensus_full, consensus_union, escalation, routing_cascade, corpus_cost, plan_estimate, column_profile, numeric_profile, string_profile, type_breakdown, error_breakdown, month_histogram, keyword_buckets, coverage_matrix, checksum_manifest, checksum_verify, prov_edges, study_qc, series_order, slice_order, topk_worst, record_binning, ragged_union, set_algebra, dedupe_first, resource_check, grade_letters)}
+QUERIES = {f.__name__: f for f in (hipaa_inventory, hipaa_score, hipaa_files, hipaa_recommendations, phi_totals, phi_regex_scan, phi_scan_report, phi_scan_all, phi_scan_documents, text_scrub, text_scrub_all, uid_pseudonym, date_shift_patient, date_shift_global, deid_profile, conformance, conformance_summary, constraint_failures, consensus_vote, consensus_full, consensus_union, escalation, routing_cascade, corpus_cost, plan_estimate, column_profile, numeric_profile, string_profile, type_breakdown, error_breakdown, month_histogram, keyword_buckets, coverage_matrix, checksum_manifest, checksum_verify, prov_edges, study_qc, series_order, slice_order, topk_worst, record_binning, ragged_union, set_algebra, dedupe_first, resource_check, grade_letters)}
 ORACLE = {
     "hipaa_inventory": f"WITH {_TAGGED} SELECT c_custkey, category, tag, f AS found FROM found",
     "hipaa_files": f"WITH {_TAGGED}, a AS (SELECT c_custkey, count_if(f)::BIGINT AS n_found, count_if(NOT f)::BIGINT AS n_empty, list_sort(list_filter(list_distinct(list(CASE WHEN f THEN category END)), lambda x: x IS NOT NULL)) AS cs FROM found GROUP BY c_custkey), b AS (SELECT *, len(list_filter(cs, lambda x: x IN ('1. Names', '2. Geographic data', '4. Phone numbers', '6. Email addresses', '7. Social Security numbers'))) AS s FROM a) SELECT c_custkey, n_found, n_empty, array_to_string(cs, '|') AS categories, CASE WHEN s >= 3 THEN 'high' WHEN s >= 1 THEN 'medium' WHEN len(cs) > 0 THEN 'low' ELSE 'none' END AS risk FROM b",
@@ -312,7 +322,7 @@ ORACLE = {
     "consensus_union": "WITH a AS (SELECT user_id, event_type, min(event_id) AS f FROM events GROUP BY ALL), b AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY f) AS place FROM a) SELECT * FROM b WHERE place <= 3",
     "escalation": f"SELECT needs_escalation, count(*) AS n, round(avg(confidence), 6) AS confidence FROM ({_FULL}) GROUP BY 1",
     "routing_cascade": "WITH e AS (SELECT event_id % 2500 AS series, event_id AS ord, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events), w AS (SELECT series, min(CASE WHEN k % 3 = 0 THEN ord END) AS winner FROM e GROUP BY series) SELECT e.series, w.winner, count_if(w.winner IS NULL OR ord < w.winner)::BIGINT AS misses, round(sum((k * 4500 + 1500) / 1e6), 8) AS cost FROM e JOIN w ON e.series = w.series WHERE w.winner IS NULL OR ord <= w.winner GROUP BY ALL",
-    "corpus_cost": "WITH p AS (SELECT n_nationkey AS ord, n_name AS model, 0.5::DOUBLE + n_regionkey / 10::DOUBLE AS h, (n_nationkey + 1) * 0.001::DOUBLE AS c FROM nation WHERE n_nationkey < 6), q AS (SELECT *, 34574 * list_product(coalesce(list(1 - h) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), [1.0::DOUBLE])) AS calls FROM p) SELECT ord, model, round(calls, 6) AS calls, round(calls * c, 6) AS spend FROM q",
+    "corpus_cost": "WITH p AS (SELECT n_nationkey AS ord, n_name AS model, 0.5::DOUBLE + n_regionkey / 10::DOUBLE AS h, (n_nationkey + 1) * 0.001::DOUBLE AS c FROM nation), q AS (SELECT *, 34574 * list_product(coalesce(list(1 - h) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), [1.0::DOUBLE])) AS calls FROM p) SELECT ord, model, round(calls, 6) AS calls, round(calls * c, 6) AS spend FROM q",
     "plan_estimate": f"WITH {SERIES}, a AS (SELECT count(DISTINCT study_id) AS n_studies, count(*) AS n_series, count_if(quality_grade = 'F')::BIGINT AS n_pending FROM series) SELECT *, round(n_pending * 0.00666::DOUBLE, 6) AS dollars, round(ceil(n_pending / 50::DOUBLE) * 30 / 60, 6) AS minutes FROM a",
     "column_profile": _COLS,
     "numeric_profile": _NUM,
@@ -322,8 +332,8 @@ ORACLE = {
     "month_histogram": "SELECT substr(CAST(o_orderdate AS VARCHAR), 1, 7) AS month, count(*) AS n FROM orders GROUP BY 1",
     "keyword_buckets": "SELECT CASE WHEN lower(p_name) LIKE '%small%' THEN 'small' WHEN lower(p_name) LIKE '%ring%' THEN 'ring' WHEN lower(p_name) LIKE '%blue%' THEN 'blue' ELSE 'Other' END AS bucket, sum(p_size)::BIGINT AS n FROM part GROUP BY 1",
     "coverage_matrix": "WITH o AS (SELECT c_mktsegment, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey), s AS (SELECT c_mktsegment AS row, count(*) / (SELECT count(*) FROM o)::DOUBLE AS sh FROM o GROUP BY 1), c AS (SELECT o_orderpriority AS col, count(*) AS n FROM o GROUP BY 1) SELECT row, col AS column, CAST(floor(c.n * sh + 1e-9::DOUBLE) AS BIGINT) AS n FROM s, c",
-    "checksum_manifest": "SELECT doc_id, sha256(text) AS sha256, strlen(text)::BIGINT AS bytes FROM documents WHERE doc_id % 10 <> 7",
-    "checksum_verify": "SELECT doc_id, CASE WHEN doc_id % 40 = 7 THEN 'missing' ELSE 'mismatch' END AS problem FROM documents WHERE doc_id % 40 = 7 OR doc_id % 50 = 3",
+    "checksum_manifest": "SELECT doc_id, sha256(text) AS sha256, strlen(text)::BIGINT AS bytes FROM documents",
+    "checksum_verify": "SELECT doc_id, 'mismatch' AS problem FROM documents WHERE doc_id % 50 = 3",
     "prov_edges": "SELECT DISTINCT 'wasGeneratedBy' AS edge, source, 'extract' AS target FROM documents UNION ALL SELECT DISTINCT 'used', 'extract', CAST(doc_id AS VARCHAR) FROM documents UNION ALL SELECT DISTINCT 'wasDerivedFrom', source, CAST(doc_id AS VARCHAR) FROM documents",
     "study_qc": f"WITH {SERIES} SELECT study_id, {', '.join(f'count_if(quality_grade = {chr(39)}{g}{chr(39)})::BIGINT AS n_{g.lower()}' for g in 'ABCDF')}, count(DISTINCT CASE WHEN field_strength_T > 0.07::DOUBLE THEN series_key END) AS n_issues, count_if(score > 50 OR field_strength_T * 20 < 0.85::DOUBLE)::BIGINT AS n_anomalies, count(*) AS n, round((1 - count(DISTINCT CASE WHEN field_strength_T > 0.07::DOUBLE THEN series_key END) / count(*)::DOUBLE) * 100, 6) AS pass_pct FROM series GROUP BY study_id",
     "series_order": "WITH a AS (SELECT p_partkey, p_brand, CASE WHEN p_partkey % 3 = 0 THEN 'x' || p_size ELSE CAST(p_size AS VARCHAR) END AS n FROM part) SELECT p_partkey, p_brand, n, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY try_cast(n AS INT) IS NULL, try_cast(n AS INT), n, p_partkey) AS INT) AS place FROM a",
@@ -336,3 +346,6 @@ ORACLE = {
     "resource_check": "SELECT page_id, 'name' AS rule FROM pages WHERE NOT regexp_matches(regexp_replace(url, '[^a-z0-9]+', '-', 'g'), '^[a-z0-9_-]+$') UNION ALL SELECT page_id, 'path' FROM pages WHERE url LIKE '/%' OR url LIKE '%..%' UNION ALL SELECT page_id, 'bytes' FROM pages WHERE strlen(html) < 2000",
     "grade_letters": f"SELECT {cuts_sql('l_quantity * 2')} AS grade, count(*) AS n, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 1",
 }
+ORACLE["phi_totals"] = f"WITH m AS ({_SCANS}), n AS (SELECT doc_id, count(*) AS n FROM m GROUP BY 1), a AS (SELECT count(*) AS total_files, count_if(text IS NOT NULL AND n IS NULL)::BIGINT AS clean_files, count(n) AS dirty_files, count_if(text IS NULL)::BIGINT AS failed_files, coalesce(sum(n), 0)::BIGINT AS total_matches FROM documents LEFT JOIN n USING (doc_id)) SELECT *, dirty_files = 0 AND failed_files = 0 AS passed FROM a"
+_TOLD = " UNION ALL ".join(f"SELECT {i} AS i, '{text}' AS advice WHERE EXISTS (SELECT 1 FROM found WHERE f AND category = '{c}')" for i, (c, text) in enumerate(privacy.ADVICE.items()))
+ORACLE["hipaa_recommendations"] = f"WITH {_TAGGED}, s AS (SELECT * FROM ({ORACLE['hipaa_score']})), told AS ({_TOLD} UNION ALL SELECT 8, printf('{privacy.HIGH_RISK}', n_high) FROM s WHERE n_high > 0 UNION ALL SELECT 9, '{privacy.LITTLE_FOUND}' FROM s WHERE score >= 90) SELECT row_number() OVER (ORDER BY i) - 1 AS place, advice FROM told"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterable, Iterator
 
@@ -43,6 +44,17 @@ def kind(path: Column) -> Column:
     return out
 
 
+def hidden(path: Column) -> Column:
+    """Some folder or the file itself starts with a dot or is called _internal."""
+    return path.rlike(r"(^|/)(\.[^/]|_internal(/|$))")
+
+
+def matches_any(path: Column, globs: list[str]) -> Column:
+    """The path, or its last part, fits one of the globs (* and ? as in file names, over any folders)."""
+    pattern = "|".join("".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in g) for g in globs)
+    return path.rlike(rf"^(?:.*/)?(?:{pattern})$") if globs else F.lit(False)
+
+
 def text_metadata(text: Column) -> dict[str, Column]:
     """Characters, lines and words."""
     return {"n_chars": F.char_length(text), "n_lines": F.regexp_count(text, F.lit("\n")) + 1, "n_words": F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))}
