@@ -138,3 +138,35 @@ def shift_any(value: Column, days: int) -> Column:
     clock = F.when(F.length(s) >= 14, F.substring(s, 9, 1000)).otherwise("")
     good = (F.length(s) < 14) | F.substring(s, 9, 6).rlike("^([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9]$")
     return F.when(s == "", "").when(alone, s).when(good, F.coalesce(F.concat(day, clock), F.lit(""))).otherwise("")
+
+
+# fixed values: file extensions with their format and media type
+MEDIA = {
+    "parquet": ("parquet", "application/vnd.apache.parquet"),
+    "json": ("json", "application/json"),
+    "png": ("png", "image/png"),
+    "mcap": ("mcap", "application/x-mcap"),
+    "dcm": ("dcm", "application/dicom"),
+}
+
+
+def media_type(path: Column) -> tuple[Column, Column]:
+    """Format and media type by the extension of a path; null for any other."""
+    extension = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
+    name = lambda i: F.coalesce(*[F.when(extension == k, F.lit(v[i])) for k, v in MEDIA.items()])
+    return name(0), name(1)
+
+
+def group_name(path: Column) -> Column:
+    """A relative path as an array-store group: without the NIfTI ending, odd characters as underscores, no empty or dot parts."""
+    parts = F.split(F.regexp_replace(path, r"\.nii(\.gz)?$", ""), "/")
+    return F.array_join(F.transform(F.filter(parts, lambda p: ~p.isin("", ".")), lambda p: F.regexp_replace(p, "[^A-Za-z0-9._-]", "_")), "/")
+
+
+def model_family(model: Column) -> Column:
+    """Which caching rules a model id follows, by its prefix; ids without a prefix count as openai."""
+    return F.when(model.startswith("anthropic/"), "anthropic").when(model.startswith("google/gemini"), "google").when(model.startswith("openai/") | ~model.contains("/"), "openai").otherwise("other")
+
+
+def sharpness_label(mean: Column) -> Column:
+    return F.when(mean > 20, "very sharp").when(mean > 10, "sharp").when(mean > 5, "moderate").when(mean.isNotNull(), "soft/blurry")
