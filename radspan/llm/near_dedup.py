@@ -188,25 +188,31 @@ def _solved(rows: DataFrame, attach: Callable[[DataFrame], DataFrame], solve: Ca
     return every.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id", "side").mapInArrow(_grouped(solve, made), LINKS)
 
 
+def _solver(attach: Callable[[DataFrame], DataFrame], made: Callable[[list[bytes]], Near]) -> Callable[[DataFrame, bool], DataFrame]:
+    """For chunk_links(): attach(rows) adds the column `value` by id; made(values) tells which values are linked."""
+    return lambda rows, across: _solved(rows, attach, _across if across else _forest, made)
+
+
 def _place(chunks: Column) -> Column:
     return F.pmod(F.xxhash64("id"), chunks).cast("int")
 
 
-def chunk_links(members: DataFrame, attach: Callable[[DataFrame], DataFrame], made: Callable[[list[bytes]], Near]) -> DataFrame:
+def chunk_links(members: DataFrame, solved: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
     """Links that connect what is linked within each group; members: a work table of key, id, chunks (of the group).
 
-    attach(rows) adds the column `value` by id; made(values) tells which values are linked.
+    solved(rows, across) gives links a, b that connect what is linked in each cell of rows (key, lows, highs, id, comp,
+    side): among all its members, or across, between sides 0 and 1 of different comp.
     """
     none, zero = F.lit(None).cast("long"), F.lit(0)
     dealt = members.select("key", "id", none.alias("comp"), zero.alias("side"), F.array(_place(F.col("chunks"))).alias("lows"), F.array(zero).alias("highs"))
     big = members.where("chunks > 1")
     if big.isEmpty():
-        return _solved(dealt, attach, _forest, made)
+        return solved(dealt, False)
     first = [F.min("id"), *[F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(1, LEADERS)]]
     leaders = big.groupBy("key", "chunks").agg(F.array_distinct(F.array(*first)).alias("ids")).select("key", "chunks", F.explode("ids").alias("id"))
     others = F.array_remove(F.sequence(zero, F.col("chunks") - 1), _place(F.col("chunks")))
     dealt = dealt.unionByName(leaders.select("key", "id", none.alias("comp"), zero.alias("side"), others.alias("lows"), F.array(zero).alias("highs")))
-    links = work_table(_solved(dealt, attach, _forest, made), "links")
+    links = work_table(solved(dealt, False), "links")
 
     found = components(links)
     parts = work_table(big.join(sized(found), "id", "left").select("key", "id", "chunks", F.coalesce("component", "id").alias("comp")), "parts")
@@ -219,7 +225,7 @@ def chunk_links(members: DataFrame, attach: Callable[[DataFrame], DataFrame], ma
     few, many = F.sequence(zero, F.col("few") - 1), F.sequence(zero, F.col("chunks") - 1)
     met = parts.select("key", "id", "comp", zero.alias("side"), few.alias("lows"), F.array(_place(F.col("chunks"))).alias("highs"))
     out = parts.where("out").select("key", "id", "comp", F.lit(1).alias("side"), F.array(_place(F.col("few"))).alias("lows"), many.alias("highs"))
-    return links.unionByName(_solved(met.unionByName(out), attach, _across, made))
+    return links.unionByName(solved(met.unionByName(out), True))
 
 
 def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
@@ -235,7 +241,7 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing(least), LINKS)
     large = members.where(F.col("n") > SMALL).select(F.col("h").alias("key"), "id", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     signatures = nodes.select("id", F.col("signature").alias("value"))
-    return pairs.unionByName(chunk_links(large, lambda rows: rows.join(signatures, "id"), _by_signature(least)))
+    return pairs.unionByName(chunk_links(large, _solver(lambda rows: rows.join(signatures, "id"), _by_signature(least))))
 
 
 def _sets_of(words: int) -> Callable:
@@ -270,7 +276,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
         both = texts.join(sized(rows), "id").select("text", *rows.columns)
         return both.mapInArrow(_sets_of(words), f"{', '.join(f'{n} {t}' for n, t in rows.dtypes)}, value binary")
 
-    found = components(chunk_links(members, attach, _by_sets(percent)))
+    found = components(chunk_links(members, _solver(attach, _by_sets(percent))))
     # the least of each component, over the representatives of its classes
     named = work_table(found.join(reps, "id"), "named")
     least = named.groupBy("component").agg(F.min("least").alias("all"))
