@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radspan.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality, shard, token_counts, token_files, topk
+from radspan.llm import exact_dedup, filter_audit, language_id, mixing, near_dedup, packing, quality, shard, simhash, spelling, token_counts, token_files, topk
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +64,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard(_documents(spark, sf_dir), 8)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failures(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.link(_documents(spark, sf_dir))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(_documents(spark, sf_dir), damage=199)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op5_topk, op6_exact_dedup, op7_language_id, op8_quality, op9_near_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_packing, op2_token_files, op3_mixing, op4_token_counts, op5_topk, op6_exact_dedup, op7_language_id, op8_quality, op9_near_dedup, op10_sharding, op11_filter_audit, op12_simhash, op13_spelling)}
 
 
 OP6_SQL = """
@@ -92,4 +104,4 @@ SELECT * FROM r WHERE rank <= 10
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": OP5_SQL, "op3_mixing": mixing.ORACLE_SQL, "op6_exact_dedup": OP6_SQL}
+    return {"op5_topk": OP5_SQL, "op3_mixing": mixing.ORACLE_SQL, "op6_exact_dedup": OP6_SQL, "op11_filter_audit": filter_audit.ORACLE_SQL}
