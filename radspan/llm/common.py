@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: A side of a join with at most so many rows (of a few numbers each) is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 1_000_000
+#: A side of a join with at most so many rows and bytes is broadcast; a larger one is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 #: White space of the text contracts: space, and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -65,9 +65,24 @@ def with_group(rows: DataFrame, key: str, aggregates: list[Column], support: flo
     return near.unionByName(light.join(light.groupBy(key).agg(*aggregates), key))
 
 
-def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df marked for broadcast if it has at most `limit` rows (counted unless given), else df as it is, for a shuffled join."""
-    return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df
+def _width(name: str, kind: T.DataType) -> Column:
+    """About the bytes of a value of this column."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        return 8 * F.coalesce(F.size(name), F.lit(0))
+    return F.lit(8 * (len(kind) if isinstance(kind, T.StructType) else 1))
+
+
+def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for broadcast if it has at most `limit` rows and `most` bytes, else df as it is, for a shuffled join.
+
+    Both are counted, in one pass over the columns whose width varies, unless the number of rows is given.
+    """
+    size = None
+    if rows is None:
+        rows, size = df.agg(F.count("*"), F.sum(sum((_width(f"`{f.name}`", f.dataType) for f in df.schema), F.lit(0)))).first()
+    return F.broadcast(df) if rows <= limit and (size or 0) <= most else df
 
 
 def small_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -> None:

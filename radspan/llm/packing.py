@@ -2,7 +2,7 @@
 
 A document's ids (with an end id) are one piece if they fit a sequence; longer ones are cut into full sequences, the
 first piece taking what is left over. A full piece is a sequence of its own. The other pieces, one a document at most,
-are dealt by a hash to groups of about GROUP_ROWS documents, and each group is packed longest first: a piece goes where
+are dealt by a hash of their row to groups of about GROUP_ROWS documents, and each group is packed longest first: a piece goes where
 the sum over all residual gaps of the squared number of open sequences with that gap becomes smallest; a new sequence
 is opened only where none has room. A group holds lengths and places only; the ids stay where they are until
 sequences() is asked for.
@@ -27,6 +27,8 @@ from radspan.llm.tokens import gathered, id_encoder
 
 CAPACITY, END_ID = 2048, 0
 GROUP_ROWS = 1 << 16
+#: Up to so many groups; beyond them groups grow to GREATEST_GROUP rows, and only then there are more.
+GROUPS, GREATEST_GROUP = 4096, 1 << 20
 #: Ids of pieces that go out in one batch, about.
 BATCH_IDS = 1 << 22
 
@@ -105,8 +107,9 @@ def sum_of_squares(lengths: Iterable[int], capacity: int) -> tuple[list[int], li
     return sequence, offset
 
 
-def place(rows: DataFrame, n_groups: int, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
-    """rows (id, piece, start, length and other small columns) with sequence_id and offset."""
+def place(rows: DataFrame, groups: int, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
+    """rows (id, row, piece, start, length and other small columns) with sequence_id and offset; dealt by the number of the
+    row, so that rows that agree in all else are spread."""
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, sequence_id long, offset long"
     length = rows.columns.index("length")
 
@@ -131,19 +134,20 @@ def place(rows: DataFrame, n_groups: int, capacity: int = CAPACITY, id_col: str
             sequence, offset = sum_of_squares(table.column(length).to_pylist(), capacity)
             yield from placed(table, np.asarray(sequence, np.int64) + used, np.asarray(offset, np.int64))
 
-    others = [c for c in rows.columns if c not in (id_col, "piece", "start", "length")]
-    dealt = rows.repartition(n_groups, id_col, "start", "length", *others)
-    return dealt.sortWithinPartitions(F.desc("length"), id_col, "piece", *others).mapInArrow(pack, schema)
+    dealt = rows.repartition(groups, "row", "piece")
+    return dealt.sortWithinPartitions(F.desc("length"), id_col, "piece", "row").mapInArrow(pack, schema)
 
 
-def _groups(docs: DataFrame) -> int:
-    return max(1, math.ceil(docs.count() / GROUP_ROWS))
+def n_groups(rows: int) -> int:
+    """Groups for so many documents: what a group gathers comes from every map task, so their number is held down."""
+    return max(1, min(GROUPS, math.ceil(rows / GROUP_ROWS)), math.ceil(rows / GREATEST_GROUP))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     rows = pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col)
-    return place(rows.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), _groups(docs), capacity, id_col)
+    rows = rows.select(id_col, "row", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return place(rows, n_groups(docs.count()), capacity, id_col).drop("row")
 
 
 def sequences(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,7 +156,7 @@ def sequences(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, en
     The pieces wait in a work table, where each has the number of its row: rows that repeat an id stay apart.
     """
     found = work_table(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces")
-    placed = place(found.drop("ids"), _groups(docs), capacity, id_col).select("row", "piece", "sequence_id", "offset")
+    placed = place(found.drop("ids"), n_groups(docs.count()), capacity, id_col).select("row", "piece", "sequence_id", "offset")
     both = found.join(placed, ["row", "piece"]).select("sequence_id", F.struct("offset", F.col(id_col).alias("id"), "start", "length", "ids").alias("p"))
     both = both.groupBy("sequence_id").agg(F.array_sort(F.collect_list("p")).alias("p"))  # at most `capacity` ids
     ids = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"]))

@@ -211,7 +211,7 @@ class IdEncoder:
     @staticmethod
     def _cut_of(made: dict) -> str:
         pre, model = made.get("pre_tokenizer") or {}, made["model"]
-        inert = model["type"] == "BPE" and not model.get("dropout") and made.get("post_processor") is None or (made.get("post_processor") or {}).get("type") == "ByteLevel"
+        inert = model["type"] == "BPE" and not model.get("dropout") and (made.get("post_processor") or {}).get("type", "ByteLevel") == "ByteLevel"
         added = made.get("added_tokens") or []
         inert = inert and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["normalized"] or t["single_word"] for t in added)
         if inert and made.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space"):

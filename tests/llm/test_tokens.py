@@ -200,3 +200,24 @@ def test_token_counts_where_tasks_have_no_unit(spark):
     assert sorted(tuple(r)[:3] for r in token_counts.count_tokens(few, PIECE).collect()) == [(1, 3, 2), (2, 6, len(LengthCounter(PIECE).model.encode("▁  c")))]
     blank = spark.createDataFrame([(i, ("", None)[i % 2]) for i in range(5)], schema).repartition(3)
     assert sorted(tuple(r) for r in token_counts.count_tokens(blank, PIECE).collect()) == [(i, 0, 0, False) for i in range(5)]
+
+
+def test_equal_rows_without_id_are_spread_over_groups(spark):
+    """Rows that agree in everything but their number."""
+    rows = spark.range(20_000).selectExpr("cast(null as long) as doc_id", "id as row", "0 as piece", "0L as start", "700L as length")
+    placed = packing.place(rows, 4).collect()
+    sizes = Counter(r.sequence_id >> 40 for r in placed)
+    assert len(sizes) == 4 and max(sizes.values()) < 6_000
+    assert len({(r.sequence_id, r.offset) for r in placed}) == 20_000
+
+
+def test_number_of_groups_is_bounded():
+    assert [packing.n_groups(n) for n in (0, 1, 65_537, 1 << 30, 10**10)] == [1, 1, 2, 4096, 9537]
+
+
+def test_models_with_dropout_are_never_cut():
+    from radspan.llm.tokens import IdEncoder
+
+    made = {"model": {"type": "BPE", "dropout": 0.1}, "post_processor": {"type": "ByteLevel"}, "pre_tokenizer": {"type": "ByteLevel"}}
+    assert IdEncoder._cut_of(made) not in ("space", "word")
+    assert IdEncoder._cut_of(made | {"model": {"type": "BPE"}}) == "space"
