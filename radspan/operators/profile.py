@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from radspan.operators import ranks
+
 #: Distinct values that are broadcast at most.
 BROADCAST_ROWS = 100_000
 
@@ -27,55 +29,18 @@ def _number(column: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _bin(v: Column, a: float, b: float, bins: int) -> Column:
-    """The place of v among equal bins of [a, b]; halves keep the width finite. Where bins would have no width, a stands alone."""
-    width = (b / 2 - a / 2) / bins
-    place = F.floor((v / 2 - a / 2) / F.lit(width)) if width > 0 else (v > a).cast("long")
-    return F.least(place, F.lit(bins - 1))
-
-
-def at_ranks(df: DataFrame, column: str, ranks: list[int], bins: int = 4096) -> list[float]:
-    """The values at these ranks (from 0) of the column in order, exactly, without a sort of all rows.
-
-    Nulls and NaN are left out; infinities are counted and stand at the ends. Each round counts the values of the
-    intervals that may hold a rank in equal bins, at most `bins` for each rank, and goes on with the bin that does, until
-    it holds one value. Every round takes at least one value off an interval's end.
-    """
-    v = df.select(_number(column).alias("v")).where("v is not null")
-    finite = F.when(F.abs("v") < float("inf"), F.col("v"))
-    low, high, below, inside = v.agg(F.min(finite), F.max(finite), F.count_if(F.col("v") == float("-inf")), F.count(finite)).first()
-    ends = {r: float("-inf") if r < below else float("inf") for r in set(ranks) if not below <= r < below + inside}
-    spans = {r: (low, high, r - below) for r in set(ranks) if r not in ends}  # the interval, and the rank inside it
-    while open_spans := {r: s for r, s in spans.items() if s[0] < s[1]}:
-        cells = []
-        for r, (a, b, _) in open_spans.items():
-            cells.append(F.when(F.col("v").between(a, b), F.struct(F.lit(r).alias("rank"), _bin(F.col("v"), a, b, bins).alias("bin"))))
-        rows = v.select("v", F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.rank", "c.bin").agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
-        found: dict[int, list] = {}
-        for x in rows.collect():  # at most `bins` rows for each rank
-            found.setdefault(x["rank"], []).append((x["a"], x["b"], x["n"]))
-        for r, (_, _, place) in open_spans.items():
-            for a, b, n in sorted(found[r]):
-                if place < n:
-                    spans[r] = (a, b, place)
-                    break
-                place -= n
-    return [ends[r] if r in ends else spans[r][0] for r in ranks]
-
-
 def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """min, max, mean, median, sample deviation, nearest-rank quartiles (the row at round(q * (n - 1))) of each column. NaN is no
-    value; the mean of infinities of both signs, and the deviation with any infinity, are NaN."""
-    out = []
-    for c in columns:
-        v = _number(c)
-        stats = df.agg(F.lit(c).alias("column"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
-        n = df.where(v.isNotNull()).count()
-        near = [int(q * (n - 1) + 0.5) for q in (0.25, 0.75)]
-        a, b, p25, p75 = at_ranks(df, c, [(n - 1) // 2, n // 2, *near]) if n else (None,) * 4
-        value = lambda x: F.lit(x).cast("double")
-        out.append(stats.select("column", "min", "max", "mean", value(None if a is None else (a + b) / 2).alias("median"), "std", value(p25).alias("p25"), value(p75).alias("p75")))
-    return reduce(DataFrame.unionByName, out)
+    value; the mean of infinities of both signs, and the deviation with any infinity, are NaN.
+
+    The columns are unpivoted, so that two scans of the table serve all of them, however many there are.
+    """
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _number(c).alias("v")) for c in columns])).alias("x")).select("x.*")
+    stats = [F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")]
+    wanted = {"_a": ranks.below(0.5), "_b": ranks.above(0.5), "p25": ranks.nearest(0.25), "p75": ranks.nearest(0.75)}
+    found = ranks.order_statistics(long, "column", "v", wanted, stats)
+    every = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("column"))
+    return F.broadcast(every).join(found, "column", "left").select("column", "min", "max", "mean", ((F.col("_a") + F.col("_b")) / 2).alias("median"), "std", "p25", "p75")
 
 
 def string_profile(df: DataFrame, columns: list[str]) -> DataFrame:

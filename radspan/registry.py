@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from radspan.plans import cohort_queries, export_queries, privacy_queries, stream_queries, summary_queries, text_queries, volume_queries
+from radspan.plans import cohort_queries, export_queries, privacy_queries, source_queries, stream_queries, summary_queries, text_queries, volume_queries
 
-MODULES = [cohort_queries, text_queries, privacy_queries, volume_queries, stream_queries, export_queries, summary_queries]
+MODULES = [cohort_queries, text_queries, privacy_queries, volume_queries, stream_queries, export_queries, summary_queries, source_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
