@@ -1,5 +1,5 @@
-"""Array maths on volumes: row expressions without a shuffle for histograms and masks, small windows over bins and slices,
-and one Arrow function for what needs transforms or neighbourhoods (symmetry, sharpness, motion, noise, bias, edges)."""
+"""Array maths on volumes: row expressions without a shuffle for histograms and masks, small windows over bins and slices.
+What needs transforms or neighbourhoods (symmetry, sharpness, motion, noise, bias, edges) is in `slices`."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from radspan.operators import slices
+
 
 def _doubles(values: Column) -> Column:
     return F.transform(values, lambda x: x.cast("double"))
@@ -201,56 +203,6 @@ def field_of_view(shape: Column, spacing: Column) -> Column:
     return F.zip_with(shape, F.reverse(spacing), lambda n, s: n * s)
 
 
-# ---- one volume at a time, in Arrow batches
-
-
-#: fixed values: words of a description that is not axial
-NOT_AXIAL = ("SAG", "COR")
-
-
-def symmetry(v: np.ndarray, description: str | None = None) -> tuple[float, str]:
-    """Correlation of the left half with the mirrored right half, at least 0; neutral for flat and for non-axial volumes."""
-    if v.ndim < 3:
-        return 1.0, "N/A (2D)"
-    if any(x in (description or "").upper() for x in NOT_AXIAL):
-        return 1.0, "N/A (non-axial)"
-    if v.shape[0] < 3:
-        return 1.0, "N/A (single slice)"
-    half = v.shape[-1] // 2
-    a, b = (x - x.mean() for x in (v[..., :half], v[..., ::-1][..., :half]))
-    scale = np.sqrt(np.square(a).sum() * np.square(b).sum())
-    r = float((a * b).sum() / scale) if scale > 1e-12 else 0.0
-    names = ((0.90, "symmetric"), (0.80, "normal"), (0.65, "mild asymmetry"))
-    return max(0.0, r), next((n for cut, n in names if r > cut), "significant asymmetry")
-
-
-def sharpness(v: np.ndarray) -> tuple[float, float, float]:
-    """Mean, deviation and 95th percentile of the middle slice's gradient."""
-    s = v[v.shape[0] // 2] if v.ndim > 2 else v
-    g = np.hypot(np.diff(s, axis=0)[:, :-1], np.diff(s, axis=1)[:-1])
-    return float(g.mean()), float(g.std()), float(np.percentile(g, 95))
-
-
-def _correlation(a: np.ndarray, b: np.ndarray) -> float | None:
-    return float(np.corrcoef(a.ravel(), b.ravel())[0, 1]) if a.std() > 1e-6 and b.std() > 1e-6 else None
-
-
-def motion(v: np.ndarray) -> tuple[float, float, bool, float]:
-    """Ratio of spectral energy in the two directions, correlation with the next slice, whether both tell of motion, severity."""
-    k = v.shape[0] // 2
-    s = v[k] if v.ndim > 2 else v
-    m = np.abs(np.fft.fftshift(np.fft.fft2(s)))
-    y, x = (n // 2 for n in m.shape)
-    m[y, x] = 0
-    by, bx = (max(n // 8, 2) for n in m.shape)
-    e = sorted((float(m[max(y - by, 0) : y + by].sum()), float(m[:, max(x - bx, 0) : x + bx].sum())))
-    ratio = e[1] / e[0] if e[0] >= 1e-6 else 1.0
-    near = _correlation(v[k], v[k + 1]) if v.ndim > 2 and v.shape[0] > 2 else None
-    near = 1.0 if near is None else near
-    severity = 60 * min((ratio - 1) / 4, 1) + 40 * max(0.0, (1 - near) / 0.3)
-    return ratio, near, ratio > 2.5 and near < 0.8, min(severity, 100.0)
-
-
 def split_threshold(x: np.ndarray, bins: int = 256) -> float:
     """The threshold of largest variance between two classes."""
     n, edges = np.histogram(x, bins)
@@ -261,105 +213,9 @@ def split_threshold(x: np.ndarray, bins: int = 256) -> float:
     return float(c[b.argmax()])
 
 
-def contrast(v: np.ndarray) -> float:
-    """Distance of the means of the two classes of positive voxels in deviations of the lower one; 0 with too few voxels."""
-    x = v[v > 0]
-    if len(x) < 100:
-        return 0.0
-    t = split_threshold(x)
-    high, low = x[x > t], x[x <= t]
-    return float(abs(high.mean() - low.mean()) / max(low.std(), 1e-6)) if min(len(high), len(low)) >= 10 else 0.0
-
-
-#: fixed value: the noise floor of magnitude images in units of its sigma
-RICIAN = 1.526
-
-
-def noise(v: np.ndarray) -> tuple[float, float, str]:
-    """noise_floor(), the sigma behind it, and a word for it."""
-    n = noise_floor(v)
-    words = ((5, "very low noise"), (15, "low noise"), (30, "moderate noise"))
-    return n, n / RICIAN, next((w for below, w in words if n < below), "high noise")
-
-
-def noise_floor(v: np.ndarray) -> float:
-    """Deviation of positive voxels in the middle slice's corners, or of the lowest twentieth of all."""
-    s = v[v.shape[0] // 2] if v.ndim > 2 else v
-    n = max(s.shape[0] // 10, 5)
-    c = np.concatenate([p.ravel() for p in (s[:n, :n], s[:n, -n:], s[-n:, :n], s[-n:, -n:])])
-    c = c[c > 0]
-    if len(c) < 20:
-        x = v[v > 0]
-        if len(x) < 100:
-            return 0.0
-        c = x[x <= np.percentile(x, 5)]
-    return float(c.std())
-
-
-def bias_field(v: np.ndarray, grid: int = 4) -> float:
-    """Deviation over mean of the means of a grid's cells in the middle slice."""
-    s = v[v.shape[0] // 2] if v.ndim > 2 else v
-    h, w = (n // grid for n in s.shape)
-    if min(h, w) < 5:
-        return 0.0
-    cells = [s[i * h : (i + 1) * h, j * w : (j + 1) * w] for i in range(grid) for j in range(grid)]
-    means = np.array([c[c > 0].mean() for c in cells if (c > 0).sum() > 10])
-    return float(means.std() / max(means.mean(), 1e-6)) if len(means) >= 4 else 0.0
-
-
-def edge_variance(v: np.ndarray) -> float:
-    """Mean variance of the Laplacian (edges wrap round) over up to five slices."""
-    n = v.shape[0]
-    picked = v[np.linspace(n // 6, min(n - n // 6, n - 1), min(5, n), dtype=int)] if v.ndim > 2 else v[None]
-    lap = sum(np.roll(picked, d, a) for a in (1, 2) for d in (1, -1)) - 4 * picked
-    return float(lap.var(axis=(1, 2)).mean())
-
-
-def histogram_peaks(v: np.ndarray, bins: int = 128) -> tuple[int, float, str]:
-    """Peaks of the smoothed histogram of positive voxels, the least distance between neighbours as a share of its width,
-    and how hard the classes are to tell apart."""
-    x = v[v > 0]
-    if len(x) < 100:
-        return 0, 0.0, "hard"
-    n, edges = np.histogram(x, bins)
-    centres = (edges[1:] + edges[:-1]) / 2
-    m = np.convolve(n.astype(float), np.full(5, 0.2), "same")
-    at = 1 + np.flatnonzero((m[1:-1] > m[:-2]) & (m[1:-1] > m[2:]) & (m[1:-1] > m.max() * 0.05))
-    apart = float(np.diff(centres[at].round(1)).min() / max(centres[-1] - centres[0], 1e-6)) if len(at) > 1 else 0.0
-    return len(at), apart, "easy" if len(at) >= 3 and apart > 0.1 else "medium" if len(at) >= 2 else "hard"
-
-
-def slice_consistency(v: np.ndarray, most: int = 20) -> float:
-    if v.ndim < 3 or v.shape[0] < 3:
-        return 1.0
-    pairs = range(0, v.shape[0] - 1, max(v.shape[0] // most, 1))[:most]
-    found = [r for r in (_correlation(v[i], v[i + 1]) for i in pairs) if r is not None]
-    return float(np.mean(found)) if found else 1.0
-
-
-METRICS = "symmetry_index double, symmetry string, sharpness_mean double, sharpness_std double, sharpness_p95 double, ghosting_ratio double, slice_correlation double, motion boolean, motion_score double, cnr double, noise_floor double, rician_sigma double, noise string, bias_severity double, laplacian_variance double, n_peaks int, min_peak_separation double, segmentation string, mean_correlation double"
-#: in place of symmetry, sharpness and motion of volumes that are too small to tell
-NEUTRAL = (1.0, "N/A (small)", 0.0, 0.0, 0.0, 1.0, 1.0, False, 0.0)
-
-
-def measure(v: np.ndarray, description: str | None = None, small: int = 0) -> tuple:
-    basic = NEUTRAL if v.size <= small else (*symmetry(v, description), *sharpness(v), *motion(v))
-    return *basic, contrast(v), *noise(v), bias_field(v), edge_variance(v), *histogram_peaks(v), slice_consistency(v)
-
-
 def with_metrics(df: DataFrame, key: str, values: str, shape: tuple[int, ...], description: str | None = None, small: int = 0) -> DataFrame:
-    """key and all metrics of each volume; volumes that do not have the shape give nulls. description: a column that tells
-    sagittal and coronal series, whose halves are not compared; small: volumes of at most so many voxels get NEUTRAL values."""
-    names = [x.split()[0] for x in METRICS.split(", ")]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [{"double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "int": pa.int32()}[x.split()[1]] for x in METRICS.split(", ")]
-        for batch in batches:
-            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            rows = [measure(np.asarray(v, np.float64).reshape(shape), text, small) if v is not None and len(v) == np.prod(shape) else (None,) * len(names) for v, text in pairs]
-            columns = list(zip(*rows, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], names=["key", *names])
-
-    kind = df.schema[key].dataType.simpleString()
-    told = F.lit(None).cast("string") if description is None else F.col(description)
-    return df.select(key, values, told.alias("description")).mapInArrow(run, f"key {kind}, {METRICS}").withColumnRenamed("key", key)
+    """key and all figures of `slices` for volumes that are one array a row; arrays that do not have the shape give nulls.
+    description: a column that tells sagittal and coronal series; small: volumes of at most so many voxels are neutral."""
+    told = None if description is None else df.select(F.col(key).alias("volume"), F.col(description).alias("description"))
+    found = slices.metrics(slices.lines_of(df, key, values, shape), len(shape) < 3, small, told)
+    return df.select(key).join(found.withColumnRenamed("volume", key), key, "left")

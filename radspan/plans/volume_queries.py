@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from radspan.operators import volume, volume_stats as whole
+from radspan.operators import slices, volume, volume_stats as whole
 from radspan.plans.proxies import table
 
 
@@ -87,8 +87,17 @@ def tissue_mask(spark, sf):
     return _v(spark, sf).select("vec_id", F.size(F.filter(mask, lambda x: x)).cast("long").alias("n"))
 
 
+def _lines(spark, sf):
+    """Embeddings as image lines: 24 of them a slice, 5 slices a volume; values as in _bright."""
+    at = F.col("vec_id")
+    cell = [F.floor(at / 120).alias("volume"), F.floor(at % 120 / 24).cast("int").alias("z"), (at % 24).cast("int").alias("y")]
+    return _bright(spark, sf).select(*cell, F.col("v").alias("line"))
+
+
 def volume_metrics(spark, sf):
-    return volume.with_metrics(_v(spark, sf), "vec_id", "embedding", (4, 4, 4))
+    """All figures over lines; the last volume may have too few slices, or a slice with lines missing."""
+    out, texts = slices.metrics(_lines(spark, sf)), ("symmetry", "motion", "noise", "segmentation", "n_patches", "n_peaks", "n_pairs")
+    return out.select("volume", *[F.col(c) if c in texts else F.round(c, 6).alias(c) for c in slices.FIGURES])
 
 
 _LONG = "l AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS i FROM embeddings)"
@@ -125,3 +134,59 @@ SELECT u.* EXCLUDE (mu, sd), t.* EXCLUDE (vec_id, ca, cd), round(CASE WHEN ca <
 ORACLE["image_stats"] = f"""WITH {_BINS}, e AS (SELECT vec_id, -sum(p * log2(p)) AS bits FROM (SELECT l.vec_id, count(*) / any_value(n)::DOUBLE AS p FROM l JOIN m ON l.vec_id = m.vec_id GROUP BY l.vec_id, least(floor((v - lo) / (hi - lo) * 256), 255)) GROUP BY 1), d AS (SELECT vec_id, avg(v) AS mu, stddev_pop(v) AS sd FROM l GROUP BY 1), c AS (SELECT vec_id, string_agg(c::VARCHAR, '|' ORDER BY b) AS counts FROM f GROUP BY 1)
 SELECT l.vec_id, {_MOMENTS.format("pixel")}, {_percentiles("pixel", whole.PERCENTILES)}, round(avg((v <> 0)::INT), 6) AS nonzero_ratio, any_value(counts) AS counts FROM l JOIN d ON l.vec_id = d.vec_id JOIN e ON l.vec_id = e.vec_id JOIN c ON l.vec_id = c.vec_id GROUP BY l.vec_id"""
 ORACLE["tissue_mask"] = f"WITH {_LONG}, q AS (SELECT vec_id, quantile_cont(v, 0.15) AS a, quantile_cont(v, 0.99) AS b FROM l GROUP BY 1) SELECT l.vec_id, count_if(v > a AND v < b)::BIGINT AS n FROM l JOIN q ON l.vec_id = q.vec_id GROUP BY 1"
+# every figure of volume_metrics: l lines' voxels, g the volumes that are whole, m their middle slices
+ORACLE["volume_metrics"] = """WITH l AS (
+  SELECT vec_id // 120 AS volume, CAST(vec_id % 120 // 24 AS INT) AS z, CAST(vec_id % 24 AS INT) AS y, unnest(range(len(embedding)))::INT AS x, abs(unnest(embedding)::DOUBLE) * 100 AS v FROM embeddings
+), s AS (
+  SELECT volume, max(z) + 1 AS d, max(y) + 1 AS h, max(x) + 1 AS w, count(*) AS n, count_if(v > 0) AS n_pos, min(v) FILTER (v > 0) AS lo, max(v) FILTER (v > 0) AS hi FROM l GROUP BY 1
+), g AS (SELECT * FROM s WHERE n = d * h * w),
+a AS (SELECT l.*, g.* EXCLUDE (volume) FROM l JOIN g ON l.volume = g.volume),
+m AS (SELECT * FROM a WHERE z = d // 2),
+sym AS (
+  SELECT p.volume, corr(p.v, q.v) AS r, avg(abs(p.v - q.v) / ((p.v + q.v) / 2 + 1e-6)) AS asym
+  FROM a p JOIN a q ON p.volume = q.volume AND p.z = q.z AND p.y = q.y AND q.x = p.w - 1 - p.x WHERE p.x < p.w // 2 AND p.d >= 3 GROUP BY 1
+), grad AS (
+  SELECT p.volume, sqrt(pow(b.v - p.v, 2) + pow(c.v - p.v, 2)) AS g FROM m p JOIN m b ON b.volume = p.volume AND b.x = p.x AND b.y = p.y + 1 JOIN m c ON c.volume = p.volume AND c.y = p.y AND c.x = p.x + 1
+), sharp AS (SELECT volume, avg(g) AS sharpness_mean, stddev_pop(g) AS sharpness_std, quantile_cont(g, 0.95) AS sharpness_p95 FROM grad GROUP BY 1),
+f AS (
+  SELECT volume, ky, kx, py >= greatest(h // 2 - greatest(h // 8, 2), 0) AND py < h // 2 + greatest(h // 8, 2) AS in_y, px >= greatest(w // 2 - greatest(w // 8, 2), 0) AND px < w // 2 + greatest(w // 8, 2) AS in_x, h, w
+  FROM (SELECT volume, h, w, unnest(range(h)) AS py, py - h // 2 AS ky FROM g) JOIN (SELECT volume AS v2, unnest(range(w)) AS px, px - w // 2 AS kx FROM g) ON volume = v2
+), amp AS (
+  SELECT f.volume, f.ky, f.kx, any_value(in_y) AS in_y, any_value(in_x) AS in_x, sqrt(pow(sum(v * cos(2 * pi() * (ky * y / f.h::DOUBLE + kx * x / f.w::DOUBLE))), 2) + pow(sum(v * sin(2 * pi() * (ky * y / f.h::DOUBLE + kx * x / f.w::DOUBLE))), 2)) AS e
+  FROM f JOIN m ON f.volume = m.volume WHERE (in_y OR in_x) AND NOT (ky = 0 AND kx = 0) GROUP BY 1, 2, 3
+), ratio AS (SELECT volume, greatest(sum(e) FILTER (in_y), sum(e) FILTER (in_x)) / least(sum(e) FILTER (in_y), sum(e) FILTER (in_x)) AS ratio FROM amp GROUP BY 1),
+pairs AS (
+  SELECT p.volume, p.z, any_value(p.z = p.d // 2) AS mid, any_value(p.z % greatest(p.d // 20, 1) = 0 AND p.z < 20 * greatest(p.d // 20, 1)) AS sampled, corr(p.v, q.v) AS r
+  FROM a p JOIN a q ON p.volume = q.volume AND q.z = p.z + 1 AND p.y = q.y AND p.x = q.x WHERE p.d >= 3 GROUP BY 1, 2
+), cons AS (SELECT volume, avg(r) FILTER (sampled) AS mc, min(r) FILTER (sampled) AS mi, stddev_pop(r) FILTER (sampled) AS sc, count(r) FILTER (sampled) AS np, max(r) FILTER (mid) AS near FROM pairs GROUP BY 1),
+bins AS (SELECT volume, lo, hi, least(floor((v - lo) / (hi - lo) * 256), 255)::INT AS b, count(*) AS c FROM a WHERE v > 0 AND n_pos >= 100 GROUP BY ALL),
+cum AS (SELECT *, lo + (hi - lo) * (b + 0.5) / 256 AS ce, sum(c) OVER r AS w0, sum(c * (lo + (hi - lo) * (b + 0.5) / 256)) OVER r AS s0, sum(c) OVER p AS w, sum(c * (lo + (hi - lo) * (b + 0.5) / 256)) OVER p AS s FROM bins WINDOW r AS (PARTITION BY volume ORDER BY b), p AS (PARTITION BY volume)),
+otsu AS (SELECT volume, ce AS threshold FROM cum QUALIFY row_number() OVER (PARTITION BY volume ORDER BY round(CASE WHEN w > w0 THEN w0 * (w - w0) * pow(s0 / w0 - (s - s0) / (w - w0), 2) ELSE 0 END, 6) DESC, b) = 1),
+cnr AS (
+  SELECT a.volume, any_value(threshold) AS threshold, CASE WHEN count_if(v > threshold) >= 10 AND count_if(v <= threshold) >= 10 THEN abs(avg(v) FILTER (v > threshold) - avg(v) FILTER (v <= threshold)) / greatest(stddev_pop(v) FILTER (v <= threshold), 1e-6) ELSE 0 END AS cnr
+  FROM a JOIN otsu ON a.volume = otsu.volume WHERE v > 0 GROUP BY 1
+), grid AS (
+  SELECT k.volume, k.b, k.lo, k.hi, coalesce(sum(c), 0) AS c FROM (SELECT volume, lo, hi, unnest(range(128))::INT AS b FROM g WHERE n_pos >= 100) k LEFT JOIN bins ON bins.volume = k.volume AND bins.b // 2 = k.b GROUP BY ALL
+), smooth AS (SELECT *, sum(c) OVER (PARTITION BY volume ORDER BY b ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS m5 FROM grid),
+tops AS (SELECT volume, lo, hi, round(lo + (hi - lo) * (b + 0.5) / 128, 1) AS tp FROM smooth QUALIFY m5 > lag(m5) OVER (PARTITION BY volume ORDER BY b) AND m5 > lead(m5) OVER (PARTITION BY volume ORDER BY b) AND m5 * 20 > max(m5) OVER (PARTITION BY volume)),
+peaks AS (SELECT volume, count(*) AS n_peaks, coalesce(min(gap) / greatest(any_value(hi - lo) * 127 / 128, 1e-6), 0) AS apart FROM (SELECT *, tp - lag(tp) OVER (PARTITION BY volume ORDER BY tp) AS gap FROM tops) GROUP BY 1),
+corner AS (
+  SELECT volume, count(*) AS n, stddev_pop(v) AS sd FROM (SELECT volume, v, unnest(range(((y < greatest(h // 10, 5))::INT + (y >= h - greatest(h // 10, 5))::INT) * ((x < greatest(h // 10, 5))::INT + (x >= w - greatest(h // 10, 5))::INT))) AS k FROM m WHERE v > 0) GROUP BY 1
+), cells AS (SELECT volume, y // (h // 4) AS i, x // (w // 4) AS j, avg(v) AS mu FROM m WHERE v > 0 AND d >= 3 AND h // 4 >= 5 AND w // 4 >= 5 AND y // (h // 4) < 4 AND x // (w // 4) < 4 GROUP BY ALL HAVING count(*) > 10),
+bias AS (SELECT volume, stddev_pop(mu) / greatest(avg(mu), 1e-6) AS sev, count(*) AS np FROM cells GROUP BY 1 HAVING count(*) >= 4),
+lap AS (
+  SELECT p.volume, p.z, var_pop(u.v + o.v + e.v + f.v - 4 * p.v) AS x
+  FROM (SELECT * FROM a WHERE list_contains(list_transform(range(least(5, d)), lambda k: CAST(floor(d // 6 + (least(d - d // 6, d - 1) - d // 6) * k / greatest(least(5, d) - 1, 1)::DOUBLE) AS BIGINT)), z)) p
+  JOIN a u ON u.volume = p.volume AND u.z = p.z AND u.x = p.x AND u.y = (p.y + 1) % p.h JOIN a o ON o.volume = p.volume AND o.z = p.z AND o.x = p.x AND o.y = (p.y + p.h - 1) % p.h
+  JOIN a e ON e.volume = p.volume AND e.z = p.z AND e.y = p.y AND e.x = (p.x + 1) % p.w JOIN a f ON f.volume = p.volume AND f.z = p.z AND f.y = p.y AND f.x = (p.x + p.w - 1) % p.w GROUP BY 1, 2
+), edge AS (SELECT volume, avg(x) AS lv FROM lap GROUP BY 1),
+j AS (
+  SELECT g.volume, g.d, coalesce(r, 0) AS r, coalesce(asym, 0) AS asym, sharp.* EXCLUDE (volume), ratio, coalesce(near, 1) AS near, threshold, coalesce(cnr, 0) AS cnr, sd, coalesce(sev, 0) AS sev, coalesce(bias.np, 0) AS patches, lv, coalesce(n_peaks, 0) AS n_peaks, coalesce(apart, 0) AS apart, coalesce(mc, 1) AS mc, coalesce(mi, 1) AS mi, coalesce(sc, 0) AS sc, coalesce(cons.np, 0) AS n_pairs
+  FROM g LEFT JOIN sym USING (volume) LEFT JOIN sharp USING (volume) LEFT JOIN ratio USING (volume) LEFT JOIN cons USING (volume) LEFT JOIN cnr USING (volume) LEFT JOIN peaks USING (volume) LEFT JOIN corner USING (volume) LEFT JOIN bias USING (volume) LEFT JOIN edge USING (volume)
+)
+SELECT s.volume, round(CASE WHEN j.d < 3 THEN 1 ELSE greatest(r, 0) END, 6)::DOUBLE AS symmetry_index, CASE WHEN j.d < 3 THEN 'N/A (single slice)' WHEN r > 0.9 THEN 'symmetric' WHEN r > 0.8 THEN 'normal' WHEN r > 0.65 THEN 'mild asymmetry' WHEN r IS NOT NULL THEN 'significant asymmetry' END AS symmetry,
+  round(asym, 6) AS asymmetry_mean, round(sharpness_mean, 6) AS sharpness_mean, round(sharpness_std, 6) AS sharpness_std, round(sharpness_p95, 6) AS sharpness_p95, round(ratio, 6) AS ghosting_ratio, round(near, 6)::DOUBLE AS slice_correlation, ratio > 2.5 AND near < 0.8 AS motion,
+  round(least(60 * least((ratio - 1) / 4, 1) + 40 * greatest(0, (1 - near) / 0.3), 100), 6)::DOUBLE AS motion_score, round(cnr, 6)::DOUBLE AS cnr, round(threshold, 6) AS threshold, round(sd, 6) AS noise_floor, round(sd / 1.526, 6) AS rician_sigma,
+  CASE WHEN sd < 5 THEN 'very low noise' WHEN sd < 15 THEN 'low noise' WHEN sd < 30 THEN 'moderate noise' WHEN sd IS NOT NULL THEN 'high noise' END AS noise, round(sev, 6)::DOUBLE AS bias_severity, patches::INT AS n_patches, round(lv, 6) AS laplacian_variance, n_peaks::INT AS n_peaks,
+  round(apart, 6)::DOUBLE AS min_peak_separation, CASE WHEN n_peaks >= 3 AND apart > 0.1 THEN 'easy' WHEN n_peaks >= 2 THEN 'medium' WHEN n_peaks IS NOT NULL THEN 'hard' END AS segmentation, round(mc, 6)::DOUBLE AS mean_correlation, round(mi, 6)::DOUBLE AS min_correlation, round(sc, 6)::DOUBLE AS std_correlation, n_pairs::INT AS n_pairs
+FROM s LEFT JOIN j ON s.volume = j.volume"""
