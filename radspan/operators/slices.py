@@ -52,12 +52,12 @@ def lines_of(df: DataFrame, key: str, values: str, shape: tuple[int, ...]) -> Da
     return rows.select("volume", F.floor(F.col("at") / height).cast("int").alias("z"), (F.col("at") % height).alias("y"), "line")
 
 
-def _beside(table: DataFrame) -> DataFrame:
+def beside_it(table: DataFrame) -> DataFrame:
     """A table with a row for each volume, a work table: broadcast if that is few rows."""
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def _shapes(lines: DataFrame) -> DataFrame:
+def shapes_of(lines: DataFrame) -> DataFrame:
     """d, h, w and the positive voxels (n_pos, low, high) of each volume; whole: nothing is missing, doubled or no number."""
     v = F.col("v")
     rows = lines.select("volume", "z", "y", F.size("line").alias("w"), F.explode("line").alias("v"))
@@ -96,19 +96,24 @@ def _pairs(at: DataFrame) -> DataFrame:
     return got.groupBy("volume").agg(F.avg(r).alias("mean_correlation"), F.min(r).alias("min_correlation"), F.stddev_pop(r).alias("std_correlation"), F.count(r).cast("int").alias("n_pairs"), F.max(F.when(F.col("pair") == mid, F.col("r"))).alias("_near"))
 
 
-def _histograms(at: DataFrame, beside: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The threshold of largest variance between two classes of positive voxels, and the peaks of their smoothed histogram."""
-    place = F.least(F.floor((F.col("v") - F.col("low")) / F.col("width") * OTSU_BINS), F.lit(OTSU_BINS - 1)).cast("int")
-    rows = at.where(F.col("n_pos") >= LEAST_VOXELS).select("volume", "low", "width", F.explode("line").alias("v")).where("v > 0")
-    bins = work_table(rows.groupBy("volume", "low", "width", place.alias("bin")).agg(F.count("*").alias("c")), "bins")  # at most OTSU_BINS rows a volume
+def thresholds(bins: DataFrame) -> DataFrame:
+    """The centre of the first bin with the largest variance between the two classes; bins: volume, low, width, bin, c (those with values)."""
     centre = F.col("low") + F.col("width") * (F.col("bin") + 0.5) / OTSU_BINS
     run = Window.partitionBy("volume").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("volume")
     otsu = bins.withColumn("centre", centre).withColumns({"w0": F.sum("c").over(run), "s0": F.sum(F.col("c") * F.col("centre")).over(run), "w": F.sum("c").over(whole), "s": F.sum(F.col("c") * F.col("centre")).over(whole)})
     w1 = F.col("w") - F.col("w0")
     between = F.when(w1 > 0, F.col("w0") * w1 * F.pow(F.col("s0") / F.col("w0") - (F.col("s") - F.col("s0")) / w1, F.lit(2.0))).otherwise(0.0)
-    otsu = otsu.groupBy("volume").agg(F.max_by("centre", F.struct(F.round(between, 6), -F.col("bin"))).alias("threshold"))
+    first = F.min("low") + F.min("width") * 0.5 / OTSU_BINS  # of a constant volume
+    return otsu.groupBy("volume").agg(F.when(F.count("*") > 1, F.max_by("centre", F.struct(F.round(between, 6), -F.col("bin")))).otherwise(first).alias("threshold"))
+
 
+def _histograms(at: DataFrame, beside: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The threshold of largest variance between two classes of positive voxels, and the peaks of their smoothed histogram."""
+    place = F.least(F.floor((F.col("v") - F.col("low")) / F.col("width") * OTSU_BINS), F.lit(OTSU_BINS - 1)).cast("int")
+    rows = at.where(F.col("n_pos") >= LEAST_VOXELS).select("volume", "low", "width", F.explode("line").alias("v")).where("v > 0")
+    bins = work_table(rows.groupBy("volume", "low", "width", place.alias("bin")).agg(F.count("*").alias("c")), "bins")  # at most OTSU_BINS rows a volume
+    otsu, whole = thresholds(bins), Window.partitionBy("volume")
     counts = bins.groupBy("volume", "width", "low", F.floor(F.col("bin") * PEAK_BINS / OTSU_BINS).alias("bin")).agg(F.sum("c").alias("c"))
     grid = beside.where(F.col("n_pos") >= LEAST_VOXELS).select("volume", "low", "width", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PEAK_BINS - 1).cast("long"))).alias("bin"))
     order = Window.partitionBy("volume").orderBy("bin")
@@ -123,7 +128,7 @@ def _histograms(at: DataFrame, beside: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def _contrast(at: DataFrame, otsu: DataFrame) -> DataFrame:
     """Distance of the two classes' means in deviations of the lower one."""
-    rows = at.join(_beside(work_table(otsu, "thresholds")), "volume").select("volume", "threshold", F.explode("line").alias("v")).where("v > 0")
+    rows = at.join(beside_it(work_table(otsu, "thresholds")), "volume").select("volume", "threshold", F.explode("line").alias("v")).where("v > 0")
     high, low = F.when(F.col("v") > F.col("threshold"), F.col("v")), F.when(F.col("v") <= F.col("threshold"), F.col("v"))
     got = rows.groupBy("volume", "threshold").agg(F.count(high).alias("n1"), F.count(low).alias("n0"), F.avg(high).alias("m1"), F.avg(low).alias("m0"), F.stddev_pop(low).alias("s0"))
     enough = (F.col("n1") >= LEAST_CLASS) & (F.col("n0") >= LEAST_CLASS)
@@ -136,9 +141,9 @@ def _noise(at: DataFrame, middle: DataFrame) -> DataFrame:
     times = ((F.col("y") < c).cast("int") + (F.col("y") >= F.col("h") - c).cast("int")) * ((F.col("x") < c).cast("int") + (F.col("x") >= F.col("w") - c).cast("int"))  # corners may overlap
     corners = middle.where("v > 0").select("volume", F.explode(F.array_repeat("v", times)).alias("v")).groupBy("volume").agg(F.count("*").alias("n"), F.stddev_pop("v").alias("noise_floor"))
     corners = work_table(corners.where(F.col("n") >= LEAST_CORNER).select("volume", "noise_floor"), "corners")
-    rest = at.where(F.col("n_pos") >= LEAST_VOXELS).join(_beside(corners.select("volume")), "volume", "left_anti").select("volume", F.explode("line").alias("v")).where("v > 0")
+    rest = at.where(F.col("n_pos") >= LEAST_VOXELS).join(beside_it(corners.select("volume")), "volume", "left_anti").select("volume", F.explode("line").alias("v")).where("v > 0")
     cut = work_table(ranks.percentiles(rest, "volume", "v", {"p5": 0.05}).select("volume", "p5"), "cuts")
-    dark = rest.join(_beside(cut), "volume").where("v <= p5").groupBy("volume").agg(F.stddev_pop("v").alias("noise_floor"))
+    dark = rest.join(beside_it(cut), "volume").where("v <= p5").groupBy("volume").agg(F.stddev_pop("v").alias("noise_floor"))
     return corners.unionByName(dark)
 
 
@@ -212,9 +217,9 @@ def metrics(lines: DataFrame, images: bool = False, small: int = 0, descriptions
     images: each volume is a single two-dimensional image. small: volumes of at most so many voxels get NEUTRAL values.
     descriptions: volume, description; sagittal and coronal volumes have no halves to compare.
     """
-    every = work_table(_shapes(lines), "shapes")
+    every = work_table(shapes_of(lines), "shapes")
     shapes = every.where("whole").drop("whole")
-    at = lines.select("volume", "z", "y", F.transform("line", lambda x: x.cast("double")).alias("line")).join(_beside(shapes), "volume")
+    at = lines.select("volume", "z", "y", F.transform("line", lambda x: x.cast("double")).alias("line")).join(beside_it(shapes), "volume")
     middle = at.where(F.col("z") == F.floor(F.col("d") / 2)).select("volume", "d", "h", "w", "y", F.posexplode("line").alias("x", "v"))
     otsu, tops = _histograms(at, shapes)
     sharp, laplacian = _edges(at)

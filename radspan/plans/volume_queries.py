@@ -87,6 +87,18 @@ def tissue_mask(spark, sf):
     return _v(spark, sf).select("vec_id", F.size(F.filter(mask, lambda x: x)).cast("long").alias("n"))
 
 
+def volume_histogram(spark, sf):
+    """200 bins and percentiles of volumes of lines."""
+    out = whole.histograms(_lines(spark, sf))
+    return out.select("volume", "n", F.array_join("counts", "|").alias("counts"), *[F.round(f"p{q}", 6).alias(f"p{q}") for q in whole.PERCENTILES])
+
+
+def volume_signal(spark, sf):
+    """The statistics of volumes of lines that rest on the threshold and on the noise of air."""
+    out = whole.line_stats(_lines(spark, sf))
+    return out.select("volume", *[F.round(c, 6).alias(c) for c in ("volume_snr_estimate", "volume_cnr", "background_noise_std", "otsu_threshold", "volume_tissue_pct", "volume_snr_naive", "slice_snr_mean", "slice_intensity_uniformity")])
+
+
 def _lines(spark, sf):
     """Embeddings as image lines: 24 of them a slice, 5 slices a volume; values as in _bright."""
     at = F.col("vec_id")
@@ -104,7 +116,7 @@ _LONG = "l AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(e
 _BINS = f"{_LONG}, m AS (SELECT vec_id, min(v) AS lo, max(v) AS hi, count(*) AS n FROM l GROUP BY 1), h AS (SELECT l.vec_id, CAST(least(floor((v - lo) / (hi - lo) * 16), 15) AS INT) AS b, count(*) AS c FROM l JOIN m ON l.vec_id = m.vec_id GROUP BY ALL), f AS (SELECT m.vec_id, m.lo, m.hi, m.n, r.b, coalesce(h.c, 0) AS c, lo + (hi - lo) * (r.b + 0.5) / 16 AS ce FROM m CROSS JOIN (SELECT CAST(unnest(range(16)) AS INT) AS b) r LEFT JOIN h ON h.vec_id = m.vec_id AND h.b = r.b)"
 _Q = "embedding::DOUBLE[]"
 
-QUERIES = {f.__name__: f for f in (entropy_hist, pixel_stats, otsu_threshold, hist_peaks, slice_anomalies, adjacent_corr, window_normalise, minmax_mask, pyramid_2x, max_projection, label_volumes, volume_stats, image_stats, tissue_mask, volume_metrics)}
+QUERIES = {f.__name__: f for f in (entropy_hist, pixel_stats, otsu_threshold, hist_peaks, slice_anomalies, adjacent_corr, window_normalise, minmax_mask, pyramid_2x, max_projection, label_volumes, volume_stats, image_stats, tissue_mask, volume_metrics, volume_histogram, volume_signal)}
 ORACLE = {
     "entropy_hist": f"WITH {_BINS} SELECT vec_id, round(-sum(c / n::DOUBLE * log2(c / n::DOUBLE)), 8) AS entropy FROM f WHERE c > 0 GROUP BY vec_id",
     "pixel_stats": f"WITH {_LONG}, a AS (SELECT vec_id, avg(v) AS mu, stddev_pop(v) AS sd FROM l GROUP BY 1) SELECT l.vec_id, round(any_value(mu), 7) AS mean, round(any_value(sd), 7) AS std, round(avg(pow((v - mu) / sd, 3)), 7) AS skew, round(avg(pow((v - mu) / sd, 4)) - 3, 7) AS kurt, round(quantile_cont(v, 0.05), 7) AS p5, round(quantile_cont(v, 0.5), 7) AS p50, round(quantile_cont(v, 0.95), 7) AS p95 FROM l JOIN a ON l.vec_id = a.vec_id GROUP BY l.vec_id",
@@ -190,3 +202,22 @@ SELECT s.volume, round(CASE WHEN j.d < 3 THEN 1 ELSE greatest(r, 0) END, 6)::DOU
   CASE WHEN sd < 5 THEN 'very low noise' WHEN sd < 15 THEN 'low noise' WHEN sd < 30 THEN 'moderate noise' WHEN sd IS NOT NULL THEN 'high noise' END AS noise, round(sev, 6)::DOUBLE AS bias_severity, patches::INT AS n_patches, round(lv, 6) AS laplacian_variance, n_peaks::INT AS n_peaks,
   round(apart, 6)::DOUBLE AS min_peak_separation, CASE WHEN n_peaks >= 3 AND apart > 0.1 THEN 'easy' WHEN n_peaks >= 2 THEN 'medium' WHEN n_peaks IS NOT NULL THEN 'hard' END AS segmentation, round(mc, 6)::DOUBLE AS mean_correlation, round(mi, 6)::DOUBLE AS min_correlation, round(sc, 6)::DOUBLE AS std_correlation, n_pairs::INT AS n_pairs
 FROM s LEFT JOIN j ON s.volume = j.volume"""
+_L = """l AS (SELECT vec_id // 120 AS volume, CAST(vec_id % 120 // 24 AS INT) AS z, CAST(vec_id % 24 AS INT) AS y, unnest(range(len(embedding)))::INT AS x, abs(unnest(embedding)::DOUBLE) * 100 AS v FROM embeddings),
+s AS (SELECT volume, max(z) + 1 AS d, max(y) + 1 AS h, max(x) + 1 AS w, count(*) AS n, min(v) AS lo, max(v) AS hi, avg(v) AS mu, stddev_pop(v) AS sd FROM l GROUP BY 1)"""
+ORACLE["volume_histogram"] = f"""WITH {_L}, b AS (SELECT l.volume, least(floor((v - lo) / (hi - lo) * 200), 199)::INT AS b, count(*) AS c FROM l JOIN s ON l.volume = s.volume GROUP BY ALL),
+k AS (SELECT g.volume, string_agg(coalesce(c, 0)::VARCHAR, '|' ORDER BY g.b) AS counts FROM (SELECT volume, unnest(range(200))::INT AS b FROM s) g LEFT JOIN b ON b.volume = g.volume AND b.b = g.b GROUP BY 1),
+q AS (SELECT volume, count(*) AS n, {", ".join(f"round(quantile_cont(v, {q / 100}), 6) AS p{q}" for q in whole.PERCENTILES)} FROM l GROUP BY 1)
+SELECT q.*, counts FROM q JOIN k ON q.volume = k.volume"""
+ORACLE["volume_signal"] = f"""WITH {_L}, g AS (SELECT * FROM s WHERE n = d * h * w), a AS (SELECT l.*, g.* EXCLUDE (volume) FROM l JOIN g ON l.volume = g.volume),
+bins AS (SELECT volume, lo, hi, least(floor((v - lo) / (hi - lo) * 256), 255)::INT AS b, count(*) AS c FROM a GROUP BY ALL),
+cum AS (SELECT *, lo + (hi - lo) * (b + 0.5) / 256 AS ce, sum(c) OVER r AS w0, sum(c * (lo + (hi - lo) * (b + 0.5) / 256)) OVER r AS s0, sum(c) OVER p AS w, sum(c * (lo + (hi - lo) * (b + 0.5) / 256)) OVER p AS s FROM bins WINDOW r AS (PARTITION BY volume ORDER BY b), p AS (PARTITION BY volume)),
+otsu AS (SELECT volume, ce AS t FROM cum QUALIFY row_number() OVER (PARTITION BY volume ORDER BY round(CASE WHEN w > w0 THEN w0 * (w - w0) * pow(s0 / w0 - (s - s0) / (w - w0), 2) ELSE 0 END, 6) DESC, b) = 1),
+cl AS (SELECT a.volume, any_value(t) AS t, any_value(mu) AS mu, any_value(sd) AS sd, any_value(n) AS n, count_if(v > t) AS n1, avg(v) FILTER (v > t) AS m1, stddev_pop(v) FILTER (v > t) AS s1, count_if(v <= t AND v > 0) AS n0, avg(v) FILTER (v <= t AND v > 0) AS m0 FROM a JOIN otsu ON otsu.volume = a.volume GROUP BY 1),
+pick AS (SELECT volume, d, CASE WHEN d > 4 THEN list_transform(range(least(5, d - 2 * greatest(d // 10, 1))), lambda k: CAST(floor(greatest(d // 10, 1) + (d - 2 * greatest(d // 10, 1) - 1) * k / greatest(least(5, d - 2 * greatest(d // 10, 1)) - 1, 1)::DOUBLE) AS BIGINT)) ELSE [CAST(d // 2 AS BIGINT)] END AS zs FROM g),
+cor AS (SELECT a.volume, z, any_value(mu) AS mu, count(*) AS n, avg(v) AS m, stddev_pop(v) AS s FROM a JOIN pick ON a.volume = pick.volume AND list_contains(zs, z) WHERE v <> 0 AND (y < greatest(h // 8, 2) OR y >= h - greatest(h // 8, 2)) AND (x < greatest(w // 8, 2) OR x >= w - greatest(w // 8, 2)) GROUP BY 1, 2),
+air AS (SELECT volume, median(s) AS air FROM cor WHERE n > 10 AND m < 0.3::DOUBLE * mu GROUP BY 1),
+p10 AS (SELECT volume, quantile_cont(v, 0.1) AS p FROM a WHERE v <> 0 GROUP BY 1 HAVING count(*) >= 10), dark AS (SELECT a.volume, stddev_pop(v) AS low FROM a JOIN p10 ON a.volume = p10.volume WHERE v <> 0 AND v <= p GROUP BY 1 HAVING count(*) > 10),
+lev AS (SELECT volume, avg(r) AS sm, 1 - stddev_pop(a) / (avg(a) + 1e-6) AS u FROM (SELECT volume, z, avg(v) AS a, avg(v) / (stddev_pop(v) + 1e-6) AS r FROM a GROUP BY 1, 2) GROUP BY 1),
+j AS (SELECT cl.*, coalesce(CASE WHEN air > 1e-6 THEN air END, CASE WHEN low > 1e-6 THEN low END, greatest(sd, 1e-6)) AS noise, sm, u FROM cl LEFT JOIN air USING (volume) LEFT JOIN dark USING (volume) LEFT JOIN lev USING (volume)),
+f AS (SELECT *, CASE WHEN m1 / (noise + 1e-6) > 100 THEN m1 / (CASE WHEN n1 > 100 THEN s1 ELSE sd END + 1e-6) ELSE m1 / (noise + 1e-6) END AS snr FROM j)
+SELECT volume, round(snr, 6) AS volume_snr_estimate, round(CASE WHEN n0 > 100 THEN abs(m1 - m0) / (noise + 1e-6) ELSE snr END, 6) AS volume_cnr, round(noise, 6) AS background_noise_std, round(t, 6) AS otsu_threshold, round(n1 / n::DOUBLE * 100, 6) AS volume_tissue_pct, round(mu / (sd + 1e-6), 6) AS volume_snr_naive, round(sm, 6) AS slice_snr_mean, round(u, 6) AS slice_intensity_uniformity FROM f"""

@@ -67,3 +67,16 @@ def test_images_descriptions_and_small_volumes(spark):
     assert told[0] == told[1] == "N/A (non-axial)" and "N/A" not in told[2] + told[3]
     small = slices.metrics(slices.lines_of(cube, "k", "v", (4, 6, 6)), small=144).first()
     assert {k: small[k] for k in slices.NEUTRAL} == slices.NEUTRAL and small.laplacian_variance > 0
+
+
+def test_statistics_are_those_of_whole_volumes(spark):
+    """line_stats against numpy, over the same volumes."""
+    from radspan.operators import volume_stats
+
+    rows = [(k, z, y, v[z, y].tolist()) for k, v in _volumes().items() for z in range(v.shape[0]) for y in range(v.shape[1])]
+    got = {r.volume: r for r in volume_stats.line_stats(spark.createDataFrame(rows, "volume string, z int, y int, line array<double>").repartition(3)).collect()}
+    for k, v in _volumes().items():
+        want = numpy_volume.stats(v)
+        for f in volume_stats.FIGURES:
+            if f in got[k].asDict():
+                assert got[k][f] == pytest.approx(float(want[f]), rel=1e-6, abs=1e-6), (k, f)

@@ -47,10 +47,10 @@ def test_undefined_volumes(spark):
 def test_noise_falls_back():
     bright = np.full((3, 16, 16), 50.0)
     bright[1, 0, :] = np.arange(16)  # corners too bright, and a tenth that reaches the common value holds all but the zero
-    assert volume_stats.background_noise(bright) == pytest.approx(np.std(bright[bright != 0]))
+    assert numpy_volume.background_noise(bright) == pytest.approx(np.std(bright[bright != 0]))
     ramp = np.arange(1.0, 1001.0).reshape(10, 10, 10)[:, ::-1]
     dark = np.sort(ramp.ravel())[:100]
-    assert volume_stats.background_noise(ramp) == pytest.approx(dark.std())
+    assert numpy_volume.background_noise(ramp) == pytest.approx(dark.std())
 
 
 def test_image(spark):
