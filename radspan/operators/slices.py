@@ -224,7 +224,7 @@ def metrics(lines: DataFrame, images: bool = False, small: int = 0, descriptions
     otsu, tops = _histograms(at, shapes)
     sharp, laplacian = _edges(at)
     parts = [_symmetry(at), _pairs(at), _contrast(at, otsu), tops, _noise(at, middle), _bias(middle), sharp, laplacian, _spectrum(at)]
-    out = reduce(lambda a, b: a.join(b, "volume", "left"), [work_table(p, "figures") for p in parts], shapes)
+    out = reduce(lambda a, b: a.join(b, "volume", "left"), parts, shapes)
     told = F.lit("")
     if descriptions is not None:
         out, told = out.join(descriptions.select("volume", F.upper("description").alias("_told")).dropDuplicates(["volume"]), "volume", "left"), F.coalesce("_told", F.lit(""))

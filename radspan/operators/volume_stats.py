@@ -96,7 +96,7 @@ def line_stats(lines: DataFrame) -> DataFrame:
     by_slice = at.select("volume", "z", F.explode("line").alias("v")).groupBy("volume", "z").agg(F.avg("v").alias("a"), F.stddev_pop("v").alias("s"))
     r, a = F.col("a") / (F.col("s") + TINY), F.col("a")
     levels = by_slice.groupBy("volume").agg(F.avg(r).alias("slice_snr_mean"), F.stddev_pop(r).alias("slice_snr_std"), F.min(r).alias("slice_snr_min"), F.max(r).alias("slice_snr_max"), F.stddev_pop(a).alias("_sa"), F.avg(a).alias("_ma"))
-    parts = [figures, *[work_table(p, "parts") for p in (classes, levels, _noise(at, figures))]]
+    parts = [figures, classes, levels, _noise(at, figures)]
     out = reduce(lambda x, y: x.join(y, "volume", "left"), parts, shapes)
     signal, noise = F.when(F.col("n1") > 0, F.col("m1")).otherwise(F.col("mean")), F.col("noise") + TINY
     plain = signal / noise
