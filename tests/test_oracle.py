@@ -39,4 +39,4 @@ def test_same_as_sql(spark, db, name):
 
 def test_every_query_is_known():
     assert set(registry.oracle_sql()) <= set(registry.queries())
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"phi_scan_all", "volume_metrics"}
+    assert set(registry.queries()) - set(registry.oracle_sql()) == {"phi_scan_all"}
