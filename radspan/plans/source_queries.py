@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radspan.plans.proxies import table
-from radspan.sources import dicom, dicom_files, dicom_source
+from radspan.sources import dicom, dicom_files, dicom_source, pyramid
 from radspan.sources.scratch import folder
 
 def _encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +80,33 @@ def dicom_tags(spark, sf) -> DataFrame:
     return dicom.tag_rows(files).groupBy("keyword", "tag", "vr", "meta", "error").agg(F.count("*").alias("n"), F.count_distinct("path").alias("n_files"))
 
 
-QUERIES = {f.__name__: f for f in (dicom_headers, dicom_columns, dicom_records, dicom_series, dicom_inventory, dicom_tags)}
+def volume_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Embeddings as image lines of whole numbers: 24 of them a slice, 5 slices a volume; of the last one lines may be missing."""
+    at = F.col("vec_id")
+    line = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1024).cast("double"))
+    return table(spark, sf, "embeddings").select(F.floor(at / 120).alias("volume"), F.floor(at % 120 / 24).cast("int").alias("z"), (at % 24).cast("int").alias("y"), line.alias("line"))
+
+
+def _pyramid(spark: SparkSession, sf: str) -> str:
+    root = folder(spark, "pyramid")
+    pyramid.write(volume_lines(spark, sf), root, 4, (2, 8, 16), (5.0, 0.5, 0.5))
+    return root
+
+
+def pyramid_blocks(spark, sf) -> DataFrame:
+    """Volumes stored as a chunked pyramid and read back: every block, with its voxels times 512 (whole numbers up to level 3)."""
+    rows = spark.read.parquet(f"{_pyramid(spark, sf)}/blocks")
+    return rows.select("volume", F.col("level").cast("long").alias("level"), "key", "nz", "ny", "nx", F.array_join(F.transform("values", lambda x: F.round(x * 512).cast("long")), " ").alias("voxels"))
+
+
+def pyramid_levels(spark, sf) -> DataFrame:
+    """What the store tells of each level, and the volumes that it refused (level -1)."""
+    root = _pyramid(spark, sf)
+    rows = spark.read.parquet(f"{root}/levels").select("volume", F.col("level").cast("long").alias("level"), "name", F.concat_ws("x", "d", "h", "w").alias("shape"), F.array_join(F.transform("scale", lambda s: s.cast("decimal(9,3)")), "x").alias("scale"), F.array_join("chunk", "x").alias("chunk"), "n_blocks", "n_bytes")
+    return rows.unionByName(spark.read.parquet(f"{root}/refused").select("volume", F.lit(-1).cast("long").alias("level"), F.lit("refused").alias("name")), allowMissingColumns=True)
+
+
+QUERIES = {f.__name__: f for f in (dicom_headers, dicom_columns, dicom_records, dicom_series, dicom_inventory, dicom_tags, pyramid_blocks, pyramid_levels)}
 _P = """p AS (
   SELECT *, CAST(p_size AS INT) AS size, p_partkey % 50 = 7 AS cut, p_partkey % 60 = 11 AND p_partkey % 50 <> 7 AS none, p_partkey % 40 = 3 AS twice, p_partkey % 2 = 0 AS implicit,
     p_partkey % 50 = 7 OR p_partkey % 60 = 11 AS bad FROM part
@@ -104,3 +130,16 @@ ORACLE["dicom_tags"] = f"""WITH {_P}, k(keyword, tag, kind) AS (VALUES {_KEYWORD
 SELECT keyword, tag, CASE WHEN implicit AND keyword NOT IN ('Rows', 'TransferSyntaxUID') THEN '' ELSE kind END AS vr, keyword = 'TransferSyntaxUID' AS meta, CAST(NULL AS VARCHAR) AS error,
   count(*) + CASE WHEN keyword = 'PatientID' THEN count_if(twice) ELSE 0 END AS n, count(*) AS n_files FROM p, k WHERE NOT bad GROUP BY keyword, tag, 3, 4
 UNION ALL SELECT NULL, NULL, NULL, NULL, {_ERROR}, count(*), count(*) FROM p WHERE bad GROUP BY 5"""
+
+_WHOLE = """v AS (SELECT vec_id // 120 AS volume, vec_id % 120 // 24 AS z, vec_id % 24 AS y, unnest(range(len(embedding))) AS x, floor(unnest(embedding)::DOUBLE * 1024) AS v FROM embeddings),
+shapes AS (SELECT volume, max(z) + 1 AS d, max(y) + 1 AS h, max(x) + 1 AS w, count(*) AS n FROM v GROUP BY 1),
+k AS (SELECT unnest(range(4)) AS level),
+cells AS (SELECT volume, level, z >> level AS z, y >> level AS y, x >> level AS x, sum(v) * 512 / pow(8, level) AS v FROM v JOIN shapes USING (volume), k WHERE n = d * h * w GROUP BY 1, 2, 3, 4, 5),
+b AS (SELECT volume, level, z // 2 AS cz, y // 8 AS cy, x // 16 AS cx, max(z) - min(z) + 1 AS nz, max(y) - min(y) + 1 AS ny, max(x) - min(x) + 1 AS nx, string_agg(CAST(v AS BIGINT), ' ' ORDER BY z, y, x) AS voxels FROM cells GROUP BY ALL)"""
+_KEY = " + ".join(f"(({c} >> {i}) & 1) * {1 << (3 * i + at)}" for i in range(3) for c, at in (("cz", 2), ("cy", 1), ("cx", 0)))
+ORACLE["pyramid_blocks"] = f"WITH {_WHOLE} SELECT volume, level, {_KEY} AS key, CAST(nz AS INT) AS nz, CAST(ny AS INT) AS ny, CAST(nx AS INT) AS nx, voxels FROM b"
+_SIDE = [f"CAST(ceil({c} / pow(2, level)) AS BIGINT)" for c in "dhw"]
+_SCALE = " || 'x' || ".join(f"CAST(CAST({s} * pow(2, level) AS DECIMAL(9,3)) AS VARCHAR)" for s in (5.0, 0.5, 0.5))
+ORACLE["pyramid_levels"] = f"""WITH {_WHOLE}
+SELECT volume, level, 's' || level AS name, concat_ws('x', {", ".join(_SIDE)}) AS shape, {_SCALE} AS scale, concat_ws('x', {", ".join(f"least({c}, {n})" for c, n in zip(_SIDE, (2, 8, 16), strict=True))}) AS chunk, count(*) AS n_blocks, CAST(sum(nz * ny * nx) * 4 AS BIGINT) AS n_bytes FROM b JOIN shapes USING (volume) GROUP BY volume, level, d, h, w
+UNION ALL SELECT volume, -1, 'refused', NULL, NULL, NULL, NULL, NULL FROM shapes WHERE n <> d * h * w"""
