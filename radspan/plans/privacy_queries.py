@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from radspan.functions.scoring import cuts_sql, letter
-from radspan.operators import consensus, integrity, privacy, profile
+from radspan.operators import consensus, gates, integrity, privacy, profile
 from radspan.plans.proxies import SERIES, series, table
 
 # patterns that mean the same in Java and RE2
@@ -55,6 +55,16 @@ def phi_totals(spark, sf):
     return privacy.scan_totals(rows, "doc_id", "tags", "error", _BOTH)
 
 
+def study_validation(spark, sf):
+    """Documents as files, sources as studies: every validator of every study, and the verdict."""
+    private = F.when(F.col("doc_id") % 50 == 0, F.create_map(F.lit("(0009,1001)"), F.lit("x"), F.lit("(0010,0010)"), F.lit("x"))).otherwise(F.create_map(F.lit("(0010,0010)"), F.lit("x")))
+    tags = F.map_concat(F.create_map(F.lit("PatientComments"), F.col("text"), F.lit("SeriesInstanceUID"), F.lit("123-45-6789")), private)
+    rows = table(spark, sf, "documents").select("source", tags.alias("tags"), F.when(F.col("text").isNull(), "unreadable").alias("error"), (F.length("text") % 97 == 0).alias("burned"))
+    report = gates.study_validation(rows, "source", "tags", "error", "burned", _BOTH)
+    told = gates.verdicts(report, "source").select(F.col("source").alias("_source"), F.col("passed").alias("study_passed"), F.array_join("failures", "; ").alias("failures"))
+    return report.join(told, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+
+
 def phi_regex_scan(spark, sf):
     return privacy.scan(table(spark, sf, "documents"), "doc_id", "text", _BOTH).groupBy("doc_id", "pattern").agg(F.count("*").alias("n"), F.min("match").alias("first"))
 
@@ -300,7 +310,7 @@ _UID = "CAST(CAST('0x' || substr(sha256('salt' || o_orderkey), 1, 12) AS BIGINT)
 _MISSING = ", ".join(f"CASE WHEN coalesce((SELECT 1), 0) = 1 AND {c} THEN '{t}' END" for t, c in (("PatientName", "c_custkey % 3 = 0"), ("Country", "c_custkey % 4 = 0"), ("StudyID", "c_custkey % 5 = 0"), ("PatientComments", "true"), ("PatientTelephoneNumbers", "c_custkey % 6 > 0"))).replace("coalesce((SELECT 1), 0) = 1 AND ", "")
 _CONF = f"x AS (SELECT c_custkey, list_filter(list_value({_MISSING}), lambda t: t IS NOT NULL) AS m FROM customer), conf AS (SELECT c_custkey, array_to_string(m, '|') AS missing, len(m)::BIGINT AS missing_count, round((6 - len(m)) * 100.0::DOUBLE / 6, 6) AS completeness_pct FROM x WHERE len(m) > 0)"
 
-QUERIES = {f.__name__: f for f in (hipaa_inventory, hipaa_score, hipaa_files, hipaa_recommendations, phi_totals, phi_regex_scan, phi_scan_report, phi_scan_all, phi_scan_documents, text_scrub, text_scrub_all, uid_pseudonym, date_shift_patient, date_shift_global, deid_profile, conformance, conformance_summary, constraint_failures, consensus_vote, consensus_full, consensus_union, escalation, routing_cascade, corpus_cost, plan_estimate, column_profile, numeric_profile, string_profile, type_breakdown, error_breakdown, month_histogram, keyword_buckets, coverage_matrix, checksum_manifest, checksum_verify, prov_edges, study_qc, series_order, slice_order, topk_worst, record_binning, ragged_union, set_algebra, dedupe_first, resource_check, grade_letters)}
+QUERIES = {f.__name__: f for f in (hipaa_inventory, hipaa_score, hipaa_files, hipaa_recommendations, phi_totals, study_validation, phi_regex_scan, phi_scan_report, phi_scan_all, phi_scan_documents, text_scrub, text_scrub_all, uid_pseudonym, date_shift_patient, date_shift_global, deid_profile, conformance, conformance_summary, constraint_failures, consensus_vote, consensus_full, consensus_union, escalation, routing_cascade, corpus_cost, plan_estimate, column_profile, numeric_profile, string_profile, type_breakdown, error_breakdown, month_histogram, keyword_buckets, coverage_matrix, checksum_manifest, checksum_verify, prov_edges, study_qc, series_order, slice_order, topk_worst, record_binning, ragged_union, set_algebra, dedupe_first, resource_check, grade_letters)}
 ORACLE = {
     "hipaa_inventory": f"WITH {_TAGGED} SELECT c_custkey, category, tag, f AS found FROM found",
     "hipaa_files": f"WITH {_TAGGED}, a AS (SELECT c_custkey, count_if(f)::BIGINT AS n_found, count_if(NOT f)::BIGINT AS n_empty, list_sort(list_filter(list_distinct(list(CASE WHEN f THEN category END)), lambda x: x IS NOT NULL)) AS cs FROM found GROUP BY c_custkey), b AS (SELECT *, len(list_filter(cs, lambda x: x IN ('1. Names', '2. Geographic data', '4. Phone numbers', '6. Email addresses', '7. Social Security numbers'))) AS s FROM a) SELECT c_custkey, n_found, n_empty, array_to_string(cs, '|') AS categories, CASE WHEN s >= 3 THEN 'high' WHEN s >= 1 THEN 'medium' WHEN len(cs) > 0 THEN 'low' ELSE 'none' END AS risk FROM b",
@@ -349,3 +359,10 @@ ORACLE = {
 ORACLE["phi_totals"] = f"WITH m AS ({_SCANS}), n AS (SELECT doc_id, count(*) AS n FROM m GROUP BY 1), a AS (SELECT count(*) AS total_files, count_if(text IS NOT NULL AND n IS NULL)::BIGINT AS clean_files, count(n) AS dirty_files, count_if(text IS NULL)::BIGINT AS failed_files, coalesce(sum(n), 0)::BIGINT AS total_matches FROM documents LEFT JOIN n USING (doc_id)) SELECT *, dirty_files = 0 AND failed_files = 0 AS passed FROM a"
 _TOLD = " UNION ALL ".join(f"SELECT {i} AS i, '{text}' AS advice WHERE EXISTS (SELECT 1 FROM found WHERE f AND category = '{c}')" for i, (c, text) in enumerate(privacy.ADVICE.items()))
 ORACLE["hipaa_recommendations"] = f"WITH {_TAGGED}, s AS (SELECT * FROM ({ORACLE['hipaa_score']})), told AS ({_TOLD} UNION ALL SELECT 8, printf('{privacy.HIGH_RISK}', n_high) FROM s WHERE n_high > 0 UNION ALL SELECT 9, '{privacy.LITTLE_FOUND}' FROM s WHERE score >= 90) SELECT row_number() OVER (ORDER BY i) - 1 AS place, advice FROM told"
+ORACLE["study_validation"] = f"""WITH m AS ({_SCANS}), n AS (SELECT doc_id, count(*) AS n FROM m GROUP BY 1),
+d AS (SELECT source, text IS NOT NULL AS ok, CASE WHEN length(text) >= 3 THEN coalesce(n, 0) ELSE 0 END AS a, CASE WHEN text IS NOT NULL AND documents.doc_id % 50 = 0 THEN 1 ELSE 0 END AS b, CASE WHEN length(text) % 97 = 0 THEN 1 ELSE 0 END AS c FROM documents LEFT JOIN n ON documents.doc_id = n.doc_id),
+s AS (SELECT source, count(*) AS files, count_if(ok)::BIGINT AS whole, count_if(a > 0)::BIGINT AS da, sum(a)::BIGINT AS fa, sum(b)::BIGINT AS db, sum(c)::BIGINT AS dc FROM d GROUP BY 1),
+r AS (SELECT 1 AS i, source, 'identifiers' AS validator, whole AS checked, da AS dirty, fa AS found FROM s UNION ALL SELECT 2, source, 'private_tags', whole, db, db FROM s
+UNION ALL SELECT 3, source, 'burned_in_text', whole, dc, dc FROM s UNION ALL SELECT 4, source, 'readable', files, files - whole, files - whole FROM s),
+v AS (SELECT source, bool_and(dirty = 0) AS study_passed, coalesce(string_agg(CASE WHEN dirty > 0 THEN validator || ': ' || dirty || ' of ' || checked || ' files, ' || found || ' found' END, '; ' ORDER BY i), '') AS failures FROM r GROUP BY 1)
+SELECT r.source, validator, dirty = 0 AS passed, false AS skipped, checked, dirty, found, study_passed, failures FROM r JOIN v ON r.source IS NOT DISTINCT FROM v.source"""
