@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from radspan.operators import resolve
 from radspan.plans.proxies import table
 from radspan.sources import dicom, dicom_files, dicom_source, pyramid
 from radspan.sources.scratch import folder
@@ -106,7 +107,34 @@ def pyramid_levels(spark, sf) -> DataFrame:
     return rows.unionByName(spark.read.parquet(f"{root}/refused").select("volume", F.lit(-1).cast("long").alias("level"), F.lit("refused").alias("name")), allowMissingColumns=True)
 
 
-QUERIES = {f.__name__: f for f in (dicom_headers, dicom_columns, dicom_records, dicom_series, dicom_inventory, dicom_tags, pyramid_blocks, pyramid_levels)}
+def _images(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as image files: three of four in folders of brand and size, those of every seventh in a second place too."""
+    key, own = F.col("p_partkey"), F.concat(F.lit("f"), F.col("p_partkey"), F.lit(".png"))
+    paths = F.array(F.concat_ws("/", F.lit("data"), "p_brand", F.col("p_size").cast("string"), own), F.when(key % 7 == 0, F.concat_ws("/", F.lit("copy"), "p_brand", own)))
+    return table(spark, sf, "part").where(key % 4 != 3).select(F.explode(F.array_compact(paths)).alias("path"))
+
+
+def path_resolver(spark, sf) -> DataFrame:
+    """Line items as recorded paths of their parts: right ones, from another root, of another folder, with slips in the name."""
+    rows = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    key, n = F.col("p_partkey").cast("string"), F.col("l_linenumber")
+    own = F.when(n == 4, F.concat(F.lit("g"), key, F.lit(".png"))).when(n == 5, F.concat(F.lit("f"), key, F.lit("x.png"))).when(n == 6, F.concat(F.lit("f"), key, F.lit(".jpeg"))).otherwise(F.concat(F.lit("f"), key, F.lit(".png")))
+    size = F.col("p_size").cast("string")
+    path = F.when(n == 1, F.concat_ws("/", F.lit("data"), "p_brand", size, own)).when(n == 2, F.concat_ws("\\", F.lit("C:"), F.lit("old"), "p_brand", size, own)).when(n == 7, F.lit("data/")).otherwise(F.concat_ws("/", F.lit("/x"), own))
+    wanted = rows.select((F.col("l_orderkey") * 10 + n).alias("item"), path.alias("path"))
+    return resolve.resolve(wanted, _images(spark, sf), "item").withColumns({c: F.col(c).cast("long") for c in ("depth", "distance")})
+
+
+def image_finder(spark, sf) -> DataFrame:
+    """Parts whose images are sought by folder, stem and suffixes, with the word of a suffix as the last resort."""
+    part, key = table(spark, sf, "part"), F.col("p_partkey")
+    own = F.concat(F.when(key % 3 == 0, F.concat(F.lit("f"), key)).otherwise(F.concat(F.lit("other"), key)), F.when(key % 2 == 0, F.lit("_multiplane.png")).otherwise(F.lit(".png")))
+    files = part.where(key % 4 != 3).select(F.concat_ws("/", F.lit("/d"), "p_brand", own).alias("path"))
+    wanted = part.select(key, F.concat_ws("/", F.lit("/d"), "p_brand", F.lit("")).alias("folder"), F.concat(F.lit("f"), key).alias("stem"))
+    return resolve.find_images(wanted, files, "p_partkey", "folder", "stem", ["_multiplane.png", ".png"])
+
+
+QUERIES = {f.__name__: f for f in (dicom_headers, dicom_columns, dicom_records, dicom_series, dicom_inventory, dicom_tags, pyramid_blocks, pyramid_levels, path_resolver, image_finder)}
 _P = """p AS (
   SELECT *, CAST(p_size AS INT) AS size, p_partkey % 50 = 7 AS cut, p_partkey % 60 = 11 AND p_partkey % 50 <> 7 AS none, p_partkey % 40 = 3 AS twice, p_partkey % 2 = 0 AS implicit,
     p_partkey % 50 = 7 OR p_partkey % 60 = 11 AS bad FROM part
@@ -143,3 +171,19 @@ _SCALE = " || 'x' || ".join(f"CAST(CAST({s} * pow(2, level) AS DECIMAL(9,3)) AS
 ORACLE["pyramid_levels"] = f"""WITH {_WHOLE}
 SELECT volume, level, 's' || level AS name, concat_ws('x', {", ".join(_SIDE)}) AS shape, {_SCALE} AS scale, concat_ws('x', {", ".join(f"least({c}, {n})" for c, n in zip(_SIDE, (2, 8, 16), strict=True))}) AS chunk, count(*) AS n_blocks, CAST(sum(nz * ny * nx) * 4 AS BIGINT) AS n_bytes FROM b JOIN shapes USING (volume) GROUP BY volume, level, d, h, w
 UNION ALL SELECT volume, -1, 'refused', NULL, NULL, NULL, NULL, NULL FROM shapes WHERE n <> d * h * w"""
+_FILES = "files AS (SELECT 'data/' || p_brand || '/' || p_size || '/f' || p_partkey || '.png' AS path, 'f' || p_partkey || '.png' AS own, p_partkey AS k FROM part WHERE p_partkey % 4 <> 3 UNION ALL SELECT 'copy/' || p_brand || '/f' || p_partkey || '.png', 'f' || p_partkey || '.png', p_partkey FROM part WHERE p_partkey % 4 <> 3 AND p_partkey % 7 = 0)"
+ORACLE["path_resolver"] = f"""WITH {_FILES},
+w AS (SELECT l_orderkey * 10 + l_linenumber AS item, l_linenumber AS n, p_partkey AS k, CASE l_linenumber WHEN 4 THEN 'g' ELSE 'f' END || p_partkey || CASE l_linenumber WHEN 5 THEN 'x.png' WHEN 6 THEN '.jpeg' ELSE '.png' END AS own FROM lineitem JOIN part ON l_partkey = p_partkey),
+one AS (SELECT k, min(path) FILTER (starts_with(path, 'data')) AS data, min(path) AS least FROM files GROUP BY 1),
+named AS (SELECT own, min(path) AS path FROM files GROUP BY 1),
+lost AS (SELECT DISTINCT own FROM w WHERE n <> 7 AND own NOT IN (SELECT own FROM named)),
+near AS (SELECT lost.own, 1 AS distance, min(path) AS path FROM lost JOIN named ON levenshtein(lost.own, named.own) = 1 GROUP BY 1)
+SELECT item, CASE WHEN n = 7 THEN NULL WHEN n < 3 THEN coalesce(data, near.path) WHEN n = 3 THEN coalesce(least, near.path) ELSE near.path END AS found,
+  CASE WHEN n = 7 THEN NULL WHEN n = 1 AND data IS NOT NULL THEN 'exact' WHEN n < 4 AND data IS NOT NULL THEN 'end' WHEN near.path IS NOT NULL THEN 'near' END AS how,
+  CASE WHEN data IS NOT NULL THEN CASE n WHEN 1 THEN 4 WHEN 2 THEN 3 WHEN 3 THEN 1 END END AS depth,
+  CASE WHEN n <> 7 AND (n > 3 OR data IS NULL) THEN distance END AS distance
+FROM w LEFT JOIN one USING (k) LEFT JOIN near ON w.own = near.own"""
+ORACLE["image_finder"] = """WITH files AS (SELECT p_partkey AS k, '/d/' || p_brand AS dir, CASE WHEN p_partkey % 3 = 0 THEN 'f' ELSE 'other' END || p_partkey || CASE WHEN p_partkey % 2 = 0 THEN '_multiplane.png' ELSE '.png' END AS own FROM part WHERE p_partkey % 4 <> 3),
+loose AS (SELECT dir, min(dir || '/' || own) AS path FROM files WHERE contains(own, 'multiplane') GROUP BY 1)
+SELECT p_partkey, coalesce(e.dir || '/' || own, path) AS found, CASE WHEN own IS NOT NULL THEN 'exact' WHEN path IS NOT NULL THEN 'word' END AS how
+FROM part LEFT JOIN (SELECT k, files.dir, own FROM files WHERE k % 3 = 0) e ON k = p_partkey LEFT JOIN loose ON loose.dir = '/d/' || p_brand"""

@@ -69,5 +69,5 @@ def test_an_empty_table_and_null_rules_pass(spark, tmp_path):
     df = spark.createDataFrame([], "id long, v double")
     assert gates.gated_parquet(df, f"{tmp_path}/e", {"mean": F.avg("v") > 1, "n": F.count_if(F.col("v") < 0)})["rows"] == 0
     assert spark.read.parquet(f"{tmp_path}/e").count() == 0
-    sinks.checked_parquet(spark.createDataFrame([(1, None)], "id long, v double"), f"{tmp_path}/n", {"v": F.col("v") > 1})
+    sinks.checked_parquet(spark.createDataFrame([(1, None)], "id long, v double"), f"{tmp_path}/n", "id", {"v": F.col("v") > 1})
     assert spark.read.parquet(f"{tmp_path}/n").count() == 1
