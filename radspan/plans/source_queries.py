@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from radspan.operators import resolve
 from radspan.plans.proxies import table
-from radspan.sources import dicom, dicom_files, dicom_source, pyramid
+from radspan.sources import archives, dicom, dicom_files, dicom_source, pyramid
 from radspan.sources.scratch import folder
 
 def _encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +134,17 @@ def image_finder(spark, sf) -> DataFrame:
     return resolve.find_images(wanted, files, "p_partkey", "folder", "stem", ["_multiplane.png", ".png"])
 
 
-QUERIES = {f.__name__: f for f in (dicom_headers, dicom_columns, dicom_records, dicom_series, dicom_inventory, dicom_tags, pyramid_blocks, pyramid_levels, path_resolver, image_finder)}
+def tar_members(spark, sf) -> DataFrame:
+    """A file for each part, packed by study into archives of at most 16 KB, which are then read by their index."""
+    root = folder(spark, "packs")
+    study, own = F.regexp_extract("path", r"/(study\d+)/", 1), F.element_at(F.split("path", "/"), -1)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(part_files(spark, sf))
+    written = archives.write(listed.select(study.alias("study"), own.alias("name"), "path", "length"), root, "study", "name", "path", "length", 16 << 10)
+    rows = archives.members(written.withColumnRenamed("archive", "path"))
+    return rows.select(F.regexp_extract("archive", r"/(study\d+)/", 1).alias("study"), F.regexp_extract("archive", r"(\d+)\.tar$", 1).cast("long").alias("part"), "member", "size", "error")
+
+
+QUERIES = {f.__name__: f for f in (dicom_headers, dicom_columns, dicom_records, dicom_series, dicom_inventory, dicom_tags, pyramid_blocks, pyramid_levels, path_resolver, image_finder, tar_members)}
 _P = """p AS (
   SELECT *, CAST(p_size AS INT) AS size, p_partkey % 50 = 7 AS cut, p_partkey % 60 = 11 AND p_partkey % 50 <> 7 AS none, p_partkey % 40 = 3 AS twice, p_partkey % 2 = 0 AS implicit,
     p_partkey % 50 = 7 OR p_partkey % 60 = 11 AS bad FROM part
@@ -187,3 +197,9 @@ ORACLE["image_finder"] = """WITH files AS (SELECT p_partkey AS k, '/d/' || p_bra
 loose AS (SELECT dir, min(dir || '/' || own) AS path FROM files WHERE contains(own, 'multiplane') GROUP BY 1)
 SELECT p_partkey, coalesce(e.dir || '/' || own, path) AS found, CASE WHEN own IS NOT NULL THEN 'exact' WHEN path IS NOT NULL THEN 'word' END AS how
 FROM part LEFT JOIN (SELECT k, files.dir, own FROM files WHERE k % 3 = 0) e ON k = p_partkey LEFT JOIN loose ON loose.dir = '/d/' || p_brand"""
+ORACLE["tar_members"] = f"""WITH {_P},
+f AS (SELECT 'study' || p_partkey % 13 AS study, 'f' || p_partkey || '.dcm' AS member, CAST(CASE WHEN cut THEN 200 WHEN none THEN 4 ELSE {_LENGTH} END AS BIGINT) AS size FROM p),
+t AS (SELECT *, CAST(ceil(size / 512.0) * 512 + 512 AS BIGINT) AS taken FROM f),
+e AS (SELECT *, sum(taken) OVER (PARTITION BY study ORDER BY member) AS upto FROM t),
+c AS (SELECT *, CAST((upto - taken) // 16384 AS BIGINT) AS a, CAST((upto - 1) // 16384 AS BIGINT) AS b FROM e)
+SELECT study, dense_rank() OVER (PARTITION BY study ORDER BY CASE WHEN a = b THEN a * 2 ELSE a * 2 + 1 END) - 1 AS part, member, size, CAST(NULL AS VARCHAR) AS error FROM c"""
