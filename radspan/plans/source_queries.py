@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from radspan.operators import resolve
 from radspan.plans.proxies import table
-from radspan.sources import archives, dicom, dicom_files, dicom_source, pyramid
+from radspan.sources import archives, cache, dicom, dicom_files, dicom_source, pyramid
 from radspan.sources.scratch import folder
 
 def _encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +144,25 @@ def tar_members(spark, sf) -> DataFrame:
     return rows.select(F.regexp_extract("archive", r"/(study\d+)/", 1).alias("study"), F.regexp_extract("archive", r"(\d+)\.tar$", 1).cast("long").alias("part"), "member", "size", "error")
 
 
-QUERIES = {f.__name__: f for f in (dicom_headers, dicom_columns, dicom_records, dicom_series, dicom_inventory, dicom_tags, pyramid_blocks, pyramid_levels, path_resolver, image_finder, tar_members)}
+def extraction_cache(spark, sf) -> DataFrame:
+    """Headers of a file for each part, kept by study, in two runs: study 3 grows, study 4 is new, study 5 goes; `run` tells which run read a row."""
+    root, own = folder(spark, "cache"), F.regexp_extract("path", r"/(study\d+)/", 1)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(part_files(spark, sf))
+    listed = listed.select(own.alias("study"), _key(), "path", "length", "modificationTime")
+
+    def headers(run: int):
+        def extract(files: DataFrame) -> DataFrame:
+            found = dicom.headers(files.select("path")).select("path", F.try_element_at("tags", F.lit("PatientID")).alias("patient_id"))
+            return found.select(F.regexp_extract("path", r"/(study\d+)/", 1).alias("study"), _key(), "patient_id", F.lit(run).alias("run"))
+
+        return extract
+
+    cache.refresh(listed.where("p_partkey % 26 <> 3 AND study <> 'study4'"), root, "study", headers(1))
+    states = cache.refresh(listed.where("study <> 'study5'"), root, "study", headers(2))
+    return cache.cached(spark, root, "study").join(states, "study").select("study", "p_partkey", "patient_id", F.col("run").cast("long").alias("run"), "state")
+
+
+QUERIES = {f.__name__: f for f in (dicom_headers, dicom_columns, dicom_records, dicom_series, dicom_inventory, dicom_tags, pyramid_blocks, pyramid_levels, path_resolver, image_finder, tar_members, extraction_cache)}
 _P = """p AS (
   SELECT *, CAST(p_size AS INT) AS size, p_partkey % 50 = 7 AS cut, p_partkey % 60 = 11 AND p_partkey % 50 <> 7 AS none, p_partkey % 40 = 3 AS twice, p_partkey % 2 = 0 AS implicit,
     p_partkey % 50 = 7 OR p_partkey % 60 = 11 AS bad FROM part
@@ -203,3 +221,5 @@ t AS (SELECT *, CAST(ceil(size / 512.0) * 512 + 512 AS BIGINT) AS taken FROM f),
 e AS (SELECT *, sum(taken) OVER (PARTITION BY study ORDER BY member) AS upto FROM t),
 c AS (SELECT *, CAST((upto - taken) // 16384 AS BIGINT) AS a, CAST((upto - 1) // 16384 AS BIGINT) AS b FROM e)
 SELECT study, dense_rank() OVER (PARTITION BY study ORDER BY CASE WHEN a = b THEN a * 2 ELSE a * 2 + 1 END) - 1 AS part, member, size, CAST(NULL AS VARCHAR) AS error FROM c"""
+ORACLE["extraction_cache"] = f"""WITH {_P}, s AS (SELECT *, p_partkey % 13 AS k FROM p WHERE p_partkey % 13 <> 5)
+SELECT 'study' || k AS study, p_partkey, CASE WHEN NOT bad THEN 'P' || p_partkey END AS patient_id, CASE WHEN k IN (3, 4) THEN 2 ELSE 1 END AS run, CASE k WHEN 3 THEN 'changed' WHEN 4 THEN 'new' ELSE 'same' END AS state FROM s"""
