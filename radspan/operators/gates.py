@@ -30,8 +30,7 @@ def study_validation(df: DataFrame, study: str, tags: str, error: str, burned: s
     skipped = {*skip, *(() if burned else ("burned_in_text",))}
     whole = F.col(error).isNull()
     values = F.map_values(F.map_filter(tags, lambda k, v: ~k.isin(ignored or [""]) & (F.length(v) >= 3)))
-    one = lambda v: sum((F.size(F.regexp_extract_all(v, F.lit(p), F.lit(0))) for p in patterns.values()), F.lit(0))
-    matches = F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + one(v))
+    matches = F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + privacy.match_count(v, patterns))
     odd = F.size(F.filter(F.map_keys(tags), lambda t: F.coalesce(privacy._private(t), F.lit(False)))).cast("long")
     counts = {
         "identifiers": F.lit(0) if "identifiers" in skipped else matches,

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +64,9 @@ SCRUB = {
     "institution": r"(?i)\b[A-Z][a-z]+\s+(?:Hospital|Clinic|Medical|Institute|Centre|Center|Labs?|Diagnostics?|Imaging)\b",
     "accession": SCAN["mrn_like"],
 }
+# characters without which a pattern cannot match: a text without them is not tried against it
+_NEEDS_DIGIT = {p for n, p in (SCAN | EXTENDED | SCRUB).items() if n not in ("name_indian", "surname_indian", "email", "url", "institution", "hex_token", "indian_name", "indian_surname", "physician")}
+_NEEDS_AT = {SCAN["email"]}
 # fixed values: categories of identifiers with their tags
 CATEGORIES = {
     "1. Names": ["PatientName", "OtherPatientNames", "PatientBirthName", "PatientMotherBirthName", "ReferringPhysicianName", "PerformingPhysicianName", "NameOfPhysiciansReadingStudy", "OperatorsName", "PhysiciansOfRecord", "ResponsiblePerson"],
@@ -105,11 +112,62 @@ UID_ROOT = "1.2.826.0.1.3680043.10."
 
 def scan(df: DataFrame, key: str, text: str, patterns: dict[str, str] = SCAN, least: int = 3) -> DataFrame:
     """key, pattern, match: every match of every pattern in texts of at least `least` characters."""
-    found = [F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), _named(name)) for name, p in patterns.items()]
-    rows = df.where(F.length(text) >= least).select(key, F.explode(F.concat(*found)).alias("m"))
+    rows = df.where(F.length(text) >= least).select(key, F.explode(matches(F.col(text), patterns)).alias("m"))
     return rows.select(key, "m.pattern", "m.match")
 
 
+def matches(text: Column, patterns: dict[str, str] = SCAN) -> Column:
+    """All matches as an array of (pattern, match). Patterns that need the same characters share one test for them."""
+    one = lambda name, p: F.transform(F.regexp_extract_all(text, F.lit(quick(p)), F.lit(0)), _named(name))
+    none = F.array().cast("array<struct<pattern:string,match:string>>")
+    return F.concat(none, *[_guarded(text, need, F.concat(none, *[one(n, p) for n, p in of]), none) for need, of in _by_need(patterns, joined=True)])
+
+
+def match_count(text: Column, patterns: dict[str, str] = SCAN) -> Column:
+    """How many matches all patterns have, each by itself."""
+    one = lambda p: F.size(F.regexp_extract_all(text, F.lit(quick(p)), F.lit(0)))
+    return sum((_guarded(text, need, sum((one(p) for _, p in of), F.lit(0)), F.lit(0)) for need, of in _by_need(patterns, joined=True)), F.lit(0))
+
+
+def _need(pattern: str) -> str | None:
+    return "[0-9]" if pattern in _NEEDS_DIGIT else "@" if pattern in _NEEDS_AT else None
+
+
+def _by_need(patterns: dict[str, str], joined: bool) -> list[tuple[str | None, list[tuple[str, str]]]]:
+    """Patterns in runs of the same need, in their order; joined: one run for each need, whatever the order."""
+    need = lambda item: _need(item[1])
+    items = sorted(patterns.items(), key=lambda i: need(i) or "") if joined else patterns.items()
+    return [(n, list(of)) for n, of in itertools.groupby(items, need)]
+
+
+def _holds(text: Column, need: str) -> Column:
+    return text.contains(need) if need == "@" else text.rlike(need)
+
+
+def _guarded(text: Column, need: str | None, value: Column, other: Column) -> Column:
+    return value if need is None else F.when(_holds(text, need), value).otherwise(other)
+
+
+def quick(pattern: str) -> str:
+    """An equal pattern: a list of whole words becomes a trie of them, so that a letter rules out all words without it."""
+    listed = re.fullmatch(r"(\(\?i\))?\\b\(\?:([A-Za-z'|]+)\)\\b", pattern)
+    if not listed:
+        return pattern
+    words = set(listed[2].lower().split("|") if listed[1] else listed[2].split("|"))
+    if any(w.endswith("'") or w.startswith("'") for w in words) or any(v.startswith(w + "'") for v in words for w in words):
+        return pattern  # a word could end inside another one
+    return f"{listed[1] or ''}\\b{_trie(words)}\\b"
+
+
+def _trie(words: set[str]) -> str:
+    """The words by their first letters; the rest of each branch likewise."""
+    if len(words) == 1:
+        return next(iter(words))
+    first = itertools.groupby(sorted(words - {""}), lambda w: w[0])
+    whole = "(?:" + "|".join(c + _trie({w[1:] for w in of}) for c, of in first) + ")"
+    return whole + "?" if "" in words else whole
+
+
 def _named(name: str):
     return lambda m: F.struct(F.lit(name).alias("pattern"), m.alias("match"))
 
@@ -142,22 +200,31 @@ def scrub(text: Column, patterns: dict[str, str] = SCRUB) -> Column:
 
 
 def _deleted(text: Column, patterns: dict[str, str]) -> Column:
+    """A deletion adds no characters, so what the text lacks at first, it lacks before every pattern."""
     out = text
-    for p in patterns.values():
-        out = F.regexp_replace(out, p, "")
+    for need, of in _by_need(patterns, joined=False):
+        out = _without(out, need, [quick(p) for _, p in of])
     return out
 
 
+def _without(text: Column, need: str | None, patterns: list[str]) -> Column:
+    run = lambda t: functools.reduce(lambda left, p: F.regexp_replace(left, p, ""), patterns, t)
+    return run(text) if need is None else F.element_at(F.transform(F.array(text), lambda t: _guarded(t, need, run(t), t)), 1)
+
+
 def _collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s{2,}", " "))
 
 
 def scrub_with_names(df: DataFrame, text: str, patterns: dict[str, str] = SCRUB) -> DataFrame:
     """df with `scrubbed` and `scrubbed_by`, the names of the patterns that changed the text."""
-    out, names, cols = df, [], df.columns
-    out = out.withColumn("_t", F.col(text))
+    names, cols = [], df.columns
+    needs = {n: f"_holds{i}" for i, n in enumerate(sorted({_need(p) for p in patterns.values()} - {None}))}
+    out = df.withColumns({"_t": F.col(text), **{at: _holds(F.col(text), n) for n, at in needs.items()}})
     for name, p in patterns.items():
-        out = out.withColumn("_next", F.regexp_replace("_t", p, "")).withColumn(f"_by_{name}", F.when(F.col("_next") != F.col("_t"), name)).withColumn("_t", F.col("_next"))
+        left, need = F.regexp_replace("_t", quick(p), ""), _need(p)
+        out = out.withColumn("_next", F.when(F.col(needs[need]), left).otherwise(F.col("_t")) if need else left)
+        out = out.withColumns({f"_by_{name}": F.when(F.col("_next") != F.col("_t"), name), "_t": F.col("_next")})
         names.append(F.col(f"_by_{name}"))
     return out.select(*cols, F.trim(F.regexp_replace("_t", r"\s{2,}", " ")).alias("scrubbed"), F.array_compact(F.array(*names)).alias("scrubbed_by"))
 
