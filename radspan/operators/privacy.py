@@ -96,6 +96,15 @@ REQUIRED = ["PatientID", "PatientName", "PatientSex", "PatientBirthDate", "Study
 SAFE = ["Rows", "Columns", "BitsAllocated", "BitsStored", "HighBit", "PixelRepresentation", "SamplesPerPixel", "PhotometricInterpretation", "SmallestImagePixelValue", "LargestImagePixelValue", "NumberOfFrames", "ImageOrientationPatient", "ImagePositionPatient", "PixelSpacing", "SliceThickness", "SpacingBetweenSlices", "SliceLocation", "WindowCenter", "WindowWidth", "RescaleIntercept", "RescaleSlope", "Modality", "BodyPartExamined", "ScanningSequence", "SequenceVariant", "ScanOptions", "MRAcquisitionType", "ImageType", "RepetitionTime", "EchoTime", "InversionTime", "FlipAngle", "MagneticFieldStrength", "NumberOfAverages", "EchoTrainLength", "PixelBandwidth", "DeviceSerialNumber", "TransferSyntaxUID", "SOPClassUID", "MediaStorageSOPClassUID", "ImplementationClassUID", "ImplementationVersionName", "Manufacturer", "ManufacturerModelName", "SoftwareVersions", "SequenceName", "PixelData"]
 # fixed values: tags that a scan passes over, as their values look like identifiers without being any
 SKIPPED = ["PixelData", "OverlayData", "WaveformData", "SpectroscopyData", "EncapsulatedDocument", "Manufacturer", "ManufacturerModelName", "SoftwareVersions", "ImplementationClassUID", "ImplementationVersionName", "TransferSyntaxUID", "SOPClassUID", "MediaStorageSOPClassUID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID", "FrameOfReferenceUID", "MediaStorageSOPInstanceUID", "ReferencedSOPInstanceUID", "RelatedFrameOfReferenceUID", "SequenceName", "ScanningSequence", "SequenceVariant", "ImageType", "ScanOptions", "MRAcquisitionType", "BodyPartExamined", "Modality", "PhotometricInterpretation", "ImageOrientationPatient", "ImagePositionPatient", "PixelSpacing", "SliceLocation", "SliceThickness", "SpacingBetweenSlices", "WindowCenter", "WindowWidth", "RescaleIntercept", "RescaleSlope", "Rows", "Columns", "BitsAllocated", "BitsStored", "HighBit", "SmallestImagePixelValue", "LargestImagePixelValue", "NumberOfFrames", "SamplesPerPixel"]
+# fixed values: tags by what the whole profile does with them
+PROFILE = {
+    "remove": ["PatientAddress", "PatientTelephoneNumbers", "PatientInsurancePlanCodeSequence", "MilitaryRank", "BranchOfService", "PatientReligiousPreference", "MedicalRecordLocator", "ReferencedPatientPhotoSequence", "ResponsiblePerson", "ResponsibleOrganization", "ClinicalTrialSponsorName", "ClinicalTrialProtocolID", "ClinicalTrialSubjectID", "ClinicalTrialSiteID", "ClinicalTrialSiteName", "RequestingPhysician", "ScheduledPerformingPhysicianName", "RequestAttributesSequence", "ContentSequence", "DistributionAddress", "DistributionName", "FillerOrderNumberImagingServiceRequest", "PlacerOrderNumberImagingServiceRequest", "OrderCallbackPhoneNumber", "OrderCallbackTelecomInformation", "OrderEnteredBy", "OrderEntererLocation", "IssuerOfPatientID", "IssuerOfPatientIDQualifiersSequence", "PatientBirthTime", "PatientAge", "EthnicGroup", "Occupation", "SmokingStatus", "PregnancyStatus", "PatientSexNeutered", "ConfidentialityConstraintOnPatientDataDescription", "ReferencedStudySequence", "ReferencedPerformedProcedureStepSequence", "SourceImageSequence", "ReferencedImageSequence", "OriginalAttributesSequence", "ImageComments", "StudyComments", "InterpretationAuthor", "InterpretationText", "ResultsComments", "PatientWeight", "PatientSize", "MedicalAlerts", "Allergies", "AdditionalPatientHistory", "PatientState", "PatientTransportArrangements", "CountryOfResidence", "RegionOfResidence", "CurrentPatientLocation", "PatientInstitutionResidence", "VisitComments", "DischargeDate", "DischargeDiagnosisDescription", "ServiceEpisodeDescription", "ServiceEpisodeID", "VerifyingObserverSequence", "AuthorObserverSequence", "ParticipantSequence", "CustodialOrganizationSequence", "ReasonForStudy", "RequestedProcedureCodeSequence", "ReferencedPatientSequence"],
+    "blank": ["PatientName", "PatientID", "OtherPatientIDs", "OtherPatientNames", "PatientBirthName", "PatientMotherBirthName", "PatientComments", "AdditionalPatientHistory", "InstitutionName", "InstitutionAddress", "InstitutionalDepartmentName", "StationName", "ReferringPhysicianName", "PerformingPhysicianName", "NameOfPhysiciansReadingStudy", "OperatorsName", "PhysiciansOfRecord", "AdmittingDiagnosesDescription", "AdmittingDiagnosesCodeSequence", "AccessionNumber", "StudyID", "DeviceSerialNumber", "InstitutionalDepartmentTypeCodeSequence", "RequestedProcedureDescription", "PerformedProcedureStepDescription", "PerformedProcedureStepID", "RequestedProcedureID", "ScheduledProcedureStepDescription"],
+    "uids": ["StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID", "FrameOfReferenceUID", "MediaStorageSOPInstanceUID", "ReferencedSOPInstanceUID", "RelatedFrameOfReferenceUID"],
+    "dates": ["PatientBirthDate", "StudyDate", "SeriesDate", "AcquisitionDate", "ContentDate", "InstanceCreationDate", "PerformedProcedureStepStartDate"],
+    "datetimes": ["AcquisitionDateTime"],
+    "free": ["StudyDescription", "SeriesDescription", "ProtocolName", "PerformedProcedureStepDescription", "RequestedProcedureDescription", "ScheduledProcedureStepDescription", "InstitutionName", "InstitutionalDepartmentName"],
+}
 #: advice by what an inventory found
 ADVICE = {
     "1. Names": "Names of patients or physicians occur: remove them before the data leave the institution.",
@@ -309,23 +318,27 @@ def private_tags(df: DataFrame, key: str, tags: str, most: int = 10) -> DataFram
     return df.select(key, odd.alias("_odd")).where(F.size("_odd") > 0).select(key, F.size("_odd").alias("n"), F.slice("_odd", 1, most).alias("first"))
 
 
-def deidentified(df: DataFrame, tags: str, patient: Column, salt: str, remove: list[str], blank: list[str], uids: list[str], dates: list[str], free: list[str]) -> DataFrame:
-    """df with the tag map cleaned: private and listed tags removed, others blanked, pseudonymised, shifted or scrubbed; then all are swept."""
+def deidentified(df: DataFrame, tags: str, patient: Column, salt: str, remove: list[str], blank: list[str], uids: list[str], dates: list[str], free: list[str], patterns: dict[str, str] = SCRUB) -> DataFrame:
+    """df with the tag map cleaned: private and listed tags removed, others blanked, pseudonymised, shifted or scrubbed; then all are swept, but for the pseudonyms."""
     days = shift_days(patient)
     kept = F.map_filter(F.col(tags), lambda k, v: ~k.isin(remove or [""]) & ~_private(k))
-    cleaned = F.transform_values(kept, lambda k, v: F.when(k.isin(blank or [""]), "").when(k.isin(uids or [""]), pseudonym(v, salt)).when(k.isin(dates or [""]), shift_date(v, days)).when(k.isin(free or [""]), scrub(v)).otherwise(v))
-    return df.withColumn(tags, swept(cleaned))
+    cleaned = F.transform_values(kept, lambda k, v: F.when(k.isin(blank or [""]), "").when(k.isin(uids or [""]), pseudonym(v, salt)).when(k.isin(dates or [""]), shift_date(v, days)).when(k.isin(free or [""]), scrubbed_where_found(v, patterns)).otherwise(v))
+    return df.withColumn(tags, swept(cleaned, patterns, safe=[*SAFE, *uids]))
 
 
 def _private(tag: Column) -> Column:
     return tag.startswith("(") & (F.conv(F.substring(tag, 2, 4), 16, 10).cast("long") % 2 == 1)
 
 
-def swept(tags: Column, patterns: dict[str, str] = SCRUB, least: int = 4) -> Column:
+def scrubbed_where_found(value: Column, patterns: dict[str, str] = SCRUB) -> Column:
+    """The scrubbed value if a pattern matches, else the value as it is, with all its spaces."""
+    return F.element_at(F.transform(F.array(_deleted(value, patterns)), lambda left: F.when(left != value, _collapsed(left)).otherwise(value)), 1)
+
+
+def swept(tags: Column, patterns: dict[str, str] = SCRUB, least: int = 4, safe: list[str] = SAFE) -> Column:
     """The tag map with every value of at least `least` characters scrubbed, but for safe tags and pixels; values without a match stay as they are."""
-    change = lambda v: F.element_at(F.transform(F.array(_deleted(v, patterns)), lambda left: F.when(left != v, _collapsed(left)).otherwise(v)), 1)
-    looked_at = lambda k, v: (F.length(v) >= least) & ~k.isin(SAFE) & ~F.lower(k).startswith("(7fe0")
-    return F.transform_values(tags, lambda k, v: F.when(looked_at(k, v), change(v)).otherwise(v))
+    looked_at = lambda k, v: (F.length(v) >= least) & ~k.isin(safe or [""]) & ~F.lower(k).startswith("(7fe0")
+    return F.transform_values(tags, lambda k, v: F.when(looked_at(k, v), scrubbed_where_found(v, patterns)).otherwise(v))
 
 
 def verified_clean(tags: Column, remove: list[str], blank: list[str]) -> Column:

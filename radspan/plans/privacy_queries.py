@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from radspan.functions.scoring import cuts_sql, letter
-from radspan.operators import consensus, gates, integrity, privacy, profile
+from radspan.operators import consensus, gates, integrity, privacy, profile, release
 from radspan.plans.proxies import SERIES, series, table
 
 # patterns that mean the same in Java and RE2
@@ -65,6 +65,28 @@ def study_validation(spark, sf):
     return report.join(told, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
+def _released(spark, sf):
+    """Documents as files of sources: a name, an id, private tags in some, and the text as an unlisted tag; whole profile and patterns."""
+    k = F.col("doc_id")
+    tags = F.create_map(F.lit("PatientName"), F.col("lang"), F.lit("SeriesInstanceUID"), k.cast("string"), F.lit("Remarks"), F.col("text"))
+    private = F.create_map(F.lit("(0009,1001)"), F.lit("x"))
+    rows = table(spark, sf, "documents").select("doc_id", "source", F.when(k % 50 == 0, F.map_concat(tags, private)).otherwise(tags).alias("tags"), F.when(k % 41 == 40, "unreadable").alias("error"), F.when(k % 3 > 0, k % 7 > 0).alias("defaced"), (k % 97 == 0).alias("burned"))
+    return release.outcomes(rows, "source", "doc_id", "tags", "error", F.col("source"), "salt", "defaced", "burned", scrubbed=_ALL_SCRUB)
+
+
+def release_stages(spark, sf):
+    return release.report(_released(spark, sf)).withColumnRenamed("study", "source")
+
+
+def release_custody(spark, sf):
+    return release.custody_heads(_released(spark, sf)).withColumnRenamed("study", "source")
+
+
+def release_files(spark, sf):
+    rows = _released(spark, sf)
+    return rows.select(F.col("path").alias("doc_id"), "ok", "identifiers", "sha256", F.array_join(F.transform("stages", lambda s: s["outcome"]), "|").alias("outcomes"))
+
+
 def phi_regex_scan(spark, sf):
     return privacy.scan(table(spark, sf, "documents"), "doc_id", "text", _BOTH).groupBy("doc_id", "pattern").agg(F.count("*").alias("n"), F.min("match").alias("first"))
 
@@ -310,7 +332,7 @@ _UID = "CAST(CAST('0x' || substr(sha256('salt' || o_orderkey), 1, 12) AS BIGINT)
 _MISSING = ", ".join(f"CASE WHEN coalesce((SELECT 1), 0) = 1 AND {c} THEN '{t}' END" for t, c in (("PatientName", "c_custkey % 3 = 0"), ("Country", "c_custkey % 4 = 0"), ("StudyID", "c_custkey % 5 = 0"), ("PatientComments", "true"), ("PatientTelephoneNumbers", "c_custkey % 6 > 0"))).replace("coalesce((SELECT 1), 0) = 1 AND ", "")
 _CONF = f"x AS (SELECT c_custkey, list_filter(list_value({_MISSING}), lambda t: t IS NOT NULL) AS m FROM customer), conf AS (SELECT c_custkey, array_to_string(m, '|') AS missing, len(m)::BIGINT AS missing_count, round((6 - len(m)) * 100.0::DOUBLE / 6, 6) AS completeness_pct FROM x WHERE len(m) > 0)"
 
-QUERIES = {f.__name__: f for f in (hipaa_inventory, hipaa_score, hipaa_files, hipaa_recommendations, phi_totals, study_validation, phi_regex_scan, phi_scan_report, phi_scan_all, phi_scan_documents, text_scrub, text_scrub_all, uid_pseudonym, date_shift_patient, date_shift_global, deid_profile, conformance, conformance_summary, constraint_failures, consensus_vote, consensus_full, consensus_union, escalation, routing_cascade, corpus_cost, plan_estimate, column_profile, numeric_profile, string_profile, type_breakdown, error_breakdown, month_histogram, keyword_buckets, coverage_matrix, checksum_manifest, checksum_verify, prov_edges, study_qc, series_order, slice_order, topk_worst, record_binning, ragged_union, set_algebra, dedupe_first, resource_check, grade_letters)}
+QUERIES = {f.__name__: f for f in (hipaa_inventory, hipaa_score, hipaa_files, hipaa_recommendations, phi_totals, study_validation, release_stages, release_custody, release_files, phi_regex_scan, phi_scan_report, phi_scan_all, phi_scan_documents, text_scrub, text_scrub_all, uid_pseudonym, date_shift_patient, date_shift_global, deid_profile, conformance, conformance_summary, constraint_failures, consensus_vote, consensus_full, consensus_union, escalation, routing_cascade, corpus_cost, plan_estimate, column_profile, numeric_profile, string_profile, type_breakdown, error_breakdown, month_histogram, keyword_buckets, coverage_matrix, checksum_manifest, checksum_verify, prov_edges, study_qc, series_order, slice_order, topk_worst, record_binning, ragged_union, set_algebra, dedupe_first, resource_check, grade_letters)}
 ORACLE = {
     "hipaa_inventory": f"WITH {_TAGGED} SELECT c_custkey, category, tag, f AS found FROM found",
     "hipaa_files": f"WITH {_TAGGED}, a AS (SELECT c_custkey, count_if(f)::BIGINT AS n_found, count_if(NOT f)::BIGINT AS n_empty, list_sort(list_filter(list_distinct(list(CASE WHEN f THEN category END)), lambda x: x IS NOT NULL)) AS cs FROM found GROUP BY c_custkey), b AS (SELECT *, len(list_filter(cs, lambda x: x IN ('1. Names', '2. Geographic data', '4. Phone numbers', '6. Email addresses', '7. Social Security numbers'))) AS s FROM a) SELECT c_custkey, n_found, n_empty, array_to_string(cs, '|') AS categories, CASE WHEN s >= 3 THEN 'high' WHEN s >= 1 THEN 'medium' WHEN len(cs) > 0 THEN 'low' ELSE 'none' END AS risk FROM b",
@@ -366,3 +388,17 @@ r AS (SELECT 1 AS i, source, 'identifiers' AS validator, whole AS checked, da AS
 UNION ALL SELECT 3, source, 'burned_in_text', whole, dc, dc FROM s UNION ALL SELECT 4, source, 'readable', files, files - whole, files - whole FROM s),
 v AS (SELECT source, bool_and(dirty = 0) AS study_passed, coalesce(string_agg(CASE WHEN dirty > 0 THEN validator || ': ' || dirty || ' of ' || checked || ' files, ' || found || ' found' END, '; ' ORDER BY i), '') AS failures FROM r GROUP BY 1)
 SELECT r.source, validator, dirty = 0 AS passed, false AS skipped, checked, dirty, found, study_passed, failures FROM r JOIN v ON r.source IS NOT DISTINCT FROM v.source"""
+
+_SWEPT = f"""{_STEPS}, swept AS (SELECT s.doc_id, d.source, d.lang, CASE WHEN length(d.text) >= 4 AND t{len(_ALL_SCRUB)} <> d.text THEN trim(regexp_replace(t{len(_ALL_SCRUB)}, '\\s{{2,}}', ' ', 'g')) ELSE d.text END AS text, d.text AS was FROM s{len(_ALL_SCRUB)} s JOIN documents d ON s.doc_id = d.doc_id)"""
+_LATER = "CASE WHEN doc_id % 41 = 40 THEN 'not_reached' ELSE"
+_SEEN = f"""{_SWEPT}, hit AS ({" UNION ALL ".join(f"SELECT doc_id, len({_found_sql(k, p)}) AS n FROM swept WHERE length(text) >= 3" for k, p in privacy.SCAN.items())}), hits AS (SELECT doc_id, sum(n)::BIGINT AS n FROM hit GROUP BY 1),
+seen AS (SELECT swept.*, swept.doc_id % 41 <> 40 AS whole, coalesce(n, 0) AS n, CASE WHEN swept.doc_id % 3 > 0 THEN swept.doc_id % 7 > 0 END AS defaced, swept.doc_id % 97 = 0 AS burned, '{privacy.UID_ROOT}' || CAST({_UID.replace('o_orderkey', 'swept.doc_id')} AS VARCHAR) AS uid FROM swept LEFT JOIN hits ON swept.doc_id = hits.doc_id),
+told AS (SELECT *, CASE WHEN whole THEN 'done' ELSE 'failed' END AS s1, {_LATER} CASE WHEN defaced IS NULL THEN 'skipped' WHEN defaced THEN 'done' ELSE 'failed' END END AS s2, {_LATER} 'done' END AS s3, {_LATER} CASE WHEN n = 0 AND NOT burned THEN 'done' ELSE 'failed' END END AS s5,
+ whole AND n = 0 AND NOT burned AND coalesce(defaced, true) AS ok, CASE WHEN whole THEN n END AS identifiers,
+ CASE WHEN whole THEN sha256('PatientName=0:' || chr(10) || 'Remarks=' || coalesce(length(text) || ':' || text, 'null') || chr(10) || 'SeriesInstanceUID=' || length(substr(uid, 1, 64)) || ':' || substr(uid, 1, 64)) END AS sha FROM seen)"""
+_RELEASED = f"WITH {_SEEN}"
+ORACLE["release_files"] = f"{_RELEASED} SELECT CAST(doc_id AS VARCHAR) AS doc_id, ok, identifiers, sha AS sha256, concat_ws('|', s1, s2, s3, s3, s5) AS outcomes FROM told"
+_OF = lambda s, i: f"SELECT source, '{s}' AS stage, {', '.join(f'count_if(s{i} = {chr(39)}{o}{chr(39)})::BIGINT AS {o}' for o in release.OUTCOMES)}, bool_and(ok) AS released FROM told GROUP BY source"
+ORACLE["release_stages"] = f"{_RELEASED} {' UNION ALL '.join(_OF(s, i) for s, i in zip(release.STAGES, (1, 2, 3, 3, 5), strict=True))} UNION ALL SELECT source, 'export', CASE WHEN bool_and(ok) THEN count(*) ELSE 0 END, 0, 0, CASE WHEN bool_and(ok) THEN 0 ELSE count(*) END, bool_and(ok) FROM told GROUP BY source"
+ORACLE["release_custody"] = f"""{_RELEASED} SELECT source, count(*) AS output_file_count, bool_and(s2 = 'done') AS defacing_applied, bool_and(ok) AS validation_passed, 0::BIGINT AS tags_removed, count_if(whole AND lang IS DISTINCT FROM '')::BIGINT AS tags_blanked, count_if(whole)::BIGINT AS uids_replaced, 0::BIGINT AS dates_shifted, count_if(whole AND text IS DISTINCT FROM was)::BIGINT AS text_scrubbed, count_if(whole AND doc_id % 50 = 0)::BIGINT AS private_stripped,
+CAST(ceil(count(*) / 1000.0::DOUBLE) AS BIGINT) AS parts, printf('%x', bit_xor(CAST('0x' || substr(sha256(concat_ws(' ', doc_id, sha)), 1, 15) AS BIGINT))) AS fingerprint, substr(sha256(coalesce(source, '')), 1, 16) AS source_archive_id FROM told GROUP BY source"""
