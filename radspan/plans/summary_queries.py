@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from radspan.functions import exports, text
-from radspan.operators import privacy, summaries
-from radspan.plans.privacy_queries import _CONF, _TAGS, _tagged
+from radspan.functions import briefs, exports, text
+from radspan.operators import consensus, privacy, summaries
+from radspan.plans.privacy_queries import _CONF, _FULL, _TAGS, _tagged, _votes
 from radspan.plans.proxies import table
 
 
@@ -72,7 +72,37 @@ def export_rules(spark, sf):
     return table(spark, sf, "part").select("p_partkey", form.alias("format"), media.alias("media"), exports.group_name(path).alias("group_name"), exports.model_family(model).alias("family"), exports.sharpness_label(F.when(k % 8 > 0, F.col("p_size"))).alias("sharpness"))
 
 
-QUERIES = {f.__name__: f for f in (subject_numbers, annotation_summary, batch_totals, conformance_totals, change_counts, custody, mapped_strict, with_pathology, chain_reason, export_rules)}
+def safe_values(spark, sf):
+    """Host names and whole pages as values of tags: bytes, sequences, texts, and lists of numbers or words."""
+    k = F.col("page_id")
+    kind = F.when(k % 4 == 0, "bytes").when(k % 4 == 1, "sequence").otherwise("text")
+    raw = F.when(k % 4 == 1, k.cast("string")).when(k % 8 == 4, F.col("url")).otherwise(F.col("html"))
+    parts = F.concat(k.cast("string"), F.lit("\\"), F.when(k % 3 == 0, "1.5").otherwise("x"))
+    return table(spark, sf, "pages").select("page_id", F.md5(briefs.safe_value(raw.cast("binary"), kind)).alias("digest"), briefs.split_value(parts, k % 2 == 0).alias("parts"))
+
+
+def consensus_brief(spark, sf):
+    votes = consensus.consensus(_votes(spark, sf), "series", "sequence_type", "found", "grade", "tier")
+    none = F.lit(None).cast("array<string>")
+    text_of = briefs.brief(F.concat(F.lit("series "), F.col("series").cast("string")), F.lit(None).cast("string"), F.col("sequence_type"), F.col("agreement"), F.col("quality_grade"), none, F.col("found"), F.col("models_agreeing"), F.col("models_total"), none, none, F.col("tiers_used"), F.col("disagreements"))
+    return votes.select("series", text_of.alias("brief"))
+
+
+def dataset_citation(spark, sf):
+    """The tables' totals as the citation record of a dataset, and what it lacks."""
+    totals = table(spark, sf, "orders").agg(F.count("*").alias("n"), F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("low"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("high"))
+    words = F.concat(F.col("n").cast("string"), F.lit(" orders"))
+    record = briefs.citation(F.lit("Orders"), F.array(F.lit("A. Author")), F.lit(""), F.lit(2026), F.lit("10.1/x"), F.array(F.lit("orders")), words, F.col("low"), F.col("high"), F.array(words), F.lit("1"))
+    rows = totals.select(record.alias("r"))
+    return rows.select(F.to_json("r").alias("record"), F.array_join(briefs.citation_gaps(F.col("r")), "|").alias("gaps"))
+
+
+def cost_lines(spark, sf):
+    per = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum(F.when(F.col("o_orderkey") % 2 == 0, F.lit(0.0625))).alias("compute"), F.sum(F.when(F.col("o_orderkey") % 3 == 0, F.lit(0.25))).alias("calls"))
+    return per.select("o_custkey", briefs.cost_line("actual", F.col("compute"), F.col("calls")).alias("line"))
+
+
+QUERIES = {f.__name__: f for f in (subject_numbers, annotation_summary, batch_totals, conformance_totals, change_counts, custody, mapped_strict, with_pathology, chain_reason, export_rules, safe_values, consensus_brief, dataset_citation, cost_lines)}
 _FORMAT = "CASE p_partkey % 6 WHEN 1 THEN 'parquet' WHEN 2 THEN 'json' WHEN 3 THEN 'png' END"
 _MEDIA = "CASE p_partkey % 6 WHEN 1 THEN 'application/vnd.apache.parquet' WHEN 2 THEN 'application/json' WHEN 3 THEN 'image/png' END"
 _ENDING = "CASE p_partkey % 6 WHEN 1 THEN '.parquet' WHEN 2 THEN '.JSON' WHEN 3 THEN '.png' WHEN 4 THEN '.xyz' ELSE '' END"
@@ -89,3 +119,12 @@ ORACLE = {
     "chain_reason": f"WITH a AS (SELECT doc_id, {_REPLY} AS r FROM documents) SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'derivative' WHEN r IS NULL OR starts_with(r, '[') OR starts_with(r, 'Error') THEN 'error' WHEN len(regexp_extract_all(r, '{text.DOUBT}')) >= 2 THEN 'uncertainty' WHEN doc_id % 4 = 0 OR doc_id % 3 > 0 OR doc_id % 7 = 0 THEN 'quality_flags' ELSE 'confident' END AS reason FROM a",
     "export_rules": f"SELECT p_partkey, {_FORMAT} AS format, {_MEDIA} AS media, 'sub_01/' || regexp_replace(p_name || {_ENDING}, '[^A-Za-z0-9._-]', '_', 'g') AS group_name, CASE p_partkey % 5 WHEN 0 THEN 'anthropic' WHEN 1 THEN 'google' WHEN 2 THEN 'other' ELSE 'openai' END AS family, CASE WHEN p_partkey % 8 = 0 THEN NULL WHEN p_size > 20 THEN 'very sharp' WHEN p_size > 10 THEN 'sharp' WHEN p_size > 5 THEN 'moderate' ELSE 'soft/blurry' END AS sharpness FROM part",
 }
+_MONEY = lambda v: f"coalesce('$' || printf('%.4f', {v}), 'n/a')"
+ORACLE["safe_values"] = """SELECT page_id, md5(CASE page_id % 4 WHEN 0 THEN CASE WHEN page_id % 8 = 4 THEN CASE WHEN strlen(url) <= 64 THEN lower(hex(encode(url))) ELSE '[bytes: ' || strlen(url) || ']' END WHEN strlen(html) <= 64 THEN lower(hex(encode(html))) ELSE '[bytes: ' || strlen(html) || ']' END
+WHEN 1 THEN '[Sequence: ' || page_id || ' items]' ELSE html END) AS digest, CASE WHEN page_id % 6 = 0 THEN '[' || page_id || '.0,1.5]' ELSE '["' || page_id || '","' || CASE WHEN page_id % 3 = 0 THEN '1.5' ELSE 'x' END || '"]' END AS parts FROM pages"""
+ORACLE["consensus_brief"] = f"""WITH f AS ({_FULL}) SELECT series, '### series ' || series || chr(10) || concat_ws(chr(10), '- Sequence: **' || sequence_type || '** (agreement ' || CAST(round_even(agreement * 100, 0) AS BIGINT) || '%)', '- Quality grade: **' || quality_grade || '**',
+CASE WHEN found THEN '- **Pathology** (' || models_agreeing || '/' || models_total || ' models):' ELSE '{briefs.NONE_FLAGGED}' END, '{briefs.HEADS['notable']}' || replace(tiers, '|', '; '), CASE WHEN disagreements <> '' THEN '{briefs.HEADS['disputed']}' || replace(disagreements, '|', ', ') END) AS brief FROM f"""
+ORACLE["dataset_citation"] = """WITH t AS (SELECT count(*) || ' orders' AS w, strftime(min(o_orderdate), '%Y-%m-%d') || '/' || strftime(max(o_orderdate), '%Y-%m-%d') AS d FROM orders)
+SELECT '{"identifiers":[{"identifier":"https://doi.org/10.1/x","identifierType":"DOI"}],"creators":[{"name":"A. Author","nameType":"Personal"}],"titles":[{"title":"Orders","titleType":"Main"}],"publisher":"","publicationYear":"2026","types":{"resourceTypeGeneral":"Dataset"},"subjects":[{"subject":"orders"}],"descriptions":[{"description":"' || w || '","descriptionType":"Abstract"}],"dates":[{"date":"' || d || '","dateType":"Collected"}],"sizes":["' || w || '"],"version":"1","schemaVersion":"http://datacite.org/schema/kernel-4"}' AS record, 'publisher' AS gaps FROM t"""
+ORACLE["cost_lines"] = f"""WITH a AS (SELECT o_custkey, sum(CASE WHEN o_orderkey % 2 = 0 THEN 0.0625::DOUBLE END) AS m, sum(CASE WHEN o_orderkey % 3 = 0 THEN 0.25::DOUBLE END) AS c FROM orders GROUP BY 1)
+SELECT o_custkey, 'actual: compute=' || {_MONEY('m')} || ' calls=' || {_MONEY('c')} || ' total=' || {_MONEY('CASE WHEN m IS NOT NULL OR c IS NOT NULL THEN coalesce(m, 0) + coalesce(c, 0) END')} AS line FROM a"""
