@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from radspan.functions import text
+from radspan.sources.scratch import work_table
 
 
 def subject_numbers(df: DataFrame, name: str) -> DataFrame:
@@ -14,15 +15,16 @@ def subject_numbers(df: DataFrame, name: str) -> DataFrame:
 
     256 names, those of the smallest hash for each of its first two digits, cut the order into runs. Runs are counted,
     added up over the runs before them and numbered on their own, so no task sorts all names. Null names are left out.
+    Names and runs are joined as work tables: a plan that joined the names to counts of themselves lost a column when large.
     """
     names = df.where(F.col(name).isNotNull()).select(name).distinct()
     digest = F.sha2(F.col(name).cast("string"), 256)
     cuts = [r[0] for r in names.groupBy(F.substring(digest, 1, 2)).agg(F.min_by(name, digest).alias("cut")).select("cut").collect()]  # at most 256
     run = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(name))) if cuts else F.lit(0)
-    rows = names.withColumn("_run", run)
+    rows = work_table(names.withColumn("_run", run), "names")
     runs = rows.groupBy("_run").agg(F.count("*").alias("_n"))  # at most 257 rows
     before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    runs = work_table(runs.select("_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "runs")
     own = F.row_number().over(Window.partitionBy("_run").orderBy(name))
     return rows.join(F.broadcast(runs), "_run").select(name, F.format_string("%03d", own + F.col("_before")).alias("subject"))
 

@@ -15,6 +15,12 @@ def test_subject_numbers(spark):
     assert summaries.subject_numbers(spark.createDataFrame([], "name string"), "name").collect() == []
 
 
+def test_subject_numbers_join_no_plan_to_itself(spark, tmp_path):
+    spark.range(500).select(F.format_string("s%05d", "id").alias("name")).write.parquet(str(tmp_path / "names"))
+    got = summaries.subject_numbers(spark.read.parquet(str(tmp_path / "names")), "name")
+    assert got.count() == 500 and all("radspan-" in f for f in got.inputFiles())
+
+
 def test_annotation_summary(spark):
     rows = [(1, "B", ["x", None]), (1, "A", ["y", "x"]), (None, "C", None), (2, None, [])]
     df = spark.createDataFrame(rows, "k int, grade string, tags array<string>")
