@@ -116,7 +116,7 @@ def _images(spark: SparkSession, sf: str) -> DataFrame:
 
 def path_resolver(spark, sf) -> DataFrame:
     """Line items as recorded paths of their parts: right ones, from another root, of another folder, with slips in the name."""
-    rows = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = table(spark, sf, "lineitem").join(table(spark, sf, "part").hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
     key, n = F.col("p_partkey").cast("string"), F.col("l_linenumber")
     own = F.when(n == 4, F.concat(F.lit("g"), key, F.lit(".png"))).when(n == 5, F.concat(F.lit("f"), key, F.lit("x.png"))).when(n == 6, F.concat(F.lit("f"), key, F.lit(".jpeg"))).otherwise(F.concat(F.lit("f"), key, F.lit(".png")))
     size = F.col("p_size").cast("string")

@@ -72,3 +72,11 @@ def test_images_by_suffix_in_order_then_by_word(spark):
     got = {r.id: (r.found, r.how) for r in resolve.find_images(wanted, files, "id", "dir", "stem", ["_multiplane.png", ".png"]).collect()}
     first = ("/s/a/k_multiplane.png", "exact")
     assert got == {1: first, 2: ("/s/b/k.png", "exact"), 3: ("/s/c/y_multiplane.png", "word"), 4: (None, None), 5: (None, None), 6: ("/s/a/k_multiplane.png", "word"), 7: first}
+
+
+def test_no_side_is_sent_to_the_driver(spark):
+    paths = spark.createDataFrame([(1, "/a/f1.png"), (2, "/b/g1.png"), (3, "x/")], "id long, path string")
+    got = resolve.resolve(paths, paths.select("path"), "id")
+    found = resolve.find_images(paths, paths.select("path"), "id", "path", "path", [".png"])
+    assert len(got.collect()) == len(found.collect()) == 3
+    assert not any("Broadcast" in df._jdf.queryExecution().executedPlan().toString() for df in (got, found))
