@@ -67,6 +67,7 @@ SCRUB = {
 # characters without which a pattern cannot match: a text without them is not tried against it
 _NEEDS_DIGIT = {p for n, p in (SCAN | EXTENDED | SCRUB).items() if n not in ("name_indian", "surname_indian", "email", "url", "institution", "hex_token", "indian_name", "indian_surname", "physician")}
 _NEEDS_AT = {SCAN["email"]}
+_OWN = {*SCAN.values(), *EXTENDED.values(), *SCRUB.values()}
 # fixed values: categories of identifiers with their tags
 CATEGORIES = {
     "1. Names": ["PatientName", "OtherPatientNames", "PatientBirthName", "PatientMotherBirthName", "ReferringPhysicianName", "PerformingPhysicianName", "NameOfPhysiciansReadingStudy", "OperatorsName", "PhysiciansOfRecord", "ResponsiblePerson"],
@@ -127,14 +128,14 @@ def scan(df: DataFrame, key: str, text: str, patterns: dict[str, str] = SCAN, le
 
 def matches(text: Column, patterns: dict[str, str] = SCAN) -> Column:
     """All matches as an array of (pattern, match). Patterns that need the same characters share one test for them."""
-    one = lambda name, p: F.transform(F.regexp_extract_all(text, F.lit(quick(p)), F.lit(0)), _named(name))
+    one = lambda name, p: F.transform(F.regexp_extract_all(text, F.lit(java(p)), F.lit(0)), _named(name))
     none = F.array().cast("array<struct<pattern:string,match:string>>")
     return F.concat(none, *[_guarded(text, need, F.concat(none, *[one(n, p) for n, p in of]), none) for need, of in _by_need(patterns, joined=True)])
 
 
 def match_count(text: Column, patterns: dict[str, str] = SCAN) -> Column:
     """How many matches all patterns have, each by itself."""
-    one = lambda p: F.size(F.regexp_extract_all(text, F.lit(quick(p)), F.lit(0)))
+    one = lambda p: F.size(F.regexp_extract_all(text, F.lit(java(p)), F.lit(0)))
     return sum((_guarded(text, need, sum((one(p) for _, p in of), F.lit(0)), F.lit(0)) for need, of in _by_need(patterns, joined=True)), F.lit(0))
 
 
@@ -168,6 +169,24 @@ def quick(pattern: str) -> str:
     return f"{listed[1] or ''}\\b{_trie(words)}\\b"
 
 
+_ENDS = r"(?:(?<!\w)(?=\w)|(?<=\w)(?!\w))"
+
+
+def java(pattern: str) -> str:
+    """The quick pattern for Spark, where a word ends as in SQL: at anything but an ASCII letter, digit or underscore.
+
+    Java's own \\b counts the letters of all scripts, but its \\w does not, so the ends are told by look-arounds: one where a
+    character of a word follows or stands before, as at the ends of our own patterns and of lists of words.
+    """
+    out = quick(pattern)
+    if pattern in _OWN or out != pattern:
+        if m := re.match(r"(\(\?i\))?\\b(?!\[a-zA-Z0-9\.)", out):
+            out = (m[1] or "") + r"(?<!\w)" + out[m.end() :]
+        if out.endswith(r"\b"):
+            out = out[:-2] + r"(?!\w)"
+    return re.sub(r"\\.", lambda m: _ENDS if m[0] == r"\b" else m[0], out)
+
+
 def _trie(words: set[str]) -> str:
     """The words by their first letters; the rest of each branch likewise."""
     if len(words) == 1:
@@ -212,7 +231,7 @@ def _deleted(text: Column, patterns: dict[str, str]) -> Column:
     """A deletion adds no characters, so what the text lacks at first, it lacks before every pattern."""
     out = text
     for need, of in _by_need(patterns, joined=False):
-        out = _without(out, need, [quick(p) for _, p in of])
+        out = _without(out, need, [java(p) for _, p in of])
     return out
 
 
@@ -231,7 +250,7 @@ def scrub_with_names(df: DataFrame, text: str, patterns: dict[str, str] = SCRUB)
     needs = {n: f"_holds{i}" for i, n in enumerate(sorted({_need(p) for p in patterns.values()} - {None}))}
     out = df.withColumns({"_t": F.col(text), **{at: _holds(F.col(text), n) for n, at in needs.items()}})
     for name, p in patterns.items():
-        left, need = F.regexp_replace("_t", quick(p), ""), _need(p)
+        left, need = F.regexp_replace("_t", java(p), ""), _need(p)
         out = out.withColumn("_next", F.when(F.col(needs[need]), left).otherwise(F.col("_t")) if need else left)
         out = out.withColumns({f"_by_{name}": F.when(F.col("_next") != F.col("_t"), name), "_t": F.col("_next")})
         names.append(F.col(f"_by_{name}"))

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import duckdb
+import pytest
 
 from radspan import registry
 from radspan.operators import privacy
@@ -62,3 +63,20 @@ def test_text_scrub_all(spark, tmp_path):
     got = [tuple(r) for r in registry.queries()["text_scrub_all"](spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted(want)
     _same_as_sql(con, "text_scrub_all", got)
+
+
+ODD = ["das\u00e4t \u00fcDas das\u0301 das_ das1 \u00e9 das", "\u00e4123-45-6789\u00e4 x@y.org\u00e9 \u00fc.a@b.cd", "\u00fcDr. Anna\u00e4 AB1234567\u00df 12:30 UTC\u00e4", "1.2.3.4\u00e9 \u0660das \u00e4\u00e4www.x.y Kumar\u00e4"]
+
+
+@pytest.mark.parametrize("name", ["phi_scan_documents", "text_scrub_all", "phi_regex_scan", "text_scrub"])
+def test_words_end_at_letters_of_other_scripts(spark, tmp_path, name):
+    rows = [(i, t) for i, t in enumerate(ODD)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    _same_as_sql(con, name, [tuple(r) for r in registry.queries()[name](spark, str(tmp_path)).collect()])
+
+
+def test_a_pattern_of_the_caller_has_ascii_words_too():
+    assert privacy.java(r"\bx?-\b") == f"{privacy._ENDS}x?-{privacy._ENDS}"
+    assert privacy.java(r"\\b\d") == r"\\b\d"
