@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from radspan.operators import resolve
 from radspan.plans.proxies import table
-from radspan.sources import archives, cache, dicom, dicom_files, dicom_source, pyramid
-from radspan.sources.scratch import folder
+from radspan.sources import archives, cache, dicom, dicom_files, dicom_source, inventory, pyramid
+from radspan.sources.scratch import folder, spread
 
 def _encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Files of parts: every second one implicit; key % 50 = 7 cut off in a value, % 40 = 3 with a tag twice, % 60 = 11 no DICOM."""
@@ -30,7 +30,7 @@ def part_files(spark: SparkSession, sf: str) -> str:
     key = F.col("p_partkey")
     path = F.concat(F.lit(root + "/study"), (key % 13).cast("string"), F.lit("/f"), key.cast("string"), F.lit(".dcm"))
     rows = table(spark, sf, "part").select(path.alias("path"), key, "p_name", "p_brand", "p_type", F.col("p_size").cast("int"))
-    dicom_files.write_files(rows.mapInArrow(_encoded, "path string, content binary")).write.format("noop").mode("overwrite").save()
+    dicom_files.write_files(spread(rows, "p_partkey").mapInArrow(_encoded, "path string, content binary")).write.format("noop").mode("overwrite").save()
     return root
 
 
@@ -55,14 +55,14 @@ def dicom_columns(spark, sf) -> DataFrame:
 
 def dicom_records(spark, sf) -> DataFrame:
     """The flat record of each readable file, over paths that Spark has listed."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(part_files(spark, sf)).select("path")
+    files = inventory.listed(spark, part_files(spark, sf)).select("path")
     rows = dicom.record(dicom.headers(files)).withColumnRenamed("_filepath", "path")
     return rows.select(_key(), *[F.col(c).alias(c.lstrip("_")) for c in ("_filename", "_series_uid", "_manufacturer", "_model", "_tr", "_te", "_z_position", "_instance_number", "_transfer_syntax_name")])
 
 
 def dicom_series(spark, sf) -> DataFrame:
     """Series with their files in the order of their places."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(part_files(spark, sf)).select("path")
+    files = inventory.listed(spark, part_files(spark, sf)).select("path")
     rows = dicom.series(dicom.headers(files))
     ids = F.transform("file_paths", lambda p: F.regexp_extract(p, r"f(\d+)\.dcm$", 1))
     return rows.select("study_id", "series_uid", F.col("file_count").cast("long").alias("file_count"), "tr_ms", F.array_join(ids, "|").alias("files"))
@@ -70,14 +70,14 @@ def dicom_series(spark, sf) -> DataFrame:
 
 def dicom_inventory(spark, sf) -> DataFrame:
     """Figures of each file for an inventory, unreadable ones with their kind."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(part_files(spark, sf))
+    files = inventory.listed(spark, part_files(spark, sf))
     rows = dicom.universal_record(dicom.headers(files))
     return rows.select(_key(), "file_type", "dicom_patient_id", "dicom_rows", "dicom_columns", "dicom_tr", "dicom_tag_count", "has_pixel_data")
 
 
 def dicom_tags(spark, sf) -> DataFrame:
     """Every tag of every file as a row, counted by tag."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(part_files(spark, sf))
+    files = inventory.listed(spark, part_files(spark, sf))
     return dicom.tag_rows(files).groupBy("keyword", "tag", "vr", "meta", "error").agg(F.count("*").alias("n"), F.count_distinct("path").alias("n_files"))
 
 
@@ -138,7 +138,7 @@ def tar_members(spark, sf) -> DataFrame:
     """A file for each part, packed by study into archives of at most 16 KB, which are then read by their index."""
     root = folder(spark, "packs")
     study, own = F.regexp_extract("path", r"/(study\d+)/", 1), F.element_at(F.split("path", "/"), -1)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(part_files(spark, sf))
+    listed = inventory.listed(spark, part_files(spark, sf))
     written = archives.write(listed.select(study.alias("study"), own.alias("name"), "path", "length"), root, "study", "name", "path", "length", 16 << 10)
     rows = archives.members(written.withColumnRenamed("archive", "path"))
     return rows.select(F.regexp_extract("archive", r"/(study\d+)/", 1).alias("study"), F.regexp_extract("archive", r"(\d+)\.tar$", 1).cast("long").alias("part"), "member", "size", "error")
@@ -147,7 +147,7 @@ def tar_members(spark, sf) -> DataFrame:
 def extraction_cache(spark, sf) -> DataFrame:
     """Headers of a file for each part, kept by study, in two runs: study 3 grows, study 4 is new, study 5 goes; `run` tells which run read a row."""
     root, own = folder(spark, "cache"), F.regexp_extract("path", r"/(study\d+)/", 1)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(part_files(spark, sf))
+    listed = inventory.listed(spark, part_files(spark, sf))
     listed = listed.select(own.alias("study"), _key(), "path", "length", "modificationTime")
 
     def headers(run: int):

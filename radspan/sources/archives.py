@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from radspan.sources.dicom import Files
-from radspan.sources.scratch import work_table
+from radspan.sources.scratch import spread, work_table
 
 #: Bytes of a pack, contents with their header blocks; of a piece that is copied at once.
 MOST, PIECE = 256 << 20, 1 << 20
@@ -60,7 +60,7 @@ def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def members(archives: DataFrame) -> DataFrame:
     """archive, member, offset, size, error of tars at the paths of `archives` (path); one that cannot be read, or ends too
     early, has a row with an error after the members that it does have; an empty one has no row."""
-    return archives.select("path").where("path IS NOT NULL").mapInArrow(_members, "archive string, member string, offset long, size long, error string")
+    return spread(archives.select("path").where("path IS NOT NULL"), "path").mapInArrow(_members, "archive string, member string, offset long, size long, error string")
 
 
 def taken(size: Column) -> Column:
@@ -84,12 +84,12 @@ def packs(files: DataFrame, by: str, name: str, size: str, most: int = MOST) ->
     before = Window.partitionBy(by).orderBy("_pack_tile").rowsBetween(Window.unboundedPreceding, -1)
     starts = tiles.select(F.col(by).alias("_pack_by"), F.col("_pack_tile").alias("_pack_at"), F.coalesce(F.sum("_pack_sum").over(before), F.lit(0)).alias("_pack_before"))
     inside = Window.partitionBy(by, "_pack_tile").orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.join(starts, F.col(by).eqNullSafe(F.col("_pack_by")) & (F.col("_pack_tile") == F.col("_pack_at"))).withColumn("_pack_end", F.col("_pack_before") + F.sum(taken(F.col(size))).over(inside))
+    placed = rows.join(starts.hint("merge"), F.col(by).eqNullSafe(F.col("_pack_by")) & (F.col("_pack_tile") == F.col("_pack_at"))).withColumn("_pack_end", F.col("_pack_before") + F.sum(taken(F.col(size))).over(inside))
     first, last = F.floor((F.col("_pack_end") - taken(F.col(size))) / most), F.floor((F.col("_pack_end") - 1) / most)
     placed = placed.withColumn("_pack_cell", F.when(first == last, first * 2).otherwise(first * 2 + 1)).select(*files.columns, "_pack_cell")
     numbers = placed.select(F.col(by).alias("_pack_by"), F.col("_pack_cell").alias("_pack_of")).distinct()
     numbers = numbers.withColumn("part", F.row_number().over(Window.partitionBy("_pack_by").orderBy("_pack_of")) - 1)
-    numbered = placed.join(numbers, F.col(by).eqNullSafe(F.col("_pack_by")) & (F.col("_pack_cell") == F.col("_pack_of"))).select(*files.columns, "part")
+    numbered = placed.join(numbers.hint("merge"), F.col(by).eqNullSafe(F.col("_pack_by")) & (F.col("_pack_cell") == F.col("_pack_of"))).select(*files.columns, "part")
     return numbered.unionByName(files.where(~whole).withColumn("part", F.lit(None).cast("int")))
 
 
@@ -140,9 +140,9 @@ def write(files: DataFrame, root: str, by: str, name: str, path: str, size: str,
     plan = plan.select(archive.alias("archive"), "_name", "_path")
     counts = plan.groupBy("archive").agg(F.count("*").alias("n"))
     old = members(_there(spark, root)).groupBy("archive").agg(F.count("member").alias("_n"), F.count("error").alias("_bad")) if _exists(spark, root) else None
-    done = counts.limit(0) if old is None else counts.join(old, "archive").where("n = _n AND _bad = 0").select("archive", "n")
+    done = counts.limit(0) if old is None else counts.join(old.hint("merge"), "archive").where("n = _n AND _bad = 0").select("archive", "n")
     done = work_table(done, "done")
-    todo = plan.join(done.select("archive"), "archive", "left_anti").repartition("archive").sortWithinPartitions("archive", "_name")
+    todo = spread(plan.join(done.select("archive").hint("merge"), "archive", "left_anti"), "archive").sortWithinPartitions("archive", "_name")
     fresh = work_table(todo.mapInArrow(_written, "archive string, n long, bytes long"), "written").withColumn("skipped", F.lit(False))
     return fresh.unionByName(done.select("archive", "n", F.lit(None).cast("long").alias("bytes"), F.lit(True).alias("skipped")))
 

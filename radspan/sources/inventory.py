@@ -7,19 +7,57 @@ import struct
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from radspan.sources.dicom import Files
+from radspan.sources.scratch import spread, work_table
+
 # fixed values: extensions of each kind of file
 KINDS = {"dicom": "dcm|dicom|ima|img", "json": "json", "csv": "csv|tsv", "nifti": "nii", "image": "png|jpg|jpeg|gif|bmp", "text": "txt|md|log|yaml|yml", "parquet": "parquet"}
 
 
+#: files of a batch of a list
+LISTED_BATCH = 10_000
+
+
 def files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
     """path, length, modificationTime, content of all files below root, by a glob on the name."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     return (reader if pattern is None else reader.option("pathGlobFilter", pattern)).load(root)
 
 
+def _list(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    stores = Files()
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            store, place = stores.at(folder)
+            found = store.get_file_info(fs.FileSelector(place))
+            for at in range(0, len(found), LISTED_BATCH):
+                some = found[at : at + LISTED_BATCH]
+                path = pa.array([f"{folder.rstrip('/')}/{f.base_name}" for f in some], pa.string())
+                time = pa.array([None if f.mtime_ns is None else f.mtime_ns // 1000 for f in some], pa.int64()).cast(pa.timestamp("us", "UTC"))
+                kind = pa.array([f.type == fs.FileType.Directory for f in some], pa.bool_())
+                yield pa.RecordBatch.from_arrays([path, pa.array([f.size for f in some], pa.int64()), time, kind], names=["path", "length", "modificationTime", "folder"])
+
+
+def listed(spark: SparkSession, root: str) -> DataFrame:
+    """path, length, modificationTime of all files below root, listed in tasks: a round for each level, a folder at a time.
+
+    The driver sees neither files nor folders. Names that start with a dot or an underscore are left out, as Spark does.
+    """
+    found, folders_ = None, spark.createDataFrame([(root,)], "path string")
+    while True:
+        level = work_table(folders_.mapInArrow(_list, "path string, length long, modificationTime timestamp, folder boolean").where(~F.element_at(F.split("path", "/"), -1).rlike("^[._]")), "level")
+        rows = level.where("NOT folder").drop("folder")
+        found = rows if found is None else found.unionByName(rows)
+        below = level.where("folder").select("path")
+        if below.isEmpty():
+            return found
+        folders_ = spread(below, "path")
+
+
 def dicom_files(spark: SparkSession, root: str) -> DataFrame:
     """Files with a DICOM extension, or without one but with the magic bytes."""
     rows = files(spark, root)

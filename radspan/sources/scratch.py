@@ -20,6 +20,13 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/radspan-{uuid.uuid4().hex}/{name}"
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt by these columns to as many tasks as a shuffle or the cluster has. For rows that stand for much work, such as a file to
+    open or an array to take apart: their own bytes are few, so by these one task would get them all."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *by)
+
+
 def work_table(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name)
     df.write.parquet(path)

@@ -127,3 +127,22 @@ def test_records(spark):
     assert dicom.light_record(heads).first()._series_uid == "1.2.3"
     kinds = {r.path: (r.file_type, r.dicom_rows, r.dicom_tag_count) for r in dicom.universal_record(heads).collect()}
     assert kinds == {"/d/a.dcm": ("dicom", 256, 8), "/d/b.dcm": ("dicom_error", None, None), "/d/c.dcm": ("dicom_error", None, None)}
+
+
+def test_tag_rows_of_paths(spark, tmp_path):
+    good = dicom_files.encoded([("PatientID", "p"), ("Rows", "3")], pixels=1 << 16)
+    rows = [(str(tmp_path / "a.dcm"), good), (str(tmp_path / "b.dcm"), b"none")]
+    for path, content in rows:
+        open(path, "wb").write(content)
+    files = spark.createDataFrame(rows, "path string, content binary")
+    ours, theirs = dicom.tag_rows(files.select("path")), dicom.tag_rows(files)
+    assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect())) and ours.count() == 4
+    lost = dicom.tag_rows(spark.createDataFrame([(str(tmp_path / "c.dcm"),)], "path string")).first()
+    assert lost["tag"] is None and lost["error"]
+    assert ours.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism  # rows of few bytes, each a file to open
+
+
+def test_a_long_list_makes_few_partitions():
+    paths = [f"file:///root/study{i % 13}/f{i}.dcm" for i in range(5000)]
+    part = dicom_source.FilesOf.of(paths)
+    assert part.paths == paths and len(part.packed) * 5 < sum(map(len, paths))

@@ -130,3 +130,16 @@ def test_stage_stream(spark, tmp_path):
     run.awaitTermination(120)
     got = {r.stage: (r.started_at, r.status, r.n_events, r.is_done) for r in spark.table("staged").collect()}
     assert got == {r.stage: (r.started_at, r.status, r.n_events, r.is_done) for r in windows.stage_state(df, "stage", "status", "at").collect()}
+
+
+def test_files_listed_in_tasks(spark, tmp_path):
+    names = ["a.dcm", "s1/b c.dcm", "s1/deep/é.dcm", "s2/x", "s2/_hidden", ".crc/y"]
+    for i, n in enumerate(names):
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_bytes(b"x" * i)
+    (tmp_path / "empty").mkdir()
+    got = {r["path"]: r for r in inventory.listed(spark, str(tmp_path)).collect()}
+    assert {p: r["length"] for p, r in got.items()} == {f"{tmp_path}/{n}": i for i, n in enumerate(names[:4])}
+    was = {"/" + r["path"].removeprefix("file:").lstrip("/"): r for r in inventory.files(spark, str(tmp_path)).select("path", "modificationTime").collect()}
+    seen = got[f"{tmp_path}/a.dcm"]["modificationTime"]
+    assert abs((seen - was[f"{tmp_path}/a.dcm"]["modificationTime"]).total_seconds()) < 1
