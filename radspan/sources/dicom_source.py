@@ -7,11 +7,13 @@
 A schema of the caller's names keywords as columns; then files are read no further than the last tag that it names (tags
 ascend). Filters on path and length choose files before any is opened. Options: pathGlobFilter (on names),
 partitionBytes. The folders are listed once, by the driver; where even that is too much, list with Spark's binaryFile
-reader and hand the paths to dicom.headers().
+reader, or in tasks with inventory.listed, and hand the paths to dicom.headers().
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from fnmatch import fnmatch
@@ -27,6 +29,8 @@ from radspan.sources.inventory import KINDS
 
 #: Cost of opening a file, and the most that a header is thought to take, in bytes; files of a batch.
 OPEN_COST, HEADER_BYTES, BATCH = 1 << 18, 1 << 16, 1024
+#: Bytes of a partition where the caller names none, or more, so that no listing makes more than so many partitions.
+PARTITION_BYTES, PARTITIONS = 64 << 20, 2000
 _CASTS = {"string": (pa.string(), str), "int": (pa.int32(), int), "bigint": (pa.int64(), int), "float": (pa.float32(), float), "double": (pa.float64(), float)}
 _TESTS = {
     EqualTo: lambda x, v: x == v, In: lambda x, v: x in v, StringStartsWith: lambda x, v: x.startswith(v), StringEndsWith: lambda x, v: x.endswith(v), StringContains: lambda x, v: v in x,
@@ -37,7 +41,17 @@ _FIXED = [n for n, _ in ARROW]
 
 @dataclass
 class FilesOf(InputPartition):
-    paths: list[str]
+    """Paths of a partition, packed: they pass the driver, and sorted ones share most of their characters."""
+
+    packed: bytes
+
+    @classmethod
+    def of(cls, paths: list[str]) -> FilesOf:
+        return cls(zlib.compress(json.dumps(paths).encode()))
+
+    @property
+    def paths(self) -> list[str]:
+        return json.loads(zlib.decompress(self.packed))
 
 
 def _cast(value: str | None, how) -> object:
@@ -63,7 +77,7 @@ def planned(found: list[tuple[str, int]], size: int) -> list[list[str]]:
 
 class HeaderReader(DataSourceReader):
     def __init__(self, options: dict, schema: T.StructType):
-        self.root, self.glob, self.size = options["path"], options.get("pathglobfilter"), int(options.get("partitionbytes", 64 << 20))
+        self.root, self.glob, self.size = options["path"], options.get("pathglobfilter"), int(options.get("partitionbytes", 0))
         self.fields = [(f.name, f.dataType.simpleString()) for f in schema]
         tags = {k: t for t, k in KEYWORDS.items()}
         for name, kind in self.fields:
@@ -86,7 +100,8 @@ class HeaderReader(DataSourceReader):
         prefix = "file://" if isinstance(store, fs.LocalFileSystem) else self.root.split("://", 1)[0] + "://"
         rows = sorted((prefix + f.path, f.size or 0) for f in found if f.type == fs.FileType.File and self._named(f.base_name))
         rows = [r for r in rows if all(_TESTS[t](r[0] if c == "path" else r[1], v) for c, t, v in self.tests)]
-        return [FilesOf(p) for p in planned(rows, self.size)] or [FilesOf([])]
+        size = self.size or max(PARTITION_BYTES, sum(OPEN_COST + min(n, HEADER_BYTES) for _, n in rows) // PARTITIONS)
+        return [FilesOf.of(p) for p in planned(rows, size)] or [FilesOf.of([])]
 
     def _named(self, name: str) -> bool:
         end = name.rsplit(".", 1)[-1].lower() if "." in name else ""

@@ -146,3 +146,13 @@ def test_a_long_list_makes_few_partitions():
     paths = [f"file:///root/study{i % 13}/f{i}.dcm" for i in range(5000)]
     part = dicom_source.FilesOf.of(paths)
     assert part.paths == paths and len(part.packed) * 5 < sum(map(len, paths))
+
+
+def test_partitions_are_bounded(spark, tmp_path, monkeypatch):
+    for i in range(40):
+        (tmp_path / f"f{i}.dcm").write_bytes(b"none")
+    monkeypatch.setattr(dicom_source, "PARTITIONS", 4)
+    monkeypatch.setattr(dicom_source, "PARTITION_BYTES", 1 << 18)
+    reader = dicom_source.HeaderReader({"path": str(tmp_path)}, StructType.fromDDL("path string"))
+    parts = reader.partitions()
+    assert len(parts) <= 8 and sum(len(p.paths) for p in parts) == 40
