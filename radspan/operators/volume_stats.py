@@ -1,16 +1,18 @@
 """Summary statistics of volumes, over lines as in `slices`, and of single images: grouped aggregates, exact ranks, histograms
-as counts by bin. No volume has to fit a row or a worker."""
+as counts by bin. No volume has to fit a row or a worker; those that do, of at most compact.MOST voxels, are rows of `compact`, as
+a table of many small volumes would otherwise have several rows for each voxel in each step."""
 
 from __future__ import annotations
 
 from functools import reduce
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from radspan.operators import ranks, slices
+from radspan.operators import compact, ranks, slices
 from radspan.operators.slices import OTSU_BINS, beside_it
-from radspan.sources.scratch import work_table
+from radspan.sources.scratch import spread, work_table
 
 #: percentiles of an image; a volume has those without 10 and 90
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
@@ -25,6 +27,22 @@ TINY, FLAT = 1e-6, 1e-10
 DARK, SAMPLED, CORNER, LEAST, BEYOND, CLASS = 0.3, 5, 8, 10, 100, 100
 
 
+def piece_figures(pieces: DataFrame, bins: int, percentiles: tuple[int, ...] = PERCENTILES) -> DataFrame:
+    """The figures of value_figures for volumes as pieces (volume, line), in any order."""
+    sizes = work_table(pieces.groupBy("volume").agg(F.sum(F.size("line")).alias("_n")), "sizes")
+    large = sizes.where(F.col("_n") > compact.MOST).select("volume")
+    if large.isEmpty():
+        return _small_figures(pieces, bins, percentiles)
+    beside = beside_it(large)  # at most a row for each MOST values
+    rows = pieces.join(beside, "volume", "left_semi").select("volume", F.explode("line").alias("v"))
+    found = value_figures(rows, bins, percentiles)[0]
+    return found.unionByName(_small_figures(pieces.join(beside, "volume", "left_anti"), bins, percentiles).select(*found.columns))
+
+
+def _small_figures(pieces: DataFrame, bins: int, percentiles: tuple[int, ...]) -> DataFrame:
+    return compact.value_figures(compact.gathered(pieces), bins, percentiles, FLAT)
+
+
 def value_figures(rows: DataFrame, bins: int, percentiles: tuple[int, ...] = PERCENTILES) -> tuple[DataFrame, DataFrame]:
     """Figures of the values (volume, v) of each volume, and its counts in OTSU_BINS bins (volume, low, width, bin, c).
 
@@ -55,16 +73,20 @@ def value_figures(rows: DataFrame, bins: int, percentiles: tuple[int, ...] = PER
     return found.join(entropy, "volume").join(coarse, "volume").withColumns({"counts": counts, "edges": edges}).drop("_counts", "low", "width"), fine
 
 
-def _noise(at: DataFrame, figures: DataFrame) -> DataFrame:
-    """volume, noise: the deviation of air, that is the median over up to five slices of their corners (an eighth of each side) where these
-    are dark, else that of the darkest tenth, else that of all voxels; zeros are padding."""
-    d, h, w = F.col("d"), F.col("h"), F.col("w")
+def _picked(d: Column) -> Column:
+    """Up to SAMPLED slices, without those at the ends; of few slices the middle one."""
     edge = F.greatest(F.floor(d / 10), F.lit(1))
     most = F.least(F.lit(SAMPLED), d - 2 * edge)
     first, last = edge, d - edge - 1
-    picked = F.when(d > 4, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(most - 1, F.lit(0)).cast("long")), lambda k: F.floor(first + (last - first) * k / F.greatest(most - 1, F.lit(1))))).otherwise(F.array(F.floor(d / 2)))
+    return F.when(d > 4, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(most - 1, F.lit(0)).cast("long")), lambda k: F.floor(first + (last - first) * k / F.greatest(most - 1, F.lit(1))))).otherwise(F.array(F.floor(d / 2)))
+
+
+def _noise(at: DataFrame, figures: DataFrame) -> DataFrame:
+    """volume, noise: the deviation of air, that is the median over up to five slices of their corners (an eighth of each side) where these
+    are dark, else that of the darkest tenth, else that of all voxels; zeros are padding."""
+    h, w = F.col("h"), F.col("w")
     ch, cw = F.greatest(F.floor(h / CORNER), F.lit(2)), F.greatest(F.floor(w / CORNER), F.lit(2))
-    voxels = at.where(F.array_contains(picked, F.col("z").cast("long"))).select("volume", "z", "y", "h", "w", F.posexplode("line").alias("x", "v"))
+    voxels = at.where(F.array_contains(_picked(F.col("d")), F.col("z").cast("long"))).select("volume", "z", "y", "h", "w", F.posexplode("line").alias("x", "v"))
     times = ((F.col("y") < ch).cast("int") + (F.col("y") >= h - ch).cast("int")) * ((F.col("x") < cw).cast("int") + (F.col("x") >= w - cw).cast("int"))  # corners may overlap
     corners = voxels.where("v <> 0").select("volume", "z", F.explode(F.array_repeat("v", times)).alias("v")).groupBy("volume", "z").agg(F.count("*").alias("n"), F.avg("v").alias("m"), F.stddev_pop("v").alias("s"))
     mean = figures.select("volume", "mean", "std", "n")
@@ -85,7 +107,22 @@ def line_stats(lines: DataFrame) -> DataFrame:
     """volume, d, h, w and the FIGURES that need no spacing, of volumes as lines (volume, z, y, line). Volumes that are not whole, or hold a
     null or non-finite voxel, have no row."""
     shapes = work_table(slices.shapes_of(lines).where("whole").select("volume", "d", "h", "w"), "shapes")
-    at = lines.select("volume", "z", "y", F.transform("line", lambda x: x.cast("double")).alias("line")).join(beside_it(shapes), "volume")
+    doubles = lines.select("volume", "z", "y", F.transform("line", lambda x: x.cast("double")).alias("line"))
+    is_large = F.col("d").cast("long") * F.col("h") * F.col("w") > compact.MOST
+    large, at = shapes.where(is_large), lambda some: doubles.join(beside_it(some), "volume")
+    found = _small_parts(compact.in_order(at(shapes.where(~is_large))))
+    if not large.isEmpty():
+        parts = _large_parts(at(large), large)
+        found = parts.unionByName(found.select(*parts.columns))
+    return _signal(found)
+
+
+def _small_parts(arrays: DataFrame) -> DataFrame:
+    return compact.stats(arrays, PERCENTILES, _picked, CORNER, {"tiny": TINY, "flat": FLAT, "dark": DARK, "least": LEAST})
+
+
+def _large_parts(at: DataFrame, shapes: DataFrame) -> DataFrame:
+    """What the figures are made of, from lines beside the shapes of their volumes."""
     rows = at.select("volume", F.explode("line").alias("v"))
     figures, bins = value_figures(rows, OTSU_BINS)
     figures = work_table(figures.drop("counts", "edges"), "figures")
@@ -97,7 +134,11 @@ def line_stats(lines: DataFrame) -> DataFrame:
     r, a = F.col("a") / (F.col("s") + TINY), F.col("a")
     levels = by_slice.groupBy("volume").agg(F.avg(r).alias("slice_snr_mean"), F.stddev_pop(r).alias("slice_snr_std"), F.min(r).alias("slice_snr_min"), F.max(r).alias("slice_snr_max"), F.stddev_pop(a).alias("_sa"), F.avg(a).alias("_ma"))
     parts = [figures, classes, levels, _noise(at, figures)]
-    out = reduce(lambda x, y: x.join(y, "volume", "left"), parts, shapes)
+    return reduce(lambda x, y: x.join(y, "volume", "left"), parts, shapes)
+
+
+def _signal(out: DataFrame) -> DataFrame:
+    """volume, d, h, w and the FIGURES that need no spacing."""
     signal, noise = F.when(F.col("n1") > 0, F.col("m1")).otherwise(F.col("mean")), F.col("noise") + TINY
     plain = signal / noise
     snr = F.when(plain > BEYOND, signal / (F.when(F.col("n1") > CLASS, F.col("s1")).otherwise(F.col("std")) + TINY)).otherwise(plain)
@@ -124,6 +165,18 @@ def sized_stats(found: DataFrame, spacing: Column, images: bool = False) -> Data
     return found.withColumns({"volume_shape": only(shape), "spacing_mm": only(step), "fov_mm": only(fov), "voxel_volume_mm3": only(size), "total_volume_mm3": size * n, "total_volume_cc": size * n / 1000})
 
 
+def _array_stats(df: DataFrame, key: str, values: str, shape: tuple[int, ...]) -> DataFrame:
+    """line_stats of arrays: small ones are rows already. A key of several arrays of the right size is no whole volume."""
+    size = prod(shape)
+    if size > compact.MOST:
+        return line_stats(slices.lines_of(df, key, values, shape))
+    arrays = df.where(F.size(values) == size).select(F.col(key).alias("volume"), F.transform(values, lambda x: x.cast("double")).alias("values"))
+    arrays = spread(arrays, "volume").groupBy("volume").agg(F.count("*").alias("_k"), F.first("values").alias("values"))
+    odd = F.exists("values", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    sides = [F.lit(n).alias(c) for c, n in zip("dhw", (1, *shape)[-3:], strict=True)]
+    return _signal(_small_parts(arrays.where((F.col("_k") == 1) & ~odd).select("volume", *sides, "values")))
+
+
 def volume_stats(df: DataFrame, key: str, values: str, shape: tuple[int, ...], spacing: Column | None = None, origin: Column | None = None, direction: Column | None = None) -> DataFrame:
     """key and the 37 statistics of each volume that is one array a row (values in row order).
 
@@ -131,7 +184,7 @@ def volume_stats(df: DataFrame, key: str, values: str, shape: tuple[int, ...], s
     without a direction an empty array.
     """
     given = df.select(F.col(key).alias("volume"), *[(F.lit(None) if c is None else c).cast("array<double>").alias(n) for n, c in (("_s", spacing), ("_o", origin), ("_d", direction))])
-    found = given.join(line_stats(slices.lines_of(df, key, values, shape)), "volume", "left")
+    found = given.join(_array_stats(df, key, values, shape), "volume", "left")
     found = sized_stats(found, F.col("_s"), images=len(shape) < 3)
     whole = F.col("d").isNotNull()
     found = found.withColumn("origin_mm", F.when(whole, F.coalesce("_o", F.array(*[F.lit(0.0)] * len(shape))))).withColumn("direction_cosines", F.when(whole, F.coalesce("_d", F.array().cast("array<double>"))))
@@ -143,8 +196,7 @@ def image_stats(df: DataFrame, key: str, values: str, bins: int = 50) -> DataFra
     counts and edges. Null and empty arrays, and those with a null or non-finite value, give nulls."""
     v = F.transform(values, lambda x: x.cast("double"))
     good = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = df.select(F.col(key).alias("volume"), v.alias("_v")).where(F.coalesce(good, F.lit(False))).select("volume", F.explode("_v").alias("v"))
-    found, _ = value_figures(rows, bins)
+    found = piece_figures(df.select(F.col(key).alias("volume"), v.alias("line")).where(F.coalesce(good, F.lit(False))), bins)
     names = {"min": "least", "max": "greatest", "mean": "mean", "std": "std", "median": "p50", **{f"p{q}": f"p{q}" for q in PERCENTILES}}
     out = found.select("volume", *[F.col(c).alias(f"pixel_{n}") for n, c in names.items()], (F.col("p75") - F.col("p25")).alias("pixel_iqr"), (F.col("nonzero") / F.col("n")).alias("nonzero_ratio"), *[F.col(c).alias(f"pixel_{c}") for c in ("entropy", "skewness", "kurtosis")], F.col("counts").alias("histogram_counts"), F.col("edges").alias("histogram_edges"))
     return df.select(F.col(key).alias("volume")).join(out, "volume", "left").withColumnRenamed("volume", key)
@@ -152,5 +204,5 @@ def image_stats(df: DataFrame, key: str, values: str, bins: int = 50) -> DataFra
 
 def histograms(lines: DataFrame, bins: int = 200, percentiles: tuple[int, ...] = PERCENTILES) -> DataFrame:
     """volume, n, counts and edges of equal bins, and percentiles with interpolation; the last bin holds the greatest value."""
-    found, _ = value_figures(lines.select("volume", F.explode("line").alias("v")).select("volume", F.col("v").cast("double").alias("v")), bins, percentiles)
+    found = piece_figures(lines.select("volume", F.transform("line", lambda x: x.cast("double")).alias("line")), bins, percentiles)
     return found.select("volume", "n", "counts", "edges", *[f"p{q}" for q in percentiles])
